@@ -1,11 +1,12 @@
-"""Features per user, all from one pass over the reviews.
-
-Each review is turned into a handful of small facts (its business, its
-categories, its city, its sentiment, its frequent words).  The facts are
-counted per (user, kind, key), with partial counts before the shuffle, and only
-those counts are gathered per user.  A user, business or category that holds a
-third of all reviews therefore costs no task more than its number of distinct
-keys, and any set of features needs one scan and two shuffles.
+"""Features per user.
+
+Each review is turned into a handful of small facts: its categories, its city,
+its sentiment, its frequent words.  The facts are counted per (user, kind, key),
+with partial counts before the shuffle, and only those counts are gathered per
+user.  A user, business or category that holds a third of all reviews therefore
+costs no task more than its number of distinct keys, and any set of features
+needs two shuffles.  Everything comes out hash-partitioned by user, ready to be
+joined without another shuffle.
 """
 
 from __future__ import annotations
@@ -16,16 +17,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.columns import map_of
+from clientele.operators.dimension import is_small
 
-ACTIVITY, CATEGORIES, AREA, SENTIMENTS, WORDS = PARTS = (
-    "activity", "categories", "area", "sentiments", "words",
-)
+CATEGORIES, AREA, SENTIMENTS, WORDS = PARTS = ("categories", "area", "sentiments", "words")
 
 
 def city_points(business: DataFrame, keys: tuple[str, ...] = ("city",)) -> DataFrame:
     """One point per city: that of its lowest business id."""
-    at = F.min_by(F.struct("latitude", "longitude"), F.col("business_id"))
-    return business.where(F.col("city").isNotNull()).groupBy(*keys).agg(at.alias("at"))
+    return business.where(F.col("city").isNotNull()).groupBy(*keys).agg(
+        *[F.min_by(c, "business_id").alias(c) for c in ("latitude", "longitude")]
+    )
 
 
 def _facts(kind: str, keys: Column) -> Column:
@@ -33,52 +34,69 @@ def _facts(kind: str, keys: Column) -> Column:
     return F.coalesce(facts, F.array().cast("array<struct<kind:string,key:string>>"))
 
 
-def _review_facts(reviews: DataFrame, business: DataFrame | None, parts: set[str]) -> DataFrame:
-    """Counts per (user, kind, key)."""
-    columns, found = ["user_id"], []
-    if parts & {ACTIVITY, CATEGORIES, AREA}:
-        columns.append("business_id")
-    if ACTIVITY in parts:
-        columns += ["date", "stars"]
-        found.append(_facts("business", F.array("business_id")))
+def _exploded(rows: DataFrame, facts: list[Column], *kept: str) -> DataFrame:
+    return (
+        rows.select("user_id", *kept, F.explode(F.concat(*facts)).alias("fact"))
+        .select("user_id", "fact.kind", "fact.key", *kept)
+        .where(F.col("key").isNotNull())
+    )
+
+
+def _place_facts(reviews: DataFrame, business: DataFrame, parts: set[str]) -> DataFrame:
+    """Categories (with stars) and cities (with their point) of the reviews.
+
+    The businesses are broadcast when measured to be small enough.  When they
+    are not, reviews and businesses meet in a shuffle, where AQE splits the
+    partition of a business that holds too many of the reviews.
+    """
+    columns, facts, kept = ["business_id"], [], []
     if CATEGORIES in parts:
-        columns += [] if "stars" in columns else ["stars"]
-        found.append(_facts("category", F.col("categories")))
+        columns.append("categories")
+        facts.append(_facts("category", F.col("categories")))
+        kept.append("stars")
+    if AREA in parts:
+        columns.append("city")
+        facts.append(_facts("city", F.array("city")))
+        kept += ["latitude", "longitude"]
+    place = business.select(*columns)
+    small = is_small(place)
     if AREA in parts:
-        found.append(_facts("city", F.array("city")))
+        # Points join the businesses here, not the users later: a city in
+        # which many users live never becomes a join key of theirs.
+        points = city_points(business)
+        place = place.join(F.broadcast(points) if small else points, "city", "left")
+    rows = reviews.select("user_id", "business_id", *["stars"] * (CATEGORIES in parts))
+    return _exploded(rows.join(F.broadcast(place) if small else place, "business_id"), facts, *kept)
+
+
+def _text_facts(reviews: DataFrame, parts: set[str]) -> DataFrame:
+    """Sentiments and frequent words; they never travel through a join."""
+    facts = []
     if SENTIMENTS in parts:
-        columns.append("sentiment")
-        found.append(_facts("sentiment", F.array("sentiment")))
+        facts.append(_facts("sentiment", F.array("sentiment")))
     if WORDS in parts:
-        columns.append("frequent_words")
-        found.append(_facts("word", F.col("frequent_words")))
+        facts.append(_facts("word", F.col("frequent_words")))
+    return _exploded(reviews, facts)
 
-    rows = reviews.select(*columns)
+
+def _counted_facts(reviews: DataFrame, business: DataFrame | None, parts: set[str]) -> DataFrame:
+    """Counts per (user, kind, key)."""
+    sources = []
     if parts & {CATEGORIES, AREA}:
-        about = ["business_id"] + ["categories"] * (CATEGORIES in parts) + ["city"] * (AREA in parts)
-        place = business.select(*about)
-        if AREA in parts:
-            place = place.join(city_points(business), "city", "left")
-        rows = rows.join(place, "business_id", "left")
-
-    counted = {"n": F.count("*")}
-    if parts & {ACTIVITY, CATEGORIES}:
-        counted |= {"stars_sum": F.sum("stars"), "stars_n": F.count("stars")}
-    if ACTIVITY in parts:
-        counted |= {
-            "first_seen": F.min("date"), "last_seen": F.max("date"),
-            "min_stars": F.min("stars"), "max_stars": F.max("stars"),
-        }
+        sources.append(_place_facts(reviews, business, parts))
+    if parts & {SENTIMENTS, WORDS}:
+        sources.append(_text_facts(reviews, parts))
+    facts = sources[0]
+    for more in sources[1:]:
+        facts = facts.unionByName(more, allowMissingColumns=True)
+    counts = {"n": F.count("*")}
+    if CATEGORIES in parts:
+        stars = _of("category", "stars")
+        counts |= {"stars_sum": F.sum(stars), "stars_n": F.count(stars)}
     if AREA in parts:
-        counted["at"] = F.first("at", ignorenulls=True)
-    kept = [c for c in ("date", "stars", "at") if c in rows.columns]
-    return (
-        rows.select("user_id", *kept, F.explode(F.concat(*found)).alias("fact"))
-        .select("user_id", *kept, "fact.kind", "fact.key")
-        .where((F.col("kind") == "business") | F.col("key").isNotNull())
-        .groupBy("user_id", "kind", "key")
-        .agg(*[value.alias(name) for name, value in counted.items()])
-    )
+        # All facts of a city carry the same point.
+        counts |= {c: F.max(_of("city", c)) for c in ("latitude", "longitude")}
+    return facts.groupBy("user_id", "kind", "key").agg(*[v.alias(c) for c, v in counts.items()])
 
 
 def _of(kind: str, value: Column | str) -> Column:
@@ -95,23 +113,12 @@ def _pairs(kind: str, value: Column) -> Column:
 def user_features(
     reviews: DataFrame, business: DataFrame | None = None, parts: Iterable[str] = PARTS
 ) -> DataFrame:
-    """One row per user with the features of ``parts``.
+    """One row per user with the map features of ``parts``.
 
     Maps are empty, and the city null, where a user has nothing to show.
     """
     parts = set(parts)
     made: dict[str, Column] = {}
-    if ACTIVITY in parts:
-        made |= {
-            "first_seen": F.min(_of("business", "first_seen")),
-            "last_seen": F.max(_of("business", "last_seen")),
-            "different_business_count": F.count(_of("business", "key")),
-            "avg_rating": F.try_divide(
-                F.sum(_of("business", "stars_sum")), F.sum(_of("business", "stars_n"))
-            ),
-            "min_stars": F.min(_of("business", "min_stars")),
-            "max_stars": F.max(_of("business", "max_stars")),
-        }
     if CATEGORIES in parts:
         made |= {
             "category_map": _pairs("category", F.col("n")),
@@ -120,18 +127,16 @@ def user_features(
             ),
         }
     if AREA in parts:
-        visit = F.struct((-F.col("n")).alias("order"), "key", "n", "at")
+        visit = F.struct((-F.col("n")).alias("order"), "key", "n", "latitude", "longitude")
         made["visits"] = F.sort_array(F.collect_list(_of("city", visit)))
     if SENTIMENTS in parts:
         made["sentiment_map"] = _pairs("sentiment", F.col("n"))
     if WORDS in parts:
         made["frequent_words_map"] = _pairs("word", F.col("n"))
 
-    users = _review_facts(reviews, business, parts).groupBy("user_id").agg(
+    users = _counted_facts(reviews, business, parts).groupBy("user_id").agg(
         *[value.alias(name) for name, value in made.items()]
     )
-    if ACTIVITY in parts:
-        users = users.withColumn("date_diff", F.datediff("last_seen", "first_seen"))
     if AREA in parts:
         # Visits are sorted: the home city leads, the rest is travel.
         home = F.get("visits", F.lit(0))
@@ -139,8 +144,8 @@ def user_features(
         users = users.withColumns({
             "user_city": home["key"],
             "travel_map": F.map_from_entries(F.transform(away, lambda v: F.struct(v["key"], v["n"]))),
-            "latitude": home["at"]["latitude"],
-            "longitude": home["at"]["longitude"],
+            "latitude": home["latitude"],
+            "longitude": home["longitude"],
         }).drop("visits")
     return users
 
@@ -155,13 +160,22 @@ def has_all(parts: Iterable[str] = PARTS) -> Column:
     }
     condition = F.lit(True)
     for part in parts:
-        condition = condition & shown.get(part, F.lit(True))
+        condition = condition & shown[part]
     return condition
 
 
 def user_activity(reviews: DataFrame) -> DataFrame:
     """First and last review, days between, businesses, mean and extreme stars."""
-    return user_features(reviews, parts=[ACTIVITY])
+    first, last = F.min("date"), F.max("date")
+    return reviews.groupBy("user_id").agg(
+        first.alias("first_seen"),
+        last.alias("last_seen"),
+        F.datediff(last, first).alias("date_diff"),
+        F.count_distinct("business_id").alias("different_business_count"),
+        F.avg("stars").alias("avg_rating"),
+        F.min("stars").alias("min_stars"),
+        F.max("stars").alias("max_stars"),
+    )
 
 
 def category_counts(reviews: DataFrame, business: DataFrame) -> DataFrame:

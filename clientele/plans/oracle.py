@@ -441,7 +441,7 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
         FROM (SELECT user_id, count(*) AS record_count FROM labelled GROUP BY user_id) b
         LEFT JOIN pivoted USING (user_id)
         LEFT JOIN (SELECT user_id, count(*) AS categories, sum(n)::BIGINT AS category_count
-            FROM category_n GROUP BY user_id) c USING (user_id)
+            FROM category_n JOIN profile USING (user_id) GROUP BY user_id) c USING (user_id)
         LEFT JOIN (SELECT user_id, count(*) FILTER (WHERE regexp_full_match(token, '[0-9]{{4}}')) AS elite_years
             FROM elite_of_user GROUP BY user_id) e USING (user_id)
         LEFT JOIN ({_status(10)}) s USING (user_id)""",

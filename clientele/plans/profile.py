@@ -17,12 +17,17 @@ def build_profile(
     """Cleaned users joined with every feature.
 
     ``inner`` keeps the users that have all features, ``left`` all users.  The
-    features arrive hash-partitioned by user, so the join moves only the users.
+    features arrive hash-partitioned by user, so the joins move only the users.
     """
+    activity = features.user_activity(reviews)
     made = features.user_features(reviews, business)
     if how == "inner":
         made = made.where(features.has_all())
-    return users.join(made, "user_id", how).select(*schemas.PROFILE_COLUMNS)
+    return (
+        users.join(activity, "user_id", how)
+        .join(made, "user_id", how)
+        .select(*schemas.PROFILE_COLUMNS)
+    )
 
 
 @dataclass

@@ -215,7 +215,7 @@ def clean_tips(spark, sf_dir):
 
 
 def _documents(spark, sf_dir):
-    return standins.written_reviews(standins.table(spark, sf_dir, "documents"))
+    return standins.written_reviews(standins.documents(spark, sf_dir))
 
 
 @query
@@ -235,7 +235,7 @@ def nlp_sentiment(spark, sf_dir):
 def nlp_top_words(spark, sf_dir):
     from clientele.functions.text import top_words
 
-    return standins.table(spark, sf_dir, "documents").select(
+    return standins.documents(spark, sf_dir).select(
         "doc_id", top_words(F.col("text")).alias("frequent_words")
     )
 

@@ -18,6 +18,18 @@ def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer splits than there are cores.
+
+    A table that small may sit in one unsplittable file, and heavy work per row
+    would run in one task.  A scan with enough splits is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(2 * cores)
+
+
 def sample_dir(base: str, fraction: float) -> str:
     """Output folder of one sample fraction, laid out as a partition."""
     return f"{base.rstrip('/')}/sample={fraction}"

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele import schemas
+from clientele.sources.files import spread
 from clientele.sources.topics import as_messages
 
 TIME = "yyyy-MM-dd HH:mm:ss"
@@ -29,6 +30,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def _id(prefix: str, column: Column | str) -> Column:
     return F.concat(F.lit(prefix), F.col(column) if isinstance(column, str) else column)
 
@@ -102,7 +107,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     part = F.col("l_partkey")
     rated = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumns({
             "review_id": F.concat_ws("-", F.lit("l"), "l_orderkey", "l_linenumber", part, "l_suppkey"),
@@ -116,7 +121,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     doc = F.col("doc_id")
     written = (
-        table(spark, sf_dir, "documents")
+        documents(spark, sf_dir)
         .join(orders, doc == F.col("o_orderkey"))
         .withColumns({
             "review_id": _id("d", doc),
@@ -152,7 +157,7 @@ def raw_tips(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = F.col("conv_id")
     day = F.date_add(F.lit("2020-01-01").cast("date"), (conv % 365).cast("int"))
     return _shape(
-        table(spark, sf_dir, "conversations")
+        spread(table(spark, sf_dir, "conversations"))
         .where(F.col("role") == "user")
         .withColumns({
             "user_id": _id("u", conv),
