@@ -1,0 +1,184 @@
+import datetime as dt
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from clientele import schemas
+from clientele.operators import cleaning, dimension, features
+from clientele.plans.profile import build_profile
+
+REVIEW = "user_id string, business_id string, stars double, date timestamp, sentiment string, frequent_words array<string>"
+BUSINESS = "business_id string, categories array<string>, city string, latitude double, longitude double"
+D1, D2 = dt.datetime(2020, 1, 1, 8), dt.datetime(2021, 3, 1, 7)
+
+
+@pytest.fixture(scope="module")
+def business(spark):
+    return spark.createDataFrame([
+        ("b1", ["Food", "Bar"], "Reno", 1.0, -1.0),
+        ("b2", ["Food"], "Ames", 2.0, -2.0),
+        ("b0", None, "Reno", 9.0, -9.0),
+        ("b4", ["Spa"], None, None, None),
+    ], BUSINESS)
+
+
+@pytest.fixture(scope="module")
+def reviews(spark):
+    return spark.createDataFrame([
+        ("u1", "b1", 4.0, D1, "positive", ["good", "food"]),
+        ("u1", "b1", None, D2, "neutral", ["food"]),
+        ("u1", "b2", 1.0, D1, "positive", []),
+        ("u2", "b0", 5.0, D1, "negative", ["meh"]),
+        ("u3", "b2", None, None, None, None),
+        ("u4", "b2", 2.0, D1, "neutral", ["x"]),
+        ("u4", "b1", 3.0, D1, "neutral", ["x"]),
+        ("u5", "gone", 3.0, D1, "neutral", ["x"]),
+        ("u6", "b4", 3.0, D1, "neutral", ["x"]),
+    ], REVIEW)
+
+
+def by_user(df, column):
+    return {r.user_id: r[column] for r in df.collect()}
+
+
+def test_category_counts_and_ratings(reviews, business):
+    assert by_user(features.category_counts(reviews, business), "category_map") == {
+        "u1": {"Food": 3, "Bar": 2}, "u3": {"Food": 1}, "u4": {"Food": 2, "Bar": 1}, "u6": {"Spa": 1},
+    }
+    # A review without stars counts as a visit, not in the mean.
+    assert by_user(features.category_ratings(reviews, business), "category_avg_stars") == {
+        "u1": {"Food": 2.5, "Bar": 4.0}, "u4": {"Food": 2.5, "Bar": 3.0}, "u6": {"Spa": 3.0},
+    }
+
+
+def test_area(reviews, business):
+    area = {r.user_id: r for r in features.user_area(reviews, business).collect()}
+    assert set(area) == {"u1", "u2", "u3", "u4"}
+    assert (area["u1"].user_city, area["u1"].travel_map) == ("Reno", {"Ames": 1})
+    assert (area["u2"].user_city, area["u2"].travel_map) == ("Reno", {})
+    # A tie goes to the first city by name; a city's point is its lowest business id's.
+    assert (area["u4"].user_city, area["u4"].travel_map) == ("Ames", {"Reno": 1})
+    assert (area["u1"].latitude, area["u1"].longitude) == (9.0, -9.0)
+
+
+def test_sentiments_words_and_friends(spark, reviews):
+    assert by_user(features.sentiment_counts(reviews), "sentiment_map") == {
+        "u1": {"positive": 2, "neutral": 1}, "u2": {"negative": 1}, "u4": {"neutral": 2},
+        "u5": {"neutral": 1}, "u6": {"neutral": 1},
+    }
+    assert by_user(features.frequent_words(reviews), "frequent_words_map") == {
+        "u1": {"good": 1, "food": 2}, "u2": {"meh": 1}, "u4": {"x": 2}, "u5": {"x": 1}, "u6": {"x": 1},
+    }
+    raw = spark.createDataFrame([("a", "x, y"), ("b", ""), ("c", "None"), ("d", None)], "user_id string, friends string")
+    assert by_user(features.friends_counts(cleaning.friends_of(raw)), "friends_count") == {"a": 2, "b": 1, "c": 1, "d": 0}
+    counted = raw.select("user_id", cleaning.friend_count(cleaning.text_list("friends"), ("", "None")).alias("n"))
+    assert by_user(counted, "n") == {"a": 2, "b": 0, "c": 0, "d": 0}
+
+
+def test_activity(reviews):
+    rows = {r.user_id: r for r in features.user_activity(reviews).collect()}
+    u1 = rows["u1"]
+    assert (u1.first_seen, u1.last_seen, u1.date_diff) == (D1, D2, 425)
+    assert (u1.different_business_count, u1.avg_rating, u1.min_stars, u1.max_stars) == (2, 2.5, 1.0, 4.0)
+    assert rows["u3"].avg_rating is None and rows["u3"].first_seen is None
+
+
+@pytest.fixture(scope="module")
+def users(spark):
+    raw = spark.createDataFrame(
+        [tuple(f"u{i}" if f.name == "user_id" else None for f in schemas.USER) for i in range(1, 9)], schemas.USER
+    )
+    return cleaning.clean_users(raw)
+
+
+def test_profile_keeps_complete_users_or_all(users, reviews, business):
+    inner = build_profile(users, reviews, business)
+    assert {r.user_id for r in inner.collect()} == {"u1", "u4"}
+    left = build_profile(users, reviews, business, "left")
+    assert {r.user_id for r in left.collect()} == {f"u{i}" for i in range(1, 9)}
+    assert inner.columns == left.columns == schemas.PROFILE_COLUMNS and len(inner.columns) == 37
+
+
+def test_profile_joins_add_no_shuffle_of_features(spark, users, reviews, business, tmp_path):
+    """Two shuffles for the facts, two for the distinct businesses, one for the users."""
+    paths = []
+    for name, df in (("u", users), ("r", reviews), ("b", business)):
+        df.write.parquet(str(tmp_path / name))
+        paths.append(spark.read.parquet(str(tmp_path / name)))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = build_profile(*paths)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    shuffles = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l and "city" not in l.split("hashpartitioning")[1]]
+    assert len(shuffles) <= 5, plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_businesses_too_large_to_broadcast_give_the_same(reviews, business, monkeypatch):
+    small = sorted(map(str, features.user_features(reviews, business).collect()))
+    monkeypatch.setattr(dimension, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(features, "is_small", lambda df: False)
+    assert sorted(map(str, features.user_features(reviews, business).collect())) == small
+
+
+def test_skewed_reviews_against_plain_counting(spark, business):
+    """A third of the reviews by one user of one business."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(3000):
+        hot = i % 3 == 0
+        user = "hot" if hot else f"u{rng.randrange(40)}"
+        place = "b1" if hot else rng.choice(["b0", "b1", "b2", "b4", "gone"])
+        rows.append((user, place, float(rng.randrange(1, 6)), D1, rng.choice(["positive", "neutral"]),
+                     rng.sample(["a", "b", "c", "d"], 2)))
+    reviews = spark.createDataFrame(rows, REVIEW)
+    of = {r.business_id: r for r in business.collect()}
+    categories, words, stars = defaultdict(Counter), defaultdict(Counter), defaultdict(list)
+    for user, place, star, _, _, found in rows:
+        words[user].update(found)
+        for c in (of[place].categories or []) if place in of else []:
+            categories[user][c] += 1
+            stars[user, c].append(star)
+    made = {r.user_id: r for r in features.user_features(reviews, business).collect()}
+    assert len(made) == len(words)
+    for user, row in made.items():
+        assert row.category_map == categories[user] and row.frequent_words_map == words[user]
+        assert sum(row.category_map.values()) == sum(categories[user].values())
+        assert row.user_city is None or row.user_city not in row.travel_map
+        for c, mean in row.category_avg_stars.items():
+            assert mean == pytest.approx(sum(stars[user, c]) / len(stars[user, c]))
+
+
+def test_city_points_can_tell_states_apart(spark):
+    df = spark.createDataFrame(
+        [("b1", "Reno", "NV", 1.0, 1.0), ("b2", "Reno", "TX", 2.0, 2.0)],
+        "business_id string, city string, state string, latitude double, longitude double",
+    )
+    assert features.city_points(df).count() == 1
+    assert features.city_points(df, ("city", "state")).count() == 2
+
+
+def test_cleaning(spark):
+    users = spark.createDataFrame(
+        [("u", "2019,2020, 2021", "2010-02-03 04:05:06", "a, b"), ("v", "", "soon", None)],
+        "user_id string, elite string, yelping_since string, friends string",
+    )
+    u, v = cleaning.clean_users(users).orderBy("user_id").collect()
+    assert u.elite == ["2019", "2020", "2021"] and u.yelping_since == dt.datetime(2010, 2, 3, 4, 5, 6)
+    assert u.friends_count == 2 and v.yelping_since is None and v.elite == [""]
+    checkin = spark.createDataFrame([("b", "2020-01-01 00:00:00, bad, 2020-01-02 00:00:00")], "business_id string, date string")
+    dates = cleaning.clean_checkins(checkin).first().date
+    assert dates == [dt.datetime(2020, 1, 1), None, dt.datetime(2020, 1, 2)]
+    business = spark.createDataFrame([("b", "A, B C,D"), ("c", None)], "business_id string, categories string")
+    assert [r.categories for r in cleaning.clean_business(business).collect()] == [["A", "B C", "D"], None]
+    lexicon = spark.createDataFrame([("good", 2.0)], "word string, valence double")
+    raw = spark.createDataFrame(
+        [tuple({"review_id": "r", "text": "Good good food", "date": "2020-01-01 01:00:00"}.get(f.name) for f in schemas.REVIEW)],
+        schemas.REVIEW,
+    )
+    row = cleaning.enrich_reviews(raw, lexicon).first()
+    assert (row.sentiment, row.frequent_words, row.date) == ("positive", ["good", "food"], dt.datetime(2020, 1, 1, 1))
