@@ -20,10 +20,8 @@ from clientele.functions.text import SPACE
 # Largest lexicon that is sent along with the plan; bigger ones are joined.
 MAX_INLINE_WORDS = 100_000
 
-_HANGING = "(?:" + "|".join(
-    "".join("\\" + c for c in mark)
-    for mark in sorted(L.HANGING_PUNCTUATION, key=len, reverse=True)
-) + ")"
+# Any of the fixed hanging marks.
+_HANGING = r"""(?:[.,;:\-'"]|!{1,3}|\?{1,3}|\?!\?!?|!\?!\??)"""
 _END = rf"(?![^{SPACE}])"
 _PLAIN = rf"[^\p{{Punct}}{SPACE}]{{2,}}+"
 # A word of two characters or more; one hanging mark before or after it goes.
@@ -150,24 +148,41 @@ class _Context:
         return F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)), loud, look_back) * self.least(i)
 
     def total(self) -> Column:
-        """Sum over all words; a repeated word scores as at its first place."""
+        """Sum over all words; a repeated word scores as at its first place.
+
+        Each different word is scored once, however often it is used.
+        """
         hits = F.filter(
             F.transform(self.lowered, lambda w, p: F.struct(p.alias("p"), self.valence(w).alias("v"))),
             lambda h: h["v"].isNotNull(),
         )
         turn = F.array_position(self.lowered, F.lit("but")).cast("int") - 1
 
+        def place(words: Column, word: Column) -> Column:
+            return F.array_position(words, word).cast("int") - 1
+
+        def scored(word: Column) -> Column:
+            return let(place(self.written, word), lambda i: F.when(self.is_modifier(i), 0.0).otherwise(
+                self.score(i, self.valence(self.lower(i)))
+            ))
+
         def weight(p: Column, but: Column) -> Column:
             return F.when(but < 0, 1.0).when(p < but, 0.5).when(p > but, 1.5).otherwise(1.0)
 
-        def add(total: Column, hit: Column, but: Column) -> Column:
-            first = F.array_position(self.written, self.word(hit["p"])).cast("int") - 1
-            part = let(first, lambda i: F.when(self.is_modifier(i), 0.0).otherwise(
-                self.score(i, hit["v"])
-            ))
-            return total + part * weight(hit["p"], but)
+        def add_up(hits: Column, different: Column, scores: Column, but: Column) -> Column:
+            def add(total: Column, hit: Column) -> Column:
+                score = F.get(scores, place(different, self.word(hit["p"])))
+                return total + score * weight(hit["p"], but)
+
+            return F.aggregate(hits, F.lit(0.0), add)
+
+        def of_hits(hits: Column) -> Column:
+            different = F.array_distinct(F.transform(hits, lambda h: self.word(h["p"])))
+            return let(different, lambda d: let(F.transform(d, scored), lambda scores: let(
+                turn, lambda but: add_up(hits, d, scores, but)
+            )))
 
-        return let(turn, lambda but: F.aggregate(hits, F.lit(0.0), lambda t, h: add(t, h, but)))
+        return let(hits, of_hits)
 
 
 def compound(text: Column, valence: Valence) -> Column:

@@ -29,16 +29,25 @@ def city_points(business: DataFrame, keys: tuple[str, ...] = ("city",)) -> DataF
     )
 
 
-def _facts(kind: str, keys: Column) -> Column:
-    facts = F.transform(keys, lambda key: F.struct(F.lit(kind).alias("kind"), key.alias("key")))
-    return F.coalesce(facts, F.array().cast("array<struct<kind:string,key:string>>"))
-
+def _facts(
+    rows: DataFrame, one: str | None, many: str | None, kept: Iterable[str] = ()
+) -> DataFrame:
+    """One row (user_id, kind, key, kept...) per fact of a review.
 
-def _exploded(rows: DataFrame, facts: list[Column], *kept: str) -> DataFrame:
+    ``one`` names a text column, ``many`` an array column; the column name is
+    the kind.  The single fact leads the exploded array, so that a position
+    tells the kind.
+    """
+    keys = F.array(*[one] * bool(one)).cast("array<string>")
+    if many:
+        keys = F.concat(keys, F.coalesce(many, F.array().cast("array<string>")))
+    kind = F.lit(many or one)
+    if one and many:
+        kind = F.when(F.col("at") == 0, one).otherwise(many)
     return (
-        rows.select("user_id", *kept, F.explode(F.concat(*facts)).alias("fact"))
-        .select("user_id", "fact.kind", "fact.key", *kept)
+        rows.select("user_id", *kept, F.posexplode(keys).alias("at", "key"))
         .where(F.col("key").isNotNull())
+        .select("user_id", kind.alias("kind"), "key", *kept)
     )
 
 
@@ -49,34 +58,29 @@ def _place_facts(reviews: DataFrame, business: DataFrame, parts: set[str]) -> Da
     are not, reviews and businesses meet in a shuffle, where AQE splits the
     partition of a business that holds too many of the reviews.
     """
-    columns, facts, kept = ["business_id"], [], []
-    if CATEGORIES in parts:
-        columns.append("categories")
-        facts.append(_facts("category", F.col("categories")))
-        kept.append("stars")
-    if AREA in parts:
-        columns.append("city")
-        facts.append(_facts("city", F.array("city")))
-        kept += ["latitude", "longitude"]
-    place = business.select(*columns)
+    city = "city" if AREA in parts else None
+    categories = "categories" if CATEGORIES in parts else None
+    place = business.select("business_id", *[c for c in (city, categories) if c])
     small = is_small(place)
-    if AREA in parts:
+    if city:
         # Points join the businesses here, not the users later: a city in
         # which many users live never becomes a join key of theirs.
         points = city_points(business)
         place = place.join(F.broadcast(points) if small else points, "city", "left")
-    rows = reviews.select("user_id", "business_id", *["stars"] * (CATEGORIES in parts))
-    return _exploded(rows.join(F.broadcast(place) if small else place, "business_id"), facts, *kept)
+    stars = ["stars"] if categories else []
+    visits = reviews.select("user_id", "business_id", *stars).join(
+        F.broadcast(place) if small else place, "business_id"
+    )
+    return _facts(visits, city, categories, stars + ["latitude", "longitude"] * bool(city))
 
 
 def _text_facts(reviews: DataFrame, parts: set[str]) -> DataFrame:
     """Sentiments and frequent words; they never travel through a join."""
-    facts = []
-    if SENTIMENTS in parts:
-        facts.append(_facts("sentiment", F.array("sentiment")))
-    if WORDS in parts:
-        facts.append(_facts("word", F.col("frequent_words")))
-    return _exploded(reviews, facts)
+    return _facts(
+        reviews,
+        "sentiment" if SENTIMENTS in parts else None,
+        "frequent_words" if WORDS in parts else None,
+    )
 
 
 def _counted_facts(reviews: DataFrame, business: DataFrame | None, parts: set[str]) -> DataFrame:
@@ -91,7 +95,7 @@ def _counted_facts(reviews: DataFrame, business: DataFrame | None, parts: set[st
         facts = facts.unionByName(more, allowMissingColumns=True)
     counts = {"n": F.count("*")}
     if CATEGORIES in parts:
-        stars = _of("category", "stars")
+        stars = _of("categories", "stars")
         counts |= {"stars_sum": F.sum(stars), "stars_n": F.count(stars)}
     if AREA in parts:
         # All facts of a city carry the same point.
@@ -121,9 +125,9 @@ def user_features(
     made: dict[str, Column] = {}
     if CATEGORIES in parts:
         made |= {
-            "category_map": _pairs("category", F.col("n")),
+            "category_map": _pairs("categories", F.col("n")),
             "category_avg_stars": _pairs(
-                "category", F.try_divide(F.col("stars_sum"), F.col("stars_n"))
+                "categories", F.try_divide(F.col("stars_sum"), F.col("stars_n"))
             ),
         }
     if AREA in parts:
@@ -132,7 +136,7 @@ def user_features(
     if SENTIMENTS in parts:
         made["sentiment_map"] = _pairs("sentiment", F.col("n"))
     if WORDS in parts:
-        made["frequent_words_map"] = _pairs("word", F.col("n"))
+        made["frequent_words_map"] = _pairs("frequent_words", F.col("n"))
 
     users = _counted_facts(reviews, business, parts).groupBy("user_id").agg(
         *[value.alias(name) for name, value in made.items()]
