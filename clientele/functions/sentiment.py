@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from clientele.functions.columns import let
 from clientele.functions.text import SPACE
 
 # Largest lexicon that is sent along with the plan; bigger ones are joined.
-MAX_INLINE_WORDS = 100_000
+MAX_INLINE_WORDS = 20_000
 
 # Any of the fixed hanging marks.
 _HANGING = r"""(?:[.,;:\-'"]|!{1,3}|\?{1,3}|\?!\?!?|!\?!\??)"""
@@ -34,6 +35,15 @@ _WORD = (
 Valence = Callable[[Column], Column]
 
 
+@dataclass(frozen=True)
+class Lexicon:
+    """Valences by word: ``data`` is evaluated once per row and ``find`` looks a
+    word up in it, null when it is unknown."""
+
+    data: Column
+    find: Callable[[Column, Column], Column]
+
+
 def spoken_words(text: Column) -> Column:
     """Words as written (case kept), one hanging punctuation mark removed."""
     return F.regexp_extract_all(text, F.lit(_WORD), F.lit(1))
@@ -185,23 +195,24 @@ class _Context:
         return let(hits, of_hits)
 
 
-def compound(text: Column, valence: Valence) -> Column:
+def compound(text: Column, lexicon: Lexicon) -> Column:
     """Compound score in (-1, 1), four decimals; 0 for a missing text."""
 
-    def of_words(written: Column) -> Column:
+    def total(written: Column, valence: Valence) -> Column:
         mixed = F.exists(written, is_shouted) & F.exists(written, lambda w: ~is_shouted(w))
-        return let(
-            F.transform(written, F.lower),
-            lambda lowered: let(
-                mixed, lambda m: _Context(written, lowered, m, valence).total()
-            ),
-        )
+        lowered = F.transform(written, F.lower)
+        return let(lowered, lambda low: let(
+            mixed, lambda m: _Context(written, low, m, valence).total()
+        ))
 
     def squash(total: Column) -> Column:
         loud = total + F.signum(total) * _emphasis(text)
         return let(loud, lambda s: F.round(s / F.sqrt(s * s + F.lit(L.NORMALISER)), 4))
 
-    return F.coalesce(let(let(spoken_words(text), of_words), squash), F.lit(0.0))
+    summed = let(lexicon.data, lambda data: let(
+        spoken_words(text), lambda words: total(words, lambda w: lexicon.find(data, w))
+    ))
+    return F.coalesce(let(summed, squash), F.lit(0.0))
 
 
 def label(score: Column) -> Column:
@@ -212,30 +223,41 @@ def label(score: Column) -> Column:
     )
 
 
-def inline_lexicon(lexicon: DataFrame) -> Valence | None:
-    """Lookup over a lexicon of (word, valence) small enough to inline.
+def inline_lexicon(words: DataFrame) -> Lexicon | None:
+    """A lexicon of (word, valence) small enough to travel with the plan.
 
     The words are grouped by hash into a constant array of small maps, so a
     lookup reads one slot and compares a handful of words.  Returns None when
-    the lexicon is larger than ``MAX_INLINE_WORDS``.
+    there are more than ``MAX_INLINE_WORDS``.
     """
-    unique = lexicon.groupBy(F.lower("word").alias("word")).agg(F.max("valence").alias("valence"))
-    rows = unique.limit(MAX_INLINE_WORDS + 1)
-    size = rows.count()
-    if size > MAX_INLINE_WORDS:
+    unique = words.groupBy(F.lower("word").alias("word")).agg(F.max("valence").alias("valence"))
+    rows = unique.select("word", "valence", F.hash("word").alias("hash")).limit(MAX_INLINE_WORDS + 1).collect()
+    if len(rows) > MAX_INLINE_WORDS:
         return None
-    slots = max(1, size // 2)
+    slots = max(1, len(rows) // 2)
+    table: list[dict[str, float]] = [{} for _ in range(slots)]
+    for row in rows:
+        table[row["hash"] % slots][row["word"]] = row["valence"]
+    constant = F.from_json(F.lit(json.dumps(table)), "array<map<string,double>>")
 
-    def slot(word: Column) -> Column:
-        return F.pmod(F.hash(word), F.lit(slots))
+    def find(data: Column, word: Column) -> Column:
+        return F.try_element_at(F.get(data, F.pmod(F.hash(word), F.lit(slots))), word)
 
-    filled = (
-        rows.groupBy(slot(F.col("word")).alias("slot"))
-        .agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("word", "valence")))).alias("words"))
-        .collect()
+    return Lexicon(constant, find)
+
+
+def joined_lexicon(df: DataFrame, words: DataFrame, text: str, key: str) -> tuple[DataFrame, Lexicon]:
+    """``df`` with the valences of each row's own words, for any lexicon size.
+
+    Only the words of a text that the lexicon knows come back from the join, as
+    one small map per ``key``.
+    """
+    known = words.groupBy(F.lower("word").alias("word")).agg(F.max("valence").alias("valence"))
+    said = F.array_distinct(F.transform(spoken_words(F.col(text)), F.lower))
+    found = (
+        df.select(key, F.explode(said).alias("word"))
+        .join(known, "word")
+        .groupBy(key)
+        .agg(F.map_from_entries(F.collect_set(F.struct("word", "valence"))).alias("known_words"))
     )
-    table: list[dict] = [{} for _ in range(slots)]
-    for row in filled:
-        table[row["slot"]] = json.loads(row["words"])
-    constant = F.from_json(F.lit(json.dumps(table)), "array<map<string,double>>")
-    return lambda word: F.try_element_at(F.get(constant, slot(word)), word)
+    return df.join(found, key, "left"), Lexicon(F.col("known_words"), F.try_element_at)

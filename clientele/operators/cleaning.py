@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.sentiment import compound, inline_lexicon, label, spoken_words
+from clientele.functions.sentiment import compound, inline_lexicon, joined_lexicon, label
 from clientele.functions.text import top_words
 
 LIST = r",\s*"
@@ -60,27 +60,11 @@ def with_sentiment(df: DataFrame, lexicon: DataFrame, key: str = "review_id") ->
     """Add ``sentiment`` (positive, negative or neutral) for ``text``.
 
     A lexicon of bounded size travels with the plan and rows stay where they
-    are.  A larger one is joined: only the words it knows come back, as one
-    small map per ``key``.
+    are; a larger one is joined by word and ``key``.
     """
-    text = F.col("text")
-    valence = inline_lexicon(lexicon)
-    if valence is not None:
-        return df.withColumn("sentiment", label(compound(text, valence)))
-    known = lexicon.groupBy(F.lower("word").alias("word")).agg(F.max("valence").alias("valence"))
-    found = (
-        df.select(key, F.explode(F.array_distinct(F.transform(spoken_words(text), F.lower))).alias("word"))
-        .join(known, "word")
-        .groupBy(key)
-        .agg(F.map_from_entries(F.collect_set(F.struct("word", "valence"))).alias("known_words"))
-    )
-    return (
-        df.join(found, key, "left")
-        .withColumn("sentiment", label(compound(
-            text, lambda word: F.try_element_at(F.col("known_words"), word)
-        )))
-        .drop("known_words")
-    )
+    inline = inline_lexicon(lexicon)
+    rows, words = (df, inline) if inline else joined_lexicon(df, lexicon, "text", key)
+    return rows.select(*df.columns, label(compound(F.col("text"), words)).alias("sentiment"))
 
 
 def enrich_reviews(raw: DataFrame, lexicon: DataFrame, k: int = 10) -> DataFrame:

@@ -21,3 +21,8 @@ def text_bytes(df: DataFrame) -> int:
 def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """True when ``df``, measured in one pass, may be broadcast."""
     return text_bytes(df) <= limit
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint where its measured size allows one."""
+    return F.broadcast(df) if is_small(df, limit) else df

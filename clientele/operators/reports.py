@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,7 +134,7 @@ def top_categories(profile: DataFrame, n: int = 500) -> DataFrame:
     )
 
 
-def elite_years(profile: DataFrame, columns: tuple[str, ...] = ("user_id",)) -> DataFrame:
+def elite_years(profile: DataFrame, columns: Sequence[str] = ("user_id",)) -> DataFrame:
     """One row per user and elite year; what is not a number becomes null."""
     token = F.col("token")
     return profile.select(*columns, F.explode("elite").alias("token")).select(

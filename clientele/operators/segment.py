@@ -64,7 +64,7 @@ DEFAULT_FILTERS = (
     FilterSpec("friends_count", "between", label="Number of Friends", enabled=False),
     FilterSpec("average_stars", "between", label="Average Stars Given", enabled=False),
     FilterSpec("review_count", "between", label="Number of Review Given", enabled=False),
-    FilterSpec("date_diff", "between", label="Active on Yelp Days", enabled=False),
+    FilterSpec("date_diff", "between", label="Active Days", enabled=False),
     FilterSpec("useful", "between", label="People Find Useful", enabled=False),
 )
 

@@ -324,7 +324,7 @@ _STEPS = [
     ("Filter: ''Number of Friends''", "friends_count BETWEEN 2 AND max(friends_count)", "friends_count >= 2"),
     ("Filter: ''Average Stars Given''", "average_stars BETWEEN 2 AND 4", "average_stars BETWEEN 2 AND 4"),
     ("Filter: ''Number of Review Given''", "review_count BETWEEN 5 AND 40", "review_count BETWEEN 5 AND 40"),
-    ("Filter: ''Active on Yelp Days''", "date_diff BETWEEN 100 AND 2400", "date_diff BETWEEN 100 AND 2400"),
+    ("Filter: ''Active Days''", "date_diff BETWEEN 100 AND 2400", "date_diff BETWEEN 100 AND 2400"),
     ("Filter: ''People Find Useful''", "useful BETWEEN 100 AND max(useful)", "useful >= 100"),
 ]
 _FUNNEL = " UNION ALL ".join(
@@ -359,7 +359,7 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "src_json_map_schema": "SELECT * REPLACE (replace(categories, ',', ', ') AS categories) FROM places",
     "op_materialize": """SELECT user_id, business_id, count(*) AS visits FROM reviews
         WHERE user_id IN (SELECT user_id FROM sampled) GROUP BY ALL""",
-    "sink_table": "SELECT user_id, user_city, sentiment_map, elite FROM profile",
+    "sink_table": f"SELECT {_PROFILE} FROM profile",
     "sample_users_hash": "SELECT user_id FROM sampled",
     "sample_top_fraction": f"""SELECT user_id FROM (SELECT user_id, row_number() OVER (
             ORDER BY count(*) DESC, {_bucket('user_id')}, user_id) AS place, count(*) OVER () AS users
@@ -424,6 +424,8 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "bi_top_categories": _top(500),
     "bi_category_dist": _top(30),
     "bi_elite_years": "SELECT user_id, try_cast(token AS BIGINT) AS elite_year FROM elite_of_user",
+    "bi_elite_years_wide": f"""SELECT {_REPORT}, try_cast(token AS BIGINT) AS elite_year
+        FROM profile JOIN elite_of_user USING (user_id)""",
     "bi_reviews_by_year": """SELECT year(yelping_since) AS year, sum(review_count)::BIGINT AS review_count
         FROM profile GROUP BY 1""",
     "bi_reviews_by_review_year": "SELECT year(date) AS year, count(*) AS reviews FROM reviews GROUP BY 1",

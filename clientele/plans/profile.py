@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clientele import schemas
 from clientele.operators import cleaning, features, sampling
-from clientele.sources.files import materialize, read_json, sample_dir
+from clientele.operators.dimension import small_side
+from clientele.sources.files import (
+    flat_columns,
+    materialize,
+    parsed_columns,
+    read_json,
+    sample_dir,
+    save_table,
+)
 
 
 def build_profile(
@@ -61,14 +69,25 @@ def run_batch(
 
     raw_users = read_json(spark, paths.users, schemas.USER)
     raw_reviews = read_json(spark, paths.reviews, schemas.REVIEW)
-    user_ids = business_ids = None
+    kept_reviews, user_ids, business_ids = raw_reviews, None, None
     if fraction < 1:
-        user_ids = keep("sampled_user_id", lambda: sampling.sample_users(raw_reviews, fraction, mode))
-        business_ids = keep(
-            "sampled_business_id", lambda: sampling.sample_business(raw_reviews, user_ids)
+        user_ids = small_side(
+            keep("sampled_user_id", lambda: sampling.sample_users(raw_reviews, fraction, mode))
         )
-    of_users = lambda df: sampling.restrict(df, user_ids, "user_id")
-    of_business = lambda df: sampling.restrict(df, business_ids, "business_id")
+        # Reviews carry the text: a draw by id selects them without a join.
+        kept_reviews = (
+            sampling.restrict(raw_reviews, user_ids, "user_id") if mode == "top"
+            else raw_reviews.where(sampling.drawn(fraction, mode))
+        )
+        business_ids = small_side(
+            keep("sampled_business_id", lambda: kept_reviews.select("business_id").distinct())
+        )
+
+    def of_users(df: DataFrame) -> DataFrame:
+        return sampling.restrict(df, user_ids, "user_id")
+
+    def of_business(df: DataFrame) -> DataFrame:
+        return sampling.restrict(df, business_ids, "business_id")
 
     users = keep("user", lambda: cleaning.clean_users(of_users(raw_users)))
     keep("friends", lambda: cleaning.friends_of(of_users(raw_users)))
@@ -79,5 +98,15 @@ def run_batch(
         of_business(read_json(spark, paths.checkins, schemas.CHECKIN))
     ))
     keep("tip", lambda: cleaning.clean_tips(of_users(read_json(spark, paths.tips, schemas.TIP))))
-    reviews = keep("review", lambda: cleaning.enrich_reviews(of_users(raw_reviews), lexicon))
+    reviews = keep("review", lambda: cleaning.enrich_reviews(kept_reviews, lexicon))
     return keep("combined", lambda: build_profile(users, reviews, business, how))
+
+
+def publish_profile(profile: DataFrame, table: str, **options) -> None:
+    """Store a profile the way warehouses hold it: maps and lists as JSON text."""
+    save_table(flat_columns(profile), table, **options)
+
+
+def load_profile(spark: SparkSession, table: str) -> DataFrame:
+    """A published profile with its maps and lists."""
+    return parsed_columns(spark.table(table), schemas.PROFILE_JSON)

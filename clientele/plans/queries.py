@@ -16,7 +16,7 @@ from clientele.functions.columns import map_text
 from clientele.operators import cleaning, features, reports, sampling
 from clientele.operators import segment as seg
 from clientele.operators.segment import FilterSpec, Segment
-from clientele.plans.profile import build_profile
+from clientele.plans.profile import build_profile, load_profile, publish_profile
 from clientele.sources import files, standins, topics
 from clientele.streaming import ingest
 
@@ -39,7 +39,7 @@ FILTERS = (
     FilterSpec("friends_count", "between", (2, None), "Number of Friends"),
     FilterSpec("average_stars", "between", (2, 4), "Average Stars Given"),
     FilterSpec("review_count", "between", (5, 40), "Number of Review Given"),
-    FilterSpec("date_diff", "between", (100, 2400), "Active on Yelp Days"),
+    FilterSpec("date_diff", "between", (100, 2400), "Active Days"),
     FilterSpec("useful", "between", (100, None), "People Find Useful"),
 )
 
@@ -162,9 +162,8 @@ def op_materialize(spark, sf_dir):
 @query
 def sink_table(spark, sf_dir):
     name = f"users_{uuid.uuid4().hex[:8]}"
-    profile = profile_table(spark, sf_dir).select("user_id", "user_city", "sentiment_map", "elite")
-    files.save_table(profile, name, path=_scratch(spark, sf_dir, "users"))
-    return spark.table(name)
+    publish_profile(profile_table(spark, sf_dir), name, path=_scratch(spark, sf_dir, "users"))
+    return load_profile(spark, name)
 
 
 # Samples ---------------------------------------------------------------------
@@ -433,6 +432,11 @@ def bi_elite_years(spark, sf_dir):
     return reports.elite_years(profile_table(spark, sf_dir))
 
 
+@query
+def bi_elite_years_wide(spark, sf_dir):
+    return reports.elite_years(profile_table(spark, sf_dir), schemas.REPORT_COLUMNS)
+
+
 @query
 def bi_reviews_by_year(spark, sf_dir):
     return reports.reviews_by_year(profile_table(spark, sf_dir))

@@ -67,3 +67,13 @@ PROFILE_COLUMNS = [
     *REPORT_COLUMNS, "sentiment_map", "frequent_words_map", "user_city", "travel_map",
     "latitude", "longitude", "category_avg_stars",
 ]
+
+# Types of the profile columns that warehouses hold as JSON text.
+PROFILE_JSON = {
+    "elite": "array<string>",
+    "category_map": "map<string,bigint>",
+    "sentiment_map": "map<string,bigint>",
+    "frequent_words_map": "map<string,bigint>",
+    "travel_map": "map<string,bigint>",
+    "category_avg_stars": "map<string,double>",
+}

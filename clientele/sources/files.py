@@ -19,13 +19,14 @@ def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan that has fewer splits than there are cores.
+    """Deal out the rows of a scan that would leave most cores idle.
 
-    A table that small may sit in one unsplittable file, and heavy work per row
-    would run in one task.  A scan with enough splits is returned as it is.
+    A small table may sit in one unsplittable file, and heavy work per row would
+    run in one task.  A scan with splits for a good part of the cores, as any
+    large table has, is returned as it is.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
+    if 4 * scan.rdd.getNumPartitions() > cores:
         return scan
     return scan.repartition(2 * cores)
 
@@ -96,6 +97,11 @@ def flat_columns(df: DataFrame) -> DataFrame:
     ])
 
 
+def parsed_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """JSON text columns as maps and arrays again, those of ``types``."""
+    return df.withColumns({c: F.from_json(c, t) for c, t in types.items() if c in df.columns})
+
+
 def save_table(df: DataFrame, table: str, format: str | None = None, **options) -> None:
     """Overwrite a catalog table, or a table behind any connector.
 
