@@ -6,6 +6,8 @@ becomes null, it does not stop the job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,21 +58,40 @@ def clean_tips(raw: DataFrame) -> DataFrame:
     return raw.withColumn("date", F.try_to_timestamp(F.col("date")))
 
 
-def with_sentiment(df: DataFrame, lexicon: DataFrame, key: str = "review_id") -> DataFrame:
-    """Add ``sentiment`` (positive, negative or neutral) for ``text``.
+def sentiment_labeller(lexicon: DataFrame, key: str = "review_id") -> Callable[[DataFrame], DataFrame]:
+    """Adds ``sentiment`` (positive, negative or neutral) for ``text``.
 
     A lexicon of bounded size travels with the plan and rows stay where they
-    are; a larger one is joined by word and ``key``.
+    are; a larger one is joined by word and ``key``.  The lexicon is read, and
+    the expression built, once for all tables the result is used on.
     """
+    text = F.col("text")
     inline = inline_lexicon(lexicon)
-    rows, words = (df, inline) if inline else joined_lexicon(df, lexicon, "text", key)
-    return rows.select(*df.columns, label(compound(F.col("text"), words)).alias("sentiment"))
+    if inline:
+        sentiment = label(compound(text, inline)).alias("sentiment")
+        return lambda df: df.select("*", sentiment)
 
+    def joined(df: DataFrame) -> DataFrame:
+        rows, words = joined_lexicon(df, lexicon, "text", key)
+        return rows.select(*df.columns, label(compound(text, words)).alias("sentiment"))
 
-def enrich_reviews(raw: DataFrame, lexicon: DataFrame, k: int = 10) -> DataFrame:
-    """Typed reviews with sentiment and frequent words; batch and stream alike."""
-    typed = raw.withColumns({
+    return joined
+
+
+def with_sentiment(df: DataFrame, lexicon: DataFrame, key: str = "review_id") -> DataFrame:
+    return sentiment_labeller(lexicon, key)(df)
+
+
+def review_enricher(lexicon: DataFrame, k: int = 10) -> Callable[[DataFrame], DataFrame]:
+    """Types raw reviews and adds sentiment and frequent words, table by table."""
+    add_sentiment = sentiment_labeller(lexicon)
+    typed = {
         "date": F.try_to_timestamp(F.col("date")),
         "frequent_words": top_words(F.col("text"), k),
-    })
-    return with_sentiment(typed, lexicon)
+    }
+    return lambda raw: add_sentiment(raw.withColumns(typed))
+
+
+def enrich_reviews(raw: DataFrame, lexicon: DataFrame, k: int = 10) -> DataFrame:
+    """Typed reviews with sentiment and frequent words; batch and stream alike."""
+    return review_enricher(lexicon, k)(raw)

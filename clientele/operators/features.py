@@ -21,6 +21,9 @@ from clientele.operators.dimension import is_small
 
 CATEGORIES, AREA, SENTIMENTS, WORDS = PARTS = ("categories", "area", "sentiments", "words")
 
+# Codes of the fact kinds, one byte each in the shuffle, by review column.
+KINDS = {"categories": 0, "city": 1, "sentiment": 2, "frequent_words": 3}
+
 
 def city_points(business: DataFrame, keys: tuple[str, ...] = ("city",)) -> DataFrame:
     """One point per city: that of its lowest business id."""
@@ -29,21 +32,25 @@ def city_points(business: DataFrame, keys: tuple[str, ...] = ("city",)) -> DataF
     )
 
 
+def _code(kind: str) -> Column:
+    return F.lit(KINDS[kind]).cast("tinyint")
+
+
 def _facts(
     rows: DataFrame, one: str | None, many: str | None, kept: Iterable[str] = ()
 ) -> DataFrame:
     """One row (user_id, kind, key, kept...) per fact of a review.
 
-    ``one`` names a text column, ``many`` an array column; the column name is
+    ``one`` names a text column, ``many`` an array column; the column decides
     the kind.  The single fact leads the exploded array, so that a position
     tells the kind.
     """
     keys = F.array(*[one] * bool(one)).cast("array<string>")
     if many:
         keys = F.concat(keys, F.coalesce(many, F.array().cast("array<string>")))
-    kind = F.lit(many or one)
+    kind = _code(many or one)
     if one and many:
-        kind = F.when(F.col("at") == 0, one).otherwise(many)
+        kind = F.when(F.col("at") == 0, _code(one)).otherwise(kind)
     return (
         rows.select("user_id", *kept, F.posexplode(keys).alias("at", "key"))
         .where(F.col("key").isNotNull())
@@ -105,7 +112,7 @@ def _counted_facts(reviews: DataFrame, business: DataFrame | None, parts: set[st
 
 def _of(kind: str, value: Column | str) -> Column:
     value = F.col(value) if isinstance(value, str) else value
-    return F.when(F.col("kind") == kind, value)
+    return F.when(F.col("kind") == _code(kind), value)
 
 
 def _pairs(kind: str, value: Column) -> Column:

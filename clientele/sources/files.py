@@ -18,6 +18,15 @@ def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
+    """Valence lexicon: tab-separated word, mean valence, and more columns."""
+    return (
+        spark.read.option("sep", "\t").option("quote", "").option("enforceSchema", True)
+        .schema("word string, valence double").csv(path)
+        .where(F.col("word").isNotNull() & F.col("valence").isNotNull())
+    )
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Deal out the rows of a scan that would leave most cores idle.
 

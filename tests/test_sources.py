@@ -42,6 +42,13 @@ def test_json_objects_fit_text_maps(spark, tmp_path):
     assert bad.business_id is None
 
 
+def test_lexicon_file(spark, tmp_path):
+    path = tmp_path / "lexicon.txt"
+    path.write_text('good\t1.9\t0.9\t[1, 2]\nbad\t-2.5\t0.6\t[-3]\n:")\t2.0\t0.1\t[2]\n\nodd\n')
+    got = {r.word: r.valence for r in files.read_lexicon(spark, str(path)).collect()}
+    assert got == {"good": 1.9, "bad": -2.5, ':")': 2.0}
+
+
 def test_tables_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("u", {"b": 1, "a": 2})], "user_id string, m map<string,bigint>")
     files.save_table(df, "round_trip", path=str(tmp_path / "t"))
@@ -88,3 +95,19 @@ def test_batch_run_from_json_files(spark, tmp_path, fraction):
     assert spark.read.parquet(f"{folder}/checkin").schema["date"].dataType.simpleString() == "array<timestamp>"
     again = run_batch(spark, paths, out, lexicon, fraction)
     assert again.count() == profile.count()
+
+
+def test_command_line(spark, tmp_path):
+    from clientele.__main__ import main
+
+    arguments = ["profile", "--output", str(tmp_path / "out"), "--lexicon", str(tmp_path / "lexicon.txt"),
+                 "--sample", "0.5", "--mode", "top", "--how", "left"]
+    (tmp_path / "lexicon.txt").write_text("the\t1.0\nof\t-1.5\n")
+    raw = {"users": standins.raw_users, "business": standins.raw_business, "reviews": standins.raw_reviews,
+           "tips": standins.raw_tips, "checkins": standins.raw_checkins}
+    for name, read in raw.items():
+        read(spark, SF).write.json(str(tmp_path / name))
+        arguments += [f"--{name}", str(tmp_path / name)]
+    main(arguments)
+    profile = spark.read.parquet(files.sample_dir(str(tmp_path / "out"), 0.5) + "/combined")
+    assert profile.count() == 75 and profile.columns == schemas.PROFILE_COLUMNS
