@@ -32,9 +32,8 @@ def map_text(column: Column | str) -> Column:
     )
 
 
-def id_bucket(column: Column | str, buckets: int = 2**32) -> Column:
-    """Portable uniform bucket of an id: the first 32 bits of its MD5."""
+def id_bucket(column: Column | str) -> Column:
+    """Portable uniform 32-bit number of an id: the first bits of its MD5."""
     column = F.col(column) if isinstance(column, str) else column
-    prefix = F.substring(F.md5(column.cast("string").cast("binary")), 1, 8)
-    value = F.conv(prefix, 16, 10).cast("bigint")
-    return value if buckets == 2**32 else value % F.lit(buckets)
+    digest = F.md5(column.cast("string").cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")

@@ -25,9 +25,9 @@ CATEGORIES, AREA, SENTIMENTS, WORDS = PARTS = ("categories", "area", "sentiments
 KINDS = {"categories": 0, "city": 1, "sentiment": 2, "frequent_words": 3}
 
 
-def city_points(business: DataFrame, keys: tuple[str, ...] = ("city",)) -> DataFrame:
+def city_points(business: DataFrame) -> DataFrame:
     """One point per city: that of its lowest business id."""
-    return business.where(F.col("city").isNotNull()).groupBy(*keys).agg(
+    return business.where(F.col("city").isNotNull()).groupBy("city").agg(
         *[F.min_by(c, "business_id").alias(c) for c in ("latitude", "longitude")]
     )
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from clientele import schemas
 from clientele.operators import cleaning, features, sampling
@@ -60,45 +62,47 @@ def run_batch(
 ) -> DataFrame:
     """Sample, clean, enrich and merge; each table is written once and reread.
 
-    A run that was interrupted continues after the last finished table.
+    The raw reviews, by far the largest input, are read once (twice for the top
+    sample, which has to count first): the sampled ids come from the columns of
+    the written review table.  A run that was interrupted continues after the
+    last finished table.
     """
     out = sample_dir(output, fraction)
 
-    def keep(name, build, files=None):
-        return materialize(spark, f"{out}/{name}", build, files)
+    def keep(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return materialize(spark, f"{out}/{name}", build)
 
-    raw_users = read_json(spark, paths.users, schemas.USER)
     raw_reviews = read_json(spark, paths.reviews, schemas.REVIEW)
-    kept_reviews, user_ids, business_ids = raw_reviews, None, None
-    if fraction < 1:
-        user_ids = small_side(
-            keep("sampled_user_id", lambda: sampling.sample_users(raw_reviews, fraction, mode))
-        )
-        # Reviews carry the text: a draw by id selects them without a join.
-        kept_reviews = (
-            sampling.restrict(raw_reviews, user_ids, "user_id") if mode == "top"
-            else raw_reviews.where(sampling.drawn(fraction, mode))
-        )
-        business_ids = small_side(
-            keep("sampled_business_id", lambda: kept_reviews.select("business_id").distinct())
-        )
-
-    def of_users(df: DataFrame) -> DataFrame:
-        return sampling.restrict(df, user_ids, "user_id")
-
-    def of_business(df: DataFrame) -> DataFrame:
-        return sampling.restrict(df, business_ids, "business_id")
-
-    users = keep("user", lambda: cleaning.clean_users(of_users(raw_users)))
-    keep("friends", lambda: cleaning.friends_of(of_users(raw_users)))
+    sampled, ranked = fraction < 1, mode == "top"
+    user_ids = business_ids = None
+    if sampled and ranked:
+        user_ids = keep("sampled_user_id", lambda: sampling.top_users(raw_reviews, fraction))
+        chosen = sampling.restrict(raw_reviews, small_side(user_ids), "user_id")
+    elif sampled:
+        chosen = raw_reviews.where(sampling.drawn(fraction, mode))
+    else:
+        chosen = raw_reviews
+    reviews = keep("review", lambda: cleaning.enrich_reviews(chosen, lexicon))
+    if sampled:
+        if not ranked:
+            user_ids = keep("sampled_user_id", lambda: reviews.select("user_id").distinct())
+        business_ids = keep("sampled_business_id", lambda: reviews.select("business_id").distinct())
+        user_ids, business_ids = small_side(user_ids), small_side(business_ids)
+
+    def of_users(path: str, schema: StructType) -> DataFrame:
+        return sampling.restrict(read_json(spark, path, schema), user_ids, "user_id")
+
+    def of_business(path: str, schema: StructType) -> DataFrame:
+        return sampling.restrict(read_json(spark, path, schema), business_ids, "business_id")
+
+    raw_users = of_users(paths.users, schemas.USER)
+    users = keep("user", lambda: cleaning.clean_users(raw_users))
+    keep("friends", lambda: cleaning.friends_of(raw_users))
     business = keep("business", lambda: cleaning.clean_business(
-        of_business(read_json(spark, paths.business, schemas.BUSINESS))
+        of_business(paths.business, schemas.BUSINESS)
     ))
-    keep("checkin", lambda: cleaning.clean_checkins(
-        of_business(read_json(spark, paths.checkins, schemas.CHECKIN))
-    ))
-    keep("tip", lambda: cleaning.clean_tips(of_users(read_json(spark, paths.tips, schemas.TIP))))
-    reviews = keep("review", lambda: cleaning.enrich_reviews(kept_reviews, lexicon))
+    keep("checkin", lambda: cleaning.clean_checkins(of_business(paths.checkins, schemas.CHECKIN)))
+    keep("tip", lambda: cleaning.clean_tips(of_users(paths.tips, schemas.TIP)))
     return keep("combined", lambda: build_profile(users, reviews, business, how))
 
 

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Reviews that meet their business grow several-fold right after the join.
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.ui.enabled": "false",
 }
 

@@ -28,14 +28,14 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan that would leave most cores idle.
+    """Deal out the rows of a scan that has fewer splits than there are cores.
 
-    A small table may sit in one unsplittable file, and heavy work per row would
-    run in one task.  A scan with splits for a good part of the cores, as any
-    large table has, is returned as it is.
+    A table that small may sit in one file with one row group, and heavy work
+    per row would run in one task.  A scan with enough splits, as any large
+    table has, is returned as it is.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if 4 * scan.rdd.getNumPartitions() > cores:
+    if scan.rdd.getNumPartitions() >= cores:
         return scan
     return scan.repartition(2 * cores)
 

@@ -153,15 +153,6 @@ def test_skewed_reviews_against_plain_counting(spark, business):
             assert mean == pytest.approx(sum(stars[user, c]) / len(stars[user, c]))
 
 
-def test_city_points_can_tell_states_apart(spark):
-    df = spark.createDataFrame(
-        [("b1", "Reno", "NV", 1.0, 1.0), ("b2", "Reno", "TX", 2.0, 2.0)],
-        "business_id string, city string, state string, latitude double, longitude double",
-    )
-    assert features.city_points(df).count() == 1
-    assert features.city_points(df, ("city", "state")).count() == 2
-
-
 def test_cleaning(spark):
     users = spark.createDataFrame(
         [("u", "2019,2020, 2021", "2010-02-03 04:05:06", "a, b"), ("v", "", "soon", None)],
