@@ -226,11 +226,12 @@ def label(score: Column) -> Column:
 def inline_lexicon(words: DataFrame) -> Lexicon | None:
     """A lexicon of (word, valence) small enough to travel with the plan.
 
+    Texts are looked up in lower case, the lexicon's words are taken as written.
     The words are grouped by hash into a constant array of small maps, so a
     lookup reads one slot and compares a handful of words.  Returns None when
     there are more than ``MAX_INLINE_WORDS``.
     """
-    unique = words.groupBy(F.lower("word").alias("word")).agg(F.max("valence").alias("valence"))
+    unique = words.groupBy("word").agg(F.max("valence").alias("valence"))
     rows = unique.select("word", "valence", F.hash("word").alias("hash")).limit(MAX_INLINE_WORDS + 1).collect()
     if len(rows) > MAX_INLINE_WORDS:
         return None
@@ -252,7 +253,7 @@ def joined_lexicon(df: DataFrame, words: DataFrame, text: str, key: str) -> tupl
     Only the words of a text that the lexicon knows come back from the join, as
     one small map per ``key``.
     """
-    known = words.groupBy(F.lower("word").alias("word")).agg(F.max("valence").alias("valence"))
+    known = words.groupBy("word").agg(F.max("valence").alias("valence"))
     said = F.array_distinct(F.transform(spoken_words(F.col(text)), F.lower))
     found = (
         df.select(key, F.explode(said).alias("word"))

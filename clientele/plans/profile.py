@@ -18,6 +18,7 @@ from clientele.sources.files import (
     read_json,
     sample_dir,
     save_table,
+    spread,
 )
 
 
@@ -72,7 +73,7 @@ def run_batch(
     def keep(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         return materialize(spark, f"{out}/{name}", build)
 
-    raw_reviews = read_json(spark, paths.reviews, schemas.REVIEW)
+    raw_reviews = spread(read_json(spark, paths.reviews, schemas.REVIEW))
     sampled, ranked = fraction < 1, mode == "top"
     user_ids = business_ids = None
     if sampled and ranked:

@@ -498,7 +498,7 @@ def stream_enrich(spark, sf_dir):
     ids = sampling.sample_users(_documents(spark, sf_dir), 0.5)
     reviews = standins.written_reviews(standins.table_stream(spark, sf_dir, "documents"))
     decoded = topics.decode(topics.as_messages(reviews), schemas.REVIEW)
-    _finish(ingest.start_review_sink(decoded, out, lexicon(spark), ids, NOW))
+    _finish(ingest.start_review_sink(decoded, out, lexicon(spark), ids, NOW, tasks=16))
     return ingest.read_sink(spark, out, "reviews").drop("text")
 
 

@@ -32,12 +32,11 @@ def spread(scan: DataFrame) -> DataFrame:
 
     A table that small may sit in one file with one row group, and heavy work
     per row would run in one task.  A scan with enough splits, as any large
-    table has, is returned as it is.
+    table has, is returned as it is; no split is cut into more than 16 parts.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(2 * cores)
+    splits = scan.rdd.getNumPartitions()
+    return scan if splits >= cores else scan.repartition(min(2 * cores, 16 * max(splits, 1)))
 
 
 def sample_dir(base: str, fraction: float) -> str:

@@ -169,3 +169,11 @@ def test_text_is_scored_without_python_or_shuffle(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("review_id", F.col("doc_id"))
     plan = cleaning.with_sentiment(docs, lexicon_frame(spark, LEXICON))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Exchange|Python|Arrow", plan)
+
+
+def test_lexicon_words_are_taken_as_written(spark):
+    """Emoticons may differ by case only; texts are looked up in lower case."""
+    valence = S.inline_lexicon(lexicon_frame(spark, {":D": 2.3, ":d": 1.2, "Good": 3.0}))
+    df = spark.createDataFrame([("so :D",), ("Good",)], "text string")
+    got = [r.c for r in df.select(S.compound(F.col("text"), valence).alias("c")).collect()]
+    assert got == [pytest.approx(plain_compound("so :D", {":d": 1.2}), abs=1e-4), 0.0]
