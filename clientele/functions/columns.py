@@ -23,6 +23,15 @@ def map_of(pairs: Column) -> Column:
     return F.map_from_entries(F.sort_array(pairs))
 
 
+def merged_maps(maps: Column | str) -> Column:
+    """One map from an array of count maps, summing the counts of equal keys."""
+    nothing = F.create_map().cast("map<string,bigint>")
+    return F.aggregate(maps, nothing, lambda total, m: F.map_zip_with(
+        total, m.cast("map<string,bigint>"),
+        lambda key, a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)),
+    ))
+
+
 def map_text(column: Column | str) -> Column:
     """Map rendered as ``k=v;k=v`` in key order, for sinks without map type."""
     entries = F.array_sort(F.map_entries(column))

@@ -375,6 +375,7 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "nlp_sentiment": "SELECT rid AS review_id, sentiment FROM ts_label",
     "nlp_top_words": "SELECT rid AS doc_id, frequent_words FROM dw_list",
     "feat_user_agg": f"SELECT * REPLACE ({_times('first_seen', 'last_seen')}) FROM f_activity",
+    "feat_user_agg_view": f"SELECT * REPLACE ({_times('first_seen', 'last_seen')}) FROM f_activity",
     "feat_category_counts": "SELECT * FROM f_categories",
     "feat_category_avg": "SELECT * FROM f_ratings",
     "feat_area": "SELECT * FROM f_area",
@@ -451,6 +452,7 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
         UNION ALL SELECT CASE WHEN FALSE THEN '' END, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
         FROM event_rows WHERE event_id % 97 = 0""",
     "stream_file_sink": "SELECT * FROM checkin_rows",
+    "stream_tips": "SELECT * EXCLUDE (rid) FROM tips",
     "stream_enrich": f"SELECT * FROM doc_reviews WHERE {_bucket('user_id')} < {_HALF}",
     "stream_replay": "SELECT * EXCLUDE (event_id, ts) FROM event_rows",
 }.items()}

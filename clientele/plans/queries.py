@@ -246,6 +246,18 @@ def feat_user_agg(spark, sf_dir):
     return features.user_activity(_typed_reviews(spark, sf_dir))
 
 
+@query
+def feat_user_agg_view(spark, sf_dir):
+    """The activity measures in SQL, over a registered view."""
+    _typed_reviews(spark, sf_dir).createOrReplaceTempView("review")
+    return spark.sql("""
+        SELECT user_id, min(date) AS first_seen, max(date) AS last_seen,
+            datediff(max(date), min(date)) AS date_diff,
+            count(DISTINCT business_id) AS different_business_count,
+            avg(stars) AS avg_rating, min(stars) AS min_stars, max(stars) AS max_stars
+        FROM review GROUP BY user_id""")
+
+
 @query
 def feat_category_counts(spark, sf_dir):
     return features.category_counts(_typed_reviews(spark, sf_dir), _business(spark, sf_dir))
@@ -492,6 +504,15 @@ def stream_file_sink(spark, sf_dir):
     return ingest.read_sink(spark, out, "checkins")
 
 
+@query
+def stream_tips(spark, sf_dir):
+    out = _scratch(spark, sf_dir, "stream-tips")
+    tips = standins.tips_of(standins.table_stream(spark, sf_dir, "conversations"))
+    rows = cleaning.clean_tips(topics.decode(topics.as_messages(tips), schemas.TIP))
+    _finish(ingest.start_file_sink(rows, out, "tips", NOW))
+    return ingest.read_sink(spark, out, "tips")
+
+
 @query
 def stream_enrich(spark, sf_dir):
     out = _scratch(spark, sf_dir, "stream-enrich")

@@ -153,13 +153,11 @@ def written_reviews(documents: DataFrame) -> DataFrame:
     )
 
 
-def raw_tips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tips_of(conversations: DataFrame) -> DataFrame:
     conv = F.col("conv_id")
     day = F.date_add(F.lit("2020-01-01").cast("date"), (conv % 365).cast("int"))
     return _shape(
-        spread(table(spark, sf_dir, "conversations"))
-        .where(F.col("role") == "user")
-        .withColumns({
+        conversations.where(F.col("role") == "user").withColumns({
             "user_id": _id("u", conv),
             "business_id": _id("b", conv % 200),
             "compliment_count": F.col("turn"),
@@ -170,6 +168,10 @@ def raw_tips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_tips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tips_of(spread(table(spark, sf_dir, "conversations")))
+
+
 def _place(props: Column | str = "props") -> Column:
     return _id("b", F.get_json_object(props, "$.k"))
 

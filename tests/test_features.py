@@ -3,9 +3,8 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
-
 from clientele import schemas
+from clientele.functions.columns import merged_maps
 from clientele.operators import cleaning, dimension, features
 from clientele.plans.profile import build_profile
 
@@ -43,6 +42,11 @@ def by_user(df, column):
     return {r.user_id: r[column] for r in df.collect()}
 
 
+def test_merged_maps(spark):
+    df = spark.createDataFrame([([{"A": 1}, {"A": 1, "B": 2}],), ([],)], "maps array<map<string,int>>")
+    assert [r[0] for r in df.select(merged_maps("maps")).collect()] == [{"A": 2, "B": 2}, {}]
+
+
 def test_category_counts_and_ratings(reviews, business):
     assert by_user(features.category_counts(reviews, business), "category_map") == {
         "u1": {"Food": 3, "Bar": 2}, "u3": {"Food": 1}, "u4": {"Food": 2, "Bar": 1}, "u6": {"Spa": 1},
