@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Row-local text work keeps partitions busy, so input splits stay moderate; AQE
@@ -30,3 +32,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the driver found it.
+
+    Only for sources that lie in the same place on every machine; packages given
+    by ``--py-files`` or installed are found anyway.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = ":".join(filter(None, [*paths, root]))
