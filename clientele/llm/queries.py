@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import chat, mixing, quality, sharding
+from clientele.llm import bpe, chat, mixing, neardup, quality, sharding, topk, toxicity
+from clientele.session import let_workers_import
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
 
 
 def _query(function):
-    QUERIES[function.__name__] = function
-    return function
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        let_workers_import(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,3 +63,29 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@_query
+def op3_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes and decodes every document."""
+    return bpe.round_trip_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op8_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores every document."""
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op9_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows for every twentieth vector, among all."""
+    rows = _table(spark, sf_dir, "embeddings").where(topk.usable(F.col("embedding")))
+    steps = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("long"))
+    return topk.exact_top_k(rows.select("vec_id", steps.alias("vector")), F.col("vec_id") % 20 == 0, k=20)
+
+
+@_query
+def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
