@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, chat, mixing, neardup, quality, sharding, topk, toxicity
+from clientele.llm import bpe, chat, mixing, neardup, quality, sharding, substrings, suffixes, topk, toxicity
 from clientele.session import let_workers_import
 
 QUERIES = {}
@@ -89,3 +89,19 @@ def op9_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_substring_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removes passages of fifty words that earlier documents have."""
+    return substrings.remove_repeated_passages(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"),
+        F.size("factors").alias("n_factors"),
+    )
+
+
+@_query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removes strings of a hundred bytes that start earlier, too."""
+    return suffixes.remove_repeated_strings(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
