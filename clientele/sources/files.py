@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
+import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
@@ -81,14 +86,32 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    # One process only: local-cluster has executors of its own.
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="clientele-")
+        atexit.register(shutil.rmtree, _LOCAL_FOLDERS[app], ignore_errors=True)
     return _LOCAL_FOLDERS[app]
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared folder; removed when the driver ends."""
+    folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    atexit.register(_remove, files, path)
+    return folder
+
+
+def _remove(files, path) -> None:
+    try:
+        files.delete(path, True)
+    except Py4JError:  # the JVM went first
+        pass
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     spark = df.sparkSession
