@@ -146,7 +146,8 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     """
     n_words = word_count(F.col("text"))
     # Fewer characters cannot hold a window; the words decide, the length is a cheap first look.
-    short, copies, bearers = by_content(docs, (F.length("text") >= 2 * WINDOW - 1) & (n_words >= WINDOW), n_words=n_words)
+    short, copies, bearers = by_content(
+        docs, ["doc_id"], (F.length("text") >= 2 * WINDOW - 1) & (n_words >= WINDOW), n_words=n_words)
     anchors = bearers.select("doc", "text").mapInArrow(_anchor_rows, "gram long, doc long")
     shared = anchors.groupBy("gram").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
     lists = (
@@ -162,18 +163,17 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
         windows.join(index, ["h", "g"]).where("doc > ref_doc")
         .groupBy("doc").agg(F.collect_list(F.struct("part", "place", "ref_doc", "ref_place")).alias("found"))
     )
-    parsed = bearers.join(found, "doc", "left").select("doc_id", "part", "text", "found").mapInArrow(
-        _parsed, f"doc_id long, n_words long, n_removed long, kept string, factors {_FACTORS}")
-    none = F.lit(None).cast(_FACTORS)
+    parsed = bearers.join(found, "doc", "left").select("row.doc_id", "part", "text", "found").mapInArrow(
+        _parsed, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_removed long, kept string, factors {_FACTORS}")
     whole = F.array(F.struct(
         F.lit(0).alias("start"), F.col("n_words").cast("int").alias("length"),
         F.lit(None).cast("long").alias("ref_doc"), F.lit(None).cast("int").alias("ref_start")))
     return (
         parsed
         .unionByName(copies.select(
-            "doc_id", "n_words", F.col("n_words").alias("n_removed"), F.lit("").alias("kept"),
+            "row.doc_id", "n_words", F.col("n_words").alias("n_removed"), F.lit("").alias("kept"),
             whole.cast(_FACTORS).alias("factors")))
         .unionByName(short.select(
-            "doc_id", n_words.alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
-            F.array_join(words(F.col("text")), " ").alias("kept"), F.coalesce(none, F.array().cast(_FACTORS)).alias("factors")))
+            "row.doc_id", n_words.alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
+            F.array_join(words(F.col("text")), " ").alias("kept"), F.array().cast(_FACTORS).alias("factors")))
     )

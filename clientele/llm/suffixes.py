@@ -190,38 +190,67 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit(bucket.flush(complete=True))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n_bytes, n_removed, n_spans, kept = [], [], [], []
-        for text, part, spans in zip(batch.column("text"), batch.column("part").to_pylist(), batch.column("spans"), strict=True):
-            data = text.as_py().encode("utf-8", "surrogatepass")
-            pieces, done, count = [], 0, 0
-            if spans.is_valid:
-                of, start, end = (spans.values.field(i).to_numpy() for i in range(3))
-                order = np.argsort(start[of == part], kind="stable")
-                reach = -1
-                for a, b in zip(start[of == part][order].tolist(), end[of == part][order].tolist(), strict=True):
-                    if a > reach:
-                        pieces.append(data[max(done, 0):a])
+def _snapped(data: bytes, start: int, end: int) -> tuple[int, int]:
+    """The part of a span that cuts no UTF-8 character."""
+    while start < end and data[start] & 0xC0 == 0x80:
+        start += 1
+    while start < end < len(data) and data[end] & 0xC0 == 0x80:
+        end -= 1
+    return start, end
+
+
+def _cutter(whole_characters: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_bytes, n_removed, n_spans, kept = [], [], [], []
+            parts = batch.column("part").to_pylist()
+            for text, part, spans in zip(batch.column("text"), parts, batch.column("spans"), strict=True):
+                data = text.as_py().encode("utf-8", "surrogatepass")
+                pieces, done, count = [], 0, 0
+                for a, b in _merged(spans, part):
+                    if whole_characters:
+                        a, b = _snapped(data, a, b)
+                    if a < b:
+                        pieces.append(data[done:a])
+                        done = b
                         count += 1
-                    reach = max(reach, b)
-                    done = reach
-            pieces.append(data[done:])
-            rest = b"".join(pieces)
-            n_bytes.append(len(data))
-            n_removed.append(len(data) - len(rest))
-            n_spans.append(count)
-            kept.append(rest)
-        yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()),
-            pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary()),
-        ], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-
-def remove_repeated_strings(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept (binary) of every document."""
+                pieces.append(data[done:])
+                rest = b"".join(pieces)
+                n_bytes.append(len(data))
+                n_removed.append(len(data) - len(rest))
+                n_spans.append(count)
+                kept.append(rest)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("row"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()),
+                pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary()),
+            ], ["row", "n_bytes", "n_removed", "n_spans", "kept"])
+
+    return run
+
+
+def _merged(spans: pa.ListScalar, part: int) -> list[tuple[int, int]]:
+    """Spans of one text in order, those that touch or overlap as one."""
+    if not spans.is_valid:
+        return []
+    of, start, end = (spans.values.field(i).to_numpy() for i in range(3))
+    own = of == part
+    order = np.argsort(start[own], kind="stable")
+    start, reach = start[own][order], np.maximum.accumulate(end[own][order])
+    if not len(start):
+        return []
+    heads = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]])
+    return list(zip(start[heads].tolist(), reach[np.r_[heads[1:], len(start)] - 1].tolist(), strict=True))
+
+
+def remove_repeated_strings(docs: DataFrame, carry: list[str] | None = None, whole_characters: bool = False) -> DataFrame:
+    """row (the carried columns), n_bytes, n_removed, n_spans and kept (binary).
+
+    ``whole_characters`` leaves characters whole of which only a part repeats, so
+    that what is kept is UTF-8 again.
+    """
+    carry = carry or ["doc_id"]
     n_bytes = F.octet_length("text").cast("long")
-    short, copies, bearers = by_content(docs, n_bytes >= LENGTH, n_bytes=n_bytes)
+    short, copies, bearers = by_content(docs, carry, n_bytes >= LENGTH, n_bytes=n_bytes)
     anchors = bearers.select("doc", "text").mapInArrow(_anchor_rows, "gram long, doc long")
     shared = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     lists = (
@@ -236,15 +265,25 @@ def remove_repeated_strings(docs: DataFrame) -> DataFrame:
         .mapInArrow(_repeated, "doc long, part int, start int, end int")
         .groupBy("doc").agg(F.collect_list(F.struct("part", "start", "end")).alias("spans"))
     )
-    cut = bearers.join(spans, "doc", "left").select("doc_id", "part", "text", "spans").mapInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    found = bearers.join(spans, "doc", "left").select("row", "part", "text", "spans")
+    cut = found.mapInArrow(
+        _cutter(whole_characters),
+        f"row {found.dtypes[0][1]}, n_bytes long, n_removed long, n_spans long, kept binary")
     nothing = F.lit(0).cast("long")
     return (
         cut
         .unionByName(copies.select(
-            "doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+            "row", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
             F.lit("").cast("binary").alias("kept")))
         .unionByName(short.select(
-            "doc_id", n_bytes.alias("n_bytes"), nothing.alias("n_removed"), nothing.alias("n_spans"),
+            "row", n_bytes.alias("n_bytes"), nothing.alias("n_removed"), nothing.alias("n_spans"),
             F.col("text").cast("binary").alias("kept")))
     )
+
+
+def cut_texts(docs: DataFrame) -> DataFrame:
+    """``docs`` with repeated strings cut out of ``text``, and ``n_chars`` as it is then."""
+    rest = [c for c in docs.columns if c != "text"]
+    cut = remove_repeated_strings(docs, rest, whole_characters=True)
+    out = cut.select("row.*", F.col("kept").cast("string").alias("text")).select(*docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
