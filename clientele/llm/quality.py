@@ -43,7 +43,7 @@ MAX_STUTTER = 0.5
 MAX_LOST = 0.5
 # Looked for in the last characters of a line.
 CLOSING_CHARS = 4
-CLOSING = r"""[.!?…:;。！？]["'”’»)\]]*$"""
+CLOSING = r"""[.!?…:;。！？]["'”’»)\]]*\z"""
 # Fixed phrases of pages around a text, in lower case.
 BOILERPLATE = (
     "all rights reserved",

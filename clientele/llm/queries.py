@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm import bpe, chat, mixing, neardup, quality, sharding, substrings, suffixes, topk, toxicity
+from clientele.llm.oracle import ORACLE
 from clientele.session import let_workers_import
 
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES = {}
-ORACLE: dict[str, str] = {}
 
 
 def _query(function):
@@ -95,9 +97,7 @@ def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_substring_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Removes passages of fifty words that earlier documents have."""
     return substrings.remove_repeated_passages(_table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"),
-        F.size("factors").alias("n_factors"),
-    )
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @_query
