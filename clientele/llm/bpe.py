@@ -1,7 +1,7 @@
 """BPE encoding and decoding with a transducer lexicon for frequent words.
 
-Words of the whole corpus are counted, the most frequent ``LEXICON_WORDS`` are
-merged once on the driver and compiled into a minimal acyclic transducer with
+Words of the whole corpus are counted; those that make up 1/``LEXICON_WORDS`` of
+it or more, which bounds their number, are merged once on the driver and compiled into a minimal acyclic transducer with
 their ids (see ``lexicon``).  Its file is written to the shared folder and given
 to all executors, whose Python workers map it into memory.  Words that the
 transducer does not know are merged exactly, pair by pair in rank order, and
@@ -35,12 +35,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm.lexicon import NOT_FOUND, Lexicon, compile_words
-from clientele.sources.files import shared_dir
-
-LEXICON_WORDS = 32_768
-_CACHE_WORDS = 200_000
+from clientele.sources.files import cut_lineage, shared_dir
+
+LEXICON_WORDS = 262_144
+_CACHE_WORDS = 120_000
+_ID_BITS = 17
+_ID_MASK = (1 << _ID_BITS) - 1
+_NO_PAIR = 1 << 62
+# Symbols up to which a word is merged by looking over all of its pairs.
+_SHORT_WORD = 64
 # Characters of text whose words are looked up together.
-_GROUP_CHARS = 2_000_000
+_GROUP_CHARS = 1_000_000
+_PIECE_ROWS = 500
 
 
 def byte_symbols() -> list[str]:
@@ -65,8 +71,12 @@ class Vocabulary:
             raise ValueError("unknown text rules")
         self.ids: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"] or ""
+        if len(self.ids) > _ID_MASK:
+            raise ValueError("too many tokens")
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.ranks = {tuple(pair): rank for rank, pair in enumerate(pairs)}
+        # Pair of ids to rank and merged id, each pair as one integer.
+        self.pairs = {
+            self.ids[a] << _ID_BITS | self.ids[b]: rank << _ID_BITS | self.ids[a + b] for rank, (a, b) in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
         cut = "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
@@ -74,7 +84,8 @@ class Vocabulary:
         # White space as Unicode has it, also where \\s of this library differs.
         pattern = steps[0]["pattern"]["Regex"].replace(r"[^\s", r"[^\p{White_Space}")
         self.words = regex.compile(pattern).findall
-        self.symbols = byte_symbols()
+        symbols = byte_symbols()
+        self.inner, self.final = [self.ids[b] for b in symbols], [self.ids[b + self.suffix] for b in symbols]
 
     def pieces(self, text: str) -> Iterator[str]:
         """Words and special tokens of a text, in order."""
@@ -88,31 +99,51 @@ class Vocabulary:
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word by exact merging: lowest rank first, then leftmost."""
-        symbols: list[str | None] = [self.symbols[b] for b in word.encode("utf-8", "surrogatepass")]
-        if not symbols:
+        coded = word.encode("utf-8", "surrogatepass")
+        if not coded:
             return []
-        symbols[-1] += self.suffix
-        n = len(symbols)
+        ids = [self.inner[b] for b in coded]
+        ids[-1] = self.final[coded[-1]]
+        return self._merge_short(ids) if len(ids) <= _SHORT_WORD else self._merge_long(ids)
+
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        find, none = self.pairs.get, _NO_PAIR
+        ranks = [find(a << _ID_BITS | b, none) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
+                break
+            i = ranks.index(best)
+            ids[i] = best & _ID_MASK
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = find(ids[i - 1] << _ID_BITS | ids[i], none)
+            if i < len(ranks):
+                ranks[i] = find(ids[i] << _ID_BITS | ids[i + 1], none)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap over linked symbols, for words without an end."""
+        n, find = len(ids), self.pairs.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        ranks = self.ranks
-        heap = [(r, i, symbols[i], symbols[i + 1]) for i in range(n - 1)
-                if (r := ranks.get((symbols[i], symbols[i + 1]))) is not None]
+        heap = [(found, i, ids[i], ids[i + 1]) for i in range(n - 1)
+                if (found := find(ids[i] << _ID_BITS | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            found, i, left, right = heapq.heappop(heap)
             j = after[i]
-            if symbols[i] != left or j >= n or symbols[j] != right:
+            if ids[i] != left or j >= n or ids[j] != right:
                 continue
-            symbols[i], symbols[j] = left + right, None
+            ids[i], ids[j] = found & _ID_MASK, -1
             after[i] = after[j]
             if after[j] < n:
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
                 if a >= 0 and b < n:
-                    rank = ranks.get((symbols[a], symbols[b]))
-                    if rank is not None:
-                        heapq.heappush(heap, (rank, a, symbols[a], symbols[b]))
-        return [self.ids[s] for s in symbols if s is not None and s in self.ids]
+                    found = find(ids[a] << _ID_BITS | ids[b])
+                    if found is not None:
+                        heapq.heappush(heap, (found, a, ids[a], ids[b]))
+        return [i for i in ids if i >= 0]
 
 
 class Encoder:
@@ -120,21 +151,28 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
+        # Words in use and those of a while ago.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> None:
-        new = list(words.difference(self.known))
-        if len(self.known) + len(new) > _CACHE_WORDS:
-            self.known.clear()
-            new = list(words)
-        special = self.vocabulary.special
-        coded = [w.encode("utf-8", "surrogatepass") for w in new]
-        for word, rank in zip(new, self.lexicon.ranks(coded), strict=True):
+        if len(self.known) > _CACHE_WORDS:
+            self.older, self.known = self.known, {}
+        known, older, special = self.known, self.older, self.vocabulary.special
+        new = []
+        for word in words.difference(known):
+            ids = older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                known[word] = ids
+        ranks = self.lexicon.ranks([w.encode("utf-8", "surrogatepass") for w in new])
+        for word, rank in zip(new, ranks.tolist(), strict=True):
             if word in special:
                 ids = [special[word]]
             else:
                 ids = self.vocabulary.merge(word) if rank == NOT_FOUND else self.lexicon.ids_of(rank)
-            self.known[word] = np.asarray(ids, dtype=np.int32).tobytes()
+            known[word] = np.array(ids, dtype=np.int32).tobytes()
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Little-endian int32 ids of each text."""
@@ -155,13 +193,15 @@ class Encoder:
 
 
 def frequent_words(texts: DataFrame, limit: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent runs of letters in all texts, in lower case."""
+    """Runs of letters, in lower case, that make up 1/``limit`` of all or more.
+
+    There can be no more than ``limit`` of them, whatever the corpus.
+    """
     parts = F.split(F.lower(F.col("text").cast("string")), r"[^\p{L}]+")
-    return [
-        r["word"] for r in
-        texts.select(F.explode(parts).alias("word")).where("word != ''")
-        .groupBy("word").count().orderBy(F.desc("count"), "word").limit(limit).collect()
-    ]
+    counts = cut_lineage(
+        texts.select(F.explode(parts).alias("word")).where("word != ''").groupBy("word").count())
+    every = counts.agg(F.sum("count")).first()[0] or 0
+    return sorted(r["word"] for r in counts.where(F.col("count") >= every / limit).collect())
 
 
 def share_lexicon(spark: SparkSession, content: bytes) -> str:
@@ -203,34 +243,32 @@ def encode(docs: DataFrame, vocabulary_file: str, ids: str = "ids", lexicon_word
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(name, sent.value)
-        for batch in batches:
-            texts = (t.as_py() for t in batch.column("text"))
-            coded = list(encoder.encode(texts))
-            offsets = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int32)
-            values = pa.array(np.frombuffer(b"".join(coded), dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), values)], [*batch.schema.names, ids])
+        for large in batches:
+            # Small pieces keep what a worker holds small.
+            for start in range(0, large.num_rows, _PIECE_ROWS):
+                batch = large.slice(start, _PIECE_ROWS)
+                coded = list(encoder.encode(t.as_py() for t in batch.column("text")))
+                offsets = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int32)
+                values = pa.array(np.frombuffer(b"".join(coded), dtype=np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), values)], [*batch.schema.names, ids])
 
     texts = docs.withColumn("text", F.col("text").cast("string"))
     return texts.mapInArrow(run, _extended(texts, ids, "array<int>"))
 
 
 def decode(coded: DataFrame, vocabulary_file: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``coded`` with the text of its ids in a new last column."""
+    """``coded`` with the text of its ids in a new last column.
+
+    Null ids decode to the empty text.  Tokens hold no line feed: vocabularies
+    write it, as any unprintable byte, by a stand-in.
+    """
     with open(vocabulary_file, encoding="utf-8") as file:
         tokens = Vocabulary(file.read()).tokens
-    sent = coded.sparkSession.sparkContext.broadcast(tokens)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = sent.value.__getitem__
-        for batch in batches:
-            column = batch.column(ids)
-            # A null list has no ids and decodes to the empty text.
-            texts = [" ".join(map(token, row.values.tolist() if row.is_valid else ())) for row in column]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, decoded])
-
-    return coded.mapInArrow(run, _extended(coded, decoded, "string"))
+    listed = "\n".join(tokens.get(i, "") for i in range(max(tokens) + 1))
+    table = F.split(F.lit(listed), "\n")  # folded into one constant
+    text = F.array_join(F.transform(F.col(ids), lambda i: F.get(table, i)), " ")
+    return coded.withColumn(decoded, F.coalesce(text, F.lit("")))
 
 
 def round_trip_digests(docs: DataFrame, vocabulary_file: str) -> DataFrame:

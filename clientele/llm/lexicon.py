@@ -77,6 +77,8 @@ class Lexicon:
             raise ValueError("not a lexicon file")
         self.start = int(data[1])
         ends = 8 + np.cumsum(data[2:8], dtype=np.int64)
+        # Plain views of the mapped file; slicing a memmap object is slow.
+        data = data.view(np.ndarray)
         parts = [data[a:b] for a, b in zip([8, *ends[:-1]], ends, strict=True)]
         self.keys, self.targets, self.outputs, self.finals, self.offsets, self.ids = parts
 
