@@ -34,12 +34,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra)
     return builder.getOrCreate()
 
 
-def let_workers_import(spark: SparkSession) -> None:
-    """Lets Python workers find this package where the driver found it.
+# Rows of whole texts that a Python worker receives at a time.
+TEXT_ROWS = 1000
 
-    Only for sources that lie in the same place on every machine; packages given
-    by ``--py-files`` or installed are found anyway.
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Readies a session for work on texts in Python workers.
+
+    Workers find this package where the driver found it; that is for sources that
+    lie in the same place on every machine, packages given by ``--py-files`` or
+    installed are found anyway.  Batches are cut to ``TEXT_ROWS``, as texts are
+    long, unless the session says otherwise.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(TEXT_ROWS))
     root = str(Path(__file__).resolve().parents[1])
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
     if root not in paths:
