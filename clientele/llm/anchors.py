@@ -17,7 +17,7 @@ import numpy as np
 from clientele.llm.setsketch import mixed
 
 # Windows looked at together; positions inside fit the low bits of a packed key.
-PIECE = 1 << 20
+PIECE = 1 << 18
 _LOW = np.uint64((1 << 22) - 1)
 
 
@@ -40,7 +40,7 @@ class RollingHash:
         if n < length:
             return np.empty(0, dtype=np.uint64)
         if len(self.up) < n:
-            self.up, self.down = _powers(self.base, 2 * n), _powers(self.inverse, 2 * n)
+            self.up, self.down = _powers(self.base, n + n // 8), _powers(self.inverse, n + n // 8)
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(tokens * self.up[:n], out=sums[1:])
         return mixed((sums[length:] - sums[:-length]) * self.down[: n - length + 1])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clientele.llm import bpe, chat, mixing, neardup, quality, sharding, substrings, suffixes, topk, toxicity
 from clientele.llm.oracle import ORACLE
-from clientele.session import let_workers_import
+from clientele.session import prepare_workers
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -17,7 +17,7 @@ QUERIES = {}
 
 def _query(function):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        let_workers_import(spark)
+        prepare_workers(spark)
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run

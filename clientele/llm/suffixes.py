@@ -10,11 +10,10 @@ anchor stands for the run of strings that picked it and travels with the bytes
 of that run.  Anchors that occur once are settled by a count and carry no bytes.
 
 Sampled splitters range-partition the anchored suffixes by their leading bytes;
-a bucket sorts its strings by most significant 8-byte words first, going on only
+ranges never cut between suffixes with equal anchors.  A bucket sorts its strings by most significant 8-byte words first, going on only
 with those still equal to another (a multikey quicksort over words), and the
 earliest of equal strings stays.  Strings of a run whose bytes as a whole repeat
-an earlier run are settled without sorting.  Ranges never cut between suffixes
-with equal anchors; removed runs from different buckets meet per document, where
+an earlier run are settled without sorting.  Removed runs from different buckets meet per document, where
 those that touch across boundaries become one span.
 
 Comparison is exact; hashes only choose anchors and group equal runs.
@@ -29,6 +28,7 @@ in one task, in pieces: it keeps the different runs of that anchor in memory.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +42,11 @@ from clientele.llm.setsketch import mixed
 
 LENGTH = 100
 GRAM = 20
-_GROUP_BYTES = 1_000_000
-_SORT_BYTES = 4_000_000
+_GROUP_BYTES = 500_000
+# Bytes of different runs that are sorted together.
+_SORT_BYTES = 1_500_000
+# Documents whose anchors are looked at for splitters, about.
+SPLITTER_DOCS = 2000
 _GRAMS = RollingHash(0x9E3779B97F4A7C15)
 _BYTE_TOKENS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 # Offsets of the 8-byte words that cover a string; the last two overlap.
@@ -75,22 +78,53 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(runs.gram), pa.array(docs[first + runs.text])], ["gram", "doc"])
 
 
-def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _leading(raw: bytes, places: np.ndarray) -> np.ndarray:
+    """The first eight bytes of the suffixes at ``places``, as numbers in byte order."""
+    return np.frombuffer(b"".join([raw[a:a + 8] for a in places]), ">u8").astype(np.uint64)
+
+
+def _lead_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        docs, parts = batch.column("doc").to_numpy(), batch.column("part").to_numpy()
-        shared = np.unique(batch.column("grams").flatten().to_numpy())
-        for first, data, lengths in _grouped(batch):
+        for _, data, lengths in _grouped(batch):
             runs = _runs(data, lengths)
-            hit = np.isin(runs.gram, shared)
-            text, start, last, anchor, gram = (column[hit] for column in runs)
-            begins = (np.cumsum(lengths) - lengths)[text]
-            raw = data.tobytes()
-            cut = [raw[a:b] for a, b in zip(begins + start, begins + last + LENGTH, strict=True)]
-            lead = [raw[a:a + 8] for a in begins + anchor]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(lead, pa.binary()), pa.array(gram), pa.array(docs[first + text]), pa.array(parts[first + text]),
-                pa.array(start.astype(np.int32)), pa.array((anchor - start).astype(np.int32)), pa.array(cut, pa.binary()),
-            ], ["lead", "gram", "doc", "part", "start", "offset", "bytes"])
+            # One in sixteen will do, chosen by content.
+            few = runs.gram % 16 == 0
+            begins = np.cumsum(lengths) - lengths
+            leads = _leading(data.tobytes(), (begins[runs.text] + runs.anchor)[few])
+            yield pa.RecordBatch.from_arrays([pa.array(leads.view(np.int64))], ["lead"])
+
+
+def sampled_splitters(docs: DataFrame, buckets: int) -> np.ndarray:
+    """Leading bytes that cut the anchored suffixes of about ``SPLITTER_DOCS``
+    documents, chosen by hash of their id, into even ranges."""
+    n = docs.count()
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(2**32))
+    few = docs.where(draw < F.lit(int(2**32 * min(1.0, SPLITTER_DOCS / max(n, 1)))))
+    texts = few.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    leads = [r["lead"] for r in texts.mapInArrow(_lead_rows, "lead long").collect()]
+    found = np.sort(np.array(leads, dtype=np.int64).view(np.uint64))
+    return found[np.arange(1, buckets) * len(found) // buckets] if len(found) else found
+
+
+def _run_rows(splitters: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, parts = batch.column("doc").to_numpy(), batch.column("part").to_numpy()
+            shared = np.unique(batch.column("grams").flatten().to_numpy())
+            for first, data, lengths in _grouped(batch):
+                runs = _runs(data, lengths)
+                hit = np.isin(runs.gram, shared)
+                text, start, last, anchor, gram = (column[hit] for column in runs)
+                begins = (np.cumsum(lengths) - lengths)[text]
+                raw = data.tobytes()
+                cut = [raw[a:b] for a, b in zip(begins + start, begins + last + LENGTH, strict=True)]
+                bucket = np.searchsorted(splitters, _leading(raw, begins + anchor), side="right")
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(bucket.astype(np.int32)), pa.array(gram), pa.array(docs[first + text]), pa.array(parts[first + text]),
+                    pa.array(start.astype(np.int32)), pa.array((anchor - start).astype(np.int32)), pa.array(cut, pa.binary()),
+                ], ["bucket", "gram", "doc", "part", "start", "offset", "bytes"])
+
+    return run
 
 
 def equal_strings(data: np.ndarray, starts: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -123,71 +157,100 @@ def equal_strings(data: np.ndarray, starts: np.ndarray, group: np.ndarray) -> np
     return first
 
 
-class _Bucket:
-    """Runs of successive anchors, in order of anchor, document and start."""
-
-    def __init__(self):
-        self.rows: list[tuple[int, int, int, int, int, bytes]] = []
-        self.held = 0
-        # Different runs of the last anchor that were already dealt with.
-        self.seen: list[tuple[int, int, int, int, int, bytes]] = []
-
-    def flush(self, complete: bool) -> tuple[np.ndarray, ...]:
-        """Removed runs (doc, part, start, end) of the rows held."""
-        rows, n_seen = self.seen + self.rows, len(self.seen)
-        docs = np.array([r[1] for r in rows], dtype=np.int64)
-        starts = np.array([r[3] for r in rows], dtype=np.int64)
-        earliest: dict[tuple, int] = {}
-        origin = np.array([
-            earliest.setdefault((r[0], r[4], len(r[5]), xxhash.xxh3_128_digest(r[5])), i) for i, r in enumerate(rows)
-        ], dtype=np.int64)
-        lone = np.flatnonzero(origin == np.arange(len(rows)))
-        sizes = np.array([len(rows[i][5]) for i in lone], dtype=np.int64)
-        counts = sizes - LENGTH + 1
-        begins = np.cumsum(sizes) - sizes
-        step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        owner = np.repeat(np.arange(len(lone)), counts)
-        data = np.frombuffer(b"".join(rows[i][5] for i in lone), np.uint8)
-        grams = np.array([rows[i][0] for i in lone], dtype=np.int64)
-        group = np.unique(grams, return_inverse=True)[1][owner]
-        first = equal_strings(data, np.repeat(begins, counts) + step, group)
-        # A string goes if the first equal one lies elsewhere, which can only be before.
-        own_doc, own_start = docs[lone][owner], starts[lone][owner] + step
-        gone = (own_doc != own_doc[first]) | (own_start != own_start[first])
-        gone &= lone[owner] >= n_seen
-        at = np.flatnonzero(gone)
-        heads = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(owner[at]) != 0)]) if len(at) else at
-        tails = np.r_[heads[1:], len(at)] - 1 if len(at) else at
-        parts = np.array([r[2] for r in rows], dtype=np.int32)
-        found = [(docs[lone][owner[at[heads]]], parts[lone][owner[at[heads]]], own_start[at[heads]], own_start[at[tails]] + LENGTH)]
-        # A run that repeats an earlier one goes whole.
-        again = np.flatnonzero((origin != np.arange(len(rows))) & (np.arange(len(rows)) >= n_seen))
-        again = again[(docs[again] != docs[origin[again]]) | (starts[again] != starts[origin[again]])]
-        lengths = np.array([len(rows[i][5]) for i in again], dtype=np.int64)
-        found.append((docs[again], parts[again], starts[again], starts[again] + lengths))
-        last = rows[-1][0] if rows and not complete else None
-        self.seen = [rows[i] for i in lone if rows[i][0] == last]
-        self.rows, self.held = [], 0
-        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+class Rows(NamedTuple):
+    """Runs of one bucket by column; ``data`` holds their bytes one behind the other."""
+
+    gram: np.ndarray
+    doc: np.ndarray
+    part: np.ndarray
+    start: np.ndarray
+    offset: np.ndarray
+    size: np.ndarray
+    data: np.ndarray
+
+    @staticmethod
+    def of(batch: pa.RecordBatch) -> Rows:
+        columns = [batch.column(c).to_numpy().astype(np.int64) for c in ("gram", "doc", "part", "start", "offset")]
+        cut = batch.column("bytes")
+        ends = np.frombuffer(cut.buffers()[1], np.int32)[cut.offset:cut.offset + len(cut) + 1].astype(np.int64)
+        data = np.frombuffer(cut.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]] if len(cut) else np.empty(0, np.uint8)
+        return Rows(*columns, np.diff(ends), data)
+
+    @staticmethod
+    def joined(parts: list[Rows]) -> Rows:
+        return Rows(*map(np.concatenate, zip(*parts, strict=True)))
+
+    def take(self, at: np.ndarray) -> Rows:
+        begins = np.cumsum(self.size) - self.size
+        return Rows(*(c[at] for c in self[:6]), self.data[_spread(begins[at], self.size[at])])
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``start, start + 1, ...`` of each start, ``count`` numbers each, in order."""
+    before = np.cumsum(counts) - counts
+    return np.repeat(starts - before, counts) + np.arange(counts.sum())
+
+
+def _first_equal_run(rows: Rows) -> np.ndarray:
+    """For each run the first one with the same anchor, offset and bytes."""
+    ends = np.cumsum(rows.size)
+    raw = memoryview(rows.data.tobytes())
+    digests = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip((ends - rows.size).tolist(), ends.tolist(), strict=True)]
+    names = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+    key = mixed(names[:, 0] ^ mixed(rows.gram.view(np.uint64)) ^ rows.offset.astype(np.uint64))
+    _, earliest, of = np.unique(key, return_index=True, return_inverse=True)
+    first = earliest[of]
+    same = (names[first] == names).all(axis=1) & (rows.size[first] == rows.size)
+    same &= (rows.gram[first] == rows.gram) & (rows.offset[first] == rows.offset)
+    return np.where(same, first, np.arange(len(first)))
+
+
+def _removed(rows: Rows, n_seen: int) -> tuple[tuple[np.ndarray, ...], Rows]:
+    """Removed runs (doc, part, start, end) of ``rows`` after the first ``n_seen``,
+    which were dealt with before; and the different runs of the last anchor."""
+    number = np.arange(len(rows.gram))
+    origin = _first_equal_run(rows)
+    different = np.flatnonzero(origin == number)
+    lone = rows.take(different)
+    counts = lone.size - LENGTH + 1
+    owner = np.repeat(np.arange(len(different)), counts)
+    places = _spread(np.cumsum(lone.size) - lone.size, counts)
+    first = equal_strings(lone.data, places, np.unique(lone.gram, return_inverse=True)[1][owner])
+    # A string goes if the first equal one lies elsewhere, which can only be before.
+    start = _spread(lone.start, counts)
+    gone = (lone.doc[owner] != lone.doc[owner][first]) | (start != start[first])
+    at = np.flatnonzero(gone & (different[owner] >= n_seen))
+    heads = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(owner[at]) != 0)]) if len(at) else at
+    tails = np.r_[heads[1:], len(at)] - 1 if len(at) else at
+    strings = (lone.doc[owner[at[heads]]], lone.part[owner[at[heads]]], start[at[heads]], start[at[tails]] + LENGTH)
+    # A run that repeats an earlier one goes whole.
+    again = np.flatnonzero((origin != number) & (number >= n_seen))
+    again = again[(rows.doc[again] != rows.doc[origin[again]]) | (rows.start[again] != rows.start[origin[again]])]
+    whole = (rows.doc[again], rows.part[again], rows.start[again], rows.start[again] + rows.size[again])
+    kept = lone.take(np.flatnonzero(lone.gram == rows.gram[-1]))
+    return tuple(map(np.concatenate, zip(strings, whole, strict=True))), kept
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def emit(found):
-        doc, part, start, end = found
+    def emit(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        kinds = (np.int64, np.int32, np.int32, np.int32)
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc), pa.array(part, pa.int32()), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))],
-            ["doc", "part", "start", "end"])
+            [pa.array(c.astype(k)) for c, k in zip(found, kinds, strict=True)], ["doc", "part", "start", "end"])
 
-    bucket = _Bucket()
+    held: list[Rows] = []
+    n_seen, size = 0, 0
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("gram", "doc", "part", "start", "offset", "bytes")]
-        for row in zip(*columns, strict=True):
-            if bucket.held >= _SORT_BYTES:
-                yield emit(bucket.flush(complete=row[0] != bucket.rows[-1][0]))
-            bucket.rows.append(row)
-            bucket.held += len(row[5])
-    if bucket.rows:
-        yield emit(bucket.flush(complete=True))
+        if not batch.num_rows:
+            continue
+        held.append(Rows.of(batch))
+        size += len(held[-1].data)
+        if size >= _SORT_BYTES:
+            found, seen = _removed(Rows.joined(held), n_seen)
+            yield emit(found)
+            # The next batch may go on with the same anchor.
+            held, n_seen, size = [seen], len(seen.gram), 0
+    if held:
+        yield emit(_removed(Rows.joined(held), n_seen)[0])
 
 
 def _snapped(data: bytes, start: int, end: int) -> tuple[int, int]:
@@ -251,24 +314,25 @@ def remove_repeated_strings(docs: DataFrame, carry: list[str] | None = None, who
     carry = carry or ["doc_id"]
     n_bytes = F.octet_length("text").cast("long")
     short, copies, bearers = by_content(docs, carry, n_bytes >= LENGTH, n_bytes=n_bytes)
-    anchors = bearers.select("doc", "text").mapInArrow(_anchor_rows, "gram long, doc long")
+    # All three uses take the same columns, so that the texts are shuffled once.
+    anchors = bearers.mapInArrow(_anchor_rows, "gram long, doc long")
     shared = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     lists = (
         anchors.join(shared.select("gram"), "gram", "left_semi")
         .groupBy("doc").agg(F.collect_set("gram").alias("grams"))
     )
-    runs = bearers.join(lists, "doc").select("doc", "part", "text", "grams").mapInArrow(
-        _run_rows, "lead binary, gram long, doc long, part int, start int, offset int, bytes binary")
-    order = ["lead", "gram", "doc", "start"]
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = bearers.join(lists, "doc").mapInArrow(
+        _run_rows(sampled_splitters(docs, buckets)), "bucket int, gram long, doc long, part int, start int, offset int, bytes binary")
     spans = (
-        runs.repartitionByRange("lead", "gram").sortWithinPartitions(*order).drop("lead")
+        runs.repartitionById(buckets, "bucket").drop("bucket").sortWithinPartitions("gram", "doc", "start")
         .mapInArrow(_repeated, "doc long, part int, start int, end int")
         .groupBy("doc").agg(F.collect_list(F.struct("part", "start", "end")).alias("spans"))
     )
-    found = bearers.join(spans, "doc", "left").select("row", "part", "text", "spans")
+    found = bearers.join(spans, "doc", "left")
     cut = found.mapInArrow(
         _cutter(whole_characters),
-        f"row {found.dtypes[0][1]}, n_bytes long, n_removed long, n_spans long, kept binary")
+        f"row {dict(found.dtypes)['row']}, n_bytes long, n_removed long, n_spans long, kept binary")
     nothing = F.lit(0).cast("long")
     return (
         cut

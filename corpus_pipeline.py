@@ -16,25 +16,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm import bpe, mixing, neardup, suffixes, toxicity
-from clientele.session import let_workers_import
+from clientele.session import prepare_workers
 from clientele.sources.files import scratch_dir
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
-    let_workers_import(spark)
+    prepare_workers(spark)
     return toxicity.remove_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
-    let_workers_import(spark)
+    prepare_workers(spark)
     return neardup.keep_one(docs)
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without strings that start earlier, too."""
-    let_workers_import(spark)
+    prepare_workers(spark)
     return suffixes.cut_texts(docs)
 
 
@@ -45,7 +45,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of ids and of the decoded text."""
-    let_workers_import(spark)
+    prepare_workers(spark)
     file = public_tokenizers.path("word_bpe_49k.json")
     coded = bpe.encode(docs.select("doc_id", "source", "text"), file).select("doc_id", "source", "ids")
     return bpe.decode(coded, file).select(

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import types as T
 
-from clientele.session import let_workers_import
+from clientele.session import prepare_workers
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that operators use inside, as extra columns of the input.
@@ -12,7 +12,7 @@ CLASHES = ["score", "row", "size", "plan", "name", "doc", "part", "bucket", "mem
 
 @pytest.fixture(autouse=True)
 def _workers(spark):
-    let_workers_import(spark)
+    prepare_workers(spark)
 
 
 @pytest.fixture
