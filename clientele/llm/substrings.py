@@ -16,7 +16,7 @@ factor boundary are looked up like all others and no covered word is missed.
 The earliest place of a window is a minimum with map-side combining, and the
 join that brings it back is split where a passage is frequent.
 
-Words are compared by 64-bit hashes, windows by two independent ones.
+Words are compared by 64-bit hashes, windows by 96 bits of two independent ones.
 
 Defined results: null and blank texts have no words; texts under ``WINDOW``
 words lose none; rows that repeat a doc_id never count as earlier than each
@@ -40,8 +40,10 @@ from clientele.llm.words import word_count, words
 
 WINDOW = 50
 GRAM = 6
+_AT_LEAST_A_WINDOW = (
+    rf"\A[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){{{WINDOW - 1}}}[^\x20\x09-\x0D]")
 # Words parsed together in a task; a longer document is one group.
-_GROUP_WORDS = 400_000
+_GROUP_WORDS = 100_000
 _FACTORS = "array<struct<start: int, length: int, ref_doc: bigint, ref_start: int>>"
 _GRAMS, _FIRST, _SECOND = RollingHash(0x9E3779B97F4A7C15), RollingHash(0xC2B2AE3D27D4EB4F), RollingHash(0xD6E8FEB86659FD93)
 
@@ -92,7 +94,7 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = begins[of] + place
             yield pa.RecordBatch.from_arrays([
                 pa.array(_FIRST(tokens, WINDOW)[at].view(np.int64) if len(at) else np.empty(0, np.int64)),
-                pa.array(_SECOND(tokens, WINDOW)[at].view(np.int64) if len(at) else np.empty(0, np.int64)),
+                pa.array(_SECOND(tokens, WINDOW)[at].view(np.int64).astype(np.int32) if len(at) else np.empty(0, np.int32)),
                 pa.array(docs[first + of]), pa.array(parts[first + of]), pa.array(place.astype(np.int32)),
             ], ["h", "g", "doc", "part", "place"])
 
@@ -134,7 +136,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             factors.append([dict(zip(("start", "length", "ref_doc", "ref_start"), f, strict=True)) for f in found])
         kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())]))
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+            batch.column("row").field(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
             pa.array(kept, pa.string()), pa.array(factors, kind),
         ], ["doc_id", "n_words", "n_removed", "kept", "factors"])
 
@@ -145,17 +147,18 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     A later copy of a whole text has one factor, without reference (null).
     """
     n_words = word_count(F.col("text"))
-    # Fewer characters cannot hold a window; the words decide, the length is a cheap first look.
-    short, copies, bearers = by_content(
-        docs, ["doc_id"], (F.length("text") >= 2 * WINDOW - 1) & (n_words >= WINDOW), n_words=n_words)
-    anchors = bearers.select("doc", "text").mapInArrow(_anchor_rows, "gram long, doc long")
+    # The pattern looks no further than the words it needs.
+    is_long = F.col("text").rlike(_AT_LEAST_A_WINDOW)
+    short, copies, bearers = by_content(docs, ["doc_id"], is_long, n_words=n_words)
+    # All three uses take the same columns, so that the texts are shuffled once.
+    anchors = bearers.mapInArrow(_anchor_rows, "gram long, doc long")
     shared = anchors.groupBy("gram").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
     lists = (
         anchors.join(shared.select("gram"), "gram", "left_semi")
         .groupBy("doc").agg(F.collect_set("gram").alias("grams"))
     )
-    windows = bearers.join(lists, "doc").select("doc", "part", "text", "grams").mapInArrow(
-        _window_rows, "h long, g long, doc long, part int, place int")
+    windows = bearers.join(lists, "doc").mapInArrow(
+        _window_rows, "h long, g int, doc long, part int, place int")
     index = windows.groupBy("h", "g").agg(
         F.min("doc").alias("ref_doc"), F.min_by("place", "doc").alias("ref_place"), F.max("doc").alias("high"),
     ).where("ref_doc < high").drop("high")
@@ -163,7 +166,7 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
         windows.join(index, ["h", "g"]).where("doc > ref_doc")
         .groupBy("doc").agg(F.collect_list(F.struct("part", "place", "ref_doc", "ref_place")).alias("found"))
     )
-    parsed = bearers.join(found, "doc", "left").select("row.doc_id", "part", "text", "found").mapInArrow(
+    parsed = bearers.join(found, "doc", "left").mapInArrow(
         _parsed, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_removed long, kept string, factors {_FACTORS}")
     whole = F.array(F.struct(
         F.lit(0).alias("start"), F.col("n_words").cast("int").alias("length"),
