@@ -42,31 +42,41 @@ def words(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
 def most_common(items: Column, k: int) -> Column:
     """The ``k`` most frequent entries of an array; the earlier one wins a tie.
 
-    Sorting (word, position) pairs brings equal words together, so the counts
-    are the distances between run starts: O(n log n) however long the text is.
+    Plain sorting brings equal words together, so the counts are the distances
+    between run starts.  Positions are looked up only for the words above the
+    kth count; those level with it follow in the order of the text.
     """
-    tagged = F.sort_array(F.transform(items, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
 
-    def ranked(pairs: Column) -> Column:
-        at = F.sequence(F.lit(0), F.size(pairs) - 1)
+    def counted(ordered: Column) -> Column:
         starts = F.filter(
-            at,
-            lambda i: (i == 0) | (F.get(pairs, i)["w"] != F.get(pairs, i - 1)["w"]),
+            F.transform(ordered, lambda w, i: F.when((i == 0) | (w != F.get(ordered, i - 1)), i)),
+            lambda i: i.isNotNull(),
         )
         return let(starts, lambda s: F.transform(s, lambda start, n: F.struct(
-            (start - F.coalesce(F.get(s, n + 1), F.size(pairs))).alias("minus_count"),
-            F.get(pairs, start)["i"].alias("first"),
-            F.get(pairs, start)["w"].alias("w"),
+            (start - F.coalesce(F.get(s, n + 1), F.size(ordered))).alias("minus_count"),
+            F.get(ordered, start).alias("w"),
         )))
 
-    def top(pairs: Column) -> Column:
-        best = F.slice(F.sort_array(ranked(pairs)), 1, k)
-        return F.transform(best, lambda r: r["w"])
+    def words_of(entries: Column) -> Column:
+        return F.transform(entries, lambda e: e["w"])
 
-    nothing = F.array().cast("array<string>")
-    return let(tagged, lambda pairs: F.when(F.size(pairs) > 0, top(pairs)).otherwise(nothing))
+    def top(counts: Column, cut: Column) -> Column:
+        above = F.filter(counts, lambda c: cut.isNull() | (c["minus_count"] < cut))
+        placed = F.transform(above, lambda c: F.struct(
+            c["minus_count"].alias("minus_count"), F.array_position(items, c["w"]).alias("first"), c["w"].alias("w"),
+        ))
+        level = words_of(F.filter(counts, lambda c: c["minus_count"] == cut))
+        in_text_order = F.array_intersect(F.array_distinct(items), level)
+        return let(words_of(F.sort_array(placed)), lambda first: F.concat(
+            first, F.slice(in_text_order, F.lit(1), F.lit(k) - F.size(first))))
+
+    def chosen(counts: Column) -> Column:
+        kth = F.get(F.sort_array(F.transform(counts, lambda c: c["minus_count"])), F.lit(k - 1))
+        return let(kth, lambda cut: top(counts, cut))
+
+    return let(F.sort_array(items), lambda ordered: let(counted(ordered), chosen))
 
 
 def top_words(text: Column, k: int = 10, stop_words: list[str] = STOP_WORDS) -> Column:
     """The ``k`` most frequent words of a text; no words for a missing text."""
-    return most_common(words(F.coalesce(text, F.lit("")), stop_words), k)
+    return let(words(F.coalesce(text, F.lit("")), stop_words), lambda found: most_common(found, k))
