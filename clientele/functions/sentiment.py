@@ -21,8 +21,10 @@ from clientele.functions.text import SPACE
 # Largest lexicon that is sent along with the plan; bigger ones are joined.
 MAX_INLINE_WORDS = 20_000
 
-# Any of the fixed hanging marks.
-_HANGING = r"""(?:[.,;:\-'"]|!{1,3}|\?{1,3}|\?!\?!?|!\?!\??)"""
+# Any of the fixed hanging marks, longer ones first.
+_HANGING = "(?:" + "|".join(
+    "".join("\\" + c for c in mark) for mark in sorted(L.HANGING_PUNCTUATION, key=len, reverse=True)
+) + ")"
 _END = rf"(?![^{SPACE}])"
 _PLAIN = rf"[^\p{{Punct}}{SPACE}]{{2,}}+"
 # A word of two characters or more; one hanging mark before or after it goes.
@@ -247,18 +249,20 @@ def inline_lexicon(words: DataFrame) -> Lexicon | None:
     return Lexicon(constant, find)
 
 
-def joined_lexicon(df: DataFrame, words: DataFrame, text: str, key: str) -> tuple[DataFrame, Lexicon]:
+def joined_lexicon(df: DataFrame, words: DataFrame, text: str) -> tuple[DataFrame, Lexicon]:
     """``df`` with the valences of each row's own words, for any lexicon size.
 
     Only the words of a text that the lexicon knows come back from the join, as
-    one small map per ``key``.
+    one small map per text.  Texts are told by their MD5: what they say depends
+    on nothing else, so rows need no key, and equal texts are looked up once.
     """
     known = words.groupBy("word").agg(F.max("valence").alias("valence"))
     said = F.array_distinct(F.transform(spoken_words(F.col(text)), F.lower))
+    named = F.md5(F.col(text))
     found = (
-        df.select(key, F.explode(said).alias("word"))
+        df.select(named.alias("text_name"), F.explode(said).alias("word"))
         .join(known, "word")
-        .groupBy(key)
+        .groupBy("text_name")
         .agg(F.map_from_entries(F.collect_set(F.struct("word", "valence"))).alias("known_words"))
     )
-    return df.join(found, key, "left"), Lexicon(F.col("known_words"), F.try_element_at)
+    return df.join(found, named == found["text_name"], "left"), Lexicon(F.col("known_words"), F.try_element_at)

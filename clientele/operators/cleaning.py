@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from clientele.functions.sentiment import compound, inline_lexicon, joined_lexicon, label
 from clientele.functions.text import top_words
 
-LIST = r",\s*"
+LIST = ", "
+LOOSE_LIST = r",\s*"
 
 
-def text_list(column: Column | str) -> Column:
-    """ "a, b, c" as an array."""
-    return F.split(column, LIST)
+def text_list(column: Column | str, separator: str = LIST) -> Column:
+    """ "a, b, c" as an array; a bare comma belongs to its entry."""
+    return F.split(column, separator)
 
 
 def friend_count(friends: Column, empty: tuple[str, ...] = ()) -> Column:
@@ -32,14 +33,20 @@ def friend_count(friends: Column, empty: tuple[str, ...] = ()) -> Column:
     return F.when(placeholder, 0).otherwise(size)
 
 
-def clean_users(raw: DataFrame, empty_friends: tuple[str, ...] = ()) -> DataFrame:
-    """Typed users.  The friends list is replaced by its length, read off the
-    same row; the list itself is a table of its own (``friends_of``)."""
+def typed_users(raw: DataFrame, empty_friends: tuple[str, ...] = ()) -> DataFrame:
+    """Typed users with their friends, as list and as number."""
     return raw.withColumns({
-        "elite": text_list("elite"),
+        "elite": text_list("elite", LOOSE_LIST),
         "yelping_since": F.try_to_timestamp(F.col("yelping_since")),
         "friends_count": friend_count(text_list("friends"), empty_friends),
-    }).drop("friends")
+        "friends": text_list("friends"),
+    })
+
+
+def clean_users(raw: DataFrame, empty_friends: tuple[str, ...] = ()) -> DataFrame:
+    """Typed users.  The friends list is replaced by its length, read off the
+    same row; the list itself is a table of its own (``friends_of``)."""
+    return typed_users(raw, empty_friends).drop("friends")
 
 
 def friends_of(raw: DataFrame) -> DataFrame:
@@ -58,12 +65,13 @@ def clean_tips(raw: DataFrame) -> DataFrame:
     return raw.withColumn("date", F.try_to_timestamp(F.col("date")))
 
 
-def sentiment_labeller(lexicon: DataFrame, key: str = "review_id") -> Callable[[DataFrame], DataFrame]:
+def sentiment_labeller(lexicon: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """Adds ``sentiment`` (positive, negative or neutral) for ``text``.
 
     A lexicon of bounded size travels with the plan and rows stay where they
-    are; a larger one is joined by word and ``key``.  The lexicon is read, and
-    the expression built, once for all tables the result is used on.
+    are; a larger one is joined by word and text, with the same result for every
+    row.  The lexicon is read, and the expression built, once for all tables the
+    result is used on.
     """
     text = F.col("text")
     inline = inline_lexicon(lexicon)
@@ -72,14 +80,14 @@ def sentiment_labeller(lexicon: DataFrame, key: str = "review_id") -> Callable[[
         return lambda df: df.select("*", sentiment)
 
     def joined(df: DataFrame) -> DataFrame:
-        rows, words = joined_lexicon(df, lexicon, "text", key)
+        rows, words = joined_lexicon(df, lexicon, "text")
         return rows.select(*df.columns, label(compound(text, words)).alias("sentiment"))
 
     return joined
 
 
-def with_sentiment(df: DataFrame, lexicon: DataFrame, key: str = "review_id") -> DataFrame:
-    return sentiment_labeller(lexicon, key)(df)
+def with_sentiment(df: DataFrame, lexicon: DataFrame) -> DataFrame:
+    return sentiment_labeller(lexicon)(df)
 
 
 def review_enricher(lexicon: DataFrame, k: int = 10) -> Callable[[DataFrame], DataFrame]:

@@ -134,11 +134,15 @@ def top_categories(profile: DataFrame, n: int = 500) -> DataFrame:
     )
 
 
-def elite_years(profile: DataFrame, columns: Sequence[str] = ("user_id",)) -> DataFrame:
-    """One row per user and elite year; what is not a number becomes null."""
+def elite_years(
+    profile: DataFrame, columns: Sequence[str] = ("user_id",), as_text: bool = False
+) -> DataFrame:
+    """One row per user and elite year: as written, or as a number, null where
+    there is none."""
     token = F.col("token")
+    year = token if as_text else token.try_cast("int")
     return profile.select(*columns, F.explode("elite").alias("token")).select(
-        *columns, token.try_cast("int").alias("elite_year")
+        *columns, year.alias("elite_year")
     )
 
 
@@ -207,7 +211,7 @@ def joined_model(base: DataFrame, profile: DataFrame, status: DataFrame) -> Data
         F.aggregate(
             F.map_values("category_map"), F.lit(0).cast("bigint"), lambda total, n: total + n
         ).alias("category_count"),
-        F.size(F.filter("elite", lambda y: y.rlike(r"^\d{4}$"))).alias("elite_years"),
+        F.size("elite").alias("elite_years"),
     )
     return (
         records.join(per_user, "user_id", "left")

