@@ -37,6 +37,9 @@ def parser() -> argparse.ArgumentParser:
     profile.add_argument("--sample", type=float, default=1.0)
     profile.add_argument("--mode", choices=("hash", "bernoulli", "top"), default="hash")
     profile.add_argument("--how", choices=("inner", "left"), default="inner")
+    profile.add_argument("--streamed", help="output of an ingest, to be taken in")
+    profile.add_argument("--empty-friends", nargs="*", default=(), help="placeholders that stand for no friends")
+    profile.add_argument("--tasks", type=int, help="deal the reviews out to so many tasks")
     profile.add_argument("--table", help="also publish the profile under this name")
 
     ingest = commands.add_parser("ingest", help="stream check-ins, tips and reviews")
@@ -44,6 +47,7 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("--output", required=True)
     ingest.add_argument("--lexicon", required=True)
     ingest.add_argument("--user-ids", help="Parquet folder of sampled user ids")
+    ingest.add_argument("--tasks", type=int, help="deal each batch of reviews out to so many tasks")
     ingest.add_argument("--seconds", type=float, help="stop after this time")
 
     replay = commands.add_parser("replay", help="send a JSON file to a topic")
@@ -59,13 +63,20 @@ def main(arguments: list[str] | None = None) -> None:
     if args.command == "profile":
         paths = RawPaths(**{name: getattr(args, name) for name in INPUTS})
         lexicon = read_lexicon(spark, args.lexicon)
-        profile = run_batch(spark, paths, args.output, lexicon, args.sample, args.mode, args.how)
+        counts: dict[str, int] = {}
+        profile = run_batch(
+            spark, paths, args.output, lexicon, args.sample, args.mode, args.how, args.streamed,
+            tuple(args.empty_friends), args.tasks, counts,
+        )
+        for name, rows in counts.items():
+            print(f"{name}: {rows} rows")
         if args.table:
             publish_profile(profile, args.table)
     elif args.command == "ingest":
         ids = spark.read.parquet(args.user_ids) if args.user_ids else None
         started = run_ingest(
-            kafka_messages(spark, args.servers), args.output, read_lexicon(spark, args.lexicon), ids
+            kafka_messages(spark, args.servers), args.output, read_lexicon(spark, args.lexicon), ids,
+            tasks=args.tasks,
         )
         if args.seconds is None:
             spark.streams.awaitAnyTermination()

@@ -4,8 +4,10 @@ Each review is turned into a handful of small facts: its categories, its city,
 its sentiment, its frequent words.  The facts are counted per (user, kind, key),
 with partial counts before the shuffle, and only those counts are gathered per
 user.  A user, business or category that holds a third of all reviews therefore
-costs no task more than its number of distinct keys, and any set of features
-needs two shuffles.  Everything comes out hash-partitioned by user, ready to be
+costs no task more than its number of distinct keys.  Visits are first added up
+per user and business, which all features of places and the activity measures
+share, so that the reviews are scanned once for these and once for the texts;
+any set of features needs at most three shuffles of facts.  Everything comes out hash-partitioned by user, ready to be
 joined without another shuffle.
 """
 
@@ -17,12 +19,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.columns import map_of
+from clientele.operators.cleaning import friend_count
 from clientele.operators.dimension import is_small
 
 CATEGORIES, AREA, SENTIMENTS, WORDS = PARTS = ("categories", "area", "sentiments", "words")
+ACTIVITY = "activity"
 
 # Codes of the fact kinds, one byte each in the shuffle, by review column.
-KINDS = {"categories": 0, "city": 1, "sentiment": 2, "frequent_words": 3}
+KINDS = {"categories": 0, "city": 1, "sentiment": 2, "frequent_words": 3, "activity": 4}
+
+# What a user's visits to one business add up to, and how such sums are merged.
+VISIT_SUMS = {
+    "n": F.sum, "stars_sum": F.sum, "stars_n": F.sum, "first_seen": F.min, "last_seen": F.max,
+    "min_stars": F.min, "max_stars": F.max,
+}
 
 
 def city_points(business: DataFrame) -> DataFrame:
@@ -37,20 +47,21 @@ def _code(kind: str) -> Column:
 
 
 def _facts(
-    rows: DataFrame, one: str | None, many: str | None, kept: Iterable[str] = ()
+    rows: DataFrame, leading: Iterable[str], many: str | None, kept: Iterable[str] = ()
 ) -> DataFrame:
-    """One row (user_id, kind, key, kept...) per fact of a review.
+    """One row (user_id, kind, key, kept...) per fact of a row of ``rows``.
 
-    ``one`` names a text column, ``many`` an array column; the column decides
-    the kind.  The single fact leads the exploded array, so that a position
-    tells the kind.
+    ``leading`` names text columns, ``many`` an array column; the column decides
+    the kind.  Single facts lead the exploded array, so that a position tells
+    the kind.
     """
-    keys = F.array(*[one] * bool(one)).cast("array<string>")
+    leading = list(leading)
+    keys = F.array(*leading).cast("array<string>")
     if many:
         keys = F.concat(keys, F.coalesce(many, F.array().cast("array<string>")))
-    kind = _code(many or one)
-    if one and many:
-        kind = F.when(F.col("at") == 0, _code(one)).otherwise(kind)
+    kind = _code(many) if many else F.lit(None).cast("tinyint")
+    for at, name in enumerate(leading):
+        kind = F.when(F.col("at") == at, _code(name)).otherwise(kind)
     return (
         rows.select("user_id", *kept, F.posexplode(keys).alias("at", "key"))
         .where(F.col("key").isNotNull())
@@ -58,56 +69,81 @@ def _facts(
     )
 
 
-def _place_facts(reviews: DataFrame, business: DataFrame, parts: set[str]) -> DataFrame:
-    """Categories (with stars) and cities (with their point) of the reviews.
+def visits_of(reviews: DataFrame) -> DataFrame:
+    """One row per user and business with its ``VISIT_SUMS``.
+
+    A business that a user reviews again and again meets its place once.
+    """
+    dated = reviews if "date" in reviews.columns else reviews.withColumn("date", F.lit(None).cast("timestamp"))
+    return dated.groupBy("user_id", "business_id").agg(
+        F.count("*").alias("n"), F.sum("stars").alias("stars_sum"), F.count("stars").alias("stars_n"),
+        F.min("date").alias("first_seen"), F.max("date").alias("last_seen"),
+        F.min("stars").alias("min_stars"), F.max("stars").alias("max_stars"),
+    )
+
+
+def _place_facts(reviews: DataFrame, business: DataFrame | None, parts: set[str]) -> DataFrame:
+    """Activity, cities (with their point) and categories of the visits.
 
     The businesses are broadcast when measured to be small enough.  When they
-    are not, reviews and businesses meet in a shuffle, where AQE splits the
-    partition of a business that holds too many of the reviews.
+    are not, visits and businesses meet in a shuffle, where AQE splits the
+    partition of a business that holds too many of them.
     """
+    visits = visits_of(reviews)
+    if ACTIVITY in parts:
+        # The fact's key tells whether the visit has a business to be counted.
+        visits = visits.withColumn("activity", F.when(F.col("business_id").isNotNull(), "business").otherwise(""))
     city = "city" if AREA in parts else None
     categories = "categories" if CATEGORIES in parts else None
-    place = business.select("business_id", *[c for c in (city, categories) if c])
-    small = is_small(place)
-    if city:
-        # Points join the businesses here, not the users later: a city in
-        # which many users live never becomes a join key of theirs.
-        points = city_points(business)
-        place = place.join(F.broadcast(points) if small else points, "city", "left")
-    stars = ["stars"] if categories else []
-    visits = reviews.select("user_id", "business_id", *stars).join(
-        F.broadcast(place) if small else place, "business_id"
-    )
-    return _facts(visits, city, categories, stars + ["latitude", "longitude"] * bool(city))
+    sums = list(VISIT_SUMS)
+    if city or categories:
+        place = business.select("business_id", *[c for c in (city, categories) if c])
+        small = is_small(place)
+        if city:
+            # Points join the businesses here, not the users later: a city in
+            # which many users live never becomes a join key of theirs.
+            points = city_points(business)
+            place = place.join(F.broadcast(points) if small else points, "city", "left")
+            sums += ["latitude", "longitude"]
+        # Visits to an unknown business count as activity only.
+        visits = visits.join(
+            F.broadcast(place) if small else place, "business_id", "left" if ACTIVITY in parts else "inner")
+    return _facts(visits, ["activity"] * (ACTIVITY in parts) + ["city"] * bool(city), categories, sums)
 
 
 def _text_facts(reviews: DataFrame, parts: set[str]) -> DataFrame:
     """Sentiments and frequent words; they never travel through a join."""
-    return _facts(
+    facts = _facts(
         reviews,
-        "sentiment" if SENTIMENTS in parts else None,
+        ["sentiment"] * (SENTIMENTS in parts),
         "frequent_words" if WORDS in parts else None,
     )
+    return facts.withColumn("n", F.lit(1).cast("bigint"))
 
 
 def _counted_facts(reviews: DataFrame, business: DataFrame | None, parts: set[str]) -> DataFrame:
-    """Counts per (user, kind, key)."""
+    """Sums per (user, kind, key); reviews without a user have no place here."""
+    reviews = reviews.where(F.col("user_id").isNotNull())
     sources = []
-    if parts & {CATEGORIES, AREA}:
+    if parts & {ACTIVITY, CATEGORIES, AREA}:
         sources.append(_place_facts(reviews, business, parts))
     if parts & {SENTIMENTS, WORDS}:
         sources.append(_text_facts(reviews, parts))
     facts = sources[0]
     for more in sources[1:]:
         facts = facts.unionByName(more, allowMissingColumns=True)
-    counts = {"n": F.count("*")}
-    if CATEGORIES in parts:
-        stars = _of("categories", "stars")
-        counts |= {"stars_sum": F.sum(stars), "stars_n": F.count(stars)}
+    # Each sum is kept for the kinds that show it.
+    shown = {"n": F.sum("n")}
+    if parts & {ACTIVITY, CATEGORIES}:
+        starred = F.col("kind").isin(KINDS["activity"], KINDS["categories"])
+        shown |= {c: F.sum(F.when(starred, F.col(c))) for c in ("stars_sum", "stars_n")}
+    if ACTIVITY in parts:
+        shown |= {c: VISIT_SUMS[c](_of("activity", c)) for c in ("first_seen", "last_seen", "min_stars", "max_stars")}
+        shown["visited"] = F.count(_of("activity", "key"))
     if AREA in parts:
         # All facts of a city carry the same point.
-        counts |= {c: F.max(_of("city", c)) for c in ("latitude", "longitude")}
-    return facts.groupBy("user_id", "kind", "key").agg(*[v.alias(c) for c, v in counts.items()])
+        shown |= {c: F.max(_of("city", c)) for c in ("latitude", "longitude")}
+    return facts.groupBy("user_id", "kind", "key").agg(*[v.alias(c) for c, v in shown.items()])
 
 
 def _of(kind: str, value: Column | str) -> Column:
@@ -130,6 +166,18 @@ def user_features(
     """
     parts = set(parts)
     made: dict[str, Column] = {}
+    if ACTIVITY in parts:
+        first, last = F.min(_of("activity", "first_seen")), F.max(_of("activity", "last_seen"))
+        made |= {
+            "first_seen": first,
+            "last_seen": last,
+            "date_diff": F.datediff(last, first),
+            "different_business_count": F.coalesce(
+                F.sum(F.when(F.col("key") == "business", _of("activity", "visited"))), F.lit(0)),
+            "avg_rating": F.try_divide(F.sum(_of("activity", "stars_sum")), F.sum(_of("activity", "stars_n"))),
+            "min_stars": F.min(_of("activity", "min_stars")),
+            "max_stars": F.max(_of("activity", "max_stars")),
+        }
     if CATEGORIES in parts:
         made |= {
             "category_map": _pairs("categories", F.col("n")),
@@ -213,5 +261,6 @@ def frequent_words(reviews: DataFrame) -> DataFrame:
     return user_features(reviews, parts=[WORDS]).where(has_all([WORDS]))
 
 
-def friends_counts(friends: DataFrame) -> DataFrame:
-    return friends.select("user_id", F.coalesce(F.size("friends"), F.lit(0)).alias("friends_count"))
+def friends_counts(friends: DataFrame, empty: tuple[str, ...] = ()) -> DataFrame:
+    """Friends per user; ``empty`` names placeholders that stand for none."""
+    return friends.select("user_id", friend_count(F.col("friends"), empty).alias("friends_count"))

@@ -171,13 +171,16 @@ VIEWS: dict[str, str] = {
         coalesce(review_count, 0) AS review_count, yelping_since,
         floor(abs(c_acctbal))::BIGINT AS useful, floor(abs(c_acctbal))::BIGINT % 100 AS funny,
         floor(abs(c_acctbal))::BIGINT % 37 AS cool,
-        coalesce(years, '') || CASE WHEN c_custkey % 7 = 0 THEN ',20,20' ELSE '' END AS elite,
+        coalesce(years, '') || CASE WHEN c_custkey % 7 = 0 THEN ',20,20'
+            WHEN c_custkey % 11 = 0 THEN ',201,20125' ELSE '' END AS elite,
         greatest(c_custkey % 13, 1)::BIGINT AS friends_count, c_custkey % 50 AS fans, average_stars,
         {_COMPLIMENTS} FROM customer LEFT JOIN user_orders ON c_custkey = o_custkey""",
     "places": """SELECT 'b' || p_partkey AS business_id, p_name AS name, p_brand || ' street' AS address,
         'Size=' || p_size || ';Type=' || p_type AS attributes,
         'Monday=' || (p_partkey % 12) || ':0-18:0' AS hours,
-        CASE WHEN p_partkey % 50 <> 0 THEN replace(p_name, ' ', ',') || ',' || p_type END AS categories,
+        CASE WHEN p_partkey % 50 <> 0 THEN replace(p_name, ' ', ', ') || ', ' || p_type
+            || CASE WHEN p_partkey % 10 = 3 THEN ', Food,Drink' ELSE '' END END AS listed,
+        replace(listed, ', ', ',') AS categories,
         n_name AS city, 'S' || n_regionkey AS state,
         n_nationkey * 2.0::DOUBLE + (p_partkey % 10) / 4.0::DOUBLE AS latitude,
         n_nationkey * -3.0::DOUBLE + (p_partkey % 8) / 8.0::DOUBLE AS longitude,
@@ -199,7 +202,7 @@ VIEWS: dict[str, str] = {
     "tips": f"""SELECT 'u' || conv_id AS user_id, 'b' || (conv_id % 200) AS business_id,
         turn AS compliment_count, text, 'u' || conv_id || '-' || turn AS rid,
         CASE WHEN conv_id % 11 <> 0 THEN strftime(DATE '2020-01-01' + (conv_id % 365)::INT, {_TIME}) END AS date
-        FROM conversations WHERE role = 'user'""",
+        FROM conversations""",
     **_sentiment_views("ts", "tips"),
     "labelled": """SELECT r.*, coalesce(d.sentiment, 'neutral') AS sentiment FROM reviews r
         LEFT JOIN ds_label d ON r.doc_id = d.rid""",
@@ -209,8 +212,8 @@ VIEWS: dict[str, str] = {
         count(DISTINCT business_id) AS different_business_count,
         sum(stars) / count(stars) AS avg_rating, min(stars) AS min_stars, max(stars) AS max_stars
         FROM reviews GROUP BY user_id""",
-    "category_rows": """SELECT user_id, stars, unnest(string_split(categories, ',')) AS category
-        FROM visits WHERE categories IS NOT NULL""",
+    "category_rows": """SELECT user_id, stars, unnest(string_split(listed, ', ')) AS category
+        FROM visits WHERE listed IS NOT NULL""",
     "category_n": """SELECT user_id, category, count(*) AS n, sum(stars) / count(stars) AS mean
         FROM category_rows GROUP BY user_id, category""",
     "f_categories": f"SELECT user_id, {_map_text('category', 'n')} AS category_map FROM category_n GROUP BY user_id",
@@ -259,7 +262,7 @@ VIEWS: dict[str, str] = {
 }
 VIEWS["doc_reviews"] = f"""SELECT 'd' || doc_id AS review_id, source AS user_id, 'b' || (doc_id % 200) AS business_id,
     (1 + doc_id % 5)::DOUBLE AS stars, doc_id % 9 AS useful, doc_id % 4 AS funny, doc_id % 3 AS cool,
-    strftime(DATE '2020-01-01' + (doc_id % 1000)::INT, {_TIME}) AS date, sentiment, frequent_words
+    strftime(DATE '2020-01-01' + (doc_id % 1000)::INT, {_TIME}) AS date, text, sentiment, frequent_words
     FROM documents JOIN ds_label s ON doc_id = s.rid JOIN dw_list w ON doc_id = w.rid"""
 
 
@@ -356,7 +359,7 @@ def _top(n: int) -> str:
 ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "prim_project": "SELECT user_id, business_id FROM reviews",
     "src_json_roundtrip": _RAW_REVIEW,
-    "src_json_map_schema": "SELECT * REPLACE (replace(categories, ',', ', ') AS categories) FROM places",
+    "src_json_map_schema": "SELECT * EXCLUDE (listed) REPLACE (listed AS categories) FROM places",
     "op_materialize": """SELECT user_id, business_id, count(*) AS visits FROM reviews
         WHERE user_id IN (SELECT user_id FROM sampled) GROUP BY ALL""",
     "sink_table": f"SELECT {_PROFILE} FROM profile",
@@ -368,11 +371,14 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "sample_semi_join": """SELECT review_id, user_id, stars FROM reviews
         WHERE user_id IN (SELECT user_id FROM sampled)""",
     "clean_users": f"SELECT {_USER} FROM users",
-    "clean_business": "SELECT * FROM places",
+    "clean_business": "SELECT * EXCLUDE (listed) FROM places",
     "clean_checkins": "SELECT * FROM checkin_rows",
     "clean_tips": "SELECT * EXCLUDE (rid) FROM tips",
     "enrich_reviews": "SELECT * FROM doc_reviews",
-    "nlp_sentiment": "SELECT rid AS review_id, sentiment FROM ts_label",
+    "nlp_sentiment": """SELECT 'd' || rid AS review_id, sentiment FROM ds_label
+        UNION ALL SELECT rid, sentiment FROM ts_label""",
+    "nlp_sentiment_large": """SELECT CASE rid % 3 WHEN 0 THEN NULL WHEN 1 THEN 'same' ELSE 'd' || rid END AS review_id,
+        sentiment FROM ds_label UNION ALL SELECT rid, sentiment FROM ts_label""",
     "nlp_top_words": "SELECT rid AS doc_id, frequent_words FROM dw_list",
     "feat_user_agg": f"SELECT * REPLACE ({_times('first_seen', 'last_seen')}) FROM f_activity",
     "feat_user_agg_view": f"SELECT * REPLACE ({_times('first_seen', 'last_seen')}) FROM f_activity",
@@ -384,6 +390,8 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "feat_frequent_words": "SELECT * FROM f_words",
     "profile_merge": f"SELECT {_PROFILE} FROM profile",
     "profile_merge_left": f"SELECT {_PROFILE} FROM profile_left",
+    "pipeline_run": f"SELECT {_PROFILE} FROM profile",
+    "pipeline_stream_profile": f"SELECT {_PROFILE} FROM profile",
     "seg_filter_chain": f"SELECT {_PROFILE} FROM segment",
     "seg_filter_eq": f"SELECT {_PROFILE} FROM profile WHERE user_city = 'NATION_7'",
     "seg_filter_in": """SELECT user_id, elite FROM profile
@@ -394,12 +402,13 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "seg_popular_categories": _popular("category_n", "category", 20),
     "seg_popular_words": _popular("word_n", "word", 20),
     "seg_elite_years": """SELECT token AS year, count(*) AS elite_users FROM elite_of_user
-        WHERE length(token) = 4 AND user_id IN (SELECT user_id FROM segment) GROUP BY token""",
+        WHERE token NOT IN ('', '20') AND user_id IN (SELECT user_id FROM segment) GROUP BY token""",
+    "seg_preview": f"""SELECT {_PROFILE} FROM segment ORDER BY md5('7:' || user_id), user_id LIMIT 5""",
     "seg_emotions": """SELECT sentiment AS emotion, sum(n)::BIGINT AS reviews,
         sum(n)::BIGINT / (sum(sum(n)) OVER ())::DOUBLE AS share FROM sentiment_n
         WHERE user_id IN (SELECT user_id FROM segment) GROUP BY sentiment""",
     "seg_geo_points": "SELECT latitude, longitude FROM segment WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
-    "seg_export": "SELECT user_id, name, elite, sentiment_map, average_stars FROM segment",
+    "seg_export": f"SELECT {_PROFILE} FROM segment",
     "bi_user_status": _status(30),
     "bi_user_status_short": _status(10),
     "bi_sentiment_pivot": f"SELECT {_REPORT}, positive_sentiment, negative_sentiment, neutral_sentiment FROM pivoted",
@@ -425,6 +434,7 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "bi_top_categories": _top(500),
     "bi_category_dist": _top(30),
     "bi_elite_years": "SELECT user_id, try_cast(token AS BIGINT) AS elite_year FROM elite_of_user",
+    "bi_elite_years_text": "SELECT user_id, token AS elite_year FROM elite_of_user",
     "bi_elite_years_wide": f"""SELECT {_REPORT}, try_cast(token AS BIGINT) AS elite_year
         FROM profile JOIN elite_of_user USING (user_id)""",
     "bi_reviews_by_year": """SELECT year(yelping_since) AS year, sum(review_count)::BIGINT AS review_count
@@ -445,7 +455,7 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
         LEFT JOIN pivoted USING (user_id)
         LEFT JOIN (SELECT user_id, count(*) AS categories, sum(n)::BIGINT AS category_count
             FROM category_n JOIN profile USING (user_id) GROUP BY user_id) c USING (user_id)
-        LEFT JOIN (SELECT user_id, count(*) FILTER (WHERE regexp_full_match(token, '[0-9]{{4}}')) AS elite_years
+        LEFT JOIN (SELECT user_id, count(*) AS elite_years
             FROM elite_of_user GROUP BY user_id) e USING (user_id)
         LEFT JOIN ({_status(10)}) s USING (user_id)""",
     "stream_decode": """SELECT * EXCLUDE (event_id, ts) FROM event_rows WHERE event_id % 97 <> 0

@@ -5,21 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from clientele import schemas
 from clientele.operators import cleaning, features, sampling
 from clientele.operators.dimension import small_side
 from clientele.sources.files import (
+    content_hash,
     flat_columns,
+    input_state,
     materialize,
     parsed_columns,
     read_json,
     sample_dir,
     save_table,
-    spread,
 )
+from clientele.streaming.ingest import TOPICS, has_written, read_sink
 
 
 def build_profile(
@@ -28,17 +30,12 @@ def build_profile(
     """Cleaned users joined with every feature.
 
     ``inner`` keeps the users that have all features, ``left`` all users.  The
-    features arrive hash-partitioned by user, so the joins move only the users.
+    features arrive hash-partitioned by user, so the join moves only the users.
     """
-    activity = features.user_activity(reviews)
-    made = features.user_features(reviews, business)
+    made = features.user_features(reviews, business, (features.ACTIVITY, *features.PARTS))
     if how == "inner":
         made = made.where(features.has_all())
-    return (
-        users.join(activity, "user_id", how)
-        .join(made, "user_id", how)
-        .select(*schemas.PROFILE_COLUMNS)
-    )
+    return users.join(made, "user_id", how).select(*schemas.PROFILE_COLUMNS)
 
 
 @dataclass
@@ -52,6 +49,13 @@ class RawPaths:
     checkins: str
 
 
+def _streamed_reviews(spark: SparkSession, streamed: str, chosen: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Reviews that the ingest has enriched, each once; malformed ones are left out."""
+    rows = read_sink(spark, streamed, "reviews")
+    rows = rows.where(F.col("review_id").isNotNull() & F.col("user_id").isNotNull())
+    return chosen(rows).dropDuplicates(["review_id"])
+
+
 def run_batch(
     spark: SparkSession,
     paths: RawPaths,
@@ -60,51 +64,92 @@ def run_batch(
     fraction: float = 1.0,
     mode: str = "hash",
     how: str = "inner",
+    streamed: str | None = None,
+    empty_friends: tuple[str, ...] = (),
+    tasks: int | None = None,
+    counts: dict[str, int] | None = None,
 ) -> DataFrame:
     """Sample, clean, enrich and merge; each table is written once and reread.
 
     The raw reviews, by far the largest input, are read once (twice for the top
     sample, which has to count first): the sampled ids come from the columns of
-    the written review table.  A run that was interrupted continues after the
-    last finished table.
-    """
-    out = sample_dir(output, fraction)
+    the written review table.  ``tasks`` deals them out to that many tasks, for
+    inputs that cannot be split.
 
-    def keep(name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return materialize(spark, f"{out}/{name}", build)
+    ``streamed`` is the output of an ingest.  Its reviews are enriched already
+    and join the batch's; one that both have counts once, as the batch has it.
+    Its tips and check-ins are added to the batch's.
 
-    raw_reviews = spread(read_json(spark, paths.reviews, schemas.REVIEW))
+    A run that was interrupted continues after the last finished table.  A table
+    is made again when the inputs or arguments that it depends on have changed.
+    ``counts`` receives the rows of each table.
+    """
+    out = sample_dir(output, fraction)
+    inputs = [input_state(spark, p) for p in vars(paths).values()]
+    if streamed:
+        inputs += [input_state(spark, f"{streamed}/{topic}/data") for topic in TOPICS]
+    base = [*inputs, str(fraction), mode, content_hash(lexicon)]
+
+    def keep(name: str, build: Callable[[], DataFrame], *arguments) -> DataFrame:
+        watch = Observation(name)
+        made_from = "\n".join([*base, *map(str, arguments)])
+        seen: list[int] = []
+
+        def observed() -> DataFrame:
+            seen.append(1)
+            return build().observe(watch, F.count(F.lit(1)).alias("rows"))
+
+        table = materialize(spark, f"{out}/{name}", observed, made_from=made_from)
+        if counts is not None:
+            counts[name] = watch.get["rows"] if seen else table.count()
+        return table
+
+    raw_reviews = read_json(spark, paths.reviews, schemas.REVIEW)
+    if tasks:
+        raw_reviews = raw_reviews.repartition(tasks)
     sampled, ranked = fraction < 1, mode == "top"
     user_ids = business_ids = None
+    chosen: Callable[[DataFrame], DataFrame] = lambda rows: rows
     if sampled and ranked:
         user_ids = keep("sampled_user_id", lambda: sampling.top_users(raw_reviews, fraction))
-        chosen = sampling.restrict(raw_reviews, small_side(user_ids), "user_id")
+        small_ids = small_side(user_ids)
+        chosen = lambda rows: sampling.restrict(rows, small_ids, "user_id")
     elif sampled:
-        chosen = raw_reviews.where(sampling.drawn(fraction, mode))
-    else:
-        chosen = raw_reviews
-    reviews = keep("review", lambda: cleaning.enrich_reviews(chosen, lexicon))
+        chosen = lambda rows: rows.where(sampling.drawn(fraction, mode))
+    reviews = keep("review", lambda: cleaning.enrich_reviews(chosen(raw_reviews), lexicon), tasks)
+    if streamed and has_written(spark, streamed, "reviews"):
+        own = reviews
+        reviews = keep("all_review", lambda: own.unionByName(
+            _streamed_reviews(spark, streamed, chosen).join(own.select("review_id"), "review_id", "left_anti")
+        ), tasks)
     if sampled:
         if not ranked:
             user_ids = keep("sampled_user_id", lambda: reviews.select("user_id").distinct())
         business_ids = keep("sampled_business_id", lambda: reviews.select("business_id").distinct())
         user_ids, business_ids = small_side(user_ids), small_side(business_ids)
 
-    def of_users(path: str, schema: StructType) -> DataFrame:
-        return sampling.restrict(read_json(spark, path, schema), user_ids, "user_id")
+    def of_users(rows: DataFrame) -> DataFrame:
+        return sampling.restrict(rows, user_ids, "user_id")
+
+    def of_business(rows: DataFrame) -> DataFrame:
+        return sampling.restrict(rows, business_ids, "business_id")
 
-    def of_business(path: str, schema: StructType) -> DataFrame:
-        return sampling.restrict(read_json(spark, path, schema), business_ids, "business_id")
+    def with_streamed(rows: DataFrame, topic: str) -> DataFrame:
+        if streamed and has_written(spark, streamed, topic):
+            return rows.unionByName(read_sink(spark, streamed, topic))
+        return rows
 
-    raw_users = of_users(paths.users, schemas.USER)
-    users = keep("user", lambda: cleaning.clean_users(raw_users))
-    keep("friends", lambda: cleaning.friends_of(raw_users))
+    # Users carry their friends, so that the raw ones are read once.
+    users = keep("user", lambda: cleaning.typed_users(
+        of_users(read_json(spark, paths.users, schemas.USER)), empty_friends), empty_friends)
+    keep("friends", lambda: users.select("user_id", "friends"))
     business = keep("business", lambda: cleaning.clean_business(
-        of_business(paths.business, schemas.BUSINESS)
-    ))
-    keep("checkin", lambda: cleaning.clean_checkins(of_business(paths.checkins, schemas.CHECKIN)))
-    keep("tip", lambda: cleaning.clean_tips(of_users(paths.tips, schemas.TIP)))
-    return keep("combined", lambda: build_profile(users, reviews, business, how))
+        of_business(read_json(spark, paths.business, schemas.BUSINESS))))
+    keep("checkin", lambda: of_business(with_streamed(
+        cleaning.clean_checkins(read_json(spark, paths.checkins, schemas.CHECKIN)), "checkins")))
+    keep("tip", lambda: of_users(with_streamed(
+        cleaning.clean_tips(read_json(spark, paths.tips, schemas.TIP)), "tips")))
+    return keep("combined", lambda: build_profile(users, reviews, business, how), how, empty_friends, tasks)
 
 
 def publish_profile(profile: DataFrame, table: str, **options) -> None:

@@ -13,10 +13,11 @@ from pyspark.sql.types import ArrayType, IntegerType, MapType, TimestampNTZType,
 
 from clientele import schemas
 from clientele.functions.columns import map_text
+from clientele.functions.sentiment import MAX_INLINE_WORDS
 from clientele.operators import cleaning, features, reports, sampling
 from clientele.operators import segment as seg
 from clientele.operators.segment import FilterSpec, Segment
-from clientele.plans.profile import build_profile, load_profile, publish_profile
+from clientele.plans.profile import RawPaths, build_profile, load_profile, publish_profile, run_batch
 from clientele.sources import files, standins, topics
 from clientele.streaming import ingest
 
@@ -34,26 +35,27 @@ FRACTION = 0.1
 AS_OF = datetime.date(2001, 8, 1)
 NOW = {"availableNow": True}
 
-# Every filter of the segment queries, in order.
-FILTERS = (
-    FilterSpec("friends_count", "between", (2, None), "Number of Friends"),
-    FilterSpec("average_stars", "between", (2, 4), "Average Stars Given"),
-    FilterSpec("review_count", "between", (5, 40), "Number of Review Given"),
-    FilterSpec("date_diff", "between", (100, 2400), "Active Days"),
-    FilterSpec("useful", "between", (100, None), "People Find Useful"),
-)
+# Ranges of the segment queries, in the order of the default filters.
+RANGES = ((2, None), (2, 4), (5, 40), (100, 2400), (100, None))
+FILTERS = tuple(f.enable(r) for f, r in zip(seg.DEFAULT_FILTERS, RANGES, strict=True))
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(LEXICON.items()), "word string, valence double")
 
 
+_REMOVED_AT_END: set[str] = set()
+
 # Shared tables ---------------------------------------------------------------
 
 def _folder(spark: SparkSession, sf_dir: str) -> str:
-    """Where this application keeps tables made from ``sf_dir``."""
+    """Where this application keeps tables made from ``sf_dir``, until it ends."""
     name = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
-    return f"{files.shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}"
+    of_application = f"{files.shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    if of_application not in _REMOVED_AT_END:
+        _REMOVED_AT_END.add(of_application)
+        files.remove_at_end(spark, of_application)
+    return f"{of_application}/{name}"
 
 
 def _scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -219,15 +221,31 @@ def _documents(spark, sf_dir):
 
 @query
 def enrich_reviews(spark, sf_dir):
-    return cleaning.enrich_reviews(_documents(spark, sf_dir), lexicon(spark)).drop("text")
+    return cleaning.enrich_reviews(_documents(spark, sf_dir), lexicon(spark))
+
+
+def _all_texts(spark, sf_dir):
+    """Every document and every turn."""
+    tips = standins.raw_tips(spark, sf_dir).select(
+        F.concat_ws("-", "user_id", "compliment_count").alias("review_id"), "text")
+    return _documents(spark, sf_dir).select("review_id", "text").unionByName(tips)
 
 
 @query
 def nlp_sentiment(spark, sf_dir):
-    tips = standins.raw_tips(spark, sf_dir).withColumn(
-        "review_id", F.concat_ws("-", "user_id", "compliment_count")
-    )
-    return cleaning.with_sentiment(tips, lexicon(spark)).select("review_id", "sentiment")
+    return cleaning.with_sentiment(_all_texts(spark, sf_dir), lexicon(spark)).select("review_id", "sentiment")
+
+
+@query
+def nlp_sentiment_large(spark, sf_dir):
+    """A lexicon too large to travel with the plan; ids are missing or repeat."""
+    filler = spark.range(MAX_INLINE_WORDS + 1).select(
+        F.concat(F.lit("filler"), "id").alias("word"), F.lit(1.0).alias("valence"))
+    number = F.try_to_number(F.substring("review_id", 2, 18), F.lit("999999999999999999"))
+    texts = _all_texts(spark, sf_dir).withColumn(
+        "review_id", F.when(number % 3 == 0, F.lit(None)).when(number % 3 == 1, "same").otherwise(F.col("review_id")))
+    labelled = cleaning.with_sentiment(texts, lexicon(spark).unionByName(filler))
+    return labelled.select("review_id", "sentiment")
 
 
 @query
@@ -248,14 +266,9 @@ def feat_user_agg(spark, sf_dir):
 
 @query
 def feat_user_agg_view(spark, sf_dir):
-    """The activity measures in SQL, over a registered view."""
+    """The activity measures over a registered view."""
     _typed_reviews(spark, sf_dir).createOrReplaceTempView("review")
-    return spark.sql("""
-        SELECT user_id, min(date) AS first_seen, max(date) AS last_seen,
-            datediff(max(date), min(date)) AS date_diff,
-            count(DISTINCT business_id) AS different_business_count,
-            avg(stars) AS avg_rating, min(stars) AS min_stars, max(stars) AS max_stars
-        FROM review GROUP BY user_id""")
+    return features.user_activity(spark.table("review"))
 
 
 @query
@@ -298,6 +311,48 @@ def profile_merge_left(spark, sf_dir):
     return _profile(spark, sf_dir, "left")
 
 
+def _raw_files(spark, sf_dir, folder: str, **parts: DataFrame) -> RawPaths:
+    """The raw records as JSON files; ``parts`` replaces some of them."""
+    raw = {
+        "users": standins.raw_users, "business": standins.raw_business, "reviews": standins.raw_reviews,
+        "tips": standins.raw_tips, "checkins": standins.raw_checkins,
+    }
+    for name, read in raw.items():
+        rows = parts[name] if name in parts else read(spark, sf_dir)
+        rows.write.json(f"{folder}/{name}")
+    return RawPaths(**{name: f"{folder}/{name}" for name in raw})
+
+
+@query
+def pipeline_run(spark, sf_dir):
+    """The batch run from JSON files to the profile."""
+    out = _scratch(spark, sf_dir, "batch-run")
+    return run_batch(spark, _raw_files(spark, sf_dir, f"{out}/raw"), f"{out}/tables", lexicon(spark))
+
+
+@query
+def pipeline_stream_profile(spark, sf_dir):
+    """Part of the records arrives in files and part as messages; some reviews come both ways."""
+    out = _scratch(spark, sf_dir, "stream-run")
+
+    def third(rows):
+        return F.pmod(F.crc32(F.to_json(F.struct(*rows.columns))), F.lit(3))
+
+    filed, sent = {}, {}
+    for name, read in (("reviews", standins.raw_reviews), ("tips", standins.raw_tips), ("checkins", standins.raw_checkins)):
+        rows = read(spark, sf_dir)
+        filed[name] = rows.where(third(rows) != 0)
+        sent[name] = rows.where(third(rows) != 1 if name == "reviews" else third(rows) == 0)
+    messages = {}
+    for name, rows in sent.items():
+        topics.write_replay(rows, f"{out}/messages/{name}", files=4)
+        messages[name] = topics.read_replay(spark, f"{out}/messages/{name}", files_per_trigger=2)
+    for started in ingest.run_ingest(messages, f"{out}/streamed", lexicon(spark), trigger=NOW, tasks=16):
+        _finish(started)
+    paths = _raw_files(spark, sf_dir, f"{out}/raw", **filed)
+    return run_batch(spark, paths, f"{out}/tables", lexicon(spark), streamed=f"{out}/streamed")
+
+
 # Segments --------------------------------------------------------------------
 
 def _segment(spark, sf_dir) -> Segment:
@@ -369,16 +424,14 @@ def seg_preview(spark, sf_dir):
 
 @query
 def seg_export(spark, sf_dir):
+    """The whole segment as CSV, read back with all its columns."""
     path = _scratch(spark, sf_dir, "customers.csv")
-    rows = _segment(spark, sf_dir).rows.select("user_id", "name", "elite", "sentiment_map", "average_stars")
+    rows = _segment(spark, sf_dir).rows
     files.export_csv(rows, path)
-    back = spark.read.option("header", True).option("escape", '"').schema(
-        "user_id string, name string, elite string, sentiment_map string, average_stars double"
-    ).csv(path)
-    return back.withColumns({
-        "elite": F.from_json("elite", "array<string>"),
-        "sentiment_map": F.from_json("sentiment_map", "map<string,bigint>"),
-    })
+    flat = ", ".join(
+        f"`{c}` {'string' if c in schemas.PROFILE_JSON else kind}" for c, kind in rows.dtypes)
+    back = spark.read.option("header", True).option("escape", '"').schema(flat).csv(path)
+    return files.parsed_columns(back, schemas.PROFILE_JSON)
 
 
 # Reports ---------------------------------------------------------------------
@@ -449,6 +502,11 @@ def bi_elite_years_wide(spark, sf_dir):
     return reports.elite_years(profile_table(spark, sf_dir), schemas.REPORT_COLUMNS)
 
 
+@query
+def bi_elite_years_text(spark, sf_dir):
+    return reports.elite_years(profile_table(spark, sf_dir), as_text=True)
+
+
 @query
 def bi_reviews_by_year(spark, sf_dir):
     return reports.reviews_by_year(profile_table(spark, sf_dir))
@@ -520,7 +578,7 @@ def stream_enrich(spark, sf_dir):
     reviews = standins.written_reviews(standins.table_stream(spark, sf_dir, "documents"))
     decoded = topics.decode(topics.as_messages(reviews), schemas.REVIEW)
     _finish(ingest.start_review_sink(decoded, out, lexicon(spark), ids, NOW, tasks=16))
-    return ingest.read_sink(spark, out, "reviews").drop("text")
+    return ingest.read_sink(spark, out, "reviews")
 
 
 @query

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+# Even tasks that an unevenly split table is dealt out to, at least.
+SPREAD_TASKS = 32
 # Stand-in folders of local sessions, by application.
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -32,16 +34,22 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan that has fewer splits than there are cores.
+def spread(scan: DataFrame, tasks: int = SPREAD_TASKS) -> DataFrame:
+    """Deal out the rows of a Parquet scan that lie unevenly in its splits.
 
-    A table that small may sit in one file with one row group, and heavy work
-    per row would run in one task.  A scan with enough splits, as any large
-    table has, is returned as it is; no split is cut into more than 16 parts.
+    A split without a row group of its own stays empty, however many splits a
+    file is cut into, and heavy work per row would run in the others.  One pass
+    over the file footers counts the rows of each split.  If the fullest holds
+    over twice its share of ``tasks`` or more splits, the rows are dealt out; a
+    table with enough row groups, as any large one has, is returned as it is.
+    The number of cores plays no part.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    splits = scan.rdd.getNumPartitions()
-    return scan if splits >= cores else scan.repartition(min(2 * cores, 16 * max(splits, 1)))
+    splits = max(scan.rdd.getNumPartitions(), tasks)
+    rows, fullest = (
+        scan.groupBy(F.spark_partition_id().alias("split")).agg(F.count("*").alias("n"))
+        .agg(F.sum("n"), F.max("n")).first()
+    )
+    return scan.repartition(splits) if rows and fullest * splits > 2 * rows else scan
 
 
 def sample_dir(base: str, fraction: float) -> str:
@@ -58,8 +66,12 @@ def save_parquet(df: DataFrame, path: str, files: int | None = None) -> None:
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True when a finished write left its success marker under ``path``."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(marker)
+    return exists(spark, f"{path}/_SUCCESS")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = _hadoop(spark, path)
+    return files.exists(at)
 
 
 def materialize(
@@ -67,16 +79,63 @@ def materialize(
     path: str,
     build: Callable[[], DataFrame],
     files: int | None = None,
+    made_from: str | None = None,
 ) -> DataFrame:
     """Read ``path`` if it was written before, else build, write and read it.
 
     Only a missing result triggers the build; any other failure surfaces.
+    ``made_from`` tells what the result depends on.  It is kept beside the
+    table, and a table made from something else is built again.
     """
-    if not is_complete(spark, path):
+    note = f"{path}/_made_from"
+    if not is_complete(spark, path) or (made_from is not None and _read_note(spark, note) != made_from):
         save_parquet(build(), path, files)
+        if made_from is not None:
+            _write_note(spark, note, made_from)
     return spark.read.parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """File system and path object of ``path``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def _read_note(spark: SparkSession, path: str) -> str | None:
+    files, at = _hadoop(spark, path)
+    if not files.exists(at):
+        return None
+    stream = files.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_note(spark: SparkSession, path: str, text: str) -> None:
+    files, at = _hadoop(spark, path)
+    out = files.create(at, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def input_state(spark: SparkSession, path: str) -> str:
+    """Path, size, number of files and time of change of an input."""
+    files, at = _hadoop(spark, path)
+    if not files.exists(at):
+        return f"{path} missing"
+    summary = files.getContentSummary(at)
+    changed = files.getFileStatus(at).getModificationTime()
+    return f"{path} {summary.getLength()} {summary.getFileCount()} {changed}"
+
+
+def content_hash(df: DataFrame) -> str:
+    """Hash of the rows of a small table, in any order."""
+    rows, h, g = df.agg(
+        F.count("*"), F.bit_xor(F.xxhash64(*df.columns)), F.bit_xor(F.xxhash64(F.lit(1), *df.columns))).first()
+    return f"{rows}-{h}-{g}"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors reach, named by ``spark.checkpoint.dir``.
 
@@ -99,12 +158,15 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder; removed when the driver ends."""
     folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    atexit.register(_remove, files, path)
+    remove_at_end(spark, folder)
     return folder
 
 
+def remove_at_end(spark: SparkSession, folder: str) -> None:
+    """Removes ``folder``, if it is there then, when the driver ends."""
+    atexit.register(_remove, *_hadoop(spark, folder))
+
+
 def _remove(files, path) -> None:
     try:
         files.delete(path, True)
@@ -117,6 +179,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
+        # Spark makes a folder of its own in there.
+        remove_at_end(spark, spark.sparkContext.getCheckpointDir())
     return df.checkpoint()
 
 

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from clientele import schemas
 from clientele.functions.columns import map_text
@@ -23,6 +24,13 @@ def test_materialize_builds_once(spark, tmp_path):
     assert len(calls) == 1
 
 
+def test_materialize_builds_again_for_something_else(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert files.materialize(spark, path, lambda: spark.range(5), made_from="a\nb").count() == 5
+    assert files.materialize(spark, path, lambda: spark.range(6), made_from="a\nb").count() == 5
+    assert files.materialize(spark, path, lambda: spark.range(7), made_from="a\nc").count() == 7
+
+
 def test_an_unfinished_write_is_built_again(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "t"))
     (tmp_path / "t" / "_SUCCESS").rename(tmp_path / "gone")
@@ -60,11 +68,28 @@ def test_tables_round_trip(spark, tmp_path):
     assert df.select(map_text("m")).first()[0] == "a=2;b=1"
 
 
-def test_spread_leaves_well_split_scans_alone(spark):
-    one = spark.range(0, 100, 1, 1)
-    assert files.spread(one).rdd.getNumPartitions() == 8
-    many = spark.range(0, 100, 1, 6)
+def test_spread_deals_out_uneven_scans(spark, tmp_path):
+    """Many splits, one row group: all rows lie in one split."""
+    rows = spark.range(5000).withColumn("text", F.repeat(F.sha2(F.col("id").cast("string"), 512), 400))
+    rows.coalesce(1).write.option("parquet.block.size", 2**30).parquet(str(tmp_path / "one"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        scan = spark.read.parquet(str(tmp_path / "one"))
+        before = scan.groupBy(F.spark_partition_id()).count().count()
+        dealt = files.spread(scan)
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert before == 1 and len(sizes) >= files.SPREAD_TASKS and max(sizes) < 2 * 5000 / len(sizes)
+    assert sorted(r.id for r in dealt.select("id").collect()) == list(range(5000))
+
+
+def test_spread_leaves_even_scans_alone(spark):
+    many = spark.range(0, 1000, 1, 40)
     assert files.spread(many) is many
+    none = spark.range(0)
+    assert files.spread(none) is none
+    assert files.spread(spark.range(0, 100, 1, 1), tasks=8).rdd.getNumPartitions() == 8
 
 
 def test_scratch_is_the_shared_folder(spark):
@@ -97,6 +122,28 @@ def test_batch_run_from_json_files(spark, tmp_path, fraction):
     assert again.count() == profile.count()
 
 
+def _raw_files(spark, folder):
+    raw = {"users": standins.raw_users, "business": standins.raw_business, "reviews": standins.raw_reviews,
+           "tips": standins.raw_tips, "checkins": standins.raw_checkins}
+    for name, read in raw.items():
+        read(spark, SF).write.json(str(folder / name))
+    return RawPaths(**{name: str(folder / name) for name in raw})
+
+
+def test_runs_with_other_arguments_into_one_output(spark, tmp_path):
+    paths = _raw_files(spark, tmp_path)
+    lexicon = spark.createDataFrame([("the", 1.0), ("of", -1.5)], "word string, valence double")
+    out, counts = str(tmp_path / "out"), {}
+    inner = run_batch(spark, paths, out, lexicon, 0.5, "hash", "inner", counts=counts).count()
+    assert counts["combined"] == inner and counts["review"] > counts["user"] > 0
+    top = run_batch(spark, paths, out, lexicon, 0.5, "top", "left", empty_friends=("None",))
+    alone = run_batch(spark, paths, str(tmp_path / "other"), lexicon, 0.5, "top", "left", empty_friends=("None",))
+    assert sorted(map(str, top.collect())) == sorted(map(str, alone.collect()))
+    other = lexicon.withColumn("valence", -F.col("valence"))
+    turned = run_batch(spark, paths, out, other, 0.5, "top", "left", empty_friends=("None",))
+    assert sorted(map(str, turned.collect())) != sorted(map(str, alone.collect()))
+
+
 def test_command_line(spark, tmp_path):
     from clientele.__main__ import main
 
