@@ -261,6 +261,12 @@ def frequent_words(reviews: DataFrame) -> DataFrame:
     return user_features(reviews, parts=[WORDS]).where(has_all([WORDS]))
 
 
+def user_words(reviews: DataFrame) -> DataFrame:
+    """The frequent words as rows (user_id, word, n): nothing is gathered per user,
+    however many words an account has."""
+    return _counted_facts(reviews, None, {WORDS}).select("user_id", F.col("key").alias("word"), "n")
+
+
 def friends_counts(friends: DataFrame, empty: tuple[str, ...] = ()) -> DataFrame:
     """Friends per user; ``empty`` names placeholders that stand for none."""
     return friends.select("user_id", friend_count(F.col("friends"), empty).alias("friends_count"))

@@ -388,6 +388,7 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "feat_friends_count": "SELECT user_id, friends_count FROM users",
     "feat_sentiment_map": "SELECT * FROM f_sentiments",
     "feat_frequent_words": "SELECT * FROM f_words",
+    "feat_user_words": "SELECT user_id, word, n FROM word_n",
     "profile_merge": f"SELECT {_PROFILE} FROM profile",
     "profile_merge_left": f"SELECT {_PROFILE} FROM profile_left",
     "pipeline_run": f"SELECT {_PROFILE} FROM profile",

@@ -301,6 +301,11 @@ def feat_frequent_words(spark, sf_dir):
     return features.frequent_words(review_table(spark, sf_dir))
 
 
+@query
+def feat_user_words(spark, sf_dir):
+    return features.user_words(review_table(spark, sf_dir))
+
+
 @query
 def profile_merge(spark, sf_dir):
     return _profile(spark, sf_dir)
