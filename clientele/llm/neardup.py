@@ -7,14 +7,14 @@
    smallest member of the bucket only, never with all.  Pairs whose likelihood
    estimate is plausible are verified on the full sets.
 3. Verified links give components.  A bucket whose members lie in more than one
-   component still holds pairs that were not looked at: those outside its
+   component still holds pairs that were not looked at.  Those outside its
    largest component are compared, by sketch, with all members of other
-   components, the best of them are verified, and the components are joined.
-   This repeats, each time with more partners, until no bucket has a plausible
-   pair between components left unverified.  No partner is given up.
+   components, and every plausible pair is verified on the full sets, the likely
+   ones first, unless a link found before has joined its components.  Only links
+   leave the task; pairs that are refused do not.  No partner is given up.
 
 Bands of four registers, forty of them: a pair at the threshold shares a band
-with probability 1 - 5e-8.  The estimate's margin is five standard errors.
+with probability 1 - 2.5e-7.  The estimate's margin is five standard errors.
 
 Defined results: an empty set (null, empty or blank text) is linked with
 nothing; equal sets are linked; rows that repeat a doc_id are one document with
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from clientele.llm.components import connected_components
 from clientele.llm.setsketch import (
-    REGISTERS, band_keys, estimate_rows, mixed, registers, shingles,
+    REGISTERS, band_keys, estimate_rows, mixed, registers, shingles, unpacked,
 )
 from clientele.operators.dimension import small_side
 from clientele.sources.files import cut_lineage
@@ -45,9 +45,13 @@ MARGIN = 5 * (0.75 * 0.25 / REGISTERS) ** 0.5
 PLAUSIBLE = PERCENT / 100 - MARGIN
 # Registers that agree in any plausible pair; sketches below it skip the estimate.
 LEAST_EQUAL = int(0.8 * PLAUSIBLE * REGISTERS)
-FIRST_PARTNERS = 4
-MORE_PARTNERS = 16
 BLOCK_MEMBERS = 8192
+# Bucket members that one task compares, and pairs of sketches looked at together.
+_GROUP_MEMBERS = 16_384
+_COMPARED = 100_000
+# Sets and refused pairs that a task remembers.
+_HELD_SETS = 10_000
+_HELD_PAIRS = 500_000
 _SKETCH = "doc_id long, n_shingles long, high long, low long, registers binary"
 
 
@@ -76,8 +80,7 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         packed = batch.column("registers")
-        rows = np.frombuffer(b"".join(p.as_py() for p in packed), dtype=np.uint8).reshape(len(packed), REGISTERS)
-        keys = band_keys(rows) if len(packed) else np.empty((0, 0), dtype=np.int64)
+        keys = band_keys(unpacked(p.as_py() for p in packed)) if len(packed) else np.empty((0, 0), dtype=np.int64)
         member = np.repeat(batch.column("member").to_numpy(), keys.shape[1])
         yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(member)], ["bucket", "member"])
 
@@ -86,26 +89,29 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        sides = [np.frombuffer(b"".join(x.as_py() for x in batch.column(c)), np.uint8).reshape(-1, REGISTERS)
-                 for c in ("registers_a", "registers_b")]
+        sides = [unpacked(x.as_py() for x in batch.column(c)) for c in ("registers_a", "registers_b")]
         sizes = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
         keep = estimate_rows(*sides, *sizes) >= PLAUSIBLE
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
+def linked(first: np.ndarray, second: np.ndarray) -> bool:
+    """Whether two sets of sorted hashes are similar enough."""
+    common = len(np.intersect1d(first, second, assume_unique=True))
+    return common > 0 and 100 * common >= PERCENT * (len(first) + len(second) - common)
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last: tuple[str | None, np.ndarray] = (None, np.empty(0, np.uint64))
     for batch in batches:
-        linked = []
+        found = []
         for first, second in zip(batch.column("text_a"), batch.column("text_b"), strict=True):
             other = second.as_py()
             if other != last[0]:  # partners of one hub follow each other
                 last = (other, shingles(other))
-            elements = shingles(first.as_py())
-            common = len(np.intersect1d(elements, last[1], assume_unique=True))
-            linked.append(100 * common >= PERCENT * (len(elements) + len(last[1]) - common) and common > 0)
+            found.append(linked(shingles(first.as_py()), last[1]))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+            [batch.column("a"), batch.column("b"), pa.array(found, pa.bool_())], ["a", "b", "linked"])
 
 
 def verify(pairs: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
@@ -123,7 +129,7 @@ def verify(pairs: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
-    """(bucket, member, pivot) of the buckets with several members.
+    """(bucket, member, pivot, n) of the buckets with several members.
 
     Of buckets with the same members only one is kept.
     """
@@ -133,75 +139,118 @@ def shared_buckets(members: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64("member")).alias("h"), F.bit_xor(F.xxhash64("member", F.lit(1))).alias("g"),
     ).where("n > 1")
     kept = shared.groupBy("n", "pivot", "h", "g").agg(F.min("bucket").alias("bucket"))
-    return keyed.join(kept.select("bucket", "pivot"), "bucket")
-
-
-def _cross(partners: int):
-    """For the asking members of a bucket, their best answering ones."""
-    nothing = pd.DataFrame({"a": [], "b": []}, dtype="int64")
-
-    def run(asking: pd.DataFrame, answering: pd.DataFrame) -> pd.DataFrame:
-        if not len(asking) or not len(answering):
-            return nothing
-        regs = np.frombuffer(b"".join(answering["registers2"]), np.uint8).reshape(-1, REGISTERS)
-        sizes = answering["n_shingles2"].to_numpy(float)
-        names, components = answering["member2"].to_numpy(), answering["component2"].to_numpy()
-        found = []
-        for row in asking.itertuples():
-            own = np.frombuffer(row.registers, np.uint8)
-            at = np.flatnonzero(components != row.component)
-            at = at[(regs[at] == own).sum(axis=1) >= LEAST_EQUAL]
-            if row.failed is not None and len(at):
-                at = at[~np.isin(names[at], row.failed)]
-            if not len(at):
+    return keyed.join(kept.select("bucket", "pivot", "n"), "bucket")
+
+
+class _Links:
+    """Links found by one task between members of different components."""
+
+    def __init__(self, members: pd.Series, texts: pd.Series):
+        self.texts: dict[int, list[str]] = texts.groupby(members).agg(list).to_dict()
+        self.sets: dict[int, list[np.ndarray]] = {}
+        self.root: dict[int, int] = {}
+        self.refused: set[tuple[int, int]] = set()
+        self.found: list[tuple[int, int]] = []
+
+    def component(self, label: int) -> int:
+        while (above := self.root.get(label, label)) != label:
+            self.root[label] = self.root.get(above, above)
+            label = above
+        return label
+
+    def _sets(self, member: int) -> list[np.ndarray]:
+        if member not in self.sets:
+            if len(self.sets) >= _HELD_SETS:
+                self.sets.clear()
+            self.sets[member] = [shingles(t) for t in self.texts[member]]
+        return self.sets[member]
+
+    def try_pair(self, x: int, of_x: int, y: int, of_y: int) -> None:
+        """Verifies a pair on its full sets, unless it is in one component by now."""
+        left, right = self.component(of_x), self.component(of_y)
+        pair = (max(x, y), min(x, y))
+        if left == right or pair in self.refused:
+            return
+        if any(linked(s, t) for s in self._sets(x) for t in self._sets(y)):
+            self.root[max(left, right)] = min(left, right)
+            self.found.append(pair)
+        else:
+            if len(self.refused) >= _HELD_PAIRS:  # then some are looked at again
+                self.refused.clear()
+            self.refused.add(pair)
+
+
+def _cross(asking: pd.DataFrame, answering: pd.DataFrame) -> pd.DataFrame:
+    """Links between components among the members of some buckets, bucket by bucket."""
+    answering = answering.rename(columns=lambda c: c.removesuffix("2"))
+    has_text = answering["text"].notna()
+    links = _Links(answering["member"][has_text], answering["text"][has_text])
+    answering = answering[~has_text]
+    (regs_a, n_a, id_a, comp_a), (regs_b, n_b, id_b, comp_b) = (
+        (unpacked(rows["registers"]), *(rows[c].to_numpy() for c in ("n_shingles", "member", "component")))
+        for rows in (asking, answering))
+    units_b = answering.groupby("unit", sort=False).indices
+    for unit, a in asking.groupby("unit", sort=False).indices.items():
+        b = units_b.get(unit, a[:0])
+        step = max(1, _COMPARED // max(1, len(b)))
+        for start in range(0, len(a), step):
+            part = a[start:start + step]
+            equal = np.count_nonzero(regs_a[part][:, None, :] == regs_b[b][None, :, :], axis=2)
+            x, y = np.nonzero((equal >= LEAST_EQUAL) & (comp_a[part][:, None] != comp_b[b][None, :]))
+            x, y = part[x], b[y]
+            if not len(x):
                 continue
-            guess = estimate_rows(own[None, :], regs[at], np.full(len(at), float(row.n_shingles)), sizes[at])
+            guess = estimate_rows(regs_a[x], regs_b[y], n_a[x], n_b[y])
             good = np.flatnonzero(guess >= PLAUSIBLE)
-            best = good[np.argsort(-guess[good], kind="stable")[:partners]]
-            found.extend((row.member, int(names[at[i]])) for i in best)
-        if not found:
-            return nothing
-        pairs = np.sort(np.array(found, dtype=np.int64), axis=1)
-        return pd.DataFrame({"a": pairs[:, 1], "b": pairs[:, 0]})
+            for i in good[np.argsort(-guess[good], kind="stable")]:
+                links.try_pair(int(id_a[x[i]]), int(comp_a[x[i]]), int(id_b[y[i]]), int(comp_b[y[i]]))
+    return pd.DataFrame(links.found, columns=["a", "b"], dtype="int64")
 
-    return run
 
+def links_across(buckets: DataFrame, members: DataFrame, texts: DataFrame, labels: DataFrame, block: int) -> DataFrame:
+    """Links (a, b) that join the components of members sharing a bucket.
 
-def untested_pairs(buckets: DataFrame, members: DataFrame, labels: DataFrame, tested: DataFrame,
-                   partners: int, block: int) -> DataFrame:
-    """Plausible pairs (a, b) between components that share a bucket, not yet tested."""
+    Every plausible pair between components that shares a bucket is verified,
+    unless links found before have joined its components.
+    """
     labelled = (
-        buckets.select("bucket", "member")
+        buckets.where("n > 2").select("bucket", "member")
         .join(labels.withColumnRenamed("node", "member"), "member", "left")
         .withColumn("component", F.coalesce("component", "member"))
     )
     parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    divided = parts.groupBy("bucket").agg(
+    divided = cut_lineage(parts.groupBy("bucket").agg(
         F.max(F.struct("n", "component"))["component"].alias("largest"),
-        # A bucket of many members is compared block by block.
-        F.ceil(F.sum("n") / block).cast("int").alias("blocks"),
-        F.count("*").alias("components"),
-    ).where("components > 1").drop("components")
+        F.sum("n").alias("n"), F.count("*").alias("components"),
+    ).where("components > 1"))
+    # Buckets around one component meet in a task, as many tasks as its rows need;
+    # a bucket of many members is compared block by block.
+    around = divided.groupBy("largest").agg(F.ceil(F.sum("n") / _GROUP_MEMBERS).alias("shares"))
+    groups = max(1, -(-(divided.agg(F.sum("n")).first()[0] or 0) // _GROUP_MEMBERS))
     rows = (
-        labelled.join(divided, "bucket")
+        labelled.join(divided.join(around, "largest").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")), "bucket")
         .join(members.select("member", "n_shingles", "registers"), "member")
         .withColumn("own", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
     )
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    refused = tested.where("not linked").select(F.explode(F.array(
-        F.struct(F.col("a").alias("member"), F.col("b").alias("other")),
-        F.struct(F.col("b").alias("member"), F.col("a").alias("other")))).alias("pair"))
-    failed = refused.groupBy("pair.member").agg(F.collect_set("pair.other").alias("failed"))
-    columns = ["bucket", "i", "j", "member", "component", "n_shingles", "registers"]
-    asking = (
-        rows.where("component != largest").join(failed, "member", "left")
-        .withColumn("i", F.col("own")).withColumn("j", every).select(*columns, "failed")
-    )
-    answering = rows.withColumn("j", F.col("own")).withColumn("i", every).select(
+
+    def dealt(placed: DataFrame) -> DataFrame:
+        unit = F.xxhash64("bucket", "i", "j")
+        share = F.xxhash64("largest", F.pmod(unit, F.col("shares")))
+        return placed.withColumn("unit", unit).withColumn("dealt", F.pmod(share, F.lit(groups)).cast("int"))
+
+    columns = ["dealt", "unit", "member", "component", "n_shingles", "registers"]
+    asking = dealt(
+        rows.where("component != largest").withColumn("i", F.col("own")).withColumn("j", every)).select(*columns)
+    answering = dealt(rows.withColumn("j", F.col("own")).withColumn("i", every)).select(
         *[F.col(c).alias(f"{c}2") for c in columns])
+    # Texts come once per task, on rows of their own.
+    present = answering.select("dealt2", F.col("member2").alias("member")).distinct()
+    with_text = present.join(texts, "member").select("dealt2", F.col("member").alias("member2"), F.col("text").alias("text2"))
     return (
-        asking.groupBy("bucket", "i", "j").cogroup(answering.groupBy("bucket2", "i2", "j2"))
-        .applyInPandas(_cross(partners), "a long, b long").distinct()
+        asking.groupBy("dealt")
+        .cogroup(answering.unionByName(with_text, allowMissingColumns=True).groupBy("dealt2"))
+        .applyInPandas(_cross, "a long, b long").distinct()
     )
 
 
@@ -213,26 +262,21 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK_MEMBERS) -> DataFrame:
     members = cut_lineage(
         usable.groupBy(*name).agg(F.min("doc_id").alias("member"), F.first("registers").alias("registers")))
     buckets = cut_lineage(shared_buckets(members))
-    wanted = small_side(buckets.select(F.col("member").alias("doc_id")).distinct())
+    colliding = buckets.select("member").distinct()
+    wanted = small_side(colliding.withColumnRenamed("member", "doc_id"))
     texts = cut_lineage(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .join(wanted, "doc_id").select(F.col("doc_id").alias("member"), "text")
+        .join(wanted, "doc_id").select(F.col("doc_id").alias("member"), "text").distinct()
     )
     of_document = usable.join(members.drop("registers"), name).select("doc_id", "member")
-    same_id = _same_id_edges(of_document)
+    same_id = cut_lineage(_same_id_edges(of_document))
+    members = cut_lineage(members.join(colliding, "member"))
     stars = buckets.where("member != pivot").select(F.col("member").alias("a"), F.col("pivot").alias("b")).distinct()
-    tested = cut_lineage(verify(stars, members, texts))
-    partners = FIRST_PARTNERS
-    while True:
-        labels = connected_components(tested.where("linked").select("a", "b").union(same_id))
-        pairs = cut_lineage(untested_pairs(buckets, members, labels, tested, partners, block))
-        if pairs.isEmpty():
-            break
-        found = verify(pairs, members, texts)
-        # What the sketches or sets refuse counts as tested, too.
-        found = pairs.join(found, ["a", "b"], "left").select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked"))
-        tested = cut_lineage(tested.union(found))
-        partners *= MORE_PARTNERS
+    links = verify(stars, members, texts).where("linked").select("a", "b").union(same_id)
+    links = cut_lineage(links)
+    labels = connected_components(links)
+    across = links_across(buckets, members, texts, labels, block)
+    labels = connected_components(links.union(across))
     component = of_document.join(labels.withColumnRenamed("node", "member"), "member", "left").select(
         "doc_id", F.coalesce("component", "member").alias("component_id")).distinct()
     return (

@@ -3,9 +3,10 @@
 A register is a truncated, exponentially spaced minimum: over the elements of a
 set an exponential variate per register is drawn from a hash, and the register
 holds ``floor(1 - log_b(minimum))`` cut to ``[0, q + 1]``.  Registers of a union
-are the larger of the registers of its parts, and two sets agree in a register
-with a probability close to their Jaccard similarity, so bands of registers work
-as locality-sensitive keys.
+are the larger of the registers of its parts.  With a base close to 1 two sets
+agree in a register with a probability close to their Jaccard similarity, and
+unrelated sets hardly ever, so bands of registers work as locality-sensitive
+keys.
 """
 
 from __future__ import annotations
@@ -13,11 +14,12 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-BASE = 1.2
+BASE = 1.001
 RATE = 20.0
-TOP = 254  # q: registers fit a byte
+TOP = 2**16 - 2  # q: registers fit two bytes
+REGISTER = np.dtype("<u2")
 BANDS = 40
-ROWS_PER_BAND = 4  # four one-byte registers make one 32-bit key
+ROWS_PER_BAND = 4  # four registers make one 64-bit key
 REGISTERS = BANDS * ROWS_PER_BAND
 SHINGLE_WORDS = 5
 _CHUNK = 512
@@ -59,7 +61,7 @@ def shingles(text: str | None) -> np.ndarray:
 def registers(elements: np.ndarray) -> np.ndarray:
     """Registers of a set of 64-bit hashes; all zero for the empty set."""
     if not len(elements):
-        return np.zeros(REGISTERS, dtype=np.uint8)
+        return np.zeros(REGISTERS, dtype=REGISTER)
     # The smallest exponential variate belongs to the largest uniform one.
     highest = np.zeros(REGISTERS, dtype=np.uint64)
     for start in range(0, len(elements), _CHUNK):
@@ -67,13 +69,18 @@ def registers(elements: np.ndarray) -> np.ndarray:
         np.maximum(highest, part.max(axis=0), out=highest)
     below_one = (np.float64(2.0**64) - highest.astype(np.float64)).clip(min=1) / 2.0**64
     least = -np.log1p(-below_one.clip(max=1 - 2.0**-53)) / RATE
-    return np.clip(np.floor(1 - np.log(least) / np.log(BASE)), 0, TOP + 1).astype(np.uint8)
+    return np.clip(np.floor(1 - np.log(least) / np.log(BASE)), 0, TOP + 1).astype(REGISTER)
 
 
 def band_keys(register_rows: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band: its number and its four registers."""
-    packed = np.ascontiguousarray(register_rows).view("<u4").astype(np.int64)
-    return packed + (np.arange(BANDS, dtype=np.int64) << 32)
+    """One 64-bit key per band, from its number and its four registers."""
+    packed = np.ascontiguousarray(register_rows).view("<u8")
+    return mixed(packed ^ mixed(np.arange(1, BANDS + 1, dtype=np.uint64))).view(np.int64)
+
+
+def unpacked(column) -> np.ndarray:
+    """A matrix of registers from an iterable of their bytes."""
+    return np.frombuffer(b"".join(column), REGISTER).reshape(-1, REGISTERS)
 
 
 def estimate_jaccard(larger: np.ndarray, smaller: np.ndarray, equal: np.ndarray,
