@@ -47,7 +47,7 @@ PLAUSIBLE = PERCENT / 100 - MARGIN
 LEAST_EQUAL = int(0.8 * PLAUSIBLE * REGISTERS)
 BLOCK_MEMBERS = 8192
 # Bucket members that one task compares, and pairs of sketches looked at together.
-_GROUP_MEMBERS = 16_384
+_GROUP_MEMBERS = 4096
 _COMPARED = 100_000
 # Sets and refused pairs that a task remembers.
 _HELD_SETS = 10_000
@@ -243,13 +243,17 @@ def links_across(buckets: DataFrame, members: DataFrame, texts: DataFrame, label
     asking = dealt(
         rows.where("component != largest").withColumn("i", F.col("own")).withColumn("j", every)).select(*columns)
     answering = dealt(rows.withColumn("j", F.col("own")).withColumn("i", every)).select(
-        *[F.col(c).alias(f"{c}2") for c in columns])
-    # Texts come once per task, on rows of their own.
+        *[F.col(c).alias(f"{c}2") for c in columns], F.lit(None).cast("string").alias("text2"))
+    # Texts come once per task, on rows of their own.  Their other columns are zero,
+    # not null, which would turn whole columns of 64-bit numbers into floats.
     present = answering.select("dealt2", F.col("member2").alias("member")).distinct()
-    with_text = present.join(texts, "member").select("dealt2", F.col("member").alias("member2"), F.col("text").alias("text2"))
+    zero = F.lit(0).cast("long")
+    with_text = present.join(texts, "member").select(
+        "dealt2", zero.alias("unit2"), F.col("member").alias("member2"), zero.alias("component2"),
+        zero.alias("n_shingles2"), F.lit(b"").alias("registers2"), F.col("text").alias("text2"))
     return (
         asking.groupBy("dealt")
-        .cogroup(answering.unionByName(with_text, allowMissingColumns=True).groupBy("dealt2"))
+        .cogroup(answering.unionByName(with_text).groupBy("dealt2"))
         .applyInPandas(_cross, "a long, b long").distinct()
     )
 

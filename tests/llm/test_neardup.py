@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clientele.llm import components, neardup, setsketch
 
@@ -57,6 +58,25 @@ def test_against_brute_force(documents, seed, block):
     assert sorted((str(r[0]), r[1], str(r[2]), r[3]) for r in out) == brute(rows)
 
 
+@pytest.mark.parametrize("block", [8192, 3])
+def test_links_across_components(spark, documents, block):
+    """With every member a component of its own, all links come from the buckets."""
+    rows = variants(4)
+    docs = documents(rows)
+    usable = neardup.sketch_documents(docs).where("n_shingles > 0")
+    members = usable.groupBy("high", "low", "n_shingles").agg(
+        F.min("doc_id").alias("member"), F.first("registers").alias("registers")).cache()
+    buckets = neardup.shared_buckets(members).withColumn("n", F.lit(3)).cache()
+    texts = docs.select(F.col("doc_id").alias("member"), "text")
+    none = spark.createDataFrame([], "node long, component long")
+    links = neardup.links_across(buckets, members, texts, none, block)
+    ids = {r["member"] for r in members.collect()}
+    expected = {i: int(c) for i, _, c, _ in brute([r for r in rows if r[0] in ids])}
+    found = {r["node"]: r["component"] for r in components.connected_components(links).collect()}
+    assert {str(i): found.get(i, i) for i in ids} == expected
+    assert len(found) > 20
+
+
 def test_odd_documents(odd_documents):
     rows = [(r["doc_id"], r["text"]) for r in odd_documents.collect()]
     out = neardup.near_duplicates(odd_documents).collect()
