@@ -57,6 +57,20 @@ class Runs(NamedTuple):
     gram: np.ndarray
 
 
+def distinct_in_text(text: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the first of equal values of a text, in order of text and value, and
+    how many there are of each.
+
+    What a text repeats, even all along, is sent once.
+    """
+    order = np.lexsort((value, text))
+    if not len(order):
+        return order, order
+    fresh = np.r_[True, (np.diff(text[order]) != 0) | (np.diff(value[order]) != 0)]
+    heads = np.flatnonzero(fresh)
+    return order[heads], np.diff(np.r_[heads, len(order)])
+
+
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     out, reach = values, 1
     while 2 * reach <= width:

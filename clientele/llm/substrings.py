@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.anchors import RollingHash, Runs, anchored_runs
+from clientele.llm.anchors import RollingHash, Runs, anchored_runs, distinct_in_text
 from clientele.llm.contents import by_content
 from clientele.llm.words import word_count, words
 
@@ -76,7 +76,9 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs = batch.column("doc").to_numpy()
         for first, tokens, lengths in _grouped(batch):
             runs = _runs(tokens, lengths)
-            yield pa.RecordBatch.from_arrays([pa.array(runs.gram), pa.array(docs[first + runs.text])], ["gram", "doc"])
+            rows, _ = distinct_in_text(runs.text, runs.gram)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(runs.gram[rows]), pa.array(docs[first + runs.text[rows]])], ["gram", "doc"])
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,14 +93,27 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = last - start + 1
             step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
             of, place = np.repeat(text, counts), np.repeat(start, counts) + step
+            if not len(of):
+                continue
+            name = _FIRST(tokens, WINDOW).view(np.int64)
+            rows, _ = distinct_in_text(of, name[begins[of] + place])
+            of, place = of[rows], place[rows]
             at = begins[of] + place
             yield pa.RecordBatch.from_arrays([
-                pa.array(_FIRST(tokens, WINDOW)[at].view(np.int64) if len(at) else np.empty(0, np.int64)),
-                pa.array(_SECOND(tokens, WINDOW)[at].view(np.int64).astype(np.int32) if len(at) else np.empty(0, np.int32)),
+                pa.array(name[at]), pa.array(_SECOND(tokens, WINDOW)[at].view(np.int64).astype(np.int32)),
                 pa.array(docs[first + of]), pa.array(parts[first + of]), pa.array(place.astype(np.int32)),
             ], ["h", "g", "doc", "part", "place"])
 
 
+def _everywhere(found: np.ndarray, text: str) -> np.ndarray:
+    """``found`` with the other places at which the text has the same windows."""
+    names = _FIRST(_word_hashes(text), WINDOW)
+    known, of = np.unique(names[found[:, 0]], return_index=True)
+    at = np.minimum(np.searchsorted(known, names), len(known) - 1)
+    places = np.flatnonzero(known[at] == names)
+    return np.column_stack([places, found[of[at[places]], 1:]])
+
+
 def parse(found: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Factors (start, length, ref_doc, ref_start) from found windows in order.
 
@@ -122,8 +137,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if hits.is_valid:
                 columns = [hits.values.field(i).to_numpy() for i in range(4)]
                 rows = np.stack([c[columns[0] == part].astype(np.int64) for c in columns[1:]], axis=1)
-                rows = np.unique(rows, axis=0)
-                rows = rows[np.r_[True, np.diff(rows[:, 0]) != 0]] if len(rows) else rows
+                rows = _everywhere(rows, text.as_py()) if len(rows) else rows
             found = parse(rows)
             edge = np.zeros(len(listed) + 1, dtype=np.int64)
             for start, length, _, _ in found:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.anchors import RollingHash, Runs, anchored_runs
+from clientele.llm.anchors import RollingHash, Runs, anchored_runs, distinct_in_text
 from clientele.llm.contents import by_content
 from clientele.llm.setsketch import mixed
 
@@ -75,7 +75,10 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs = batch.column("doc").to_numpy()
         for first, data, lengths in _grouped(batch):
             runs = _runs(data, lengths)
-            yield pa.RecordBatch.from_arrays([pa.array(runs.gram), pa.array(docs[first + runs.text])], ["gram", "doc"])
+            rows, n = distinct_in_text(runs.text, runs.gram)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(runs.gram[rows]), pa.array(docs[first + runs.text[rows]]), pa.array(n.astype(np.int32))],
+                ["gram", "doc", "n"])
 
 
 def _leading(raw: bytes, places: np.ndarray) -> np.ndarray:
@@ -315,8 +318,8 @@ def remove_repeated_strings(docs: DataFrame, carry: list[str] | None = None, who
     n_bytes = F.octet_length("text").cast("long")
     short, copies, bearers = by_content(docs, carry, n_bytes >= LENGTH, n_bytes=n_bytes)
     # All three uses take the same columns, so that the texts are shuffled once.
-    anchors = bearers.mapInArrow(_anchor_rows, "gram long, doc long")
-    shared = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    anchors = bearers.mapInArrow(_anchor_rows, "gram long, doc long, n int")
+    shared = anchors.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1")
     lists = (
         anchors.join(shared.select("gram"), "gram", "left_semi")
         .groupBy("doc").agg(F.collect_set("gram").alias("grams"))
