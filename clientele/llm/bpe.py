@@ -38,7 +38,7 @@ from clientele.llm.lexicon import NOT_FOUND, Lexicon, compile_words
 from clientele.sources.files import cut_lineage, shared_dir
 
 LEXICON_WORDS = 262_144
-_CACHE_WORDS = 120_000
+_CACHE_WORDS = 80_000
 _ID_BITS = 17
 _ID_MASK = (1 << _ID_BITS) - 1
 _NO_PAIR = 1 << 62

@@ -48,10 +48,10 @@ LEAST_EQUAL = int(0.8 * PLAUSIBLE * REGISTERS)
 BLOCK_MEMBERS = 8192
 # Bucket members that one task compares, and pairs of sketches looked at together.
 _GROUP_MEMBERS = 4096
-_COMPARED = 100_000
+_COMPARED = 20_000
 # Sets and refused pairs that a task remembers.
-_HELD_SETS = 10_000
-_HELD_PAIRS = 500_000
+_HELD_SETS = 2_000
+_HELD_PAIRS = 100_000
 _SKETCH = "doc_id long, n_shingles long, high long, low long, registers binary"
 
 
