@@ -46,13 +46,16 @@ PLAUSIBLE = PERCENT / 100 - MARGIN
 # Registers that agree in any plausible pair; sketches below it skip the estimate.
 LEAST_EQUAL = int(0.8 * PLAUSIBLE * REGISTERS)
 BLOCK_MEMBERS = 8192
-# Bucket members that one task compares, and pairs of sketches looked at together.
+# Bucket members that small buckets bring to one task, and pairs of sketches looked
+# at together.  A task has one block that asks and one that answers at most beside.
 _GROUP_MEMBERS = 4096
 _COMPARED = 20_000
 # Sets and refused pairs that a task remembers.
 _HELD_SETS = 2_000
 _HELD_PAIRS = 100_000
 _SKETCH = "doc_id long, n_shingles long, high long, low long, registers binary"
+_PLACED = ["dealt", "unit", "member", "component", "n_shingles", "registers"]
+_PLACED_SCHEMA = "dealt long, unit long, member long, component long, n_shingles long, registers binary"
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,14 +183,12 @@ class _Links:
             self.refused.add(pair)
 
 
-def _cross(asking: pd.DataFrame, answering: pd.DataFrame) -> pd.DataFrame:
-    """Links between components among the members of some buckets, bucket by bucket."""
-    answering = answering.rename(columns=lambda c: c.removesuffix("2"))
-    has_text = answering["text"].notna()
-    links = _Links(answering["member"][has_text], answering["text"][has_text])
-    answering = answering[~has_text]
-    (regs_a, n_a, id_a, comp_a), (regs_b, n_b, id_b, comp_b) = (
-        (unpacked(rows["registers"]), *(rows[c].to_numpy() for c in ("n_shingles", "member", "component")))
+def _pairs(asking: pd.DataFrame, answering: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of both sides that make plausible pairs between components, bucket by bucket, the likely ones first."""
+    if not len(asking) or not len(answering):
+        return
+    (regs_a, n_a, comp_a), (regs_b, n_b, comp_b) = (
+        (unpacked(rows["registers"]), rows["n_shingles"].to_numpy(), rows["component"].to_numpy())
         for rows in (asking, answering))
     units_b = answering.groupby("unit", sort=False).indices
     for unit, a in asking.groupby("unit", sort=False).indices.items():
@@ -202,16 +203,39 @@ def _cross(asking: pd.DataFrame, answering: pd.DataFrame) -> pd.DataFrame:
                 continue
             guess = estimate_rows(regs_a[x], regs_b[y], n_a[x], n_b[y])
             good = np.flatnonzero(guess >= PLAUSIBLE)
-            for i in good[np.argsort(-guess[good], kind="stable")]:
-                links.try_pair(int(id_a[x[i]]), int(comp_a[x[i]]), int(id_b[y[i]]), int(comp_b[y[i]]))
+            good = good[np.argsort(-guess[good], kind="stable")]
+            yield x[good], y[good]
+
+
+def _in_pairs(asking: pd.DataFrame, answering: pd.DataFrame) -> pd.DataFrame:
+    """The rows of both sides that are in a plausible pair."""
+    answering = answering.rename(columns=lambda c: c.removesuffix("2"))
+    of_a, of_b = np.zeros(len(asking), dtype=bool), np.zeros(len(answering), dtype=bool)
+    for x, y in _pairs(asking, answering):
+        of_a[x], of_b[y] = True, True
+    return pd.concat([asking[of_a].assign(asks=True), answering[of_b].assign(asks=False)])
+
+
+def _cross(asking: pd.DataFrame, answering: pd.DataFrame) -> pd.DataFrame:
+    """Links between components among the members of some buckets, bucket by bucket."""
+    answering = answering.rename(columns=lambda c: c.removesuffix("2"))
+    has_text = answering["text"].notna()
+    links = _Links(answering["member"][has_text], answering["text"][has_text])
+    answering = answering[~has_text]
+    (id_a, comp_a), (id_b, comp_b) = (
+        (rows["member"].to_numpy(), rows["component"].to_numpy()) for rows in (asking, answering))
+    for x, y in _pairs(asking, answering):
+        for i, j in zip(x, y, strict=True):
+            links.try_pair(int(id_a[i]), int(comp_a[i]), int(id_b[j]), int(comp_b[j]))
     return pd.DataFrame(links.found, columns=["a", "b"], dtype="int64")
 
 
-def links_across(buckets: DataFrame, members: DataFrame, texts: DataFrame, labels: DataFrame, block: int) -> DataFrame:
-    """Links (a, b) that join the components of members sharing a bucket.
+def dealt_sides(buckets: DataFrame, members: DataFrame, labels: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Asking and answering members of the buckets that have several components.
 
-    Every plausible pair between components that shares a bucket is verified,
-    unless links found before have joined its components.
+    Both have the task (dealt) and the part of a bucket (unit) they are compared
+    in.  Members outside the largest component ask, in blocks of their own, and
+    all answer; every block that asks meets every block that answers, once.
     """
     labelled = (
         buckets.where("n > 2").select("bucket", "member")
@@ -219,41 +243,66 @@ def links_across(buckets: DataFrame, members: DataFrame, texts: DataFrame, label
         .withColumn("component", F.coalesce("component", "member"))
     )
     parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    divided = cut_lineage(parts.groupBy("bucket").agg(
-        F.max(F.struct("n", "component"))["component"].alias("largest"),
-        F.sum("n").alias("n"), F.count("*").alias("components"),
-    ).where("components > 1"))
-    # Buckets around one component meet in a task, as many tasks as its rows need;
-    # a bucket of many members is compared block by block.
-    around = divided.groupBy("largest").agg(F.ceil(F.sum("n") / _GROUP_MEMBERS).alias("shares"))
-    groups = max(1, -(-(divided.agg(F.sum("n")).first()[0] or 0) // _GROUP_MEMBERS))
+    most = F.max(F.struct("n", "component"))
+    divided = cut_lineage(
+        parts.groupBy("bucket").agg(
+            most["component"].alias("largest"), F.sum("n").alias("n"), (F.sum("n") - most["n"]).alias("m"))
+        .where("m > 0")
+        .withColumn("asking", F.ceil(F.col("m") / block).cast("int"))
+        .withColumn("answering", F.ceil(F.col("n") / block).cast("int"))
+        .withColumn("size", F.ceil(F.col("m") / F.col("asking")) + F.ceil(F.col("n") / F.col("answering")))
+        .withColumn("alone", F.col("size") >= _GROUP_MEMBERS)
+    )
+    # Large units are tasks of their own.  Small ones around one component meet in
+    # a task, as many tasks as their rows need.
+    small = divided.where("not alone").withColumn("size", F.expr("size * asking * answering"))
+    around = small.groupBy("largest").agg(F.ceil(F.sum("size") / _GROUP_MEMBERS).alias("shares"))
+    groups = max(1, -(-(small.agg(F.sum("size")).first()[0] or 0) // _GROUP_MEMBERS))
     rows = (
-        labelled.join(divided.join(around, "largest").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")), "bucket")
+        labelled.join(divided.join(around, "largest", "left"), "bucket")
         .join(members.select("member", "n_shingles", "registers"), "member")
-        .withColumn("own", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
     )
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
 
-    def dealt(placed: DataFrame) -> DataFrame:
+    def side(placed: DataFrame, own: str, other: str) -> DataFrame:
+        blocks = {"i": "asking", "j": "answering"}
         unit = F.xxhash64("bucket", "i", "j")
         share = F.xxhash64("largest", F.pmod(unit, F.col("shares")))
-        return placed.withColumn("unit", unit).withColumn("dealt", F.pmod(share, F.lit(groups)).cast("int"))
+        return (
+            placed.withColumn(own, F.pmod(F.xxhash64("member"), F.col(blocks[own])).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(blocks[other]) - 1)))
+            .withColumn("unit", unit)
+            .withColumn("dealt", F.when(F.col("alone"), unit).otherwise(F.pmod(share, F.lit(groups))))
+            .select(*_PLACED)
+        )
+
+    return side(rows.where("component != largest"), "i", "j"), side(rows, "j", "i")
 
-    columns = ["dealt", "unit", "member", "component", "n_shingles", "registers"]
-    asking = dealt(
-        rows.where("component != largest").withColumn("i", F.col("own")).withColumn("j", every)).select(*columns)
-    answering = dealt(rows.withColumn("j", F.col("own")).withColumn("i", every)).select(
-        *[F.col(c).alias(f"{c}2") for c in columns], F.lit(None).cast("string").alias("text2"))
+
+def links_across(buckets: DataFrame, members: DataFrame, texts: DataFrame, labels: DataFrame, block: int) -> DataFrame:
+    """Links (a, b) that join the components of members sharing a bucket.
+
+    Every plausible pair between components that shares a bucket is verified,
+    unless links found before have joined its components.
+    """
+    def second(rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(c).alias(f"{c}2") for c in _PLACED])
+
+    asking, answering = dealt_sides(buckets, members, labels, block)
+    # Sketches alone tell which members are in a plausible pair.  Only these come
+    # to the second comparison, and only they take their texts along.
+    paired = cut_lineage(
+        asking.groupBy("dealt").cogroup(second(answering).groupBy("dealt2"))
+        .applyInPandas(_in_pairs, f"{_PLACED_SCHEMA}, asks boolean"))
     # Texts come once per task, on rows of their own.  Their other columns are zero,
     # not null, which would turn whole columns of 64-bit numbers into floats.
-    present = answering.select("dealt2", F.col("member2").alias("member")).distinct()
     zero = F.lit(0).cast("long")
-    with_text = present.join(texts, "member").select(
-        "dealt2", zero.alias("unit2"), F.col("member").alias("member2"), zero.alias("component2"),
+    with_text = paired.select("dealt", "member").distinct().join(texts, "member").select(
+        F.col("dealt").alias("dealt2"), zero.alias("unit2"), F.col("member").alias("member2"), zero.alias("component2"),
         zero.alias("n_shingles2"), F.lit(b"").alias("registers2"), F.col("text").alias("text2"))
+    answers = second(paired.where("not asks")).withColumn("text2", F.lit(None).cast("string"))
     return (
-        asking.groupBy("dealt")
-        .cogroup(answering.unionByName(with_text).groupBy("dealt2"))
+        paired.where("asks").select(*_PLACED).groupBy("dealt")
+        .cogroup(answers.unionByName(with_text).groupBy("dealt2"))
         .applyInPandas(_cross, "a long, b long").distinct()
     )
 

@@ -77,6 +77,35 @@ def test_links_across_components(spark, documents, block):
     assert len(found) > 20
 
 
+@pytest.mark.parametrize("group", [1, 8])
+def test_links_across_several_tasks(monkeypatch, spark, documents, group):
+    """The blocks of a bucket are compared in different tasks."""
+    monkeypatch.setattr(neardup, "_GROUP_MEMBERS", group)
+    test_links_across_components(spark, documents, 3)
+
+
+@pytest.mark.parametrize("strays", [1, 70])
+def test_tasks_do_not_grow_with_a_bucket(monkeypatch, spark, strays):
+    monkeypatch.setattr(neardup, "_GROUP_MEMBERS", 40)
+    block, n = 50, 2000
+    members = spark.range(n).select(
+        F.col("id").alias("member"), F.lit(9).cast("long").alias("n_shingles"), F.lit(bytes(320)).alias("registers"))
+    buckets = members.select(F.lit(1).cast("long").alias("bucket"), "member", F.lit(n).alias("n"))
+    labels = spark.range(strays, n).select(F.col("id").alias("node"), F.lit(strays).cast("long").alias("component"))
+    sides = neardup.dealt_sides(buckets, members, labels, block)
+    blocks = -(-strays // block), n // block
+    for side, copies, of in zip(sides, reversed(blocks), (strays, n), strict=True):
+        tasks = side.groupBy("dealt").count().collect()
+        assert sum(r["count"] for r in tasks) == of * copies
+        assert max(r["count"] for r in tasks) <= 2 * block
+    asked, answered = ({tuple(r) for r in side.select("unit", "member").collect()} for side in sides)
+    by_unit = {}
+    for unit, member in answered:
+        by_unit.setdefault(unit, set()).add(member)
+    met = [(x, y) for unit, x in asked for y in by_unit.get(unit, ())]
+    assert len(met) == len(set(met)) == strays * n
+
+
 def test_odd_documents(odd_documents):
     rows = [(r["doc_id"], r["text"]) for r in odd_documents.collect()]
     out = neardup.near_duplicates(odd_documents).collect()
