@@ -37,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_POSITIVES = 3000
-MAX_UNLABELLED = 4000
+MAX_POSITIVES = 4000
+MAX_UNLABELLED = 6000
 MAX_FEATURES = 1024
 MEMBERS = 3
 STEPS = 160
@@ -100,12 +100,12 @@ def _choose_features(positive: list[np.ndarray], unlabelled: list[np.ndarray], l
 
 
 def _presence(texts: list[np.ndarray], features: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(texts), len(features)), dtype=np.float32)
+    out = np.zeros((len(texts), len(features)), dtype=bool)
     for i, ids in enumerate(texts):
         at = np.searchsorted(features, ids)
         at[at == len(features)] = 0
         if len(features):
-            out[i, at[features[at] == ids]] = 1
+            out[i, at[features[at] == ids]] = True
     return out
 
 
@@ -129,9 +129,10 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     x_p, x_u = _presence(positive, features), _presence(unlabelled, features)
     weights, intercepts = [], []
     for member in range(members):
-        # Rows are drawn by starting places, so that nothing is copied.
+        # One byte a feature is kept; only the rows of one member at a time are numbers.
         draw = np.random.default_rng(member)
-        p, u = (x[draw.integers(0, len(x) // 10 + 1):][: max(1, int(0.9 * len(x)))] for x in (x_p, x_u))
+        p = u = None
+        p, u = (x[draw.permutation(len(x))[: max(1, int(0.9 * len(x)))]].astype(np.float32) for x in (x_p, x_u))
         w, moment, square = (np.zeros(len(features) + 1, dtype=np.float32) for _ in range(3))
         w[-1] = np.log(prior / (1 - prior))
         for step in range(1, steps + 1):

@@ -71,3 +71,23 @@ def test_given_tables(spark):
     held = out.where("held_out").join(labels, "doc_id").collect()
     clean = [r["predicted"] for r in held if r["toxic"] == 0]
     assert sum(clean) <= 0.05 * len(clean)
+
+
+def test_members_have_draws_of_their_own():
+    """The rows that differ lie in the middle, where slices of sorted rows would all have them."""
+    toxic, usual, odd = (np.array([i], dtype=np.uint32) for i in (1, 2, 3))
+    positive = [np.r_[toxic, odd] if 50 <= i < 150 else toxic for i in range(200)]
+    model = toxicity.fit(positive, [usual] * 200, 0.3)
+    assert len({tuple(w) for w in model.weights.T}) == toxicity.MEMBERS
+
+
+def test_sample_bounds():
+    assert (toxicity.MAX_POSITIVES, toxicity.MAX_UNLABELLED) == (4000, 6000)
+
+
+def test_recall_on_held_out_toxic_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    out = toxicity.score_documents(spark.read.parquet(f"{sf}/documents.parquet"), labels)
+    toxic = [r["predicted"] for r in out.where("held_out").join(labels, "doc_id").where("toxic = 1").collect()]
+    assert len(toxic) > 30 and sum(toxic) >= 0.9 * len(toxic)
