@@ -19,7 +19,7 @@ LAST_ID = 2**63 - 1
 class Contents(NamedTuple):
     """All have ``row``, a struct of the carried columns.  ``short`` and
     ``bearers`` have doc and text; ``bearers`` also part, which tells different
-    texts under one id apart.  ``copies`` has the measures asked for."""
+    texts under one id apart.  ``copies`` has first, the bearer, and the measures asked for."""
 
     short: DataFrame
     copies: DataFrame
@@ -37,7 +37,7 @@ def by_content(docs: DataFrame, carry: list[str], is_long: Column, **measures: C
     firsts = named.groupBy("name").agg(F.min("doc").alias("first"))
     copies = (
         named.select("row", "doc", "name", *[c.alias(n) for n, c in measures.items()])
-        .join(firsts, "name").where("doc > first").select("row", *measures)
+        .join(firsts, "name").where("doc > first").select("row", "first", *measures)
     )
     borne = firsts.groupBy(F.col("first").alias("doc")).agg(F.sort_array(F.collect_set("name")).alias("names"))
     # Joined by id alone, so that the texts stay dealt out by it for what follows.

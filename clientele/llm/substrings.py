@@ -8,9 +8,9 @@ The reference is indexed in blocks, the hash partitions of all windows that can
 repeat: windows whose anchor (see ``anchors``) also occurs in another document.
 Text of its own is settled by its anchors, one row for about twenty words.  Each
 indexed window knows its earliest document and a place in it.  Parsing walks a
-document's found windows in order and extends a factor greedily as long as the
-next window continues at the next place of the same reference document; where it
-breaks off, the next window starts another factor, so that windows across a
+document's found windows in order and extends a factor as long as the next window's
+earliest place is the next one of the same document; a factor is not the longest
+match.  Where it breaks off, the next window starts another, so that windows across a
 factor boundary are looked up like all others and no covered word is missed.
 
 The earliest place of a window is a minimum with map-side combining, and the
@@ -158,7 +158,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept (text) and factors of every document.
 
-    A later copy of a whole text has one factor, without reference (null).
+    A later copy of a whole text has one factor, the whole text of its bearer.
     """
     n_words = word_count(F.col("text"))
     # The pattern looks no further than the words it needs.
@@ -184,7 +184,7 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
         _parsed, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_removed long, kept string, factors {_FACTORS}")
     whole = F.array(F.struct(
         F.lit(0).alias("start"), F.col("n_words").cast("int").alias("length"),
-        F.lit(None).cast("long").alias("ref_doc"), F.lit(None).cast("int").alias("ref_start")))
+        F.col("first").alias("ref_doc"), F.lit(0).alias("ref_start")))
     return (
         parsed
         .unionByName(copies.select(

@@ -142,3 +142,11 @@ def test_buckets_in_small_pieces(monkeypatch):
         return gone
 
     assert found(10**9) == found(1) == found(500)
+
+
+def test_whole_copies_refer_to_their_bearer(documents):
+    text = " ".join(f"w{i}" for i in range(60))
+    out = {r["doc_id"]: r["factors"] for r in substrings.remove_repeated_passages(
+        documents([(3, text), (7, text), (9, text)])).collect()}
+    assert out[3] == []
+    assert [tuple(f) for f in out[7]] == [tuple(f) for f in out[9]] == [(0, 60, 3, 0)]
