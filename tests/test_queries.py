@@ -1,5 +1,8 @@
 """Every registered query against its SQL twin on the smallest tables."""
 
+import importlib.util
+import sys
+
 import duckdb
 import pytest
 
@@ -39,5 +42,28 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
+@pytest.mark.parametrize("hidden", [{"clientele.llm"}, {"corpus_pipeline"}, {"clientele.llm", "corpus_pipeline"}])
+def test_entry_without_optional_parts(monkeypatch, hidden):
+    """The other queries are there when the folder, the pipeline, or both are gone."""
+    for name in [m for m in sys.modules if m.startswith("clientele.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    for name in hidden:
+        monkeypatch.setitem(sys.modules, name, None)
+    found, twins = entry_point.queries(), entry_point.oracle_sql()
+    assert "pipeline" not in found and set(QUERIES) <= set(found) and set(ORACLE) <= set(twins)
+    if "clientele.llm" in hidden:
+        assert set(found) == set(QUERIES) and set(twins) == set(ORACLE)
+
+
+def test_a_broken_optional_part_is_an_error(monkeypatch):
+    for name in [m for m in sys.modules if m.startswith("clientele.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "clientele.sources.files", None)
+    if importlib.util.find_spec("clientele.llm") is None:
+        pytest.skip("the optional part is not here")
+    with pytest.raises(ModuleNotFoundError):
+        entry_point.queries()
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
