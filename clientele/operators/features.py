@@ -82,20 +82,31 @@ def visits_of(reviews: DataFrame) -> DataFrame:
     )
 
 
-def _place_facts(reviews: DataFrame, business: DataFrame | None, parts: set[str]) -> DataFrame:
+def merged_visits(visits: DataFrame) -> DataFrame:
+    """Visit sums of several sets of reviews as those of all of them."""
+    return visits.groupBy("user_id", "business_id").agg(*[f(c).alias(c) for c, f in VISIT_SUMS.items()])
+
+
+def _single_visits(reviews: DataFrame) -> DataFrame:
+    """Every review as a visit, for features that need no sums per business."""
+    return reviews.select(
+        "user_id", "business_id", F.lit(1).cast("bigint").alias("n"), F.col("stars").alias("stars_sum"),
+        F.col("stars").isNotNull().cast("bigint").alias("stars_n"))
+
+
+def _place_facts(visits: DataFrame, business: DataFrame | None, parts: set[str]) -> DataFrame:
     """Activity, cities (with their point) and categories of the visits.
 
     The businesses are broadcast when measured to be small enough.  When they
     are not, visits and businesses meet in a shuffle, where AQE splits the
     partition of a business that holds too many of them.
     """
-    visits = visits_of(reviews)
+    sums = [c for c in VISIT_SUMS if c in visits.columns]
     if ACTIVITY in parts:
         # The fact's key tells whether the visit has a business to be counted.
         visits = visits.withColumn("activity", F.when(F.col("business_id").isNotNull(), "business").otherwise(""))
     city = "city" if AREA in parts else None
     categories = "categories" if CATEGORIES in parts else None
-    sums = list(VISIT_SUMS)
     if city or categories:
         place = business.select("business_id", *[c for c in (city, categories) if c])
         small = is_small(place)
@@ -121,14 +132,29 @@ def _text_facts(reviews: DataFrame, parts: set[str]) -> DataFrame:
     return facts.withColumn("n", F.lit(1).cast("bigint"))
 
 
-def _counted_facts(reviews: DataFrame, business: DataFrame | None, parts: set[str]) -> DataFrame:
-    """Sums per (user, kind, key); reviews without a user have no place here."""
+def text_counts(reviews: DataFrame) -> DataFrame:
+    """Counted sentiments and frequent words (user_id, kind, key, n) of reviews with a user."""
+    return merged_texts(_text_facts(reviews.where(F.col("user_id").isNotNull()), {SENTIMENTS, WORDS}))
+
+
+def merged_texts(texts: DataFrame) -> DataFrame:
+    return texts.groupBy("user_id", "kind", "key").agg(F.sum("n").alias("n"))
+
+
+def _fact_sources(reviews: DataFrame, business: DataFrame | None, parts: set[str]) -> list[DataFrame]:
+    """Facts of ``parts``; reviews without a user have no place here."""
     reviews = reviews.where(F.col("user_id").isNotNull())
     sources = []
     if parts & {ACTIVITY, CATEGORIES, AREA}:
-        sources.append(_place_facts(reviews, business, parts))
+        visits = visits_of(reviews) if ACTIVITY in parts else _single_visits(reviews)
+        sources.append(_place_facts(visits, business, parts))
     if parts & {SENTIMENTS, WORDS}:
         sources.append(_text_facts(reviews, parts))
+    return sources
+
+
+def _counted_facts(sources: list[DataFrame], parts: set[str]) -> DataFrame:
+    """Sums per (user, kind, key)."""
     facts = sources[0]
     for more in sources[1:]:
         facts = facts.unionByName(more, allowMissingColumns=True)
@@ -165,6 +191,16 @@ def user_features(
     Maps are empty, and the city null, where a user has nothing to show.
     """
     parts = set(parts)
+    return _gathered(_counted_facts(_fact_sources(reviews, business, parts), parts), parts)
+
+
+def merged_features(visits: DataFrame, texts: DataFrame, business: DataFrame) -> DataFrame:
+    """All features, activity included, from sums that ``merged_visits`` and ``merged_texts`` take in."""
+    parts = {ACTIVITY, *PARTS}
+    return _gathered(_counted_facts([_place_facts(merged_visits(visits), business, parts), texts], parts), parts)
+
+
+def _gathered(facts: DataFrame, parts: set[str]) -> DataFrame:
     made: dict[str, Column] = {}
     if ACTIVITY in parts:
         first, last = F.min(_of("activity", "first_seen")), F.max(_of("activity", "last_seen"))
@@ -193,7 +229,7 @@ def user_features(
     if WORDS in parts:
         made["frequent_words_map"] = _pairs("frequent_words", F.col("n"))
 
-    users = _counted_facts(reviews, business, parts).groupBy("user_id").agg(
+    users = facts.groupBy("user_id").agg(
         *[value.alias(name) for name, value in made.items()]
     )
     if AREA in parts:
@@ -264,7 +300,8 @@ def frequent_words(reviews: DataFrame) -> DataFrame:
 def user_words(reviews: DataFrame) -> DataFrame:
     """The frequent words as rows (user_id, word, n): nothing is gathered per user,
     however many words an account has."""
-    return _counted_facts(reviews, None, {WORDS}).select("user_id", F.col("key").alias("word"), "n")
+    facts = _counted_facts(_fact_sources(reviews, None, {WORDS}), {WORDS})
+    return facts.select("user_id", F.col("key").alias("word"), "n")
 
 
 def friends_counts(friends: DataFrame, empty: tuple[str, ...] = ()) -> DataFrame:

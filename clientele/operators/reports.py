@@ -20,14 +20,18 @@ def user_status(
     loyal_days: int = 365,
 ) -> DataFrame:
     """New, Loyal or Lapsed; null for recent users in between."""
+    return profile.select(
+        "user_id", "first_seen", "last_seen", status_column(as_of, recent_days, loyal_days).alias("user_status"))
+
+
+def status_column(as_of: datetime.date | None = None, recent_days: int = 30, loyal_days: int = 365) -> Column:
     today = F.current_date() if as_of is None else F.lit(as_of)
     idle = F.datediff(today, "last_seen")
-    status = (
+    return (
         F.when(F.datediff(today, "first_seen") <= recent_days, "New")
         .when((idle <= recent_days) & (F.datediff("last_seen", "first_seen") >= loyal_days), "Loyal")
         .when(idle > recent_days, "Lapsed")
     )
-    return profile.select("user_id", "first_seen", "last_seen", status.alias("user_status"))
 
 
 def sentiment_columns() -> list[Column]:

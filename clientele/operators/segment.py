@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
 
@@ -130,6 +130,35 @@ def filter_bounds(profile: DataFrame, columns: Iterable[str]) -> DataFrame:
     ])))
 
 
+def slice_and_dice(
+    profile: DataFrame,
+    dimensions: dict[str, Column],
+    measures: Sequence[str],
+    sets: Sequence[Sequence[str]] | None = None,
+) -> DataFrame:
+    """Users and summed measures by every combination of dimensions, and all totals over some of them.
+
+    ``totals`` tells totals from missing values: its bits, the last dimension's
+    the lowest, are 1 for dimensions summed over; a null where the bit is 0 is a
+    value.  ``sets`` names the groupings wanted; all are made without it.
+
+    The profile is counted by the finest groups first, and only these are
+    repeated for the totals, so the shuffle does not grow with the number of
+    totals times the users.
+    """
+    names = list(dimensions)
+    finest = profile.groupBy(*[c.alias(n) for n, c in dimensions.items()]).agg(
+        F.count("*").alias("users"), *[F.sum(m).alias(m) for m in measures])
+    if sets is None:
+        grouped = finest.cube(*names)
+    else:
+        grouped = finest.groupingSets([[F.col(n) for n in one] for one in sets], *names)
+    return grouped.agg(
+        F.grouping_id(*names).cast("bigint").alias("totals"), F.sum("users").alias("users"),
+        *[F.sum(m).alias(m) for m in measures],
+    )
+
+
 def popular_entries(rows: DataFrame, map_column: str, n: int = 20) -> DataFrame:
     """The ``n`` keys of a count map with the largest sums."""
     return (

@@ -265,6 +265,16 @@ VIEWS["doc_reviews"] = f"""SELECT 'd' || doc_id AS review_id, source AS user_id,
     strftime(DATE '2020-01-01' + (doc_id % 1000)::INT, {_TIME}) AS date, text, sentiment, frequent_words
     FROM documents JOIN ds_label s ON doc_id = s.rid JOIN dw_list w ON doc_id = w.rid"""
 
+# Event reviews as they are sent, three times, with the watermark that each time meets.
+VIEWS["marked_events"] = """SELECT *, (event_id % 11 = 3 AND own = 1) OR (event_id % 11 = 7 AND own = 2) AS withheld
+    FROM (SELECT *, date::TIMESTAMP AS seen, least(3, ceil(day(date::TIMESTAMP) / 10.0))::BIGINT AS own FROM event_rows)"""
+VIEWS["sent_events"] = """SELECT own AS k, * FROM marked_events WHERE NOT withheld
+    UNION ALL SELECT own, * FROM marked_events WHERE NOT withheld AND event_id % 7 = 0
+    UNION ALL SELECT own + 1, * FROM marked_events WHERE NOT withheld AND event_id % 5 = 0 AND own < 3
+    UNION ALL SELECT 3, * FROM marked_events WHERE withheld"""
+VIEWS["watermarks"] = """SELECT t.k, coalesce(max(seen) - INTERVAL 4 DAYS, TIMESTAMP '1970-01-01') AS watermark
+    FROM (VALUES (1), (2), (3), (4)) t(k) LEFT JOIN sent_events s ON s.k < t.k GROUP BY t.k"""
+
 
 def sql(statement: str) -> str:
     """``statement`` with the views it mentions, directly or through others."""
@@ -381,6 +391,8 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
         sentiment FROM ds_label UNION ALL SELECT rid, sentiment FROM ts_label""",
     "nlp_top_words": "SELECT rid AS doc_id, frequent_words FROM dw_list",
     "feat_user_agg": f"SELECT * REPLACE ({_times('first_seen', 'last_seen')}) FROM f_activity",
+    "feat_distinct_sketch": """SELECT user_id, count(DISTINCT business_id) AS businesses, TRUE AS close, TRUE AS merges
+        FROM reviews GROUP BY user_id""",
     "feat_user_agg_view": f"SELECT * REPLACE ({_times('first_seen', 'last_seen')}) FROM f_activity",
     "feat_category_counts": "SELECT * FROM f_categories",
     "feat_category_avg": "SELECT * FROM f_ratings",
@@ -391,6 +403,8 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "feat_user_words": "SELECT user_id, word, n FROM word_n",
     "profile_merge": f"SELECT {_PROFILE} FROM profile",
     "profile_merge_left": f"SELECT {_PROFILE} FROM profile_left",
+    "profile_incremental": f"SELECT {_PROFILE} FROM profile",
+    "profile_streamed": f"SELECT {_PROFILE} FROM profile",
     "pipeline_run": f"SELECT {_PROFILE} FROM profile",
     "pipeline_stream_profile": f"SELECT {_PROFILE} FROM profile",
     "seg_filter_chain": f"SELECT {_PROFILE} FROM segment",
@@ -399,6 +413,16 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
         WHERE list_has_any(string_split(elite, ','), ['1996', '2001'])""",
     "seg_filter_contains": "SELECT user_id, elite FROM profile WHERE elite LIKE '%1997,1999%'",
     "seg_filter_bounds": _BOUNDS,
+    "seg_cube": f"""SELECT user_city AS city, user_status AS status, year(yelping_since) AS joined,
+        grouping_id(user_city, user_status, year(yelping_since)) AS totals, count(*) AS users,
+        sum(review_count)::BIGINT AS review_count, sum(fans)::BIGINT AS fans, sum(useful)::BIGINT AS useful
+        FROM profile JOIN (SELECT user_id, user_status FROM ({_status(10)})) USING (user_id)
+        GROUP BY CUBE (user_city, user_status, year(yelping_since))""",
+    "seg_grouping_sets": f"""SELECT user_city AS city, user_status AS status, year(yelping_since) AS joined,
+        grouping_id(user_city, user_status, year(yelping_since)) AS totals, count(*) AS users,
+        sum(review_count)::BIGINT AS review_count
+        FROM profile JOIN (SELECT user_id, user_status FROM ({_status(10)})) USING (user_id)
+        GROUP BY GROUPING SETS ((user_city, user_status), (year(yelping_since)), ())""",
     "seg_funnel": _FUNNEL,
     "seg_popular_categories": _popular("category_n", "category", 20),
     "seg_popular_words": _popular("word_n", "word", 20),
@@ -430,6 +454,9 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
         round(corr(negative_sentiment, neutral_sentiment), 6) AS negative_neutral FROM pivoted""",
     "bi_category_long": f"""SELECT {_columns([c for c in schemas.REPORT_COLUMNS if c != 'category_map'])},
         category_name, category_count FROM category_of_user""",
+    "bi_variant_pivot": f"SELECT {_REPORT}, positive_sentiment, negative_sentiment, neutral_sentiment FROM pivoted",
+    "bi_variant_long": f"""SELECT {_columns([c for c in schemas.REPORT_COLUMNS if c != 'category_map'])},
+        category_name, category_count FROM category_of_user""",
     "bi_category_reviews": """SELECT category_name, sum(review_count)::BIGINT AS user_reviews_in_category
         FROM category_of_user GROUP BY 1""",
     "bi_top_categories": _top(500),
@@ -450,6 +477,9 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
         max(n) / sum(n)::DOUBLE AS largest_share, quantile_cont(n, 0.5)::DOUBLE AS median,
         quantile_cont(n, 0.99)::DOUBLE AS p99
         FROM (SELECT business_id, count(*) AS n FROM reviews GROUP BY business_id)""",
+    "bi_skew_sketch": """(SELECT 'business' AS kind, business_id AS name, count(*) AS amount FROM reviews
+        GROUP BY business_id ORDER BY amount DESC, name LIMIT 10)
+        UNION ALL SELECT 'quantile', p, 1 FROM (VALUES ('0.1'), ('0.5'), ('0.9'), ('0.99')) t(p)""",
     "bi_model_join": f"""SELECT b.user_id, record_count, review_count, positive_sentiment, negative_sentiment,
         neutral_sentiment, categories, category_count, elite_years, user_status
         FROM (SELECT user_id, count(*) AS record_count FROM labelled GROUP BY user_id) b
@@ -462,6 +492,14 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "stream_decode": """SELECT * EXCLUDE (event_id, ts) FROM event_rows WHERE event_id % 97 <> 0
         UNION ALL SELECT CASE WHEN FALSE THEN '' END, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
         FROM event_rows WHERE event_id % 97 = 0""",
+    "stream_dedup": """SELECT DISTINCT review_id, user_id, business_id, stars, text, date, useful, funny, cool
+        FROM sent_events JOIN watermarks USING (k) WHERE seen > watermark""",
+    "stream_daily": f"""SELECT strftime(date_trunc('day', seen), {_TIME}) AS day, count(*) AS reviews, count(stars) AS rated,
+            round(sum(stars), 2) AS stars_sum
+        FROM sent_events JOIN watermarks USING (k)
+        WHERE date_trunc('day', seen) + INTERVAL 1 DAY > watermark
+            AND date_trunc('day', seen) + INTERVAL 1 DAY <= (SELECT watermark FROM watermarks WHERE k = 4)
+        GROUP BY 1""",
     "stream_file_sink": "SELECT * FROM checkin_rows",
     "stream_tips": "SELECT * EXCLUDE (rid) FROM tips",
     "stream_enrich": f"SELECT * FROM doc_reviews WHERE {_bucket('user_id')} < {_HALF}",

@@ -32,7 +32,10 @@ def build_profile(
     ``inner`` keeps the users that have all features, ``left`` all users.  The
     features arrive hash-partitioned by user, so the join moves only the users.
     """
-    made = features.user_features(reviews, business, (features.ACTIVITY, *features.PARTS))
+    return join_features(users, features.user_features(reviews, business, (features.ACTIVITY, *features.PARTS)), how)
+
+
+def join_features(users: DataFrame, made: DataFrame, how: str = "inner") -> DataFrame:
     if how == "inner":
         made = made.where(features.has_all())
     return users.join(made, "user_id", how).select(*schemas.PROFILE_COLUMNS)

@@ -14,9 +14,10 @@ from pyspark.sql.types import ArrayType, IntegerType, MapType, TimestampNTZType,
 from clientele import schemas
 from clientele.functions.columns import map_text
 from clientele.functions.sentiment import MAX_INLINE_WORDS
-from clientele.operators import cleaning, features, reports, sampling
+from clientele.operators import cleaning, features, reports, sampling, sketches, variants
 from clientele.operators import segment as seg
 from clientele.operators.segment import FilterSpec, Segment
+from clientele.plans.increment import FactStore, refresh_profile, start_fact_sink, stored_profile
 from clientele.plans.profile import RawPaths, build_profile, load_profile, publish_profile, run_batch
 from clientele.sources import files, standins, topics
 from clientele.streaming import ingest
@@ -264,6 +265,23 @@ def feat_user_agg(spark, sf_dir):
     return features.user_activity(_typed_reviews(spark, sf_dir))
 
 
+@query
+def feat_distinct_sketch(spark, sf_dir):
+    """Different businesses of every user, exact and from sketches per year and of two halves."""
+    reviews = _typed_reviews(spark, sf_dir).select("review_id", "user_id", "business_id", F.year("date").alias("year"))
+    exact = reviews.groupBy("user_id").agg(F.count_distinct("business_id").alias("businesses"))
+    half = F.crc32("review_id") % 2
+    yearly = sketches.distinct_sketches(reviews, ["user_id", "year"], "business_id")
+    halves = [sketches.distinct_sketches(reviews.where(half == k), ["user_id"], "business_id") for k in (0, 1)]
+    whole, merged = (
+        sketches.merged_sketches(parts, ["user_id"]).select("user_id", sketches.distinct_estimate().alias(name))
+        for name, parts in (("whole", yearly), ("merged", halves[0].unionByName(halves[1]))))
+    off = F.abs(F.col("whole") - F.col("businesses"))
+    return exact.join(whole, "user_id").join(merged, "user_id").select(
+        "user_id", "businesses", (off <= 3 * sketches.DISTINCT_ERROR * F.col("businesses") + 0.5).alias("close"),
+        (F.col("whole") == F.col("merged")).alias("merges"))
+
+
 @query
 def feat_user_agg_view(spark, sf_dir):
     """The activity measures over a registered view."""
@@ -316,6 +334,46 @@ def profile_merge_left(spark, sf_dir):
     return _profile(spark, sf_dir, "left")
 
 
+@query
+def profile_incremental(spark, sf_dir):
+    """Built from two thirds of the reviews, compacted, then refreshed with the last third alone."""
+    out = _scratch(spark, sf_dir, "facts")
+    store = FactStore(spark, f"{out}/store")
+    users, business = cleaning.clean_users(standins.raw_users(spark, sf_dir)), _business(spark, sf_dir)
+    third = F.pmod(F.crc32("review_id"), F.lit(3))
+
+    def batch(number):
+        return review_table(spark, sf_dir).where(third == number)
+
+    for number in (0, 1):
+        store.add(batch(number), "files", number)
+    store.compact()
+    files.save_parquet(stored_profile(store, users, business), f"{out}/profile")
+    part = store.add(batch(2), "files", 2)
+    return refresh_profile(spark.read.parquet(f"{out}/profile"), store, part, users, business)
+
+
+@query
+def profile_streamed(spark, sf_dir):
+    """Some reviews come in files and the others as messages, some of these twice; nothing is read again."""
+    out = _scratch(spark, sf_dir, "fact-stream")
+    store = FactStore(spark, f"{out}/store")
+    enrich = cleaning.review_enricher(lexicon(spark))
+    raw = standins.raw_reviews(spark, sf_dir)
+    third = F.pmod(F.crc32("review_id"), F.lit(3))
+    store.add(enrich(raw.where(third == 0)), "files", 0)
+    again = F.pmod(F.crc32(F.reverse("review_id")), F.lit(4)) == 0
+    sent = (raw.where(third == 1), raw.where((third == 2) | ((third == 1) & again)))
+    for rows in sent:
+        _send(rows, f"{out}/messages")
+        decoded = topics.decode(topics.read_replay(spark, f"{out}/messages"), schemas.REVIEW)
+        # Orders of many years come in any order here.
+        _finish(start_fact_sink(
+            ingest.once_by_id(decoded, "5000 days"), store, "messages", f"{out}/checkpoint", enrich, NOW))
+    users, business = cleaning.clean_users(standins.raw_users(spark, sf_dir)), _business(spark, sf_dir)
+    return stored_profile(store, users, business)
+
+
 def _raw_files(spark, sf_dir, folder: str, **parts: DataFrame) -> RawPaths:
     """The raw records as JSON files; ``parts`` replaces some of them."""
     raw = {
@@ -392,6 +450,23 @@ def seg_filter_bounds(spark, sf_dir):
     return seg.filter_bounds(profile_table(spark, sf_dir), [f.column for f in seg.DEFAULT_FILTERS])
 
 
+@query
+def seg_cube(spark, sf_dir):
+    """Users by city, status and year of joining, with all totals."""
+    dimensions = {
+        "city": F.col("user_city"), "status": reports.status_column(AS_OF, 10), "joined": F.year("yelping_since")}
+    return seg.slice_and_dice(profile_table(spark, sf_dir), dimensions, ("review_count", "fans", "useful"))
+
+
+@query
+def seg_grouping_sets(spark, sf_dir):
+    """The same by city and status, and by year, and over all."""
+    dimensions = {
+        "city": F.col("user_city"), "status": reports.status_column(AS_OF, 10), "joined": F.year("yelping_since")}
+    sets = (("city", "status"), ("joined",), ())
+    return seg.slice_and_dice(profile_table(spark, sf_dir), dimensions, ("review_count",), sets)
+
+
 @query
 def seg_funnel(spark, sf_dir):
     return _segment(spark, sf_dir).funnel()
@@ -482,6 +557,24 @@ def bi_category_long(spark, sf_dir):
     return reports.category_long(profile_table(spark, sf_dir))
 
 
+def _variants(spark, sf_dir) -> DataFrame:
+    name = f"variants_{uuid.uuid4().hex[:8]}"
+    variants.publish_variants(profile_table(spark, sf_dir), name, path=_scratch(spark, sf_dir, "variants"))
+    return variants.load_variants(spark, name)
+
+
+@query
+def bi_variant_pivot(spark, sf_dir):
+    """Sentiment counts by path from a profile published with variants."""
+    return variants.sentiment_pivot(_variants(spark, sf_dir))
+
+
+@query
+def bi_variant_long(spark, sf_dir):
+    """Categories flattened from a profile published with variants."""
+    return variants.category_long(_variants(spark, sf_dir))
+
+
 @query
 def bi_category_reviews(spark, sf_dir):
     return reports.category_reviews(profile_table(spark, sf_dir))
@@ -537,6 +630,20 @@ def bi_key_skew(spark, sf_dir):
     return reports.key_skew(standins.raw_reviews(spark, sf_dir), "business_id")
 
 
+@query
+def bi_skew_sketch(spark, sf_dir):
+    """The ten businesses with most reviews, and whether quantiles of text lengths are within their error."""
+    reviews = standins.raw_reviews(spark, sf_dir).select("business_id", F.octet_length("text").cast("long").alias("bytes"))
+    heavy = sketches.heavy_keys(reviews, "business_id", 10).select(
+        F.lit("business").alias("kind"), F.col("business_id").alias("name"), F.col("rows").alias("amount"))
+    found = sketches.quantiles(reviews, "bytes", (0.1, 0.5, 0.9, 0.99))
+    error = 2 * sketches.RANK_ERROR
+    within = (F.col("below") - error <= F.col("probability")) & (F.col("probability") <= F.col("up_to") + error)
+    return heavy.unionByName(sketches.rank_span(reviews, "bytes", found).select(
+        F.lit("quantile").alias("kind"), F.col("probability").cast("string").alias("name"),
+        within.cast("bigint").alias("amount")))
+
+
 @query
 def bi_model_join(spark, sf_dir):
     profile = profile_table(spark, sf_dir)
@@ -550,6 +657,49 @@ def _finish(started) -> None:
     started.awaitTermination()
 
 
+def _send(rows: DataFrame, path: str) -> None:
+    """Adds messages to a topic's replay folder."""
+    topics.as_messages(rows).select(F.col("value").cast("string")).write.mode("append").text(path)
+
+
+def _sent_events(spark, sf_dir) -> list[DataFrame]:
+    """Event reviews as three times they are sent: ten days each, some of them again
+    with the next, some twice, and some of the first and the second only with the third."""
+    rows = standins.event_reviews(standins.table(spark, sf_dir, "events"))
+    number = F.substring("review_id", 2, 20).cast("bigint")
+    time = F.least(F.lit(3), F.ceil(F.day(F.col("date").cast("timestamp")) / 10))
+    withheld = ((number % 11 == 3) & (time == 1)) | ((number % 11 == 7) & (time == 2))
+    out = []
+    for k in (1, 2, 3):
+        own = rows.where((time == k) & ~withheld)
+        sent = own.unionByName(own.where(number % 7 == 0)).unionByName(
+            rows.where((time == k - 1) & ~withheld & (number % 5 == 0)))
+        out.append(sent if k < 3 else sent.unionByName(rows.where(withheld)))
+    return out
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """Each review once, over three starts of the same query; what comes over four days late is left out."""
+    out = _scratch(spark, sf_dir, "stream-dedup")
+    for rows in _sent_events(spark, sf_dir):
+        _send(rows, f"{out}/messages")
+        decoded = topics.decode(topics.read_replay(spark, f"{out}/messages", files_per_trigger=1000), schemas.REVIEW)
+        _finish(ingest.start_file_sink(ingest.once_by_id(decoded, "4 days"), out, "reviews", NOW))
+    return ingest.read_sink(spark, out, "reviews")
+
+
+@query
+def stream_daily(spark, sf_dir):
+    """Messages by day, for the days that the watermark has passed; late ones count while their day is open."""
+    out = _scratch(spark, sf_dir, "stream-daily")
+    for rows in _sent_events(spark, sf_dir):
+        _send(rows, f"{out}/messages")
+        decoded = topics.decode(topics.read_replay(spark, f"{out}/messages", files_per_trigger=1000), schemas.REVIEW)
+        _finish(ingest.start_file_sink(ingest.daily_counts(decoded, "4 days"), out, "daily", NOW))
+    return ingest.read_sink(spark, out, "daily").withColumn("stars_sum", F.round("stars_sum", 2))
+
+
 @query
 def stream_decode(spark, sf_dir):
     out = _scratch(spark, sf_dir, "stream-decode")

@@ -88,7 +88,7 @@ def materialize(
     table, and a table made from something else is built again.
     """
     note = f"{path}/_made_from"
-    if not is_complete(spark, path) or (made_from is not None and _read_note(spark, note) != made_from):
+    if not is_complete(spark, path) or (made_from is not None and read_note(spark, note) != made_from):
         save_parquet(build(), path, files)
         if made_from is not None:
             _write_note(spark, note, made_from)
@@ -101,7 +101,7 @@ def _hadoop(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
 
 
-def _read_note(spark: SparkSession, path: str) -> str | None:
+def read_note(spark: SparkSession, path: str) -> str | None:
     files, at = _hadoop(spark, path)
     if not files.exists(at):
         return None
@@ -119,6 +119,28 @@ def _write_note(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def create_note(spark: SparkSession, path: str, text: str) -> None:
+    """A new file of ``text``, seen whole or not at all; an error where ``path`` exists."""
+    files, at = _hadoop(spark, path)
+    if files.exists(at):
+        raise FileExistsError(path)
+    part = f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex[:12]}"
+    _write_note(spark, part, text)
+    if not files.rename(_hadoop(spark, part)[1], at):
+        raise FileExistsError(path)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in ``path``; none if it is not there."""
+    files, at = _hadoop(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(at)] if files.exists(at) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, at = _hadoop(spark, path)
+    files.delete(at, True)
+
+
 def input_state(spark: SparkSession, path: str) -> str:
     """Path, size, number of files and time of change of an input."""
     files, at = _hadoop(spark, path)
