@@ -38,7 +38,12 @@ def merged_sketches(sketches: DataFrame, by: Sequence[str | Column]) -> DataFram
 
 
 def distinct_estimate(sketch: Column | str = "sketch") -> Column:
-    return F.hll_sketch_estimate(sketch)
+    """The same for equal contents, however a sketch came about.
+
+    A sketch that was never merged keeps a running estimate of its own; the union
+    with itself, which changes nothing else, leaves the one from its registers.
+    """
+    return F.hll_sketch_estimate(F.hll_union(sketch, sketch))
 
 
 def heavy_keys(rows: DataFrame, key: str, n: int, tracked: int = TRACKED) -> DataFrame:

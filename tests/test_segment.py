@@ -140,3 +140,26 @@ def test_skew(spark):
     row = reports.key_skew(df, "k").first()
     assert (row.keys, row.rows, row.largest, row.largest_share, row.median) == (3, 10, 8, 0.8, 1.0)
     assert reports.key_skew(df, "k", exact=False).first().median == 1.0
+
+
+def test_slice_and_dice(spark):
+    """Missing values are groups of their own, and totals are told from them."""
+    rows = [("a", "x", 1, 10), ("b", None, 1, 5), ("c", "x", None, 1), ("d", None, None, 2), ("e", "y", 1, 3)]
+    profile = spark.createDataFrame(rows, "user_id string, city string, year int, n long")
+    dimensions = {"city": F.col("city"), "year": F.col("year")}
+    got = {(r["totals"], r["city"], r["year"]): (r["users"], r["n"]) for r in seg.slice_and_dice(profile, dimensions, ["n"]).collect()}
+    assert got == {
+        (0, "x", 1): (1, 10), (0, None, 1): (1, 5), (0, "x", None): (1, 1), (0, None, None): (1, 2), (0, "y", 1): (1, 3),
+        (1, "x", None): (2, 11), (1, None, None): (2, 7), (1, "y", None): (1, 3),
+        (2, None, 1): (3, 18), (2, None, None): (2, 3), (3, None, None): (5, 21),
+    }
+    some = seg.slice_and_dice(profile, dimensions, ["n"], sets=[("year",), ()]).collect()
+    assert {(r["totals"], r["year"], r["n"]) for r in some} == {(2, 1, 18), (2, None, 3), (3, None, 21)}
+    assert seg.slice_and_dice(profile.limit(0), dimensions, ["n"], sets=[("year",)]).count() == 0
+
+
+def test_slices_expand_groups_not_users(spark):
+    """The rows are repeated for the totals only after they have been counted."""
+    profile = spark.range(0, 10_000, 1, 4).select((F.col("id") % 3).alias("a"), (F.col("id") % 5).alias("b"), F.col("id").alias("n"))
+    plan = seg.slice_and_dice(profile, {"a": F.col("a"), "b": F.col("b")}, ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 1 and "HashAggregate" in plan[plan.index("Expand"):]
