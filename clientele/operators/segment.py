@@ -121,8 +121,12 @@ class Segment:
 def filter_bounds(profile: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Largest value per column and the last slider step, all in one aggregate."""
     columns = list(columns)
-    tops = profile.agg(*[F.max(c).cast("double").alias(c) for c in columns])
-    return tops.select(F.inline(F.array(*[
+    return bounds_of(profile.agg(*[F.max(c).alias(c) for c in columns]), columns)
+
+
+def bounds_of(tops: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """The bounds from one row of largest values, wherever they come from."""
+    return tops.select([F.col(c).cast("double").alias(c) for c in columns]).select(F.inline(F.array(*[
         F.struct(
             F.lit(c).alias("column"), F.col(c).alias("max_value"),
             F.ceil(c).cast("bigint").alias("last_step"),

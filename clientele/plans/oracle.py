@@ -366,6 +366,17 @@ def _top(n: int) -> str:
         GROUP BY 1 ORDER BY category_count DESC, category_name LIMIT {n}"""
 
 
+_MODEL = f"""SELECT b.user_id, record_count, review_count, positive_sentiment, negative_sentiment,
+        neutral_sentiment, categories, category_count, elite_years, user_status
+        FROM (SELECT user_id, count(*) AS record_count FROM labelled GROUP BY user_id) b
+        LEFT JOIN pivoted USING (user_id)
+        LEFT JOIN (SELECT user_id, count(*) AS categories, sum(n)::BIGINT AS category_count
+            FROM category_n JOIN profile USING (user_id) GROUP BY user_id) c USING (user_id)
+        LEFT JOIN (SELECT user_id, count(*) AS elite_years
+            FROM elite_of_user GROUP BY user_id) e USING (user_id)
+        LEFT JOIN ({_status(10)}) s USING (user_id)"""
+
+
 ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "prim_project": "SELECT user_id, business_id FROM reviews",
     "src_json_roundtrip": _RAW_REVIEW,
@@ -403,6 +414,7 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "feat_user_words": "SELECT user_id, word, n FROM word_n",
     "profile_merge": f"SELECT {_PROFILE} FROM profile",
     "profile_merge_left": f"SELECT {_PROFILE} FROM profile_left",
+    "profile_bucketed": f"SELECT {_PROFILE} FROM profile",
     "profile_incremental": f"SELECT {_PROFILE} FROM profile",
     "profile_streamed": f"SELECT {_PROFILE} FROM profile",
     "pipeline_run": f"SELECT {_PROFILE} FROM profile",
@@ -413,6 +425,8 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
         WHERE list_has_any(string_split(elite, ','), ['1996', '2001'])""",
     "seg_filter_contains": "SELECT user_id, elite FROM profile WHERE elite LIKE '%1997,1999%'",
     "seg_filter_bounds": _BOUNDS,
+    "seg_filter_bounds_footers": _BOUNDS,
+    "seg_filter_clustered": f"SELECT {_PROFILE} FROM segment",
     "seg_cube": f"""SELECT user_city AS city, user_status AS status, year(yelping_since) AS joined,
         grouping_id(user_city, user_status, year(yelping_since)) AS totals, count(*) AS users,
         sum(review_count)::BIGINT AS review_count, sum(fans)::BIGINT AS fans, sum(useful)::BIGINT AS useful
@@ -480,15 +494,8 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "bi_skew_sketch": """(SELECT 'business' AS kind, business_id AS name, count(*) AS amount FROM reviews
         GROUP BY business_id ORDER BY amount DESC, name LIMIT 10)
         UNION ALL SELECT 'quantile', p, 1 FROM (VALUES ('0.1'), ('0.5'), ('0.9'), ('0.99')) t(p)""",
-    "bi_model_join": f"""SELECT b.user_id, record_count, review_count, positive_sentiment, negative_sentiment,
-        neutral_sentiment, categories, category_count, elite_years, user_status
-        FROM (SELECT user_id, count(*) AS record_count FROM labelled GROUP BY user_id) b
-        LEFT JOIN pivoted USING (user_id)
-        LEFT JOIN (SELECT user_id, count(*) AS categories, sum(n)::BIGINT AS category_count
-            FROM category_n JOIN profile USING (user_id) GROUP BY user_id) c USING (user_id)
-        LEFT JOIN (SELECT user_id, count(*) AS elite_years
-            FROM elite_of_user GROUP BY user_id) e USING (user_id)
-        LEFT JOIN ({_status(10)}) s USING (user_id)""",
+    "bi_model_join": _MODEL,
+    "bi_model_join_bucketed": _MODEL,
     "stream_decode": """SELECT * EXCLUDE (event_id, ts) FROM event_rows WHERE event_id % 97 <> 0
         UNION ALL SELECT CASE WHEN FALSE THEN '' END, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
         FROM event_rows WHERE event_id % 97 = 0""",

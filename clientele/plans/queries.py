@@ -19,7 +19,7 @@ from clientele.operators import segment as seg
 from clientele.operators.segment import FilterSpec, Segment
 from clientele.plans.increment import FactStore, refresh_profile, start_fact_sink, stored_profile
 from clientele.plans.profile import RawPaths, build_profile, load_profile, publish_profile, run_batch
-from clientele.sources import files, standins, topics
+from clientele.sources import files, layout, standins, topics
 from clientele.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -450,6 +450,23 @@ def seg_filter_bounds(spark, sf_dir):
     return seg.filter_bounds(profile_table(spark, sf_dir), [f.column for f in seg.DEFAULT_FILTERS])
 
 
+@query
+def seg_filter_bounds_footers(spark, sf_dir):
+    """The same from the footers of the profile's files."""
+    profile_table(spark, sf_dir)
+    columns = [f.column for f in seg.DEFAULT_FILTERS]
+    return seg.bounds_of(layout.largest_values(spark, f"{_folder(spark, sf_dir)}/combined", columns), columns)
+
+
+@query
+def seg_filter_clustered(spark, sf_dir):
+    """The filter chain over a profile whose files are clustered by the columns of the filters."""
+    path = _scratch(spark, sf_dir, "clustered")
+    columns = [f.column for f in seg.DEFAULT_FILTERS]
+    layout.save_clustered(profile_table(spark, sf_dir), path, columns, files=8)
+    return Segment(spark.read.parquet(path), FILTERS).rows
+
+
 @query
 def seg_cube(spark, sf_dir):
     """Users by city, status and year of joining, with all totals."""
@@ -651,6 +668,31 @@ def bi_model_join(spark, sf_dir):
     return reports.joined_model(review_table(spark, sf_dir), profile, status)
 
 
+@query
+def bi_model_join_bucketed(spark, sf_dir):
+    """The model over tables that are bucketed by user alike, without moving a row."""
+    out, name = _scratch(spark, sf_dir, "bucketed"), uuid.uuid4().hex[:8]
+    profile = profile_table(spark, sf_dir)
+    tables = {
+        "review": review_table(spark, sf_dir).select("user_id", "sentiment"),
+        "profile": profile,
+        "status": reports.user_status(profile, AS_OF, recent_days=10),
+    }
+    for table, rows in tables.items():
+        layout.save_bucketed(rows, f"{table}_{name}", "user_id", 8, path=f"{out}/{table}")
+    return reports.joined_model(*[spark.table(f"{table}_{name}") for table in tables])
+
+
+@query
+def profile_bucketed(spark, sf_dir):
+    """The profile with users from a bucketed table, which the features meet where they lie."""
+    name = f"users_{uuid.uuid4().hex[:8]}"
+    users = cleaning.clean_users(standins.raw_users(spark, sf_dir))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    layout.save_bucketed(users, name, "user_id", buckets, path=_scratch(spark, sf_dir, "users"))
+    return build_profile(spark.table(name), review_table(spark, sf_dir), _business(spark, sf_dir))
+
+
 # Streams, run to completion --------------------------------------------------
 
 def _finish(started) -> None:
