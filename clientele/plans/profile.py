@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clientele import schemas
@@ -59,6 +59,17 @@ def _streamed_reviews(spark: SparkSession, streamed: str, chosen: Callable[[Data
     return chosen(rows).dropDuplicates(["review_id"])
 
 
+def rows_not_in(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """Rows without an equal in ``others``, by a digest of all their columns."""
+    columns = sorted(rows.columns)
+
+    def digest() -> Column:
+        return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+    seen = others.select(digest().alias("_digest")).distinct()
+    return rows.withColumn("_digest", digest()).join(seen, "_digest", "left_anti").select(*rows.columns)
+
+
 def run_batch(
     spark: SparkSession,
     paths: RawPaths,
@@ -71,6 +82,7 @@ def run_batch(
     empty_friends: tuple[str, ...] = (),
     tasks: int | None = None,
     counts: dict[str, int] | None = None,
+    once: bool = False,
 ) -> DataFrame:
     """Sample, clean, enrich and merge; each table is written once and reread.
 
@@ -81,7 +93,9 @@ def run_batch(
 
     ``streamed`` is the output of an ingest.  Its reviews are enriched already
     and join the batch's; one that both have counts once, as the batch has it.
-    Its tips and check-ins are added to the batch's.
+    Its tips and check-ins, which have no ids, are added to the batch's; with
+    ``once``, those that equal one of the batch's in every column are the same,
+    and are left out.
 
     A run that was interrupted continues after the last finished table.  A table
     is made again when the inputs or arguments that it depends on have changed.
@@ -91,7 +105,7 @@ def run_batch(
     inputs = [input_state(spark, p) for p in vars(paths).values()]
     if streamed:
         inputs += [input_state(spark, f"{streamed}/{topic}/data") for topic in TOPICS]
-    base = [*inputs, str(fraction), mode, content_hash(lexicon)]
+    base = [*inputs, str(fraction), mode, content_hash(lexicon), *(["once"] if once else [])]
 
     def keep(name: str, build: Callable[[], DataFrame], *arguments) -> DataFrame:
         watch = Observation(name)
@@ -139,7 +153,8 @@ def run_batch(
 
     def with_streamed(rows: DataFrame, topic: str) -> DataFrame:
         if streamed and has_written(spark, streamed, topic):
-            return rows.unionByName(read_sink(spark, streamed, topic))
+            more = read_sink(spark, streamed, topic)
+            return rows.unionByName(rows_not_in(more, rows) if once else more)
         return rows
 
     # Users carry their friends, so that the raw ones are read once.
