@@ -5,8 +5,9 @@ each result as Parquet and gives the reread table to the next stage.  All but
 the last return the columns of documents.
 
 Defined results: those of the operators.  A document whose text is cut away
-whole by suffix-array dedup stays with an empty text; documents taken twice by the mix
-are two rows; null texts have no tokens.
+whole by suffix-array dedup stays with an empty text, and so does one whose text
+is null; documents taken twice by the mix are two rows; empty texts have no
+tokens.
 """
 
 from __future__ import annotations
