@@ -85,7 +85,7 @@ def op8_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best rows for every twentieth vector, among all."""
     rows = _table(spark, sf_dir, "embeddings").where(topk.usable(F.col("embedding")))
-    steps = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("long"))
+    steps = topk.whole_steps(F.col("embedding"), 64)
     return topk.exact_top_k(rows.select("vec_id", steps.alias("vector")), F.col("vec_id") % 20 == 0, k=20)
 
 
