@@ -203,6 +203,85 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)
 FROM listed LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest ON a = doc_id
 """
 
+
+def _crc(number: str) -> str:
+    """CRC-32 of the decimal digits of ``number``: eight steps for the byte of each digit."""
+    step = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    bytes_ = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), lambda a, b: {step}), 4294967295)"
+
+
+_OP11 = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, {_crc('conv_id')} % 6 AS h,
+    list({{'name': md5(length(role) || ':' || role || text), 'size': length(text)}}
+      ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS turns
+  FROM turns GROUP BY conv_id
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) AS turns
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+), prefixes AS (
+  SELECT conv_id, d AS depth, list_transform(turns[1:d], lambda t: t.name) AS path, turns[d].size AS size, d = len(turns) AS ends
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(any_value(size), 0) AS size,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY path
+), family AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, coalesce(c.n, 0) AS n_children
+  FROM nodes n
+  LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+  LEFT JOIN (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL) c ON c.path = n.path
+), below AS (
+  SELECT path[1:d] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM family) GROUP BY ALL
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM family JOIN below USING (path)
+"""
+
+_OP13 = f"""
+WITH hashed AS (
+  SELECT doc_id, {WORDS} AS w, {_crc('doc_id')} AS h FROM documents
+), sized AS (
+  SELECT *, len(w) AS n, h // 10 AS g FROM hashed
+), planned AS (
+  SELECT *, h % 10 = 0 AND n > 0 AS plants, CASE WHEN n > 0 THEN g % n END AS a FROM sized
+), listed AS (
+  SELECT doc_id, n, CASE WHEN plants THEN list_transform(range(0, n), lambda i:
+      w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE w END AS words
+  FROM planned
+), grams AS (
+  -- Words i and i + p are equal for six or more i in a row in every run.
+  SELECT doc_id, n, i, words[i + 1:i + 6] AS gram FROM (SELECT doc_id, n, words, unnest(range(0, n - 5)) AS i FROM listed WHERE n >= 12)
+), met AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS p FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i
+  WHERE 2 * (y.i - x.i) <= x.n
+), stretches AS (
+  SELECT doc_id, p, min(i) AS start, max(i) + 6 - min(i) + p AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM met) GROUP BY doc_id, p, island
+), runs AS (
+  SELECT doc_id, start, length, min(p) AS period FROM stretches WHERE length >= 2 * p AND length >= 12 GROUP BY doc_id, start, length
+), summed AS (
+  SELECT doc_id, count(*) AS n_runs, arg_min({{'start': start, 'length': length, 'period': period}}, (-length, start, period)) AS best,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listing
+  FROM runs GROUP BY doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS place FROM runs
+), kept AS (
+  SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.place) AS text
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(0, n)) AS place FROM listed) p
+  LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place
+  WHERE g.place IS NULL GROUP BY p.doc_id
+)
+SELECT l.doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+  1000 * best.length // best.period AS exponent_milli, sha256(coalesce(listing, '')) AS runs_sha256,
+  sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM listed l LEFT JOIN summed USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
 ORACLE = {
     "op1_chat_format": _OP1,
     "op2_substring_rlz": _OP2,
@@ -211,4 +290,6 @@ ORACLE = {
     "op6_source_mixing": _OP6,
     "op9_ball_tree_topk": _OP9,
     "op10_setsketch_dedup": _OP10,
+    "op11_prefix_trie": _OP11,
+    "op13_periodic_runs": _OP13,
 }
