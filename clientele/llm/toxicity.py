@@ -11,9 +11,15 @@ that the estimate cannot be driven below zero by overfitting.  The mean of
 ``MEMBERS`` classifiers, each on its own draw, gives the score.
 
 Fitted on bounded samples: ``MAX_POSITIVES`` confirmed toxic texts and
-``MAX_UNLABELLED`` texts, both chosen by hash of their id.  The class prior is
-the share of toxic rows among all labelled training rows.  Every text is scored
-whole.
+``MAX_UNLABELLED`` texts, those with the smallest hashes (of the id, and of id
+and text).  The class prior is the share of toxic rows among all labelled
+training rows.  Every text is scored whole.
+
+Sampling is a condition on the row's own hash: one pass counts the rows, a second
+gathers the hashes below a mark a little above the wanted share, of which the
+last wanted one is the cut.  Features are counted and chosen where the sampled
+texts are; what reaches the one task that fits is a row of ``MAX_FEATURES`` bits
+for each, however long the text, and what reaches the driver is the weights.
 
 Only rows whose crc32(doc_id as text) leaves a remainder of 1 to 4 when divided
 by 5 are learnt from.  Ids, sources, languages and labels are no features.
@@ -37,6 +43,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clientele.sources.files import cut_lineage
+
 MAX_POSITIVES = 4000
 MAX_UNLABELLED = 6000
 MAX_FEATURES = 1024
@@ -126,7 +134,12 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         max_features: int = MAX_FEATURES, members: int = MEMBERS, steps: int = STEPS) -> Classifier:
     """Classifiers on the feature hashes of texts."""
     features = _choose_features(positive, unlabelled, max_features)
-    x_p, x_u = _presence(positive, features), _presence(unlabelled, features)
+    return fit_presence(features, _presence(positive, features), _presence(unlabelled, features), prior, members, steps)
+
+
+def fit_presence(features: np.ndarray, x_p: np.ndarray, x_u: np.ndarray, prior: float,
+                 members: int = MEMBERS, steps: int = STEPS) -> Classifier:
+    """Classifiers on texts as rows of booleans, one per feature."""
     weights, intercepts = [], []
     for member in range(members):
         # One byte a feature is kept; only the rows of one member at a time are numbers.
@@ -153,43 +166,131 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ids = {f for w in text_words(text.as_py()) for f in word_features(w)}
             packed.append(np.array(sorted(ids), dtype=np.uint32).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("positive"), pa.array(packed, pa.binary())],
-            ["doc_id", "positive", "features"])
+            [batch.column("doc_id"), batch.column("kinds"), pa.array(packed, pa.binary())],
+            ["doc_id", "kinds", "features"])
+
+
+def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many positive and how many unlabelled texts of a batch have a feature."""
+    for batch in batches:
+        texts = [np.frombuffer(f.as_py(), dtype=np.uint32) for f in batch.column("features")]
+        kind = np.repeat(batch.column("positive").to_numpy(zero_copy_only=False).astype(bool), [len(t) for t in texts])
+        ids, at = np.unique(np.concatenate(texts) if texts else np.empty(0, np.uint32), return_inverse=True)
+        counts = [pa.array(np.bincount(at[of], minlength=len(ids))) for of in (kind, ~kind)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), *counts], ["feature", "n_p", "n_u"])
+
+
+def _presence_rows(features: np.ndarray):
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [np.packbits(_presence([np.frombuffer(f.as_py(), dtype=np.uint32)], features)[0]).tobytes()
+                    for f in batch.column("features")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("positive"), pa.array(bits, pa.binary())],
+                ["doc_id", "positive", "bits"])
+
+    return pack
+
+
+def _fitter(features: np.ndarray, prior: float, max_positives: int, max_unlabelled: int):
+    """Fits on all rows of presence bits, in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: dict[bool, list[tuple[int, bytes]]] = {True: [], False: []}
+        for batch in batches:
+            for doc_id, positive, bits in zip(*batch.columns, strict=True):
+                rows[positive.as_py()].append((doc_id.as_py(), bits.as_py()))
+        if not rows[True]:
+            return
+        sets = []
+        for kind, most in ((True, max_positives), (False, max_unlabelled)):
+            # Ids that repeat may bring more rows than were drawn.
+            bits = np.frombuffer(b"".join(b for _, b in sorted(rows[kind])[:most]), dtype=np.uint8)
+            width = (len(features) + 7) // 8
+            packed = bits.reshape(min(len(rows[kind]), most), width)
+            sets.append(np.unpackbits(packed, axis=1, count=len(features)).astype(bool))
+        model = fit_presence(features, *sets, prior)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x.astype(np.float32).tobytes()], pa.binary()) for x in (model.weights, model.intercepts)],
+            ["weights", "intercepts"])
+
+    return run
+
+
+def _cut(hashes: DataFrame, limit: int) -> int:
+    """The ``limit``-th smallest of a column of 64-bit hashes; the largest number if there are fewer."""
+    n, share = hashes.count(), 0.0
+    if n <= limit:
+        return 2**63 - 1
+    while True:
+        share = min(1.0, max(2 * share, 1.2 * limit / n + 20 / n))
+        mark = min(2**63 - 1, int(-(2**63) + share * 2**64))
+        # About a fifth more than wanted.
+        low = np.sort(hashes.where(F.col("hash") <= mark).toArrow().column("hash").to_numpy())
+        if len(low) >= limit:
+            return int(low[limit - 1])
+
+
+def sample_features(docs: DataFrame, training: DataFrame, max_positives: int, max_unlabelled: int) -> DataFrame:
+    """Rows (doc_id, positive, features) of the sampled texts, each different one once.
+
+    ``training`` has (doc_id, toxic).  A text that is drawn both as positive and
+    as unlabelled is two rows.
+    """
+    known = docs.where(F.col("doc_id").isNotNull() & (remainder(F.col("doc_id")) != 0)).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    hashed = known.withColumn("hash", F.xxhash64("doc_id", "text", F.lit("unlabelled")))
+    toxic = training.where("toxic = 1").select("doc_id", F.xxhash64("doc_id").alias("hash"))
+    toxic = toxic.where(F.col("hash") <= _cut(toxic.select("hash"), max_positives))
+    # No more ids than max_positives.
+    drawn = hashed.join(F.broadcast(toxic.select("doc_id", F.lit(True).alias("confirmed"))), "doc_id", "left")
+    unlabelled = F.col("hash") <= _cut(hashed.select("hash"), max_unlabelled)
+    kinds = F.filter(
+        F.array(F.when(F.col("confirmed"), True), F.when(unlabelled, False)), lambda kind: kind.isNotNull())
+    return cut_lineage(
+        drawn.where(F.col("confirmed") | unlabelled).select("doc_id", kinds.alias("kinds"), "text")
+        .mapInArrow(_feature_rows, "doc_id long, kinds array<boolean>, features binary")
+        .select("doc_id", F.explode("kinds").alias("positive"), "features").distinct()
+    )
+
+
+def choose_features(sample: DataFrame, limit: int = MAX_FEATURES) -> np.ndarray:
+    """Features whose share differs most, in standard errors, between the sets; sorted."""
+    n_p, n_u = sample.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
+    n_p, n_u = float(max(1, n_p)), float(max(1, n_u))
+    counts = (
+        sample.select("positive", "features").mapInArrow(_feature_counts, "feature long, n_p long, n_u long")
+        .groupBy("feature").agg(F.sum("n_p").alias("n_p"), F.sum("n_u").alias("n_u"))
+        .where(F.col("n_p") + F.col("n_u") >= 3)
+    )
+    pooled = (F.col("n_p") + F.col("n_u")) / (n_p + n_u)
+    error = F.sqrt(pooled * (1 - pooled) * (1 / n_p + 1 / n_u) + 1e-12)
+    z = F.abs(F.col("n_p") / n_p - F.col("n_u") / n_u) / error
+    best = counts.withColumn("z", z).where(F.col("z") > LEAST_Z).orderBy(F.desc("z"), "feature").limit(limit)
+    return np.sort(best.select("feature").toArrow().column("feature").to_numpy().astype(np.uint32))
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES,
           max_unlabelled: int = MAX_UNLABELLED) -> Classifier | None:
     """Fits the classifiers; None without a confirmed toxic text to learn from."""
     training = (
-        labels.where(F.col("toxic").isNotNull() & (remainder(F.col("doc_id")) != 0))
+        labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (remainder(F.col("doc_id")) != 0))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     )
     n, n_toxic = training.agg(F.count("*"), F.count_if(F.col("toxic") == 1)).first()
     if not n_toxic:
         return None
     prior = min(max(n_toxic / n, 1e-4), 0.5)
-    open_docs = docs.where(remainder(F.col("doc_id")) != 0)
-    positives = (
-        training.where("toxic = 1").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_positives)
-        .withColumn("positive", F.lit(True))
-    )
-    unlabelled = (
-        open_docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-        .orderBy(F.xxhash64("doc_id", F.lit("unlabelled")), "doc_id").limit(max_unlabelled).distinct()
-        .withColumn("positive", F.lit(False))
-    )
-    # The limits bound what is broadcast here and gathered below.
-    chosen = F.broadcast(positives.unionByName(unlabelled))
-    texts = open_docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = (
-        texts.join(chosen, "doc_id").select("doc_id", "positive", "text")
-        .mapInArrow(_feature_rows, "doc_id long, positive boolean, features binary").collect()
+    sample = sample_features(docs, training, max_positives, max_unlabelled)
+    features = choose_features(sample)
+    fitted = (
+        sample.mapInArrow(_presence_rows(features), "doc_id long, positive boolean, bits binary").repartition(1)
+        .mapInArrow(_fitter(features, prior, max_positives, max_unlabelled), "weights binary, intercepts binary").first()
     )
-    rows = sorted({(r["doc_id"], r["positive"], bytes(r["features"])) for r in rows})
-    sets = {kind: [np.frombuffer(f, dtype=np.uint32) for _, p, f in rows if p is kind] for kind in (True, False)}
-    if not sets[True]:
+    if fitted is None:
         return None
-    return fit(sets[True], sets[False], prior)
+    weights = np.frombuffer(fitted["weights"], dtype=np.float32).reshape(len(features), MEMBERS)
+    return Classifier(features, weights, np.frombuffer(fitted["intercepts"], dtype=np.float32))
 
 
 def _scorer(model: Classifier | None):

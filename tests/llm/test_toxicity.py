@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from clientele.llm import toxicity
 
@@ -91,3 +92,41 @@ def test_recall_on_held_out_toxic_rows(spark):
     out = toxicity.score_documents(spark.read.parquet(f"{sf}/documents.parquet"), labels)
     toxic = [r["predicted"] for r in out.where("held_out").join(labels, "doc_id").where("toxic = 1").collect()]
     assert len(toxic) > 30 and sum(toxic) >= 0.9 * len(toxic)
+
+
+def test_against_a_plain_refit(spark, documents):
+    """Features, weights and scores are those of a fit on plain lists of all training texts."""
+    rows = corpus(400)
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, toxic int")
+    docs = documents([r[:2] for r in rows]).repartition(5)
+    model = toxicity.learn(docs, labels)
+    training = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    hashes = {i: np.unique(np.array([f for w in toxicity.text_words(t) for f in toxicity.word_features(w)], dtype=np.uint32))
+              for i, t, _ in training}
+    prior = sum(t for _, _, t in training) / len(training)
+    plain = toxicity.fit([hashes[i] for i, _, t in training if t], [hashes[i] for i, _, _ in training], prior)
+    assert model.features.tolist() == plain.features.tolist() and len(plain.features)
+    assert np.array_equal(model.weights, plain.weights) and np.array_equal(model.intercepts, plain.intercepts)
+    for r in toxicity.score_documents(docs, labels).collect():
+        present = np.isin(plain.features, [f for w in toxicity.text_words(rows[r["doc_id"]][1]) for f in toxicity.word_features(w)])
+        assert abs(r["score"] - plain.score(np.flatnonzero(present))) < 1e-6
+
+
+def test_samples_have_their_size_and_no_single_task_sorts(spark, documents):
+    """Smallest hashes, without a sort of candidates of all tasks in one."""
+    rows = corpus(600)
+    docs = documents([r[:2] for r in rows]).repartition(7)
+    training = spark.createDataFrame([(i, t) for i, _, t in rows if zlib.crc32(str(i).encode()) % 5], "doc_id long, toxic int")
+    sample = toxicity.sample_features(docs, training, 20, 100)
+    assert (sample.where("positive").count(), sample.where("NOT positive").count()) == (20, 100)
+    open_docs = docs.where(toxicity.remainder(F.col("doc_id")) != 0)
+    drawn = open_docs.orderBy(F.xxhash64("doc_id", "text", F.lit("unlabelled"))).limit(100)
+    assert {r["doc_id"] for r in drawn.collect()} == {r["doc_id"] for r in sample.where("NOT positive").collect()}
+
+
+def test_repeated_rows_and_null_ids_are_sampled_once(spark, documents):
+    rows = [(1, "vile scumbag")] * 300 + [(None, "null id")] * 300 + [(i, f"word{i % 7} other") for i in range(2, 40)]
+    training = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    sample = toxicity.sample_features(documents(rows).repartition(4), training, 10, 1000).collect()
+    assert sum(r["positive"] for r in sample) == 1 and all(r["doc_id"] is not None for r in sample)
+    assert len(sample) == len({(r["doc_id"], r["positive"], bytes(r["features"])) for r in sample})
