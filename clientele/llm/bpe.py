@@ -1,9 +1,10 @@
 """BPE encoding and decoding with a transducer lexicon for frequent words.
 
 Words of the whole corpus are counted; those that make up 1/``LEXICON_WORDS`` of
-it or more, which bounds their number, are merged once on the driver and compiled into a minimal acyclic transducer with
-their ids (see ``lexicon``).  Its file is written to the shared folder and given
-to all executors, whose Python workers map it into memory.  Words that the
+it or more, which bounds their number, are merged once, in one task, and
+compiled into a minimal acyclic transducer with their ids (see ``lexicon``).  Its
+file is written to the shared folder and given to all executors, whose Python
+workers map it into memory.  Words that the
 transducer does not know are merged exactly, pair by pair in rank order, and
 remembered by a worker up to a bound.
 
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm.lexicon import NOT_FOUND, Lexicon, compile_words
-from clientele.sources.files import cut_lineage, shared_dir
+from clientele.sources.files import cut_lineage, remove_at_end, shared_dir
 
 LEXICON_WORDS = 262_144
 _CACHE_WORDS = 80_000
@@ -192,7 +193,7 @@ class Encoder:
             yield b"".join(map(self.known.__getitem__, words))
 
 
-def frequent_words(texts: DataFrame, limit: int = LEXICON_WORDS) -> list[str]:
+def frequent_words(texts: DataFrame, limit: int = LEXICON_WORDS) -> DataFrame:
     """Runs of letters, in lower case, that make up 1/``limit`` of all or more.
 
     There can be no more than ``limit`` of them, whatever the corpus.
@@ -201,7 +202,20 @@ def frequent_words(texts: DataFrame, limit: int = LEXICON_WORDS) -> list[str]:
     counts = cut_lineage(
         texts.select(F.explode(parts).alias("word")).where("word != ''").groupBy("word").count())
     every = counts.agg(F.sum("count")).first()[0] or 0
-    return sorted(r["word"] for r in counts.where(F.col("count") >= every / limit).collect())
+    return counts.where(F.col("count") >= every / limit).select("word")
+
+
+def _compiler(sent):
+    """Compiles a lexicon of all words that it is given, which are one word to the vocabulary as well."""
+
+    def compile_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(sent.value)
+        entries = {
+            w.encode(): vocabulary.merge(w) for batch in batches for w in batch.column("word").to_pylist()
+            if vocabulary.words(w) == [w]}
+        yield pa.RecordBatch.from_arrays([pa.array([compile_words(entries)], pa.binary())], ["content"])
+
+    return compile_all
 
 
 def share_lexicon(spark: SparkSession, content: bytes) -> str:
@@ -211,6 +225,7 @@ def share_lexicon(spark: SparkSession, content: bytes) -> str:
     out = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(path, True)
     out.write(bytearray(content))
     out.close()
+    remove_at_end(spark, path.toString())
     spark.sparkContext.addFile(path.toString())
     return name
 
@@ -235,11 +250,12 @@ def encode(docs: DataFrame, vocabulary_file: str, ids: str = "ids", lexicon_word
     spark = docs.sparkSession
     with open(vocabulary_file, encoding="utf-8") as file:
         content = file.read()
-    vocabulary = Vocabulary(content)
-    frequent = [w for w in frequent_words(docs, lexicon_words) if vocabulary.words(w) == [w]]
-    name = share_lexicon(spark, compile_words({w.encode(): vocabulary.merge(w) for w in frequent}))
     # A vocabulary file is a few MB, whatever the corpus.
     sent = spark.sparkContext.broadcast(content)
+    # No more than lexicon_words, to one task.
+    compiled = frequent_words(docs, lexicon_words).repartition(1).mapInArrow(_compiler(sent), "content binary").first()
+    name = share_lexicon(spark, bytes(compiled["content"]) if compiled else compile_words({}))
+    del compiled
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(name, sent.value)
@@ -264,7 +280,9 @@ def decode(coded: DataFrame, vocabulary_file: str, ids: str = "ids", decoded: st
     write it, as any unprintable byte, by a stand-in.
     """
     with open(vocabulary_file, encoding="utf-8") as file:
-        tokens = Vocabulary(file.read()).tokens
+        spec = json.load(file)
+    tokens = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    del spec
     listed = "\n".join(tokens.get(i, "") for i in range(max(tokens) + 1))
     table = F.split(F.lit(listed), "\n")  # folded into one constant
     text = F.array_join(F.transform(F.col(ids), lambda i: F.get(table, i)), " ")
