@@ -79,24 +79,65 @@ def _slack(norms: np.ndarray, reach: float, width: int) -> np.ndarray:
     return 1 + norms * reach * 1e-15 * (width + 16)
 
 
-def exact_scores(queries: np.ndarray, points: np.ndarray, skipped: np.ndarray | bool = False) -> np.ndarray:
-    """Inner products of integer rows, exact but for those that are ``skipped``.
+class ExactScores:
+    """Inner products of rows of two integer matrices, exact.
 
-    A score above 64 bits is an error; one below them is -2**63, an error where
-    it is an answer (``search``).
+    The norms decide once how they are computed, since no partial sum exceeds
+    their product.  A score above 64 bits is an error; one below them is -2**63,
+    an error where it is an answer (``search``).
     """
-    if not queries.size or not points.size:
-        return np.zeros((len(queries), len(points)), dtype=np.int64)
-    # No partial sum exceeds the product of the norms.
-    largest = _norms(queries).max() * _norms(points).max() * (1 + 1e-9)
-    if largest < 2**53:
-        return (queries.astype(np.float64) @ points.T.astype(np.float64)).astype(np.int64)
-    if largest < _LONG:
-        return queries @ points.T
-    scores = np.where(skipped, 0, queries.astype(object) @ points.T.astype(object))
-    if scores.max() >= _LONG:
-        raise OverflowError("a score does not fit 64 bits")
-    return np.maximum(scores, -_LONG).astype(np.int64)
+
+    def __init__(self, queries: np.ndarray, points: np.ndarray):
+        largest = _norms(queries).max(initial=0) * _norms(points).max(initial=0) * (1 + 1e-9)
+        kind = np.float64 if largest < 2**53 else np.int64 if largest < _LONG else object
+        self.queries, self.points, self.kind = queries.astype(kind), points.astype(kind), kind
+        # Score and row together order as one 64-bit number.
+        self.packs = largest * (len(points) + 1) < 2**62
+
+    def __call__(self, of: np.ndarray, rows: np.ndarray, skipped: np.ndarray) -> np.ndarray:
+        scores = self.queries[of] @ self.points[rows].T
+        if self.kind is object and scores.size:
+            scores = np.where(skipped, 0, scores)
+            if scores.max() >= _LONG:
+                raise OverflowError("a score does not fit 64 bits")
+            scores = np.maximum(scores, -_LONG)
+        return scores.astype(np.int64)
+
+
+class _Best:
+    """The ``k`` best rows of every query so far, ties to the smaller row."""
+
+    def __init__(self, n_queries: int, k: int, n_rows: int, packs: bool):
+        self.n, self.k, self.packs = n_rows, k, packs
+        # Packed, or scores with their rows; -1 is no row yet.
+        self.scores = np.full((n_queries, k), -_LONG, dtype=np.int64)
+        self.rows = None if packs else np.full((n_queries, k), -1, dtype=np.int64)
+
+    def add(self, of: np.ndarray, scores: np.ndarray, rows: np.ndarray, skipped: np.ndarray) -> np.ndarray:
+        """Adds ``rows`` to the queries ``of``; their kth scores, the lowest number where there are fewer."""
+        if self.packs:
+            packed = scores * self.n + (self.n - 1 - rows)
+            packed[skipped] = -_LONG
+            merged = np.concatenate([self.scores[of], packed], axis=1)
+            best = np.partition(merged, merged.shape[1] - self.k, axis=1)[:, -self.k:]
+            self.scores[of] = best
+            least = best.min(axis=1)
+            return np.where(least > -_LONG, least // self.n, -_LONG)
+        merged = np.concatenate([self.scores[of], scores], axis=1)
+        row = np.concatenate([self.rows[of], np.where(skipped, -1, rows)], axis=1)
+        last = np.lexsort((-row, merged, row >= 0), axis=1)[:, -self.k:]
+        self.rows[of], self.scores[of] = np.take_along_axis(row, last, 1), np.take_along_axis(merged, last, 1)
+        return np.where((self.rows[of] >= 0).all(axis=1), self.scores[of].min(axis=1), -_LONG)
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, row and score of every answer."""
+        query, place = np.nonzero(self.scores > -_LONG if self.packs else self.rows >= 0)
+        score = self.scores[query, place]
+        if self.packs:
+            return query, self.n - 1 - score % self.n, score // self.n
+        if (score == -_LONG).any():
+            raise OverflowError("a score does not fit 64 bits")
+        return query, self.rows[query, place], score
 
 
 class BallTree:
@@ -169,9 +210,9 @@ def search(ids: np.ndarray, points: np.ndarray, query_ids: np.ndarray, queries:
     ids, points = ids[order], points[order]
     tree = BallTree(points)
     leaves, bounds = tree.leaf_bounds(queries, kth)
-    # Rows stand in the order of their ids; -1 is no row yet.
-    best = np.full((len(queries), k), -1, dtype=np.int64)
-    best_score = np.full((len(queries), k), -_LONG, dtype=np.int64)
+    score_of = ExactScores(queries, points)
+    # Rows stand in the order of their ids.
+    best = _Best(len(queries), k, len(ids), score_of.packs)
     reached = kth.copy()
     visit = np.argsort(-bounds, axis=1, kind="stable")
     for turn in range(len(leaves)):
@@ -185,16 +226,9 @@ def search(ids: np.ndarray, points: np.ndarray, query_ids: np.ndarray, queries:
         for of in np.split(by_leaf, starts[1:]):
             rows = leaves[leaf[of[0]]]
             own = ids[rows][None, :] == query_ids[of][:, None]
-            scores = np.concatenate([best_score[of], exact_scores(queries[of], points[rows], own)], axis=1)
-            row = np.concatenate([best[of], np.where(own, -1, rows[None, :])], axis=1)
-            last = np.lexsort((-row, scores, row >= 0), axis=1)[:, -k:]
-            best[of], best_score[of] = np.take_along_axis(row, last, 1), np.take_along_axis(scores, last, 1)
-            full = (best[of] >= 0).all(axis=1)
-            reached[of] = np.where(full, np.maximum(reached[of], best_score[of].min(axis=1)), reached[of])
-    query_row, place = np.nonzero(best >= 0)
-    row, score = best[query_row, place], best_score[query_row, place]
-    if (score == -_LONG).any():
-        raise OverflowError("a score does not fit 64 bits")
+            kth_here = best.add(of, score_of(of, rows, own), rows, own)
+            reached[of] = np.where(kth_here > -_LONG, np.maximum(reached[of], kth_here), reached[of])
+    query_row, row, score = best.found()
     # As numbers both are rounded alike, so no score that reaches kth is left out.
     keep = score.astype(np.float64) >= kth[query_row]
     return query_row[keep], ids[row[keep]], score[keep]
