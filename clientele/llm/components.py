@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.sources.files import cut_lineage
+from clientele.sources.files import remove, scratch_dir
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -16,18 +16,26 @@ def connected_components(edges: DataFrame) -> DataFrame:
     smaller ones; each writes one edge per edge read, so a star of any size stays
     as large as it is, and the number of rounds grows with the logarithm of a
     component's diameter.  Hubs meet their edges in joins that can be split.
+    A round is a written table, and is removed when the next one is there.
     """
-    current = cut_lineage(
+    spark = edges.sparkSession
+    folder = scratch_dir(spark, "components")
+
+    def written(table: DataFrame, number: int) -> DataFrame:
+        table.write.parquet(f"{folder}/{number}")
+        return spark.read.parquet(f"{folder}/{number}")
+
+    current = written(
         edges.where(F.col("a") != F.col("b"))
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    )
-    last = None
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), 0)
+    last, number = None, 0
     while True:
         now = current.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == last:
             break
-        last = now
-        current = cut_lineage(_small_step(_large_step(current)))
+        last, number = now, number + 1
+        current = written(_small_step(_large_step(current)), number)
+        remove(spark, f"{folder}/{number - 1}")
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component"))
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots).distinct()
 

@@ -329,9 +329,15 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK_MEMBERS) -> DataFrame:
     links = cut_lineage(links)
     labels = connected_components(links)
     across = links_across(buckets, members, texts, labels, block)
-    labels = connected_components(links.union(across))
-    component = of_document.join(labels.withColumnRenamed("node", "member"), "member", "left").select(
-        "doc_id", F.coalesce("component", "member").alias("component_id")).distinct()
+    # Components stand for their members from here on: only the new links are gone through again.
+    merged = connected_components(_between(across, labels)).select(
+        F.col("node").alias("component"), F.col("component").alias("whole"))
+    component = (
+        of_document.join(labels.withColumnRenamed("node", "member"), "member", "left")
+        .select("doc_id", F.coalesce("component", "member").alias("component")).distinct()
+        .join(merged, "component", "left")
+        .select("doc_id", F.coalesce("whole", "component").alias("component_id")).distinct()
+    )
     return (
         sketches.select("doc_id", "n_shingles").join(component, "doc_id", "left")
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
@@ -340,6 +346,14 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK_MEMBERS) -> DataFrame:
     )
 
 
+def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The components (a, b) that links join; members without a label are their own."""
+    for end in ("a", "b"):
+        of_end = labels.select(F.col("node").alias(end), F.col("component").alias("label"))
+        links = links.join(of_end, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    return links.select("a", "b").distinct()
+
+
 def _same_id_edges(of_document: DataFrame) -> DataFrame:
     """Links between the classes of texts that share a doc_id."""
     several = of_document.groupBy("doc_id").agg(
@@ -352,4 +366,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     names = docs.columns
     kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     rows = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"]).select(*names)
+    # Of rows that share id and text the first by their other columns, whatever order they come in.
+    others = F.to_json(F.struct(*[c for c in names if c not in ("doc_id", "text")], F.lit(0).alias("_")))
+    return (
+        rows.groupBy(F.col("doc_id").alias("kept_id"), F.md5("text").alias("kept_text"))
+        .agg(F.min_by(F.struct(*names), others).alias("one")).select("one.*")
+    )

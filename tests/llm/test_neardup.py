@@ -152,3 +152,13 @@ def test_estimate_and_merge():
             guesses.append(setsketch.estimate_rows(ra[None], rb[None], np.array([n]), np.array([n]))[0])
         assert abs(np.mean(guesses) - wanted) < 0.02
         assert np.std(guesses) < 0.05
+
+
+def test_kept_row_does_not_depend_on_the_order(spark):
+    """Rows that share id and text and differ elsewhere: the same one every time."""
+    text = "one two three four five six seven eight"
+    rows = [(i % 3, text if i % 3 else f"{text} {i % 2}", f"lang{i % 5}", f"s{i % 4}", i) for i in range(60)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    one = neardup.keep_one(spark.createDataFrame(rows, schema).repartition(2)).collect()
+    other = neardup.keep_one(spark.createDataFrame(rows[::-1], schema).repartition(7)).collect()
+    assert sorted(one) == sorted(other) and len({(r["doc_id"], r["text"]) for r in one}) == len(one)
