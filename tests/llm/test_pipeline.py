@@ -46,3 +46,41 @@ def test_stages(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def staged(spark, docs, folder):
+    """The result of every stage, each written and read again."""
+    tables = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, tables[-1], SF).write.parquet(f"{folder}/{name}")
+        tables.append(spark.read.parquet(f"{folder}/{name}"))
+    return tables
+
+
+def test_odd_documents(spark, odd_documents, tmp_path):
+    """Nulls everywhere, empty and very long texts, repeated rows and columns with names that stages use."""
+    docs, clean, single, cut, mixed, coded = staged(spark, odd_documents, tmp_path)
+    assert clean.columns == single.columns == cut.columns == mixed.columns == docs.columns
+    assert clean.count() == docs.count()
+    texts = [(r["doc_id"], r["text"]) for r in single.collect()]
+    assert len(texts) == len(set(texts)) and {None, 1, 2, 3, 4, 5, 7, 8} >= {i for i, _ in texts} >= {None, 1, 2, 3, 4, 7}
+    # Null texts are empty from here on.
+    after = {(r["doc_id"], r["text"]) for r in cut.collect()}
+    assert (2, "") in after and (3, "") in after and all(t is not None for _, t in after)
+    assert {r["name"] for r in mixed.collect()} == {"x"}
+    rows = coded.collect()
+    assert len(rows) == mixed.count() and all(r["n_tokens"] == len(r["ids"]) for r in rows)
+
+
+def test_empty_documents(spark, odd_documents, tmp_path):
+    tables = staged(spark, odd_documents.limit(0), tmp_path)
+    assert [t.count() for t in tables] == [0] * 6
+    assert all(t.columns == odd_documents.columns for t in tables[:-1])
+
+
+def test_repeated_rows_and_copies(spark, documents, tmp_path):
+    """Hundreds of copies under ids of their own, and of one row: one stays."""
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(i, text) for i in range(300)] + [(7, text)] * 200 + [(900 + i, f"{text} tail{i}") for i in range(50)]
+    single = staged(spark, documents(rows).repartition(6), tmp_path)[2].collect()
+    assert [(r["doc_id"], r["text"]) for r in single] == [(0, text)]
