@@ -42,6 +42,15 @@ def city_points(business: DataFrame) -> DataFrame:
     )
 
 
+def cities_by_state(business: DataFrame) -> DataFrame:
+    """Businesses whose city is named with its state, so that cities of one name stay apart.
+
+    For all features of places; a city without a state keeps its name.
+    """
+    named = F.concat_ws(", ", "city", "state")
+    return business.withColumn("city", F.when(F.col("city").isNotNull(), named))
+
+
 def _code(kind: str) -> Column:
     return F.lit(KINDS[kind]).cast("tinyint")
 

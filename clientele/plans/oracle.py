@@ -265,6 +265,13 @@ VIEWS["doc_reviews"] = f"""SELECT 'd' || doc_id AS review_id, source AS user_id,
     strftime(DATE '2020-01-01' + (doc_id % 1000)::INT, {_TIME}) AS date, text, sentiment, frequent_words
     FROM documents JOIN ds_label s ON doc_id = s.rid JOIN dw_list w ON doc_id = w.rid"""
 
+# Cities told apart by their state.
+VIEWS["towns"] = "SELECT * REPLACE (city || ', ' || state AS city) FROM places WHERE city IS NOT NULL"
+VIEWS["town_n"] = """SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, city) AS place
+    FROM (SELECT user_id, city, count(*) AS n FROM reviews JOIN towns USING (business_id) GROUP BY ALL)"""
+VIEWS["town_point"] = """SELECT city, arg_min(latitude, business_id) AS latitude, arg_min(longitude, business_id) AS longitude
+    FROM towns GROUP BY city"""
+
 # Event reviews as they are sent, three times, with the watermark that each time meets.
 VIEWS["marked_events"] = """SELECT *, (event_id % 11 = 3 AND own = 1) OR (event_id % 11 = 7 AND own = 2) AS withheld
     FROM (SELECT *, date::TIMESTAMP AS seen, least(3, ceil(day(date::TIMESTAMP) / 10.0))::BIGINT AS own FROM event_rows)"""
@@ -408,6 +415,14 @@ ORACLE: dict[str, str] = {name: sql(text) for name, text in {
     "feat_category_counts": "SELECT * FROM f_categories",
     "feat_category_avg": "SELECT * FROM f_ratings",
     "feat_area": "SELECT * FROM f_area",
+    "feat_area_by_state": """SELECT user_id, max(c.city) FILTER (WHERE place = 1) AS user_city,
+        coalesce(string_agg(c.city || '=' || n, ';' ORDER BY c.city) FILTER (WHERE place > 1), '') AS travel_map,
+        max(latitude) FILTER (WHERE place = 1) AS latitude, max(longitude) FILTER (WHERE place = 1) AS longitude
+        FROM town_n c JOIN town_point USING (city) GROUP BY user_id""",
+    "run_counts": " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS rows FROM {view}" for name, view in (
+            ("review", "reviews"), ("user", "users"), ("friends", "users"), ("business", "places"),
+            ("checkin", "checkin_rows"), ("tip", "tips"), ("combined", "profile"))),
     "feat_friends_count": "SELECT user_id, friends_count FROM users",
     "feat_sentiment_map": "SELECT * FROM f_sentiments",
     "feat_frequent_words": "SELECT * FROM f_words",

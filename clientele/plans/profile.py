@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -170,6 +171,12 @@ def run_batch(
     return keep("combined", lambda: build_profile(users, reviews, business, how), how, empty_friends, tasks)
 
 
+def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows (table, rows), one per table; Parquet tables are counted from their footers."""
+    counts = [t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows") for n, t in tables.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def publish_profile(profile: DataFrame, table: str, **options) -> None:
     """Store a profile the way warehouses hold it: maps and lists as JSON text."""
     save_table(flat_columns(profile), table, **options)

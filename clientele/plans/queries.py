@@ -18,7 +18,8 @@ from clientele.operators import cleaning, features, reports, sampling, sketches,
 from clientele.operators import segment as seg
 from clientele.operators.segment import FilterSpec, Segment
 from clientele.plans.increment import FactStore, refresh_profile, start_fact_sink, stored_profile
-from clientele.plans.profile import RawPaths, build_profile, load_profile, publish_profile, run_batch
+from clientele.plans.profile import (
+    RawPaths, build_profile, load_profile, publish_profile, run_batch, table_counts)
 from clientele.sources import files, layout, standins, topics
 from clientele.streaming import ingest
 
@@ -386,6 +387,23 @@ def _raw_files(spark, sf_dir, folder: str, **parts: DataFrame) -> RawPaths:
     return RawPaths(**{name: f"{folder}/{name}" for name in raw})
 
 
+@query
+def run_counts(spark, sf_dir):
+    """Rows of the tables that a run makes."""
+    users = cleaning.typed_users(standins.raw_users(spark, sf_dir))
+    return table_counts({
+        "review": review_table(spark, sf_dir), "user": users, "friends": users.select("user_id", "friends"),
+        "business": _business(spark, sf_dir), "checkin": cleaning.clean_checkins(standins.raw_checkins(spark, sf_dir)),
+        "tip": cleaning.clean_tips(standins.raw_tips(spark, sf_dir)), "combined": profile_table(spark, sf_dir),
+    })
+
+
+@query
+def feat_area_by_state(spark, sf_dir):
+    """Home cities told from cities of the same name in other states."""
+    return features.user_area(_typed_reviews(spark, sf_dir), features.cities_by_state(_business(spark, sf_dir)))
+
+
 @query
 def pipeline_run(spark, sf_dir):
     """The batch run from JSON files to the profile."""

@@ -3,6 +3,8 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
+
 from clientele import schemas
 from clientele.functions.columns import merged_maps
 from clientele.operators import cleaning, dimension, features
@@ -177,3 +179,15 @@ def test_cleaning(spark):
     )
     row = cleaning.enrich_reviews(raw, lexicon).first()
     assert (row.sentiment, row.frequent_words, row.date) == ("positive", ["good", "food"], dt.datetime(2020, 1, 1, 1))
+
+
+def test_cities_of_one_name_stay_apart_by_state(spark):
+    places = [("b1", "Salem", "OR", 1.0), ("b2", "Salem", "MA", 2.0), ("b3", "Salem", "MA", 3.0), ("b4", "Reno", None, 4.0), ("b5", None, "NV", 5.0)]
+    business = spark.createDataFrame(places, "business_id string, city string, state string, latitude double").withColumns({
+        "longitude": F.col("latitude"), "categories": F.array(F.lit("x"))})
+    visits = [("u", b, 3.0) for b in ("b1", "b1", "b2", "b3", "b3", "b4", "b5")]
+    reviews = spark.createDataFrame(visits, "user_id string, business_id string, stars double")
+    row = features.user_area(reviews, features.cities_by_state(business)).first()
+    assert (row["user_city"], row["travel_map"], row["latitude"]) == ("Salem, MA", {"Salem, OR": 2, "Reno": 1}, 2.0)
+    merged = features.user_area(reviews, business).first()
+    assert (merged["user_city"], merged["travel_map"], merged["latitude"]) == ("Salem", {"Reno": 1}, 1.0)
