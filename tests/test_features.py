@@ -9,6 +9,7 @@ from clientele import schemas
 from clientele.functions.columns import merged_maps
 from clientele.operators import cleaning, dimension, features
 from clientele.plans.profile import build_profile
+from clientele.session import FIRST_PARTITIONS, prepare_shuffles
 
 REVIEW = "user_id string, business_id string, stars double, date timestamp, sentiment string, frequent_words array<string>"
 BUSINESS = "business_id string, categories array<string>, city string, latitude double, longitude double"
@@ -191,3 +192,51 @@ def test_cities_of_one_name_stay_apart_by_state(spark):
     assert (row["user_city"], row["travel_map"], row["latitude"]) == ("Salem, MA", {"Salem, OR": 2, "Reno": 1}, 2.0)
     merged = features.user_area(reviews, business).first()
     assert (merged["user_city"], merged["travel_map"], merged["latitude"]) == ("Salem", {"Reno": 1}, 1.0)
+
+
+EVERY = (features.ACTIVITY, *features.PARTS)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_are_not_shuffled(spark, reviews, business, tmp_path):
+    """One shuffle by user brings the reviews; their facts, several times as many, stay where they are."""
+    reviews.write.parquet(str(tmp_path / "r"))
+    stored = spark.read.parquet(str(tmp_path / "r"))
+    for parts in (EVERY, (features.CATEGORIES,), (features.AREA,), (features.WORDS,)):
+        plan = plan_of(features.user_features(stored, business, parts))
+        assert plan.count("Exchange hashpartitioning(user_id") == 1 and "kind" not in "".join(
+            l for l in plan.splitlines() if "Exchange" in l), plan
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_heavy_users_take_another_way_to_the_same(reviews, business, monkeypatch, large):
+    expected = sorted(map(str, features.user_features(reviews, business, EVERY).collect()))
+    if large:
+        monkeypatch.setattr(features, "is_small", lambda df: False)
+    monkeypatch.setattr(features, "HEAVY_ROWS", 1)
+    assert features.heavy_users(reviews.where("user_id is not null"))
+    made = features.user_features(reviews, business, EVERY)
+    # Facts of heavy users are counted before the shuffle.
+    assert "Exchange hashpartitioning(user_id" in plan_of(made) and ", kind" in "".join(
+        l for l in plan_of(made).splitlines() if "Exchange hashpartitioning" in l)
+    assert sorted(map(str, made.collect())) == expected
+
+
+def test_visits_without_a_business_count_as_activity_only(spark, business):
+    rows = [("u", None, 5.0, D2, "neutral", ["x"]), ("u", "b1", 1.0, D1, "neutral", ["x"]), ("u", "", 3.0, D1, "neutral", [])]
+    row = features.user_features(spark.createDataFrame(rows, REVIEW), business, EVERY).first()
+    assert (row.different_business_count, row.avg_rating, row.min_stars, row.max_stars) == (2, 3.0, 1.0, 5.0)
+    assert (row.first_seen, row.last_seen, row.sentiment_map) == (D1, D2, {"neutral": 3})
+
+
+def test_shuffles_start_from_many_partitions(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    own = spark.newSession()
+    prepare_shuffles(own)
+    assert own.conf.get(key) == str(FIRST_PARTITIONS)
+    own.conf.set(key, "7")
+    prepare_shuffles(own)
+    assert own.conf.get(key) == "7"
