@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from clientele import schemas
 from clientele.functions.columns import map_text
 from clientele.plans.profile import RawPaths, run_batch
-from clientele.sources import files, standins
+from clientele.sources import files, standins, topics
 
 SF = "/root/testdata/sf0.001"
 
@@ -158,3 +158,15 @@ def test_command_line(spark, tmp_path):
     main(arguments)
     profile = spark.read.parquet(files.sample_dir(str(tmp_path / "out"), 0.5) + "/combined")
     assert profile.count() == 75 and profile.columns == schemas.PROFILE_COLUMNS
+
+
+def test_json_is_written_compressed_and_read_back(spark, tmp_path):
+    rows = spark.range(3000).select(
+        F.concat(F.lit("business-"), "id").alias("business_id"), F.when(F.col("id") % 3 > 0, "2020-01-01, 2020-01-02").alias("date"))
+    files.write_json(rows, str(tmp_path / "j"))
+    assert sum(p.stat().st_size for p in (tmp_path / "j").glob("part-*")) < 40_000
+    assert sorted(map(str, files.read_json(spark, str(tmp_path / "j"), schemas.CHECKIN).collect())) == sorted(map(str, rows.collect()))
+    topics.write_replay(rows, str(tmp_path / "m"), files=2)
+    parts = list((tmp_path / "m").glob("part-*"))
+    assert len(parts) == 2 and sum(p.stat().st_size for p in parts) < 40_000
+    assert spark.read.schema(schemas.CHECKIN).json(str(tmp_path / "m")).count() == 3000
