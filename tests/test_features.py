@@ -240,3 +240,14 @@ def test_shuffles_start_from_many_partitions(spark):
     own.conf.set(key, "7")
     prepare_shuffles(own)
     assert own.conf.get(key) == "7"
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_a_business_listed_twice_counts_places_twice_and_texts_once(spark, business, monkeypatch, large):
+    if large:
+        monkeypatch.setattr(features, "is_small", lambda df: False)
+    rows = [("u", "b1", 4.0, D1, "positive", ["x"]), ("u", "b1", 2.0, D2, "neutral", ["x"]), ("u", "b2", 3.0, D1, "neutral", [])]
+    twice = business.unionByName(business.where("business_id = 'b1'"))
+    row = features.user_features(spark.createDataFrame(rows, REVIEW), twice, EVERY).first()
+    assert (row.different_business_count, row.category_map) == (3, {"Food": 5, "Bar": 4})
+    assert (row.sentiment_map, row.frequent_words_map) == ({"positive": 1, "neutral": 2}, {"x": 2})
