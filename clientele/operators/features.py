@@ -376,7 +376,7 @@ def frequent_words(reviews: DataFrame) -> DataFrame:
 def user_words(reviews: DataFrame) -> DataFrame:
     """The frequent words as rows (user_id, word, n): nothing is gathered per user,
     however many words an account has."""
-    facts = _counted_facts(_fact_sources(reviews, None, {WORDS}), {WORDS})
+    facts = _counted_facts(_all_facts(_review_rows(reviews, {WORDS}), {WORDS}), {WORDS})
     return facts.select("user_id", F.col("key").alias("word"), "n")
 
 
