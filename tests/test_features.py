@@ -9,7 +9,7 @@ from clientele import schemas
 from clientele.functions.columns import merged_maps
 from clientele.operators import cleaning, dimension, features
 from clientele.plans.profile import build_profile
-from clientele.session import FIRST_PARTITIONS, prepare_shuffles
+from clientele.session import FIRST_PARTITIONS, TASK_BYTES, prepare_shuffles
 
 REVIEW = "user_id string, business_id string, stars double, date timestamp, sentiment string, frequent_words array<string>"
 BUSINESS = "business_id string, categories array<string>, city string, latitude double, longitude double"
@@ -251,3 +251,26 @@ def test_a_business_listed_twice_counts_places_twice_and_texts_once(spark, busin
     row = features.user_features(spark.createDataFrame(rows, REVIEW), twice, EVERY).first()
     assert (row.different_business_count, row.category_map) == (3, {"Food": 5, "Bar": 4})
     assert (row.sentiment_map, row.frequent_words_map) == ({"positive": 1, "neutral": 2}, {"x": 2})
+
+
+def test_tasks_take_few_shuffled_bytes(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    own = spark.newSession()
+    prepare_shuffles(own)
+    assert own.conf.get(key) == TASK_BYTES
+    own.conf.set(key, "7MB")
+    prepare_shuffles(own)
+    assert own.conf.get(key) == "7MB"
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_partitions_follow_the_reviews(reviews, business, monkeypatch, large):
+    """The facts of a task are bounded however many reviews there are."""
+    if large:
+        monkeypatch.setattr(features, "is_small", lambda df: False)
+    expected = sorted(map(str, features.user_features(reviews, business, EVERY).collect()))
+    monkeypatch.setattr(features, "DEALT_ROWS", 1)
+    made = features.user_features(reviews, business, EVERY)
+    assert made.rdd.getNumPartitions() == reviews.where("user_id is not null").count()
+    assert sorted(map(str, made.collect())) == expected
+    assert features.dealt_partitions(0, 4) is None
