@@ -37,8 +37,8 @@ LEXICON = {
 FRACTION = 0.1
 # Messages of a micro-batch.
 BATCH_BYTES = 512 * 1024 * 1024
-# Reviews whose users share a bucket.
-BUCKET_REVIEWS = 500_000
+# Users that share a clustered file.
+FILE_USERS = 50_000
 AS_OF = datetime.date(2001, 8, 1)
 NOW = {"availableNow": True}
 
@@ -493,7 +493,8 @@ def seg_filter_clustered(spark, sf_dir):
     """The filter chain over a profile whose files are clustered by the columns of the filters."""
     path = _scratch(spark, sf_dir, "clustered")
     columns = [f.column for f in seg.DEFAULT_FILTERS]
-    layout.save_clustered(profile_table(spark, sf_dir), path, columns, files=8)
+    profile = profile_table(spark, sf_dir)
+    layout.save_clustered(profile, path, columns, files=max(8, -(-profile.count() // FILE_USERS)))
     return Segment(spark.read.parquet(path), FILTERS).rows
 
 
@@ -719,7 +720,7 @@ def profile_bucketed(spark, sf_dir):
     name = f"users_{uuid.uuid4().hex[:8]}"
     users = cleaning.clean_users(standins.raw_users(spark, sf_dir))
     reviews = review_table(spark, sf_dir)
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-reviews.count() // BUCKET_REVIEWS))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-reviews.count() // features.DEALT_ROWS))
     layout.save_bucketed(users, name, "user_id", buckets, path=_scratch(spark, sf_dir, "users"))
     return build_profile(spark.table(name), reviews, _business(spark, sf_dir), partitions=buckets)
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from clientele.operators import cleaning, features, reports
 from clientele.operators import segment as seg
+from clientele.plans import queries
 from clientele.plans.profile import join_features
 from clientele.sources import layout, standins
 
@@ -112,3 +113,14 @@ def test_bounds_without_statistics(spark, tmp_path):
     none = df.where("id < 0")
     none.write.parquet(str(tmp_path / "none"))
     assert list(layout.largest_values(spark, str(tmp_path / "none"), ["id"]).first()) == [None]
+
+
+def test_clustered_files_follow_the_users(spark, monkeypatch):
+    """A file of the clustered profile, and the task that sorts it, holds a bounded number of users."""
+    asked, save = [], layout.save_clustered
+    monkeypatch.setattr(queries, "FILE_USERS", 2)
+    monkeypatch.setattr(layout, "save_clustered", lambda *rows, files: (asked.append(files), save(*rows, files=files)))
+    rows = queries.QUERIES["seg_filter_clustered"](spark, SF)
+    users = queries.profile_table(spark, SF).count()
+    assert users > 16 and asked == [-(-users // 2)]
+    assert sorted(map(str, rows.collect())) == sorted(map(str, queries.QUERIES["seg_filter_chain"](spark, SF).collect()))
