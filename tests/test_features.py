@@ -274,3 +274,28 @@ def test_partitions_follow_the_reviews(reviews, business, monkeypatch, large):
     assert made.rdd.getNumPartitions() == reviews.where("user_id is not null").count()
     assert sorted(map(str, made.collect())) == expected
     assert features.dealt_partitions(0, 4) is None
+
+
+@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize("heavy", [False, True])
+def test_features_of_some_users_move_sums_once(spark, reviews, business, monkeypatch, tmp_path, small, heavy):
+    """Restricting stored sums to some users takes no shuffle of these sums of its own."""
+    known = reviews.where("user_id is not null")
+    features.visits_of(known).write.parquet(str(tmp_path / "v"))
+    features.text_counts(known).write.parquet(str(tmp_path / "t"))
+    visits, texts = (spark.read.parquet(str(tmp_path / name)) for name in "vt")
+    expected = features.merged_features(visits, texts, business).where("user_id in ('u1', 'u4', 'u5')")
+    only = spark.createDataFrame([("u1",), ("u4",), ("u1",), ("u5",), ("none",)], "user_id string")
+    monkeypatch.setattr(features, "is_small", lambda df: small)
+    if heavy:
+        monkeypatch.setattr(features, "HEAVY_ROWS", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = features.merged_features(visits, texts, business, only)
+        plan = plan_of(made)
+        if not heavy:
+            # The sums together, and the users: once for each kind of sums where these are broadcast.
+            assert plan.count("Exchange hashpartitioning(user_id") == (3 if small else 2), plan
+        assert sorted(map(str, made.collect())) == sorted(map(str, expected.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
