@@ -6,16 +6,12 @@ contexts that a divergence test retains, and a token is scored in the state of
 the longest suffix of its history that is one.
 
 *Candidates.*  A gram (a context, or a context and its next token) is counted
-when it occurs ``gram_floor`` times in the training texts, and a word belongs to
-the lexicon from ``word_floor`` times on.  Both floors grow with the square root
-of the number of training tokens N: the tree grows with the corpus, and has at
-most N / floor grams of each length and words, which bounds what is gathered,
-fitted on the driver and handed to the tasks (16 sqrt(N) grams, 256 sqrt(N)
-words).  Counting is exact and covers every training text.
+when it occurs ``FLOOR`` times in the training texts, however many there are.
 
 *Test.*  A context is retained if its count times the divergence of its
 next-token distribution from that of its longest retained suffix, which is the
-log-likelihood that it gains on the training texts, exceeds ``GAIN`` ln N.
+log-likelihood that it gains on the training texts, exceeds ``GAIN`` ln N, for
+N training tokens.
 
 *Smoothing.*  With c(s) the count of state s, K(s) the sum of its counted next
 tokens and a = ``ESCAPE``,
@@ -26,9 +22,17 @@ and at the root P(w) = (c(w) + 1) / (N + V + 1), V the number of different
 training tokens; words never seen share the mass 1 / (N + V + 1).  Each state is
 a proper distribution.
 
-Words outside the lexicon have no grams, so they add the same to the score and
-to the base: their counts join them in one shuffle of (document, word, times),
-and the tokens of the lexicon are scored where they are read.
+*Distribution.*  All contexts of a token end in the word before it, so tokens
+are dealt out by that word: a bucket holds the whole subtree of each of its
+words, and counts, tests and scores there.  A context of more than ``_HEAVY``
+tokens (the word "the") has no bucket of its own.  Its grams are counted over all
+chunks of text and joined back to them, its test is a sum over them, and its
+tokens are dealt out by one word more.  Tokens go out in blobs, one a chunk and
+bucket, and come back as sums by text.
+
+Nothing that decides is gathered: the driver and the tasks hold the ``_HEAD`` most
+frequent words, which get their numbers and counts at once where all others get
+theirs by a join of (chunk, word), and at most N / ``_HEAVY`` contexts of each length.
 
 Defined results: null, empty and blank texts have the end only; a null doc_id is
 not held out; rows count each for itself, those that repeat too; an empty table
@@ -41,28 +45,38 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from functools import cached_property
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.sources.files import scratch_dir
+from clientele.sources.files import remove, scratch_dir
 
 DEPTH = 3
 GAIN = 2.0
 ESCAPE = 1.0
-# Floors of counts, as shares of the square root of the training tokens.
-GRAM_SHARE = 1 / 16
-WORD_SHARE = 1 / 256
+# Least count of a gram and of the words in it.
+FLOOR = 3
 FOLDS, HELD_OUT = 7, 2
 # Stands for the end of a text, which no word equals.
 END = b""
-# Distinct entries that a task holds before it hands them on.
+# Codes of words: the count below the floor, from the floor on one for each word.
+_WORDS = FLOOR
+# Words that a task looks up without a join, tokens of a chunk, tokens from which a context
+# is heavy: counted over the chunks, tokens of a bucket, and tokens scored at once; none of
+# them changes a result.
+_HEAD = 1 << 18
+_CHUNK = 1 << 19
+_HEAVY = 1 << 19
+_BUCKET = 1 << 20
+_SLICE = 1 << 17
+# Distinct words that a task holds before it hands them on.
 _HELD_WORDS = 400_000
-_HELD_GRAMS = 2_000_000
+# Of words that are held out only, those that a task reports.
+_OFTEN_OUT = 64
 
 
 def held_out(doc_id: Column) -> Column:
@@ -76,9 +90,8 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def floors(n_tokens: int) -> tuple[int, int]:
-    """Least counts of grams and of words of the lexicon."""
-    root = math.sqrt(n_tokens)
-    return max(2, math.ceil(root * GRAM_SHARE)), max(2, math.ceil(root * WORD_SHARE))
+    """Least counts of grams and of words in them, the same for any number of tokens."""
+    return FLOOR, FLOOR
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -89,239 +102,492 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-def _shifted(index: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """``index`` of the token before; -1 for the first token of a text."""
-    before = np.r_[-1, index[:-1]] if len(index) else index
-    return np.where(first, -1, before)
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns byte by byte, which compresses ids of a few bytes, under their length."""
+    raw = b"".join(c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns)
+    return len(columns[0]).to_bytes(8, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
+
+
+def _unpacked(blob: bytes, kinds: list) -> list[np.ndarray]:
+    n = int.from_bytes(blob[:8], "little")
+    widths = [np.dtype(k).itemsize for k in kinds]
+    raw = np.frombuffer(pa.Codec("zstd").decompress(blob[8:], n * sum(widths), asbytes=True), dtype=np.uint8)
+    parts = np.split(raw, np.cumsum(widths)[:-1] * n)
+    return [np.ascontiguousarray(p.reshape(w, n).T).reshape(-1).view(k) for p, w, k in zip(parts, widths, kinds, strict=True)]
+
+
+def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (left << 32) | right
+
+
+def _hashed(columns: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        out = (out + c.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
 
 
 @dataclass
-class Grams:
-    """Grams of one length: sorted keys (place of the gram without its last token, last token),
-    counts, and, once tested as contexts, the place of each gram without its first word,
-    the sum of its counted next tokens, and whether it is retained."""
+class States:
+    """Contexts with counts, sums of counted next tokens, and whether they are retained.
+
+    ``keys`` pairs the place of the context without its first word with that word.
+    """
 
     keys: np.ndarray
     counts: np.ndarray
-    suffix: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    known: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    retained: np.ndarray = field(default_factory=lambda: np.empty(0, bool))
+    known: np.ndarray
+    retained: np.ndarray
 
-
-def _key(place: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return np.where((place >= 0) & (token >= 0), (place << 32) | token, -1)
+    def step(self, place: np.ndarray, seen: np.ndarray, below: np.ndarray) -> np.ndarray:
+        """P in the states at ``place`` where they are retained, else ``below``."""
+        c, k = self.counts[place], self.known[place]
+        return np.where(self.retained[place], (seen + (c - k + ESCAPE) * below) / (c + ESCAPE), below)
 
 
 @dataclass
 class Model:
-    """The lexicon with its counts, and the grams of 2, 3, ... tokens; ``grams[0]`` are the words."""
+    """Sums over the training tokens, the frequent words, and the states with many occurrences, by length."""
 
-    lexicon: list[bytes]
+    head: dict[bytes, int]
+    head_counts: np.ndarray
+    often: np.ndarray
     n_tokens: int
     n_distinct: int
-    grams: list[Grams]
-
-    @cached_property
-    def ids(self) -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(self.lexicon)}
+    buckets: int
+    depth: int
+    gain: float
+    heavy: list[States]
 
     @property
-    def mass(self) -> int:
+    def root(self) -> int:
         return self.n_tokens + self.n_distinct + 1
 
-    def places(self, ids: np.ndarray, first: np.ndarray, lengths: int) -> list[np.ndarray]:
-        """For grams of 1 to ``lengths`` tokens, the place of the one that ends at each token."""
-        out = [ids]
-        for grams in self.grams[1:lengths]:
-            out.append(_find(grams.keys, _key(_shifted(out[-1], first), ids)))
-        return out
-
-    def root(self, ids: np.ndarray) -> np.ndarray:
-        """P at the root, as of a word never seen for those outside the lexicon."""
-        counts = np.where(ids >= 0, self.grams[0].counts[ids], 0) if len(self.lexicon) else np.zeros(len(ids))
-        return (counts + 1) / self.mass
-
-    @staticmethod
-    def _in_state(contexts: Grams, place: np.ndarray, seen: np.ndarray, below: np.ndarray) -> np.ndarray:
-        c = contexts.counts[place]
-        return (seen + (c - contexts.known[place] + ESCAPE) * below) / (c + ESCAPE)
-
-    def _step(self, length: int, place: np.ndarray, gram: np.ndarray, below: np.ndarray) -> np.ndarray:
-        """P in the states ``place`` of ``length`` words, where they are retained, else ``below``."""
-        contexts, longer = self.grams[length - 1], self.grams[length]
-        out = below.copy()
-        at = np.flatnonzero(place >= 0)
-        at = at[contexts.retained[place[at]]]
-        if len(at):
-            hit = gram[at]
-            seen = np.where(hit >= 0, longer.counts[hit], 0) if len(longer.counts) else np.zeros(len(at))
-            out[at] = self._in_state(contexts, place[at], seen, below[at])
-        return out
-
-    def probabilities(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """P of each token in the state of the longest retained suffix of its history."""
-        places = self.places(ids, first, len(self.grams))
-        out = self.root(ids)
-        for length in range(1, len(self.grams)):
-            out = self._step(length, _shifted(places[length - 1], first), places[length], out)
-        return out
-
-    def test_contexts(self, length: int, gain: float = GAIN) -> None:
-        """Retains the grams of ``length`` words that diverge from their suffix; longer ones are counted already."""
-        contexts, longer = self.grams[length - 1], self.grams[length]
-        if length > 1:
-            shorter = self.grams[length - 2]
-            head, last = contexts.keys >> 32, contexts.keys & 0xFFFFFFFF
-            contexts.suffix = last if length == 2 else _find(shorter.keys, _key(shorter.suffix[head], last))
-        n = len(contexts.counts)
-        place, token = longer.keys >> 32, longer.keys & 0xFFFFFFFF
-        contexts.known = np.bincount(place, longer.counts, n).astype(np.int64)
-        # P of every counted next token in the longest retained suffix.
-        chain, suffix = [], place
-        for shorter in range(length - 1, 0, -1):
-            suffix = self.grams[shorter].suffix[suffix]
-            chain.append((shorter, suffix))
-        below = self.root(token)
-        for shorter, states in reversed(chain):
-            below = self._step(shorter, states, _find(self.grams[shorter].keys, _key(states, token)), below)
-        inside = self._in_state(contexts, place, longer.counts, below)
-        rest = contexts.counts - contexts.known
-        gained = np.bincount(place, longer.counts * np.log(inside / below), n).astype(np.float64)
-        gained += rest * np.log((rest + ESCAPE) / (contexts.counts + ESCAPE))
-        contexts.retained = (gained > gain * math.log(max(2, self.n_tokens))) & (contexts.known > 0)
+    @property
+    def least_gain(self) -> float:
+        return self.gain * math.log(max(2, self.n_tokens))
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts over the training texts, and everywhere; words of few tokens that are held out only are left."""
     held: Counter[bytes] = Counter()
+    out: Counter[bytes] = Counter()
 
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+    def counted() -> pa.RecordBatch:
+        words = [w for w, n in held.items() if n > out[w] or n >= _OFTEN_OUT]
+        counts = pa.RecordBatch.from_arrays(
+            [pa.array(words, pa.binary()), pa.array([held[w] - out[w] for w in words], pa.int64()),
+             pa.array([held[w] for w in words], pa.int64())], ["word", "n", "everywhere"])
+        held.clear()
+        out.clear()
+        return counts
 
     for batch in batches:
-        for text in batch.column("text"):
-            held.update(tokens(text.as_py()))
+        for text, is_out in zip(batch.column("text"), batch.column("held_out"), strict=True):
+            read = tokens(text.as_py())
+            held.update(read)
+            if is_out.as_py() is not False:
+                out.update(read)
             if len(held) >= _HELD_WORDS:
-                yield out()
-                held.clear()
-    yield out()
+                yield counted()
+    yield counted()
 
 
 def _encoder(sent):
-    """Token ids (-1 outside the lexicon), and the words outside with their times."""
+    """One row per text, and one per chunk with all its tokens.
+
+    A token is the place of its word among the frequent ones, or -1 less the place among the others of the chunk.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = sent.value.ids
+        head = sent.value.head
+        chunk = TaskContext.get().partitionId() << 20
         for batch in batches:
-            coded, words, times, offsets = [], [], [], [0]
-            for text in batch.column("text"):
-                read = tokens(text.as_py())
-                numbers = np.array([ids.get(w, -1) for w in read], dtype=np.int32)
-                rare = Counter(w for w, i in zip(read, numbers.tolist(), strict=True) if i < 0)
-                coded.append(numbers.tobytes())
-                words.extend(rare)
-                times.extend(rare.values())
-                offsets.append(len(words))
-            rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(times, pa.int64())], ["word", "n"]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("held_out"), pa.array(coded, pa.binary()), rare],
-                ["row", "held_out", "ids", "rare"])
+            texts, start = batch.column("text"), 0
+            coded, lengths, other, size = [], [], {}, 0
+            for i in range(len(texts)):
+                numbers = [head[w] if w in head else -1 - other.setdefault(w, len(other)) for w in tokens(texts[i].as_py())]
+                coded.append(np.array(numbers, dtype=np.int32))
+                lengths.append(len(numbers))
+                size += len(numbers)
+                if size < _CHUNK and i + 1 < len(texts):
+                    continue
+                part = batch.slice(start, len(lengths))
+                n = np.array(lengths, dtype=np.int64)
+                out = np.array([v is not False for v in part.column("held_out").to_pylist()], dtype=np.uint8)
+
+                columns = {
+                    "key": pa.array((chunk << 21) + np.arange(len(n))), "row": part.column("row"),
+                    "held_out": part.column("held_out"), "n_tokens": pa.array(n),
+                    "chunk": pa.array([chunk]), "ids": pa.array([_packed(np.concatenate(coded))], pa.binary()),
+                    "lengths": pa.array([n.tobytes()], pa.binary()), "out": pa.array([out.tobytes()], pa.binary()),
+                    "words": pa.array([list(other)], pa.list_(pa.binary()))}
+                for is_chunk, rows in ((False, len(n)), (True, 1)):
+                    yield pa.RecordBatch.from_arrays(
+                        [c if is_chunk == (k > 3) else pa.nulls(rows, c.type) for k, c in enumerate(columns.values())]
+                        + [pa.array([is_chunk] * rows)], [*columns, "is_chunk"])
+                chunk, start = chunk + 1, i + 1
+                coded, lengths, other, size = [], [], {}, 0
 
     return encode
 
 
-def _tokens_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All ids of a batch, a mark at the first of each text, and where texts start."""
-    parts = [np.frombuffer(b.as_py(), dtype=np.int32) for b in batch.column("ids")]
-    lengths = np.array([len(p) for p in parts], dtype=np.int64)
-    starts = np.cumsum(np.r_[0, lengths])[:-1]
-    ids = np.concatenate(parts).astype(np.int64) if parts else np.empty(0, np.int64)
-    first = np.zeros(len(ids), dtype=bool)
-    first[starts] = True
-    return ids, first, starts
+def _resolver(sent):
+    """Codes of tokens: counts below the floor, then the frequent words and the others by their numbers.
 
+    ``counts`` are those of the others among them, in their order.
+    """
 
-def _gram_counter(sent, length: int, floor: int):
-    """Counts grams of ``length`` tokens whose context and last token reach the floor."""
-
-    def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-        return distinct, np.bincount(at, np.concatenate(counts), len(distinct)).astype(np.int64)
+    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        head = np.where(model.head_counts >= FLOOR, np.arange(len(model.head_counts)) + _WORDS, model.head_counts)
+        for batch in batches:
+            codes, others = [], []
+            for ids, words, found in zip(batch.column("ids"), batch.column("words").to_pylist(), batch.column("found"), strict=True):
+                ids = _unpacked(ids.as_py(), [np.int32])[0].astype(np.int64)
+                number, count = np.zeros(words, np.int64), np.zeros(words, np.int64)
+                if found.is_valid and len(found):
+                    place, n = (found.values.field(k).to_numpy() for k in ("place", "n"))
+                    number[place] = np.where(n >= FLOOR, found.values.field("number").to_numpy() + _WORDS + len(head), n)
+                    count[place] = n
+                code = np.r_[head, number[::-1]][ids] if len(head) + len(number) else ids
+                codes.append(_packed(code.astype(np.uint32)))
+                others.append(np.r_[np.zeros(len(head), np.int64), count[::-1]][ids][code >= _WORDS + len(head)].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("chunk"), pa.array(codes, pa.binary()), pa.array(others, pa.binary()),
+                 batch.column("lengths"), batch.column("out")], ["chunk", "codes", "counts", "lengths", "out"])
+
+    return resolve
+
+
+class _Chunk:
+    """The tokens of a chunk with the words before them, and P in the states with many occurrences."""
+
+    def __init__(self, model: Model, codes: bytes, counts: bytes, lengths: bytes, out: bytes):
+        self.model = model
+        self.codes = _unpacked(codes, [np.uint32])[0].astype(np.int64)
+        lengths = np.frombuffer(lengths, dtype=np.int64)
+        self.starts = np.cumsum(np.r_[0, lengths])[:-1]
+        self.text = np.repeat(np.arange(len(lengths)), lengths)
+        self.trained = np.frombuffer(out, dtype=np.uint8)[self.text] == 0
+        first = np.zeros(len(self.codes), dtype=bool)
+        first[self.starts] = True
+        table = np.r_[np.arange(_WORDS), model.head_counts]
+        self.counts = table[np.minimum(self.codes, len(table) - 1)]
+        self.counts[self.codes >= len(table)] = np.frombuffer(counts, dtype=np.int64)
+        # Words before, 0 from the first on that has no grams.
+        self.before, word, last = [], np.where(self.codes >= _WORDS, self.codes, 0), np.ones(len(self.codes), bool)
+        for _ in range(model.depth):
+            word = np.where(first, 0, np.r_[0, word[:-1]])
+            last = last & (word > 0)
+            self.before.append(np.where(last, word, 0))
+        self.below = (self.counts + 1) / model.root
+        self.level = np.zeros(len(self.codes), np.int64)
+        self.state = np.zeros(len(self.codes), np.int64)
+
+    def rare_counts(self) -> np.ndarray:
+        """Counts of words that are not frequent, else 0."""
+        return np.where(self.codes >= _WORDS + len(self.model.head_counts), self.counts, 0)
+
+    def grams(self, level: int) -> tuple[np.ndarray, ...]:
+        """Tokens whose context of ``level`` + 1 words may be heavy: their places, the keys of their
+        contexts, the places of the first of each gram, the gram of each, and the buckets of grams."""
+        word = self.before[level]
+        at = np.flatnonzero((self.level == level) & (_find(self.model.often, word) >= 0))
+        key = _pair(self.state[at], word[at])
+        _, context = np.unique(key, return_inverse=True)
+        _, some, gram = np.unique(_pair(context, self.codes[at]), return_index=True, return_inverse=True)
+        bucket = _hashed([key[some], self.codes[at[some]]]) % np.uint64(self.model.buckets)
+        return at, key, some, gram, bucket.astype(np.int64)
+
+    def enter(self, level: int, found) -> None:
+        """Steps into the states of ``level`` + 1 words by the counts of the grams that were found."""
+        at, key, some, gram, bucket = self.grams(level)
+        states = self.model.heavy[level]
+        seen = np.zeros(len(some), np.int64)
+        if found.is_valid and len(found):
+            parts = sorted(found.as_py(), key=lambda part: part["bucket"])
+            seen[np.argsort(bucket, kind="stable")] = np.concatenate([_unpacked(p["seen"], [np.uint64])[0] for p in parts])
+        state = _find(states.keys, key)
+        inside = state >= 0
+        at, state = at[inside], state[inside]
+        self.below[at] = states.step(state, seen[gram[inside]], self.below[at])
+        self.level[at] = level + 1
+        self.state[at] = state
+
+
+def _chunks(model: Model, batch: pa.RecordBatch) -> Iterator[tuple[int, _Chunk]]:
+    for i in range(batch.num_rows):
+        chunk = _Chunk(model, *(batch.column(c)[i].as_py() for c in ("codes", "counts", "lengths", "out")))
+        for level in range(len(model.heavy)):
+            chunk.enter(level, batch.column(f"found{level}")[i])
+        yield batch.column("chunk")[i].as_py(), chunk
+
+
+def _gram_counter(sent):
+    """Grams of contexts that may be heavy, counted by chunk and dealt out, with P below."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        often = model.grams[0].counts >= floor
-        keys, counts, held = [], [], 0
         for batch in batches:
-            ids, first, _ = _tokens_of(batch)
-            if not len(model.lexicon):
-                continue
-            ids = np.where((ids >= 0) & often[ids], ids, -1)
-            contexts = _shifted(model.places(ids, first, length - 1)[-1], first)
-            here = _key(contexts, ids)
-            distinct, n = np.unique(here[here >= 0], return_counts=True)
-            keys.append(distinct)
-            counts.append(n)
-            held += len(distinct)
-            if held >= _HELD_GRAMS:
-                merged = summed(keys, counts)
-                keys, counts = [merged[0]], [merged[1]]
-                held = len(merged[0])
-                if held >= _HELD_GRAMS // 2:
-                    yield pa.RecordBatch.from_arrays([pa.array(merged[0]), pa.array(merged[1])], ["key", "n"])
-                    keys, counts, held = [], [], 0
-        if keys:
-            merged = summed(keys, counts)
-            yield pa.RecordBatch.from_arrays([pa.array(merged[0]), pa.array(merged[1])], ["key", "n"])
+            for number, chunk in _chunks(model, batch):
+                at, key, some, gram, bucket = chunk.grams(len(model.heavy))
+                trained = np.bincount(gram, chunk.trained[at], len(some)).astype(np.uint32)
+                out = np.bincount(gram, minlength=len(some)).astype(np.uint32) - trained
+                columns = [key[some], chunk.codes[at[some]].astype(np.uint32), trained, out, chunk.below[at[some]]]
+                order = np.argsort(bucket, kind="stable")
+                columns = [c[order] for c in columns]
+                buckets, starts = np.unique(bucket[order], return_index=True)
+                cuts = [*starts.tolist(), len(order)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(buckets, pa.int64()), pa.array(np.full(len(buckets), number)),
+                     pa.array([_packed(*(c[i:j] for c in columns)) for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())],
+                    ["bucket", "chunk", "packed"])
 
     return count
 
 
-def _scorer(sent):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _gram_summer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Counts of the grams of a bucket: for each chunk, those of its grams that reach the floor; once, the
+    sums of their contexts, and the grams that reach the floor."""
+    chunks = table.column("chunk").to_pylist()
+    parts = [_unpacked(b, _GRAMS) for b in table.column("packed").to_pylist()]
+    contexts, words, trained, out, below = (np.concatenate(c) for c in zip(*parts, strict=True))
+    contexts, context = np.unique(contexts, return_inverse=True)
+    _, first, gram = np.unique(_pair(context, words.astype(np.int64)), return_index=True, return_inverse=True)
+    n, of = np.bincount(gram, trained), context[first]
+    seen = np.where((n >= FLOOR) & (words[first] >= _WORDS), n, 0).astype(np.uint64)
+    everywhere = np.bincount(context, trained) + np.bincount(context, out)
+    sums = [np.bincount(of, c).astype(np.uint64) for c in (n, seen)] + [everywhere.astype(np.uint64)]
+    most = np.where(words[first] >= _WORDS, n + np.bincount(gram, out), 0).max()
+    some = seen > 0
+    cuts = np.cumsum([len(p[0]) for p in parts])[:-1]
+    none = [None] * len(chunks)
+    return pa.table(
+        [[key[0].as_py()] * (len(chunks) + 1), [*chunks, None], [*(_packed(c) for c in np.split(seen[gram], cuts)), None],
+         [*none, _packed(contexts, *sums)], [*none, _packed(contexts[of[some]], seen[some], below[first[some]])], [*none, int(most)]],
+        schema=pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("seen", pa.binary()),
+                          ("contexts", pa.binary()), ("grams", pa.binary()), ("most", pa.int64())]))
+
+
+def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for blob in batch.column("contexts"):
+            columns = _unpacked(blob.as_py(), [np.int64] * 4)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["context", "c", "k", "everywhere"])
+
+
+def _gainer(sent):
+    """What the contexts gain by the grams of a bucket."""
+
+    def gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, known = sent.value
+        for batch in batches:
+            for blob in batch.column("grams"):
+                context, seen, below = _unpacked(blob.as_py(), [np.int64, np.uint64, np.float64])
+                at = _find(keys, context)
+                at, seen, below = at[at >= 0], seen[at >= 0], below[at >= 0]
+                inside = (seen + (counts[at] - known[at] + ESCAPE) * below) / (counts[at] + ESCAPE)
+                gained = np.bincount(at, seen * np.log(inside / below), len(keys)).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(gained)], ["context", "gained"])
+
+    return gains
+
+
+_GRAMS = [np.int64, np.uint32, np.uint32, np.uint32, np.float64]
+_SUMS = [np.uint32, np.float64]
+
+
+def _dealer(sent):
+    """Deals tokens out by the last word of their history, by more of it while that has many occurrences.
+
+    What needs no states but those with many occurrences is summed by text here, in bucket -1 less the chunk.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            ids, first, starts = _tokens_of(batch)
-            if batch.num_rows:
-                base = np.add.reduceat(np.log10(model.root(ids)), starts)
-                score = np.add.reduceat(np.log10(model.probabilities(ids, first)), starts)
-                n = np.diff(np.r_[starts, len(ids)])
-                known = np.add.reduceat((ids >= 0).astype(np.int64), starts)
-            else:
-                base = score = np.empty(0)
-                n = known = np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("row"), batch.column("held_out"), pa.array(n, pa.int64()),
-                 pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())],
-                ["key", "row", "held_out", "n_tokens", "known", "base", "model"])
+            for number, chunk in _chunks(model, batch):
+                n = len(chunk.starts)
+                if not n:
+                    continue
+                reached = np.array(chunk.before + [np.zeros(len(chunk.codes), np.int64)])[chunk.level, np.arange(len(chunk.codes))]
+                done = reached == 0
+                score = np.bincount(chunk.text[done], np.log10(chunk.below[done]), n).astype(np.float64)
+                base = np.add.reduceat(np.log10((chunk.counts + 1) / model.root), chunk.starts)
+                known = np.add.reduceat((chunk.counts > 0).astype(np.int64), chunk.starts)
+                rows = [(-1 - number, -1, _packed(np.arange(n, dtype=np.uint32), score, base, known))]
+                at = np.flatnonzero(~done)
+                bucket = _hashed([np.where(chunk.level >= k, w, 0)[at] for k, w in enumerate(chunk.before)])
+                bucket = (bucket % np.uint64(model.buckets)).astype(np.int64) * (model.depth + 1) + chunk.level[at]
+                # The words of a bucket one after the other, which compresses best.
+                order = np.argsort((bucket << 32) | chunk.before[0][at])
+                at, bucket = at[order], bucket[order]
+                columns = [c[at].astype(np.uint32) for c in [*chunk.before, chunk.codes, chunk.text * 2 + chunk.trained]]
+                rare, below = chunk.rare_counts()[at], chunk.below[at]
+                cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)).tolist()
+                for start, stop in zip(cuts, cuts[1:], strict=False):
+                    to, level = divmod(int(bucket[start]), model.depth + 1)
+                    rows.append((to, level, _packed(*(c[start:stop] for c in [*columns, below if level else rare]))))
+                buckets, levels, blobs = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(buckets, pa.int64()), pa.array([number] * len(rows), pa.int64()), pa.array(levels, pa.int32()),
+                     pa.array(blobs, pa.binary())], ["bucket", "chunk", "level", "packed"])
+
+    return deal
+
+
+def _probabilities(model: Model, level: int, before: list[np.ndarray], word: np.ndarray, trained: np.ndarray,
+                   below: np.ndarray) -> np.ndarray:
+    """P of tokens in the state of the longest retained suffix of their history, of which ``below``
+    knows ``level`` words; all tokens after the same ``level`` + 1 words are given."""
+    out, at, context = below.copy(), np.arange(len(word)), np.zeros(len(word), np.int64)
+    for length, words in enumerate(before):
+        if length > level:
+            some = words[at] > 0
+            at, context = at[some], context[some]
+        if not len(at):
+            break
+        _, context = np.unique(_pair(context, words[at]), return_inverse=True)
+        if length < level:
+            continue
+        counts = np.bincount(context, trained[at])
+        # Contexts that occur less often have no counted gram, nor have longer ones.
+        some = counts[context] >= FLOOR
+        at, context = at[some], context[some]
+        _, first, gram = np.unique(_pair(context, word[at]), return_index=True, return_inverse=True)
+        seen = np.bincount(gram, trained[at], len(first))
+        seen = np.where((seen >= FLOOR) & (word[at[first]] >= _WORDS), seen, 0)
+        of, n = context[first], len(counts)
+        known = np.bincount(of, seen, n)
+        rest, under = counts - known, out[at[first]]
+        inside = (seen + (rest[of] + ESCAPE) * under) / (counts[of] + ESCAPE)
+        gained = np.bincount(of, seen * np.log(inside / under), n) + rest * np.log((rest + ESCAPE) / (counts + ESCAPE))
+        states = States(np.arange(n), counts, known, (gained > model.least_gain) & (known > 0))
+        out[at] = states.step(context, seen[gram], out[at])
+    return out
+
+
+def _slices(context: list[np.ndarray]) -> list[np.ndarray]:
+    """Places by context, whole contexts together, about ``_SLICE`` at once."""
+    order = np.lexsort(context[::-1])
+    new = np.zeros(len(order), dtype=bool)
+    for words in context:
+        new[1:] |= np.diff(words[order].astype(np.int64)) != 0
+    starts = np.flatnonzero(new)
+    _, first = np.unique(starts // _SLICE, return_index=True)
+    return np.split(order, starts[first])
+
+
+def _scorer(sent):
+    """Sums of the logarithms of P by chunk and text, from the tokens of a bucket."""
+    kind = pa.schema([("chunk", pa.int64()), ("packed", pa.binary()), ("whole", pa.bool_())])
+
+    def scored(level: int, blobs: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Texts and logarithms, by blob, of tokens that know ``level`` words."""
+        model = sent.value
+        kinds = [np.uint32] * (model.depth + 2) + [np.float64 if level else np.int64]
+        ends = np.cumsum([int.from_bytes(b[:8], "little") for b in blobs])
+        columns = [np.empty(ends[-1], k) for k in kinds]
+        for blob, end in zip(blobs, ends.tolist(), strict=True):
+            for column, part in zip(columns, _unpacked(blob, kinds), strict=True):
+                column[end - len(part):end] = part
+        *before, words, text, under = columns
+        counts, logs = np.r_[np.arange(_WORDS), model.head_counts], np.empty(len(words))
+        for at in _slices(before[:level + 1]):
+            word, below = words[at].astype(np.int64), under[at]
+            if not level:
+                below = (np.where(word < len(counts), counts[np.minimum(word, len(counts) - 1)], below) + 1) / model.root
+            logs[at] = np.log10(_probabilities(
+                model, level, [b[at].astype(np.int64) for b in before], word, text[at] & 1 == 1, below))
+        return list(zip(np.split(text >> 1, ends[:-1]), np.split(logs, ends[:-1]), strict=True))
+
+    def score(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        chunks, levels, blobs = (table.column(c).to_pylist() for c in ("chunk", "level", "packed"))
+        if key[0].as_py() < 0:
+            return pa.table([chunks, blobs, [True] * len(chunks)], schema=kind)
+        by_chunk: dict[int, list] = {}
+        for level in sorted(set(levels)):
+            some = [i for i, k in enumerate(levels) if k == level]
+            for i, logs in zip(some, scored(level, [blobs[i] for i in some]), strict=True):
+                by_chunk.setdefault(chunks[i], []).append(logs)
+        sums = []
+        for parts in by_chunk.values():
+            text, logs = (np.concatenate(c) for c in zip(*parts, strict=True))
+            n = np.bincount(text)
+            texts = np.flatnonzero(n)
+            sums.append(_packed(texts.astype(np.uint32), np.bincount(text, logs)[texts]))
+        return pa.table([list(by_chunk), sums, [False] * len(sums)], schema=kind)
 
     return score
 
 
-def _gathered(rows: DataFrame, columns: list[str]) -> list[np.ndarray]:
-    """Columns of a bounded table, on the driver."""
-    table = rows.select(*columns).toArrow()
-    return [table.column(c).to_numpy().astype(np.int64) for c in columns]
+def _summed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Scores of the texts of a chunk."""
+    blobs, whole = table.column("packed").to_pylist(), table.column("whole").to_pylist()
+    _, score, base, known = _unpacked(blobs[whole.index(True)], [*_SUMS, np.float64, np.int64])
+    score = score.copy()
+    for blob, is_whole in zip(blobs, whole, strict=True):
+        if not is_whole:
+            texts, more = _unpacked(blob, _SUMS)
+            score[texts] += more
+    return pa.table([(key[0].as_py() << 21) + np.arange(len(score)), known, base, score],
+                    names=["key", "n_known", "base_score", "score"])
 
 
-def learn(spark: SparkSession, coded: DataFrame, model: Model, depth: int = DEPTH, gain: float = GAIN) -> Model:
-    """Counts the grams of the encoded training texts, one length after the other, and tests the contexts."""
-    training = coded.where("not held_out").select("ids")
-    floor, _ = floors(model.n_tokens)
-    for length in range(2, depth + 2):
-        sent = spark.sparkContext.broadcast(model)
-        counted = (
-            training.mapInArrow(_gram_counter(sent, length, floor), "key long, n long")
-            # Tasks have added up their own; keys travel in the order in which they compress.
-            .repartition(F.col("key")).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= floor)
-        )
-        keys, counts = _gathered(counted, ["key", "n"])
-        order = np.argsort(keys)
-        model = Model(model.lexicon, model.n_tokens, model.n_distinct, [*model.grams, Grams(keys[order], counts[order])])
-        model.test_contexts(length - 1, gain)
-        sent.unpersist()
-    return model
+def _heavy_states(chunks: DataFrame, model: Model, folder: str) -> tuple[States, DataFrame, bool]:
+    """The heavy states of the next length, the chunks with the counts of their grams, and
+    whether longer ones are heavy: a context of one word more is a gram here."""
+    spark, level = chunks.sparkSession, len(model.heavy)
+    sent = spark.sparkContext.broadcast(model)
+    chunks.mapInArrow(_gram_counter(sent), "bucket long, chunk long, packed binary").groupBy("bucket").applyInArrow(
+        _gram_summer, "bucket long, chunk long, seen binary, contexts binary, grams binary, most long",
+    ).write.parquet(f"{folder}/grams{level}")
+    sent.unpersist()
+    grams = spark.read.parquet(f"{folder}/grams{level}")
+    # At most one context in _HEAVY tokens.
+    contexts = grams.where("contexts is not null").select("contexts").mapInArrow(
+        _context_sums, "context long, c long, k long, everywhere long",
+    ).groupBy("context").agg(F.sum("c").alias("c"), F.sum("k").alias("k"), F.sum("everywhere").alias("everywhere")).where(
+        F.col("everywhere") >= _HEAVY).select("context", "c", "k").toArrow()
+    keys, c, k = (contexts.column(i).to_numpy() for i in range(3))
+    order = np.argsort(keys)
+    keys, c, k = keys[order], c[order], k[order]
+    sent = spark.sparkContext.broadcast((keys, c, k))
+    tested = grams.where("grams is not null").select("grams").mapInArrow(
+        _gainer(sent), "context long, gained double").groupBy("context").agg(F.sum("gained").alias("gained")).toArrow()
+    gained = np.zeros(len(keys))
+    gained[_find(keys, tested.column("context").to_numpy())] = tested.column("gained").to_numpy()
+    sent.unpersist()
+    gained += (c - k) * np.log((c - k + ESCAPE) / (c + ESCAPE))
+    states = States(keys, c, k, (gained > model.least_gain) & (k > 0))
+    found = grams.where("chunk is not null").groupBy("chunk").agg(
+        F.collect_list(F.struct("bucket", "seen")).alias(f"found{level}"))
+    most = grams.agg(F.max("most")).first()[0]
+    return states, chunks.join(found, "chunk", "left"), (most or 0) >= _HEAVY
+
+
+def _numbered(spark: SparkSession, counts: DataFrame) -> DataFrame:
+    """Words numbered from 0, without a gap."""
+    part = F.shiftright("id", 33)
+    sizes = counts.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()
+    ends = np.cumsum([0, *(r["n"] for r in sizes)]).tolist()
+    starts = spark.createDataFrame([(r["part"], s) for r, s in zip(sizes, ends, strict=False)], "part long, start long")
+    return counts.withColumn("part", part).join(F.broadcast(starts), "part").select(
+        "word", "n", (F.col("start") + F.col("id").bitwiseAND(F.lit((1 << 33) - 1))).alias("number"))
+
+
+def _head(counts: DataFrame) -> pa.Table:
+    """The words that occur most often, at most ``_HEAD``."""
+    floor, total = None, 0
+    for r in counts.groupBy("everywhere").count().orderBy(F.desc("everywhere")).limit(_HEAD).collect():
+        total += r["count"]
+        if total > _HEAD:
+            break
+        floor = r["everywhere"]
+    return counts.where(F.col("everywhere") >= floor if floor else F.lit(False)).select("word", "n", "everywhere").toArrow().sort_by(
+        [("everywhere", "descending"), ("word", "ascending")])
 
 
 def score_documents(docs: DataFrame, carry: list[str], is_held_out: Column,
@@ -334,38 +600,47 @@ def score_documents(docs: DataFrame, carry: list[str], is_held_out: Column,
     folder = scratch_dir(spark, "suffixtree")
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
     texts = docs.select(F.struct(*carry).alias("row"), is_held_out.alias("held_out"), text)
-    counted = texts.where("not held_out").select("text").mapInArrow(_count_words, "word binary, n long")
+    counted = texts.select("held_out", "text").mapInArrow(_count_words, "word binary, n long, everywhere long")
     # Tasks have added up their own words.
-    counted.repartition(F.col("word")).groupBy("word").agg(F.sum("n").alias("n")).write.parquet(f"{folder}/words")
+    counted.repartition(F.col("word")).groupBy("word").agg(
+        F.sum("n").alias("n"), F.sum("everywhere").alias("everywhere"),
+    ).where(F.col("n") > 0).withColumn("id", F.monotonically_increasing_id()).write.parquet(f"{folder}/words")
     counts = spark.read.parquet(f"{folder}/words")
     n_distinct, n_tokens = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    _, word_floor = floors(n_tokens)
-    # At most n_tokens / word_floor words.
-    lexicon = counts.where(F.col("n") >= word_floor).toArrow()
-    words, times = lexicon.column("word").to_pylist(), lexicon.column("n").to_numpy().astype(np.int64)
-    order = sorted(range(len(words)), key=words.__getitem__)
-    words = [words[i] for i in order]
-    model = Model(words, n_tokens, n_distinct, [Grams(np.arange(len(words)), times[order])])
+    head = _head(counts)
+    words, n, everywhere = head.column("word").to_pylist(), head.column("n").to_numpy(), head.column("everywhere").to_numpy()
+    often = np.flatnonzero((everywhere >= _HEAVY) & (n >= FLOOR)) + _WORDS
+    model = Model({w: i for i, w in enumerate(words)}, n.astype(np.int64), often, n_tokens, n_distinct, 1, depth, gain, [])
 
     sent = spark.sparkContext.broadcast(model)
-    row = f"row {texts.dtypes[0][1]}, held_out boolean"
-    texts.mapInArrow(_encoder(sent), f"{row}, ids binary, rare array<struct<word:binary,n:long>>").select(
-        F.monotonically_increasing_id().alias("key"), "*").write.parquet(f"{folder}/coded")
-    coded = spark.read.parquet(f"{folder}/coded")
+    kind = (f"key long, row {texts.dtypes[0][1]}, held_out boolean, n_tokens long, "
+            "chunk long, ids binary, lengths binary, out binary, words array<binary>, is_chunk boolean")
+    texts.mapInArrow(_encoder(sent), kind).write.partitionBy("is_chunk").parquet(f"{folder}/coded")
+    coded = spark.read.schema(kind).parquet(f"{folder}/coded")
+    chunks = coded.where("is_chunk")
+    # Words that are not frequent get their numbers and counts in one shuffle of (chunk, word).
+    found = chunks.select("chunk", F.posexplode("words").alias("place", "word")).join(
+        _numbered(spark, counts), "word").groupBy("chunk").agg(F.collect_list(F.struct("place", "n", "number")).alias("found"))
+    chunks.select("chunk", "ids", "lengths", "out", F.size("words").alias("words")).join(found, "chunk", "left").mapInArrow(
+        _resolver(sent), "chunk long, codes binary, counts binary, lengths binary, out binary",
+    ).write.parquet(f"{folder}/chunks")
     sent.unpersist()
-    model = learn(spark, coded, model, depth, gain)
-
-    fitted = spark.sparkContext.broadcast(model)
-    scored = coded.select("key", "row", "held_out", "ids").mapInArrow(
-        _scorer(fitted), f"key long, {row}, n_tokens long, known long, base double, model double")
-    # Words outside the lexicon add the logarithm of their count to both scores.
-    rare = coded.select("key", F.inline("rare")).withColumnRenamed("n", "times")
-    added = rare.join(counts, "word").groupBy("key").agg(
-        F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more"))
-    more = F.coalesce(F.col("more"), F.lit(0.0))
-    return scored.join(added, "key", "left").select(
-        "row", "held_out", "n_tokens",
-        (F.col("known") + F.coalesce(F.col("more_known"), F.lit(0))).alias("n_known"),
-        F.lit(n_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"), (F.col("model") + more).alias("score"),
-    )
+    # The words are not read again.
+    for read in ("words", "coded/is_chunk=true"):
+        remove(spark, f"{folder}/{read}")
+    chunks = spark.read.parquet(f"{folder}/chunks")
+    coded = spark.read.schema(kind).parquet(f"{folder}/coded").where("not is_chunk")
+    model.head = {}
+    size = coded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    model.buckets = 1 + size // _BUCKET
+    more = len(often) > 0
+    while more and len(model.heavy) < depth:
+        states, chunks, more = _heavy_states(chunks, model, folder)
+        model.heavy.append(states)
+
+    sent = spark.sparkContext.broadcast(model)
+    sums = chunks.mapInArrow(_dealer(sent), "bucket long, chunk long, level int, packed binary").groupBy("bucket").applyInArrow(
+        _scorer(sent), "chunk long, packed binary, whole boolean")
+    scores = sums.groupBy("chunk").applyInArrow(_summed, "key long, n_known long, base_score double, score double")
+    return coded.select("key", "row", "held_out", "n_tokens").join(scores, "key").select(
+        "row", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score")

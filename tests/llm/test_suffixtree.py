@@ -132,3 +132,35 @@ def test_odd_rows(spark, odd_documents):
     for r in out:
         assert r["row"]["row"] == "x" and r["n_tokens"] == len((r["row"]["text"] or "").encode().split()) + 1
         assert r["held_out"] is (r["row"]["doc_id"] is not None and zlib.crc32(str(r["row"]["doc_id"]).encode()) % 7 == 2)
+
+
+@pytest.mark.parametrize("head, heavy", [(0, 1 << 19), (7, 60), (1 << 18, 15), (1 << 18, 200)])
+def test_what_is_held_or_dealt_changes_nothing(spark, documents, monkeypatch, head, heavy):
+    """Frequent words and contexts of many tokens take other paths to the same scores."""
+    rows = list(enumerate([*texts(5), *["w1 w2 w3 w4 w5"] * 40]))
+    held = F.col("doc_id") % 4 == 1
+    monkeypatch.setattr(suffixtree, "_HEAD", head)
+    monkeypatch.setattr(suffixtree, "_HEAVY", heavy)
+    out = suffixtree.score_documents(documents(rows).repartition(5), ["doc_id"], held, 3, 0.5).collect()
+    plain = Plain([t for i, t in rows if i % 4 != 1], 3, 0.5)
+    by_id = {r["row"]["doc_id"]: r for r in out}
+    assert len(out) == len(by_id) == len(rows)
+    for i, text in rows:
+        r, (base, score) = by_id[i], plain.scores(text)
+        assert r["n_known"] == sum(plain.grams[1][(w,)] > 0 for w in tokens(text))
+        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] == pytest.approx(score, rel=1e-9)
+
+
+def test_grams_count_alike_in_small_and_large_corpora(spark, documents):
+    """Five times a phrase are learned, however many other tokens there are."""
+    phrase = "alpha beta gamma delta"
+    for others in (200, 40_000):
+        rows = [(i, phrase) for i in range(5)] + [(5 + k, " ".join(f"x{k}_{i}" for i in range(others // 4))) for k in range(4)]
+        out = suffixtree.score_documents(documents(rows), ["doc_id"], F.lit(False)).collect()
+        by_id = {r["row"]["doc_id"]: r for r in out}
+        assert by_id[0]["train_tokens"] > others and by_id[0]["score"] > by_id[0]["base_score"] + 3
+    assert suffixtree.floors(10) == suffixtree.floors(10**12)
+
+
+def test_no_documents(spark, documents):
+    assert suffixtree.score_documents(documents([(1, "a")]).limit(0), ["doc_id"], F.lit(False)).collect() == []
