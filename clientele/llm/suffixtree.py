@@ -266,10 +266,10 @@ class _Chunk:
 
     def __init__(self, model: Model, codes: bytes, counts: bytes, lengths: bytes, out: bytes):
         self.model = model
-        self.codes = _unpacked(codes, [np.uint32])[0].astype(np.int64)
+        self.codes = _unpacked(codes, [np.uint32])[0]
         lengths = np.frombuffer(lengths, dtype=np.int64)
         self.starts = np.cumsum(np.r_[0, lengths])[:-1]
-        self.text = np.repeat(np.arange(len(lengths)), lengths)
+        self.text = np.repeat(np.arange(len(lengths), dtype=np.uint32), lengths)
         self.trained = np.frombuffer(out, dtype=np.uint8)[self.text] == 0
         first = np.zeros(len(self.codes), dtype=bool)
         first[self.starts] = True
@@ -277,14 +277,14 @@ class _Chunk:
         self.counts = table[np.minimum(self.codes, len(table) - 1)]
         self.counts[self.codes >= len(table)] = np.frombuffer(counts, dtype=np.int64)
         # Words before, 0 from the first on that has no grams.
-        self.before, word, last = [], np.where(self.codes >= _WORDS, self.codes, 0), np.ones(len(self.codes), bool)
+        self.before, word, last = [], np.where(self.codes >= _WORDS, self.codes, np.uint32(0)), np.ones(len(self.codes), bool)
         for _ in range(model.depth):
-            word = np.where(first, 0, np.r_[0, word[:-1]])
+            word = np.where(first, np.uint32(0), np.r_[np.uint32(0), word[:-1]])
             last = last & (word > 0)
-            self.before.append(np.where(last, word, 0))
+            self.before.append(np.where(last, word, np.uint32(0)))
         self.below = (self.counts + 1) / model.root
-        self.level = np.zeros(len(self.codes), np.int64)
-        self.state = np.zeros(len(self.codes), np.int64)
+        self.level = np.zeros(len(self.codes), np.int8)
+        self.state = np.zeros(len(self.codes), np.uint32)
 
     def rare_counts(self) -> np.ndarray:
         """Counts of words that are not frequent, else 0."""
@@ -295,9 +295,9 @@ class _Chunk:
         contexts, the places of the first of each gram, the gram of each, and the buckets of grams."""
         word = self.before[level]
         at = np.flatnonzero((self.level == level) & (_find(self.model.often, word) >= 0))
-        key = _pair(self.state[at], word[at])
+        key = _pair(self.state[at].astype(np.int64), word[at].astype(np.int64))
         _, context = np.unique(key, return_inverse=True)
-        _, some, gram = np.unique(_pair(context, self.codes[at]), return_index=True, return_inverse=True)
+        _, some, gram = np.unique(_pair(context, self.codes[at].astype(np.int64)), return_index=True, return_inverse=True)
         bucket = _hashed([key[some], self.codes[at[some]]]) % np.uint64(self.model.buckets)
         return at, key, some, gram, bucket.astype(np.int64)
 
@@ -317,12 +317,11 @@ class _Chunk:
         self.state[at] = state
 
 
-def _chunks(model: Model, batch: pa.RecordBatch) -> Iterator[tuple[int, _Chunk]]:
-    for i in range(batch.num_rows):
-        chunk = _Chunk(model, *(batch.column(c)[i].as_py() for c in ("codes", "counts", "lengths", "out")))
-        for level in range(len(model.heavy)):
-            chunk.enter(level, batch.column(f"found{level}")[i])
-        yield batch.column("chunk")[i].as_py(), chunk
+def _chunk(model: Model, batch: pa.RecordBatch, i: int) -> _Chunk:
+    chunk = _Chunk(model, *(batch.column(c)[i].as_py() for c in ("codes", "counts", "lengths", "out")))
+    for level in range(len(model.heavy)):
+        chunk.enter(level, batch.column(f"found{level}")[i])
+    return chunk
 
 
 def _gram_counter(sent):
@@ -331,18 +330,20 @@ def _gram_counter(sent):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            for number, chunk in _chunks(model, batch):
+            for i, number in enumerate(batch.column("chunk").to_pylist()):
+                chunk = None  # One at once.
+                chunk = _chunk(model, batch, i)
                 at, key, some, gram, bucket = chunk.grams(len(model.heavy))
                 trained = np.bincount(gram, chunk.trained[at], len(some)).astype(np.uint32)
                 out = np.bincount(gram, minlength=len(some)).astype(np.uint32) - trained
-                columns = [key[some], chunk.codes[at[some]].astype(np.uint32), trained, out, chunk.below[at[some]]]
+                columns = [key[some], chunk.codes[at[some]], trained, out, chunk.below[at[some]]]
                 order = np.argsort(bucket, kind="stable")
                 columns = [c[order] for c in columns]
                 buckets, starts = np.unique(bucket[order], return_index=True)
                 cuts = [*starts.tolist(), len(order)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(buckets, pa.int64()), pa.array(np.full(len(buckets), number)),
-                     pa.array([_packed(*(c[i:j] for c in columns)) for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())],
+                     pa.array([_packed(*(c[a:b] for c in columns)) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())],
                     ["bucket", "chunk", "packed"])
 
     return count
@@ -408,23 +409,26 @@ def _dealer(sent):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            for number, chunk in _chunks(model, batch):
+            for i, number in enumerate(batch.column("chunk").to_pylist()):
+                chunk = None  # One at once.
+                chunk = _chunk(model, batch, i)
                 n = len(chunk.starts)
                 if not n:
                     continue
-                reached = np.array(chunk.before + [np.zeros(len(chunk.codes), np.int64)])[chunk.level, np.arange(len(chunk.codes))]
-                done = reached == 0
+                done = chunk.level == model.depth
+                for k, word in enumerate(chunk.before):
+                    done |= (chunk.level == k) & (word == 0)
                 score = np.bincount(chunk.text[done], np.log10(chunk.below[done]), n).astype(np.float64)
                 base = np.add.reduceat(np.log10((chunk.counts + 1) / model.root), chunk.starts)
                 known = np.add.reduceat((chunk.counts > 0).astype(np.int64), chunk.starts)
                 rows = [(-1 - number, -1, _packed(np.arange(n, dtype=np.uint32), score, base, known))]
                 at = np.flatnonzero(~done)
-                bucket = _hashed([np.where(chunk.level >= k, w, 0)[at] for k, w in enumerate(chunk.before)])
+                bucket = _hashed([np.where(chunk.level[at] >= k, w[at], 0) for k, w in enumerate(chunk.before)])
                 bucket = (bucket % np.uint64(model.buckets)).astype(np.int64) * (model.depth + 1) + chunk.level[at]
                 # The words of a bucket one after the other, which compresses best.
-                order = np.argsort((bucket << 32) | chunk.before[0][at])
+                order = np.argsort((bucket << 32) | chunk.before[0][at].astype(np.int64))
                 at, bucket = at[order], bucket[order]
-                columns = [c[at].astype(np.uint32) for c in [*chunk.before, chunk.codes, chunk.text * 2 + chunk.trained]]
+                columns = [c[at] for c in [*chunk.before, chunk.codes, chunk.text * 2 + chunk.trained]]
                 rare, below = chunk.rare_counts()[at], chunk.below[at]
                 cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)).tolist()
                 for start, stop in zip(cuts, cuts[1:], strict=False):
