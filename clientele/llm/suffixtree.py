@@ -71,7 +71,7 @@ _WORDS = FLOOR
 _HEAD = 1 << 18
 _CHUNK = 1 << 19
 _HEAVY = 1 << 19
-_BUCKET = 1 << 20
+_BUCKET = 1 << 21
 _SLICE = 1 << 17
 # Distinct words that a task holds before it hands them on.
 _HELD_WORDS = 400_000
@@ -285,6 +285,8 @@ class _Chunk:
         self.below = (self.counts + 1) / model.root
         self.level = np.zeros(len(self.codes), np.int8)
         self.state = np.zeros(len(self.codes), np.uint32)
+        # By length of heavy contexts, the count of the gram at each token.
+        self.seen: list[np.ndarray] = []
 
     def rare_counts(self) -> np.ndarray:
         """Counts of words that are not frequent, else 0."""
@@ -311,8 +313,10 @@ class _Chunk:
             seen[np.argsort(bucket, kind="stable")] = np.concatenate([_unpacked(p["seen"], [np.uint64])[0] for p in parts])
         state = _find(states.keys, key)
         inside = state >= 0
-        at, state = at[inside], state[inside]
-        self.below[at] = states.step(state, seen[gram[inside]], self.below[at])
+        at, state, seen = at[inside], state[inside], seen[gram[inside]]
+        self.seen.append(np.zeros(len(self.codes), np.uint32))
+        self.seen[level][at] = seen
+        self.below[at] = states.step(state, seen, self.below[at])
         self.level[at] = level + 1
         self.state[at] = state
 
@@ -429,11 +433,11 @@ def _dealer(sent):
                 order = np.argsort((bucket << 32) | chunk.before[0][at].astype(np.int64))
                 at, bucket = at[order], bucket[order]
                 columns = [c[at] for c in [*chunk.before, chunk.codes, chunk.text * 2 + chunk.trained]]
-                rare, below = chunk.rare_counts()[at], chunk.below[at]
+                seen, rare = [c[at] for c in chunk.seen], chunk.rare_counts()[at]
                 cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)).tolist()
                 for start, stop in zip(cuts, cuts[1:], strict=False):
                     to, level = divmod(int(bucket[start]), model.depth + 1)
-                    rows.append((to, level, _packed(*(c[start:stop] for c in [*columns, below if level else rare]))))
+                    rows.append((to, level, _packed(*(c[start:stop] for c in [*columns, *seen[:level], rare]))))
                 buckets, levels, blobs = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(buckets, pa.int64()), pa.array([number] * len(rows), pa.int64()), pa.array(levels, pa.int32()),
@@ -491,18 +495,20 @@ def _scorer(sent):
     def scored(level: int, blobs: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Texts and logarithms, by blob, of tokens that know ``level`` words."""
         model = sent.value
-        kinds = [np.uint32] * (model.depth + 2) + [np.float64 if level else np.int64]
+        kinds = [np.uint32] * (model.depth + 2 + level) + [np.int64]
         ends = np.cumsum([int.from_bytes(b[:8], "little") for b in blobs])
         columns = [np.empty(ends[-1], k) for k in kinds]
         for blob, end in zip(blobs, ends.tolist(), strict=True):
             for column, part in zip(columns, _unpacked(blob, kinds), strict=True):
                 column[end - len(part):end] = part
-        *before, words, text, under = columns
+        before, (words, text), seen, rare = columns[:model.depth], columns[model.depth:][:2], columns[model.depth + 2:-1], columns[-1]
         counts, logs = np.r_[np.arange(_WORDS), model.head_counts], np.empty(len(words))
         for at in _slices(before[:level + 1]):
-            word, below = words[at].astype(np.int64), under[at]
-            if not level:
-                below = (np.where(word < len(counts), counts[np.minimum(word, len(counts) - 1)], below) + 1) / model.root
+            word, state = words[at].astype(np.int64), np.zeros(len(at), np.int64)
+            below = (np.where(word < len(counts), counts[np.minimum(word, len(counts) - 1)], rare[at]) + 1) / model.root
+            for states, last, n in zip(model.heavy, before, seen, strict=False):
+                state = _find(states.keys, _pair(state, last[at].astype(np.int64)))
+                below = states.step(state, n[at].astype(np.int64), below)
             logs[at] = np.log10(_probabilities(
                 model, level, [b[at].astype(np.int64) for b in before], word, text[at] & 1 == 1, below))
         return list(zip(np.split(text >> 1, ends[:-1]), np.split(logs, ends[:-1]), strict=True))
@@ -545,7 +551,7 @@ def _heavy_states(chunks: DataFrame, model: Model, folder: str) -> tuple[States,
     whether longer ones are heavy: a context of one word more is a gram here."""
     spark, level = chunks.sparkSession, len(model.heavy)
     sent = spark.sparkContext.broadcast(model)
-    chunks.mapInArrow(_gram_counter(sent), "bucket long, chunk long, packed binary").groupBy("bucket").applyInArrow(
+    chunks.mapInArrow(_gram_counter(sent), "bucket long, chunk long, packed binary").repartition(model.buckets, "bucket").groupBy("bucket").applyInArrow(
         _gram_summer, "bucket long, chunk long, seen binary, contexts binary, grams binary, most long",
     ).write.parquet(f"{folder}/grams{level}")
     sent.unpersist()
@@ -643,7 +649,7 @@ def score_documents(docs: DataFrame, carry: list[str], is_held_out: Column,
         model.heavy.append(states)
 
     sent = spark.sparkContext.broadcast(model)
-    sums = chunks.mapInArrow(_dealer(sent), "bucket long, chunk long, level int, packed binary").groupBy("bucket").applyInArrow(
+    sums = chunks.mapInArrow(_dealer(sent), "bucket long, chunk long, level int, packed binary").repartition(model.buckets, "bucket").groupBy("bucket").applyInArrow(
         _scorer(sent), "chunk long, packed binary, whole boolean")
     scores = sums.groupBy("chunk").applyInArrow(_summed, "key long, n_known long, base_score double, score double")
     return coded.select("key", "row", "held_out", "n_tokens").join(scores, "key").select(
