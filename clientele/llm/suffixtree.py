@@ -72,7 +72,7 @@ _HEAD = 1 << 18
 _CHUNK = 1 << 19
 _HEAVY = 1 << 19
 _BUCKET = 1 << 21
-_SLICE = 1 << 17
+_SLICE = 1 << 18
 # Distinct words that a task holds before it hands them on.
 _HELD_WORDS = 400_000
 # Of words that are held out only, those that a task reports.
@@ -477,17 +477,6 @@ def _probabilities(model: Model, level: int, before: list[np.ndarray], word: np.
     return out
 
 
-def _slices(context: list[np.ndarray]) -> list[np.ndarray]:
-    """Places by context, whole contexts together, about ``_SLICE`` at once."""
-    order = np.lexsort(context[::-1])
-    new = np.zeros(len(order), dtype=bool)
-    for words in context:
-        new[1:] |= np.diff(words[order].astype(np.int64)) != 0
-    starts = np.flatnonzero(new)
-    _, first = np.unique(starts // _SLICE, return_index=True)
-    return np.split(order, starts[first])
-
-
 def _scorer(sent):
     """Sums of the logarithms of P by chunk and text, from the tokens of a bucket."""
     kind = pa.schema([("chunk", pa.int64()), ("packed", pa.binary()), ("whole", pa.bool_())])
@@ -497,21 +486,28 @@ def _scorer(sent):
         model = sent.value
         kinds = [np.uint32] * (model.depth + 2 + level) + [np.int64]
         ends = np.cumsum([int.from_bytes(b[:8], "little") for b in blobs])
-        columns = [np.empty(ends[-1], k) for k in kinds]
-        for blob, end in zip(blobs, ends.tolist(), strict=True):
-            for column, part in zip(columns, _unpacked(blob, kinds), strict=True):
-                column[end - len(part):end] = part
-        before, (words, text), seen, rare = columns[:model.depth], columns[model.depth:][:2], columns[model.depth + 2:-1], columns[-1]
-        counts, logs = np.r_[np.arange(_WORDS), model.head_counts], np.empty(len(words))
-        for at in _slices(before[:level + 1]):
-            word, state = words[at].astype(np.int64), np.zeros(len(at), np.int64)
-            below = (np.where(word < len(counts), counts[np.minimum(word, len(counts) - 1)], rare[at]) + 1) / model.root
-            for states, last, n in zip(model.heavy, before, seen, strict=False):
-                state = _find(states.keys, _pair(state, last[at].astype(np.int64)))
-                below = states.step(state, n[at].astype(np.int64), below)
-            logs[at] = np.log10(_probabilities(
-                model, level, [b[at].astype(np.int64) for b in before], word, text[at] & 1 == 1, below))
-        return list(zip(np.split(text >> 1, ends[:-1]), np.split(logs, ends[:-1]), strict=True))
+        text, logs = np.empty(ends[-1], np.uint32), np.empty(ends[-1])
+        counts, n_slices = np.r_[np.arange(_WORDS), model.head_counts], 1 + int(ends[-1]) // _SLICE
+        # Some contexts at once, whole ones: reading all blobs again takes less than holding them.
+        for number in range(n_slices):
+            places, parts = [], []
+            for blob, end in zip(blobs, ends.tolist(), strict=True):
+                columns = _unpacked(blob, kinds)
+                some = np.flatnonzero((_hashed(columns[:level + 1]) >> np.uint64(40)) % np.uint64(n_slices) == number)
+                places.append(some + (end - len(columns[0])))
+                parts.append([c[some] for c in columns])
+            at = np.concatenate(places)
+            columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+            del places, parts
+            before, words, text[at], rare = columns[:model.depth], columns[model.depth], columns[model.depth + 1], columns[-1]
+            before, word, state = [b.astype(np.int64) for b in before], words.astype(np.int64), np.zeros(len(at), np.int64)
+            below = (np.where(word < len(counts), counts[np.minimum(word, len(counts) - 1)], rare) + 1) / model.root
+            for states, last, n in zip(model.heavy, before, columns[model.depth + 2:-1], strict=False):
+                state = _find(states.keys, _pair(state, last))
+                below = states.step(state, n.astype(np.int64), below)
+            logs[at] = np.log10(_probabilities(model, level, before, word, text[at] & 1 == 1, below))
+        text >>= np.uint32(1)
+        return list(zip(np.split(text, ends[:-1]), np.split(logs, ends[:-1]), strict=True))
 
     def score(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         chunks, levels, blobs = (table.column(c).to_pylist() for c in ("chunk", "level", "packed"))
