@@ -28,7 +28,11 @@ words, and counts, tests and scores there.  A context of more than ``_HEAVY``
 tokens (the word "the") has no bucket of its own.  Its grams are counted over all
 chunks of text and joined back to them, its test is a sum over them, and its
 tokens are dealt out by one word more.  Tokens go out in blobs, one a chunk and
-bucket, and come back as sums by text.
+bucket.  What a text gains in the states of a bucket comes back, as a whole number of
+2^-32; texts that gain nothing there do not.
+
+Chunks lie in files bucketed by their number, so that counts are shuffled to them and
+they are never shuffled to counts.
 
 Nothing that decides is gathered: the driver and the tasks hold the ``_HEAD`` most
 frequent words, which get their numbers and counts at once where all others get
@@ -54,6 +58,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.sources.files import remove, scratch_dir
+from clientele.sources.layout import bucketed_files
 
 DEPTH = 3
 GAIN = 2.0
@@ -73,6 +78,8 @@ _CHUNK = 1 << 19
 _HEAVY = 1 << 19
 _BUCKET = 1 << 21
 _SLICE = 1 << 18
+# Parts of 1 that gains are rounded to; a text has at most one for each of its tokens.
+_UNIT = 2.0**32
 # Distinct words that a task holds before it hands them on.
 _HELD_WORDS = 400_000
 # Of words that are held out only, those that a task reports.
@@ -164,6 +171,11 @@ class Model:
     def root(self) -> int:
         return self.n_tokens + self.n_distinct + 1
 
+    def rates(self, codes: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        """P at the root; ``rare`` has the counts of words that are not frequent."""
+        counts = np.r_[np.arange(_WORDS), self.head_counts]
+        return (np.where(codes < len(counts), counts[np.minimum(codes, len(counts) - 1)], rare) + 1) / self.root
+
     @property
     def least_gain(self) -> float:
         return self.gain * math.log(max(2, self.n_tokens))
@@ -329,7 +341,8 @@ def _chunk(model: Model, batch: pa.RecordBatch, i: int) -> _Chunk:
 
 
 def _gram_counter(sent):
-    """Grams of contexts that may be heavy, counted by chunk and dealt out, with P below."""
+    """Grams of contexts that may be heavy, counted by chunk and dealt out, with what gives P below:
+    the counts of their words and of the shorter grams."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
@@ -340,7 +353,8 @@ def _gram_counter(sent):
                 at, key, some, gram, bucket = chunk.grams(len(model.heavy))
                 trained = np.bincount(gram, chunk.trained[at], len(some)).astype(np.uint32)
                 out = np.bincount(gram, minlength=len(some)).astype(np.uint32) - trained
-                columns = [key[some], chunk.codes[at[some]], trained, out, chunk.below[at[some]]]
+                first = at[some]
+                columns = [key[some], chunk.codes[first], trained, out, *(c[first] for c in chunk.seen), chunk.rare_counts()[first]]
                 order = np.argsort(bucket, kind="stable")
                 columns = [c[order] for c in columns]
                 buckets, starts = np.unique(bucket[order], return_index=True)
@@ -353,27 +367,43 @@ def _gram_counter(sent):
     return count
 
 
-def _gram_summer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+def _gram_summer(sent):
     """Counts of the grams of a bucket: for each chunk, those of its grams that reach the floor; once, the
     sums of their contexts, and the grams that reach the floor."""
-    chunks = table.column("chunk").to_pylist()
-    parts = [_unpacked(b, _GRAMS) for b in table.column("packed").to_pylist()]
-    contexts, words, trained, out, below = (np.concatenate(c) for c in zip(*parts, strict=True))
-    contexts, context = np.unique(contexts, return_inverse=True)
-    _, first, gram = np.unique(_pair(context, words.astype(np.int64)), return_index=True, return_inverse=True)
-    n, of = np.bincount(gram, trained), context[first]
-    seen = np.where((n >= FLOOR) & (words[first] >= _WORDS), n, 0).astype(np.uint64)
-    everywhere = np.bincount(context, trained) + np.bincount(context, out)
-    sums = [np.bincount(of, c).astype(np.uint64) for c in (n, seen)] + [everywhere.astype(np.uint64)]
-    most = np.where(words[first] >= _WORDS, n + np.bincount(gram, out), 0).max()
-    some = seen > 0
-    cuts = np.cumsum([len(p[0]) for p in parts])[:-1]
-    none = [None] * len(chunks)
-    return pa.table(
-        [[key[0].as_py()] * (len(chunks) + 1), [*chunks, None], [*(_packed(c) for c in np.split(seen[gram], cuts)), None],
-         [*none, _packed(contexts, *sums)], [*none, _packed(contexts[of[some]], seen[some], below[first[some]])], [*none, int(most)]],
-        schema=pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("seen", pa.binary()),
-                          ("contexts", pa.binary()), ("grams", pa.binary()), ("most", pa.int64())]))
+    kind = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("seen", pa.binary()),
+                      ("contexts", pa.binary()), ("grams", pa.binary()), ("most", pa.int64())])
+
+    def below(keys: np.ndarray, words: np.ndarray, seen: list[np.ndarray], rare: np.ndarray) -> np.ndarray:
+        """P in the states without the first word of each context."""
+        model, places = sent.value, []
+        for states in reversed(model.heavy):
+            places.append(keys >> 32)
+            keys = states.keys[places[-1]]
+        out = model.rates(words, rare)
+        for states, place, n in zip(model.heavy, reversed(places), seen, strict=True):
+            out = states.step(place, n, out)
+        return out
+
+    def summed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        chunks = table.column("chunk").to_pylist()
+        kinds = [np.int64, *[np.uint32] * (3 + len(sent.value.heavy)), np.int64]
+        parts = [_unpacked(b, kinds) for b in table.column("packed").to_pylist()]
+        keys, words, trained, out, *shorter, rare = (np.concatenate(c) for c in zip(*parts, strict=True))
+        contexts, context = np.unique(keys, return_inverse=True)
+        _, first, gram = np.unique(_pair(context, words.astype(np.int64)), return_index=True, return_inverse=True)
+        n, of = np.bincount(gram, trained), context[first]
+        seen = np.where((n >= FLOOR) & (words[first] >= _WORDS), n, 0).astype(np.uint64)
+        everywhere = np.bincount(context, trained) + np.bincount(context, out)
+        sums = [np.bincount(of, c).astype(np.uint64) for c in (n, seen)] + [everywhere.astype(np.uint64)]
+        most = np.where(words[first] >= _WORDS, n + np.bincount(gram, out), 0).max()
+        some, cuts, none = seen > 0, np.cumsum([len(p[0]) for p in parts])[:-1], [None] * len(chunks)
+        at = first[some]
+        counted = _packed(keys[at], seen[some], below(keys[at], words[at], [c[at] for c in shorter], rare[at]))
+        return pa.table(
+            [[key[0].as_py()] * (len(chunks) + 1), [*chunks, None], [*(_packed(c) for c in np.split(seen[gram], cuts)), None],
+             [*none, _packed(contexts, *sums)], [*none, counted], [*none, int(most)]], schema=kind)
+
+    return summed
 
 
 def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,14 +430,14 @@ def _gainer(sent):
     return gains
 
 
-_GRAMS = [np.int64, np.uint32, np.uint32, np.uint32, np.float64]
-_SUMS = [np.uint32, np.float64]
+_SUMS = [np.uint32, np.float64, np.float64, np.int64]
+_GAINS = [np.uint32, np.uint64]
 
 
 def _dealer(sent):
     """Deals tokens out by the last word of their history, by more of it while that has many occurrences.
 
-    What needs no states but those with many occurrences is summed by text here, in bucket -1 less the chunk.
+    The logarithms of P in the states with many occurrences are summed by text here, in bucket -1 less the chunk.
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,15 +452,15 @@ def _dealer(sent):
                 done = chunk.level == model.depth
                 for k, word in enumerate(chunk.before):
                     done |= (chunk.level == k) & (word == 0)
-                score = np.bincount(chunk.text[done], np.log10(chunk.below[done]), n).astype(np.float64)
+                score = np.bincount(chunk.text, np.log10(chunk.below), n)
                 base = np.add.reduceat(np.log10((chunk.counts + 1) / model.root), chunk.starts)
                 known = np.add.reduceat((chunk.counts > 0).astype(np.int64), chunk.starts)
                 rows = [(-1 - number, -1, _packed(np.arange(n, dtype=np.uint32), score, base, known))]
                 at = np.flatnonzero(~done)
                 bucket = _hashed([np.where(chunk.level[at] >= k, w[at], 0) for k, w in enumerate(chunk.before)])
                 bucket = (bucket % np.uint64(model.buckets)).astype(np.int64) * (model.depth + 1) + chunk.level[at]
-                # The words of a bucket one after the other, which compresses best.
-                order = np.argsort((bucket << 32) | chunk.before[0][at].astype(np.int64))
+                # The words of a bucket one after the other, and texts in their order, which compresses best.
+                order = np.argsort((bucket << 32) | chunk.before[0][at].astype(np.int64), kind="stable")
                 at, bucket = at[order], bucket[order]
                 columns = [c[at] for c in [*chunk.before, chunk.codes, chunk.text * 2 + chunk.trained]]
                 seen, rare = [c[at] for c in chunk.seen], chunk.rare_counts()[at]
@@ -478,16 +508,16 @@ def _probabilities(model: Model, level: int, before: list[np.ndarray], word: np.
 
 
 def _scorer(sent):
-    """Sums of the logarithms of P by chunk and text, from the tokens of a bucket."""
+    """What the logarithms of P gain over those that the dealer summed, by chunk and text, from the tokens of a bucket."""
     kind = pa.schema([("chunk", pa.int64()), ("packed", pa.binary()), ("whole", pa.bool_())])
 
     def scored(level: int, blobs: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Texts and logarithms, by blob, of tokens that know ``level`` words."""
+        """Texts and gains, by blob, of tokens that know ``level`` words."""
         model = sent.value
         kinds = [np.uint32] * (model.depth + 2 + level) + [np.int64]
         ends = np.cumsum([int.from_bytes(b[:8], "little") for b in blobs])
         text, logs = np.empty(ends[-1], np.uint32), np.empty(ends[-1])
-        counts, n_slices = np.r_[np.arange(_WORDS), model.head_counts], 1 + int(ends[-1]) // _SLICE
+        n_slices = 1 + int(ends[-1]) // _SLICE
         # Some contexts at once, whole ones: reading all blobs again takes less than holding them.
         for number in range(n_slices):
             places, parts = [], []
@@ -501,11 +531,11 @@ def _scorer(sent):
             del places, parts
             before, words, text[at], rare = columns[:model.depth], columns[model.depth], columns[model.depth + 1], columns[-1]
             before, word, state = [b.astype(np.int64) for b in before], words.astype(np.int64), np.zeros(len(at), np.int64)
-            below = (np.where(word < len(counts), counts[np.minimum(word, len(counts) - 1)], rare) + 1) / model.root
+            below = model.rates(word, rare)
             for states, last, n in zip(model.heavy, before, columns[model.depth + 2:-1], strict=False):
                 state = _find(states.keys, _pair(state, last))
                 below = states.step(state, n.astype(np.int64), below)
-            logs[at] = np.log10(_probabilities(model, level, before, word, text[at] & 1 == 1, below))
+            logs[at] = np.log10(_probabilities(model, level, before, word, text[at] & 1 == 1, below)) - np.log10(below)
         text >>= np.uint32(1)
         return list(zip(np.split(text, ends[:-1]), np.split(logs, ends[:-1]), strict=True))
 
@@ -518,13 +548,16 @@ def _scorer(sent):
             some = [i for i, k in enumerate(levels) if k == level]
             for i, logs in zip(some, scored(level, [blobs[i] for i in some]), strict=True):
                 by_chunk.setdefault(chunks[i], []).append(logs)
-        sums = []
-        for parts in by_chunk.values():
+        gains = {}
+        for chunk, parts in by_chunk.items():
             text, logs = (np.concatenate(c) for c in zip(*parts, strict=True))
-            n = np.bincount(text)
-            texts = np.flatnonzero(n)
-            sums.append(_packed(texts.astype(np.uint32), np.bincount(text, logs)[texts]))
-        return pa.table([list(by_chunk), sums, [False] * len(sums)], schema=kind)
+            gained = np.rint(np.bincount(text, logs) * _UNIT).astype(np.int64)
+            texts = np.flatnonzero(gained)
+            if len(texts):
+                # Steps between texts, and signs in the last bit, leave the most bytes zero.
+                signed = (gained[texts] << 1) ^ (gained[texts] >> 63)
+                gains[chunk] = _packed(np.diff(texts, prepend=0).astype(np.uint32), signed.view(np.uint64))
+        return pa.table([list(gains), list(gains.values()), [False] * len(gains)], schema=kind)
 
     return score
 
@@ -532,23 +565,27 @@ def _scorer(sent):
 def _summed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Scores of the texts of a chunk."""
     blobs, whole = table.column("packed").to_pylist(), table.column("whole").to_pylist()
-    _, score, base, known = _unpacked(blobs[whole.index(True)], [*_SUMS, np.float64, np.int64])
-    score = score.copy()
+    _, score, base, known = _unpacked(blobs[whole.index(True)], _SUMS)
+    total = np.zeros(len(score), np.int64)
     for blob, is_whole in zip(blobs, whole, strict=True):
         if not is_whole:
-            texts, more = _unpacked(blob, _SUMS)
-            score[texts] += more
+            steps, signed = _unpacked(blob, _GAINS)
+            gained = signed.view(np.int64)
+            total[np.cumsum(steps, dtype=np.int64)] += ((gained >> 1) & (2**63 - 1)) ^ -(gained & 1)
+    score = score + total / _UNIT
     return pa.table([(key[0].as_py() << 21) + np.arange(len(score)), known, base, score],
                     names=["key", "n_known", "base_score", "score"])
 
 
-def _heavy_states(chunks: DataFrame, model: Model, folder: str) -> tuple[States, DataFrame, bool]:
+def _heavy_states(chunks: DataFrame, model: Model, folder: str, files: int) -> tuple[States, DataFrame, bool]:
     """The heavy states of the next length, the chunks with the counts of their grams, and
-    whether longer ones are heavy: a context of one word more is a gram here."""
+    whether longer ones are heavy: a context of one word more is a gram here.
+
+    The chunks lie in ``files`` buckets, where the counts are sent."""
     spark, level = chunks.sparkSession, len(model.heavy)
     sent = spark.sparkContext.broadcast(model)
     chunks.mapInArrow(_gram_counter(sent), "bucket long, chunk long, packed binary").repartition(model.buckets, "bucket").groupBy("bucket").applyInArrow(
-        _gram_summer, "bucket long, chunk long, seen binary, contexts binary, grams binary, most long",
+        _gram_summer(sent), "bucket long, chunk long, seen binary, contexts binary, grams binary, most long",
     ).write.parquet(f"{folder}/grams{level}")
     sent.unpersist()
     grams = spark.read.parquet(f"{folder}/grams{level}")
@@ -568,7 +605,7 @@ def _heavy_states(chunks: DataFrame, model: Model, folder: str) -> tuple[States,
     sent.unpersist()
     gained += (c - k) * np.log((c - k + ESCAPE) / (c + ESCAPE))
     states = States(keys, c, k, (gained > model.least_gain) & (k > 0))
-    found = grams.where("chunk is not null").groupBy("chunk").agg(
+    found = grams.where("chunk is not null").repartition(files, "chunk").groupBy("chunk").agg(
         F.collect_list(F.struct("bucket", "seen")).alias(f"found{level}"))
     most = grams.agg(F.max("most")).first()[0]
     return states, chunks.join(found, "chunk", "left"), (most or 0) >= _HEAVY
@@ -621,27 +658,28 @@ def score_documents(docs: DataFrame, carry: list[str], is_held_out: Column,
     sent = spark.sparkContext.broadcast(model)
     kind = (f"key long, row {texts.dtypes[0][1]}, held_out boolean, n_tokens long, "
             "chunk long, ids binary, lengths binary, out binary, words array<binary>, is_chunk boolean")
-    texts.mapInArrow(_encoder(sent), kind).write.partitionBy("is_chunk").parquet(f"{folder}/coded")
-    coded = spark.read.schema(kind).parquet(f"{folder}/coded")
-    chunks = coded.where("is_chunk")
-    # Words that are not frequent get their numbers and counts in one shuffle of (chunk, word).
-    found = chunks.select("chunk", F.posexplode("words").alias("place", "word")).join(
-        _numbered(spark, counts), "word").groupBy("chunk").agg(F.collect_list(F.struct("place", "n", "number")).alias("found"))
-    chunks.select("chunk", "ids", "lengths", "out", F.size("words").alias("words")).join(found, "chunk", "left").mapInArrow(
-        _resolver(sent), "chunk long, codes binary, counts binary, lengths binary, out binary",
-    ).write.parquet(f"{folder}/chunks")
+    files = 1 + n_tokens // _BUCKET
+    with bucketed_files(texts.mapInArrow(_encoder(sent), kind), f"{folder}/coded", "chunk", files, "is_chunk") as coded:
+        chunks = coded.where("is_chunk")
+        # Words that are not frequent get their numbers and counts in one shuffle of (chunk, word).
+        found = chunks.select("chunk", F.posexplode("words").alias("place", "word")).join(
+            _numbered(spark, counts), "word").repartition(files, "chunk").groupBy("chunk").agg(
+            F.collect_list(F.struct("place", "n", "number")).alias("found"))
+        resolved = chunks.select("chunk", "ids", "lengths", "out", F.size("words").alias("words")).join(found, "chunk", "left").mapInArrow(
+            _resolver(sent), "chunk long, codes binary, counts binary, lengths binary, out binary")
+        with bucketed_files(resolved, f"{folder}/chunks", "chunk", files) as chunks:
+            pass
     sent.unpersist()
     # The words are not read again.
     for read in ("words", "coded/is_chunk=true"):
         remove(spark, f"{folder}/{read}")
-    chunks = spark.read.parquet(f"{folder}/chunks")
     coded = spark.read.schema(kind).parquet(f"{folder}/coded").where("not is_chunk")
     model.head = {}
     size = coded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     model.buckets = 1 + size // _BUCKET
     more = len(often) > 0
     while more and len(model.heavy) < depth:
-        states, chunks, more = _heavy_states(chunks, model, folder)
+        states, chunks, more = _heavy_states(chunks, model, folder, files)
         model.heavy.append(states)
 
     sent = spark.sparkContext.broadcast(model)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -26,6 +28,24 @@ def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, **options)
     )
 
 
+@contextmanager
+def bucketed_files(df: DataFrame, path: str, key: str, buckets: int, *parts: str) -> Iterator[DataFrame]:
+    """Files under ``path``, hashed by ``key`` by the tasks that make the rows, without a shuffle, read again.
+
+    What is dealt out to equally many partitions by the key joins them without an
+    exchange of theirs.  The catalog has them inside the block only; without
+    ``parts``, the columns of the folders, the rows can be read after it, too.
+    """
+    spark, table = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    writer = df.write.option("path", path).bucketBy(buckets, key)
+    try:
+        (writer.partitionBy(*parts) if parts else writer).saveAsTable(table)
+        yield spark.table(table)
+    finally:
+        # The files of a table with a path of its own stay.
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def _step(column: str, marks: Sequence[float]) -> Column:
     """How many of the ascending ``marks`` a value reaches; nulls come first."""
     listed = F.array(*[F.lit(float(m)) for m in marks])

@@ -164,3 +164,24 @@ def test_grams_count_alike_in_small_and_large_corpora(spark, documents):
 
 def test_no_documents(spark, documents):
     assert suffixtree.score_documents(documents([(1, "a")]).limit(0), ["doc_id"], F.lit(False)).collect() == []
+
+
+def test_chunks_are_never_shuffled_to_counts(spark, documents, monkeypatch):
+    """Counts of heavy grams go to the files of the chunks, however many they are."""
+    for name, value in (("_HEAVY", 15), ("_CHUNK", 300), ("_BUCKET", 2000)):
+        monkeypatch.setattr(suffixtree, name, value)
+    rows = list(enumerate(texts(6)))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        out = suffixtree.score_documents(documents(rows).repartition(3), ["doc_id"], F.col("doc_id") % 4 == 1, 3, 0.5)
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        by_id = {r["row"]["doc_id"]: r["score"] for r in out.collect()}
+    finally:
+        spark.conf.unset(threshold)
+    (scan,) = [i for i, line in enumerate(plan) if "FileScan" in line and "codes#" in line]
+    assert "Bucketed: true" in plan[scan]
+    assert "Sort [chunk#" in "".join(plan[scan - 4:scan]) and not any("Exchange" in line for line in plan[scan - 4:scan])
+    plain = Plain([t for i, t in rows if i % 4 != 1], 3, 0.5)
+    assert all(by_id[i] == pytest.approx(plain.scores(t)[1], rel=1e-9) for i, t in rows)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
