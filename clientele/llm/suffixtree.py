@@ -206,6 +206,24 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield counted()
 
 
+class _Codes(dict):
+    """Places of the frequent words, and -1 less the places of others in the order they come."""
+
+    def __init__(self, head: dict[bytes, int]):
+        super().__init__(head)
+        self.others: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.others.append(word)
+        self[word] = -len(self.others)
+        return self[word]
+
+    def forget(self) -> None:
+        for word in self.others:
+            del self[word]
+        self.others = []
+
+
 def _encoder(sent):
     """One row per text, and one per chunk with all its tokens.
 
@@ -213,16 +231,16 @@ def _encoder(sent):
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = sent.value.head
+        codes = _Codes(sent.value.head)
         chunk = TaskContext.get().partitionId() << 20
         for batch in batches:
             texts, start = batch.column("text"), 0
-            coded, lengths, other, size = [], [], {}, 0
+            coded, lengths, size = [], [], 0
             for i in range(len(texts)):
-                numbers = [head[w] if w in head else -1 - other.setdefault(w, len(other)) for w in tokens(texts[i].as_py())]
-                coded.append(np.array(numbers, dtype=np.int32))
-                lengths.append(len(numbers))
-                size += len(numbers)
+                read = tokens(texts[i].as_py())
+                coded.append(np.fromiter(map(codes.__getitem__, read), np.int32, len(read)))
+                lengths.append(len(read))
+                size += len(read)
                 if size < _CHUNK and i + 1 < len(texts):
                     continue
                 part = batch.slice(start, len(lengths))
@@ -234,13 +252,14 @@ def _encoder(sent):
                     "held_out": part.column("held_out"), "n_tokens": pa.array(n),
                     "chunk": pa.array([chunk]), "ids": pa.array([_packed(np.concatenate(coded))], pa.binary()),
                     "lengths": pa.array([n.tobytes()], pa.binary()), "out": pa.array([out.tobytes()], pa.binary()),
-                    "words": pa.array([list(other)], pa.list_(pa.binary()))}
+                    "words": pa.array([codes.others], pa.list_(pa.binary()))}
                 for is_chunk, rows in ((False, len(n)), (True, 1)):
                     yield pa.RecordBatch.from_arrays(
                         [c if is_chunk == (k > 3) else pa.nulls(rows, c.type) for k, c in enumerate(columns.values())]
                         + [pa.array([is_chunk] * rows)], [*columns, "is_chunk"])
                 chunk, start = chunk + 1, i + 1
-                coded, lengths, other, size = [], [], {}, 0
+                coded, lengths, size = [], [], 0
+                codes.forget()
 
     return encode
 
@@ -301,8 +320,8 @@ class _Chunk:
         self.seen: list[np.ndarray] = []
 
     def rare_counts(self) -> np.ndarray:
-        """Counts of words that are not frequent, else 0."""
-        return np.where(self.codes >= _WORDS + len(self.model.head_counts), self.counts, 0)
+        """Counts of words that are not frequent, so at most one in ``_HEAD`` of all tokens; else 0."""
+        return np.where(self.codes >= _WORDS + len(self.model.head_counts), self.counts, 0).astype(np.uint32)
 
     def grams(self, level: int) -> tuple[np.ndarray, ...]:
         """Tokens whose context of ``level`` + 1 words may be heavy: their places, the keys of their
@@ -386,7 +405,7 @@ def _gram_summer(sent):
 
     def summed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         chunks = table.column("chunk").to_pylist()
-        kinds = [np.int64, *[np.uint32] * (3 + len(sent.value.heavy)), np.int64]
+        kinds = [np.int64, *[np.uint32] * (4 + len(sent.value.heavy))]
         parts = [_unpacked(b, kinds) for b in table.column("packed").to_pylist()]
         keys, words, trained, out, *shorter, rare = (np.concatenate(c) for c in zip(*parts, strict=True))
         contexts, context = np.unique(keys, return_inverse=True)
@@ -514,29 +533,26 @@ def _scorer(sent):
     def scored(level: int, blobs: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Texts and gains, by blob, of tokens that know ``level`` words."""
         model = sent.value
-        kinds = [np.uint32] * (model.depth + 2 + level) + [np.int64]
+        depth, n_columns = model.depth, model.depth + 3 + level
         ends = np.cumsum([int.from_bytes(b[:8], "little") for b in blobs])
-        text, logs = np.empty(ends[-1], np.uint32), np.empty(ends[-1])
         n_slices = 1 + int(ends[-1]) // _SLICE
-        # Some contexts at once, whole ones: reading all blobs again takes less than holding them.
+        columns, part = np.empty((n_columns, ends[-1]), np.uint32), np.empty(ends[-1], np.uint16)
+        for blob, end in zip(blobs, ends.tolist(), strict=True):
+            read = _unpacked(blob, [np.uint32] * n_columns)
+            columns[:, end - len(read[0]):end] = read
+            part[end - len(read[0]):end] = (_hashed(read[:level + 1]) >> np.uint64(40)) % np.uint64(n_slices)
+        text, logs = columns[depth + 1], np.empty(ends[-1])
+        # Some contexts at once, whole ones.
         for number in range(n_slices):
-            places, parts = [], []
-            for blob, end in zip(blobs, ends.tolist(), strict=True):
-                columns = _unpacked(blob, kinds)
-                some = np.flatnonzero((_hashed(columns[:level + 1]) >> np.uint64(40)) % np.uint64(n_slices) == number)
-                places.append(some + (end - len(columns[0])))
-                parts.append([c[some] for c in columns])
-            at = np.concatenate(places)
-            columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-            del places, parts
-            before, words, text[at], rare = columns[:model.depth], columns[model.depth], columns[model.depth + 1], columns[-1]
-            before, word, state = [b.astype(np.int64) for b in before], words.astype(np.int64), np.zeros(len(at), np.int64)
+            at = np.flatnonzero(part == number)
+            *before, word = (c[at].astype(np.int64) for c in columns[:depth + 1])
+            rare, state = columns[-1][at], np.zeros(len(at), np.int64)
             below = model.rates(word, rare)
-            for states, last, n in zip(model.heavy, before, columns[model.depth + 2:-1], strict=False):
+            for states, last, n in zip(model.heavy, before, columns[depth + 2:-1], strict=False):
                 state = _find(states.keys, _pair(state, last))
-                below = states.step(state, n.astype(np.int64), below)
+                below = states.step(state, n[at].astype(np.int64), below)
             logs[at] = np.log10(_probabilities(model, level, before, word, text[at] & 1 == 1, below)) - np.log10(below)
-        text >>= np.uint32(1)
+        text = text >> np.uint32(1)
         return list(zip(np.split(text, ends[:-1]), np.split(logs, ends[:-1]), strict=True))
 
     def score(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
