@@ -9,9 +9,10 @@
 3. Verified links give components.  A bucket whose members lie in more than one
    component still holds pairs that were not looked at.  Those outside its
    largest component are compared, by sketch, with all members of other
-   components, and every plausible pair is verified on the full sets, the likely
-   ones first, unless a link found before has joined its components.  Only links
-   leave the task; pairs that are refused do not.  No partner is given up.
+   components, and every plausible pair is verified on the full sets, unless a
+   link found before has joined its components.  A pair that shares several
+   buckets is verified in the one with the smallest key.  Only links leave the
+   task; pairs that are refused do not.  No partner is given up.
 
 Bands of four registers, forty of them: a pair at the threshold shares a band
 with probability 1 - 2.5e-7.  The estimate's margin is five standard errors.
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from clientele.llm.components import connected_components
 from clientele.llm.setsketch import (
-    REGISTERS, band_keys, estimate_rows, mixed, registers, shingles, unpacked,
+    REGISTERS, band_keys, equal_registers, mixed, reaches, registers, shingles, unpacked,
 )
 from clientele.operators.dimension import small_side
 from clientele.sources.files import cut_lineage
@@ -49,13 +50,14 @@ BLOCK_MEMBERS = 8192
 # Bucket members that small buckets bring to one task, and pairs of sketches looked
 # at together.  A task has one block that asks and one that answers at most beside.
 _GROUP_MEMBERS = 4096
-_COMPARED = 20_000
-# Sets and refused pairs that a task remembers.
-_HELD_SETS = 2_000
-_HELD_PAIRS = 100_000
+_COMPARED = 40_000
+# Shingles of the sets that a task verifies among each other at a time, on either side.
+_HELD_SHINGLES = 4_000_000
+# Tasks that the comparisons are dealt out to, at most.
+_MOST_TASKS = 1_000
 _SKETCH = "doc_id long, n_shingles long, high long, low long, registers binary"
-_PLACED = ["dealt", "unit", "member", "component", "n_shingles", "registers"]
-_PLACED_SCHEMA = "dealt long, unit long, member long, component long, n_shingles long, registers binary"
+_PLACED = ["dealt", "unit", "bucket", "member", "component", "n_shingles", "registers"]
+_PLACED_SCHEMA = "dealt long, unit long, bucket long, member long, component long, n_shingles long, registers binary"
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +96,7 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         sides = [unpacked(x.as_py() for x in batch.column(c)) for c in ("registers_a", "registers_b")]
         sizes = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
-        keep = estimate_rows(*sides, *sizes) >= PLAUSIBLE
+        keep = reaches(*sides, *sizes, PLAUSIBLE)
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
@@ -148,11 +150,8 @@ def shared_buckets(members: DataFrame) -> DataFrame:
 class _Links:
     """Links found by one task between members of different components."""
 
-    def __init__(self, members: pd.Series, texts: pd.Series):
-        self.texts: dict[int, list[str]] = texts.groupby(members).agg(list).to_dict()
-        self.sets: dict[int, list[np.ndarray]] = {}
+    def __init__(self):
         self.root: dict[int, int] = {}
-        self.refused: set[tuple[int, int]] = set()
         self.found: list[tuple[int, int]] = []
 
     def component(self, label: int) -> int:
@@ -161,50 +160,102 @@ class _Links:
             label = above
         return label
 
-    def _sets(self, member: int) -> list[np.ndarray]:
-        if member not in self.sets:
-            if len(self.sets) >= _HELD_SETS:
-                self.sets.clear()
-            self.sets[member] = [shingles(t) for t in self.texts[member]]
-        return self.sets[member]
-
-    def try_pair(self, x: int, of_x: int, y: int, of_y: int) -> None:
-        """Verifies a pair on its full sets, unless it is in one component by now."""
-        left, right = self.component(of_x), self.component(of_y)
-        pair = (max(x, y), min(x, y))
-        if left == right or pair in self.refused:
-            return
-        if any(linked(s, t) for s in self._sets(x) for t in self._sets(y)):
-            self.root[max(left, right)] = min(left, right)
-            self.found.append(pair)
-        else:
-            if len(self.refused) >= _HELD_PAIRS:  # then some are looked at again
-                self.refused.clear()
-            self.refused.add(pair)
+    def components(self, labels: np.ndarray) -> np.ndarray:
+        if not self.root or not len(labels):
+            return labels
+        different, at = np.unique(labels, return_inverse=True)
+        return np.array([self.component(int(label)) for label in different], dtype=np.int64)[at]
+
+    def try_pairs(self, sets: _Sets, x: np.ndarray, of_x: np.ndarray, y: np.ndarray, of_y: np.ndarray) -> None:
+        """Verifies pairs on their full sets, unless they are in one component by now."""
+        order = np.argsort(x, kind="stable")
+        x, of_x, y, of_y = x[order], of_x[order], y[order], of_y[order]
+        edges = np.flatnonzero(np.diff(x, prepend=x[:1] - 1, append=x[-1:] + 1))
+        for start, end in zip(edges[:-1], edges[1:], strict=True):
+            apart = np.flatnonzero(self.components(of_x[start:start + 1]) != self.components(of_y[start:end])) + start
+            for at in apart[sets.linked(int(x[start]), y[apart])]:
+                left, right = self.component(int(of_x[at])), self.component(int(of_y[at]))
+                if left != right:
+                    self.root[max(left, right)] = min(left, right)
+                    self.found.append((max(int(x[at]), int(y[at])), min(int(x[at]), int(y[at]))))
+
+
+class _Sets:
+    """The sets of some members, as numbers of those shingles that several of the sets have."""
+
+    def __init__(self, texts: dict[int, list[str]], members: np.ndarray):
+        own = [(int(m), shingles(t)) for m in members for t in texts[int(m)]]
+        every, times = np.unique(np.concatenate([s for _, s in own]), return_counts=True)
+        several = every[times > 1]
+        self.marks = np.zeros(len(several) + 1, dtype=np.uint8)
+        self.sizes = np.array([len(s) for _, s in own], dtype=np.int64)
+        self.shared: list[np.ndarray] = []
+        self.of: dict[int, list[int]] = {}
+        for number, (member, elements) in enumerate(own):
+            at = np.searchsorted(several, elements)
+            known = at < len(several)
+            known[known] = several[at[known]] == elements[known]
+            self.shared.append(at[known].astype(np.int32))
+            self.of.setdefault(member, []).append(number)
+        self.n_shared = np.array([len(s) for s in self.shared], dtype=np.int64)
+        self.single = len(self.of) == len(own)
+
+    def linked(self, x: int, ys: np.ndarray) -> np.ndarray:
+        """Whether a member has a set that is similar enough to one of each other member."""
+        found = np.zeros(len(ys), dtype=bool)
+        if not len(ys):
+            return found
+        numbers = [self.of[int(y)] for y in ys]
+        theirs = np.array([n for several in numbers for n in several], dtype=np.int64)
+        of_pair = np.arange(len(ys)) if self.single else np.repeat(np.arange(len(ys)), [len(n) for n in numbers])
+        for mine in self.of[x]:
+            # No pair has more in common than what either set shares with any other.
+            most = np.minimum(self.n_shared[mine], self.n_shared[theirs])
+            possible = np.flatnonzero((most > 0) & self._similar(mine, theirs, most))
+            if not len(possible):
+                continue
+            others = theirs[possible]
+            self.marks[self.shared[mine]] = 1
+            starts = np.concatenate([[0], np.cumsum(self.n_shared[others])[:-1]])
+            common = np.add.reduceat(self.marks[np.concatenate([self.shared[n] for n in others])], starts, dtype=np.int64)
+            self.marks[self.shared[mine]] = 0
+            found[of_pair[possible[self._similar(mine, others, common)]]] = True
+        return found
+
+    def _similar(self, mine: int, theirs: np.ndarray, common: np.ndarray) -> np.ndarray:
+        return 100 * common >= PERCENT * (self.sizes[mine] + self.sizes[theirs] - common)
 
 
 def _pairs(asking: pd.DataFrame, answering: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of both sides that make plausible pairs between components, bucket by bucket, the likely ones first."""
+    """Rows of both sides that make plausible pairs between components, bucket by bucket.
+
+    A pair comes in the bucket with the smallest of the keys that both have.  That
+    one is never left out as a bucket of the same members as another: those hold the
+    pair as well, and the one that is kept has the smallest key.
+    """
     if not len(asking) or not len(answering):
         return
     (regs_a, n_a, comp_a), (regs_b, n_b, comp_b) = (
         (unpacked(rows["registers"]), rows["n_shingles"].to_numpy(), rows["component"].to_numpy())
         for rows in (asking, answering))
+    bucket = asking["bucket"].to_numpy()
+    keys_a, keys_b = band_keys(regs_a), band_keys(regs_b)
     units_b = answering.groupby("unit", sort=False).indices
     for unit, a in asking.groupby("unit", sort=False).indices.items():
         b = units_b.get(unit, a[:0])
         step = max(1, _COMPARED // max(1, len(b)))
         for start in range(0, len(a), step):
             part = a[start:start + step]
-            equal = np.count_nonzero(regs_a[part][:, None, :] == regs_b[b][None, :, :], axis=2)
+            equal = equal_registers(regs_a[part], regs_b[b])
             x, y = np.nonzero((equal >= LEAST_EQUAL) & (comp_a[part][:, None] != comp_b[b][None, :]))
             x, y = part[x], b[y]
             if not len(x):
                 continue
-            guess = estimate_rows(regs_a[x], regs_b[y], n_a[x], n_b[y])
-            good = np.flatnonzero(guess >= PLAUSIBLE)
-            good = good[np.argsort(-guess[good], kind="stable")]
-            yield x[good], y[good]
+            before = ((keys_a[x] == keys_b[y]) & (keys_a[x] < bucket[a[0]])).any(axis=1)
+            x, y = x[~before], y[~before]
+            good = reaches(regs_a[x], regs_b[y], n_a[x], n_b[y], PLAUSIBLE)
+            if good.any():
+                yield x[good], y[good]
 
 
 def _in_pairs(asking: pd.DataFrame, answering: pd.DataFrame) -> pd.DataFrame:
@@ -220,16 +271,26 @@ def _cross(asking: pd.DataFrame, answering: pd.DataFrame) -> pd.DataFrame:
     """Links between components among the members of some buckets, bucket by bucket."""
     answering = answering.rename(columns=lambda c: c.removesuffix("2"))
     has_text = answering["text"].notna()
-    links = _Links(answering["member"][has_text], answering["text"][has_text])
+    texts = answering["text"][has_text].groupby(answering["member"][has_text]).agg(list).to_dict()
     answering = answering[~has_text]
-    (id_a, comp_a), (id_b, comp_b) = (
-        (rows["member"].to_numpy(), rows["component"].to_numpy()) for rows in (asking, answering))
-    for x, y in _pairs(asking, answering):
-        for i, j in zip(x, y, strict=True):
-            links.try_pair(int(id_a[i]), int(comp_a[i]), int(id_b[j]), int(comp_b[j]))
+    links = _Links()
+    for a in _held(asking):
+        for b in _held(answering):
+            sets = None
+            id_a, comp_a, id_b, comp_b = (rows[c].to_numpy() for rows in (a, b) for c in ("member", "component"))
+            for x, y in _pairs(a, b):
+                sets = sets or _Sets(texts, np.union1d(id_a, id_b))
+                links.try_pairs(sets, id_a[x], comp_a[x], id_b[y], comp_b[y])
     return pd.DataFrame(links.found, columns=["a", "b"], dtype="int64")
 
 
+def _held(rows: pd.DataFrame) -> list[pd.DataFrame]:
+    """``rows`` in parts whose members have ``_HELD_SHINGLES`` shingles, or one member more."""
+    sizes = rows.groupby("member")["n_shingles"].max()
+    part = (sizes.cumsum() - sizes) // _HELD_SHINGLES
+    return [some for _, some in rows.groupby(rows["member"].map(part))]
+
+
 def dealt_sides(buckets: DataFrame, members: DataFrame, labels: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
     """Asking and answering members of the buckets that have several components.
 
@@ -257,7 +318,11 @@ def dealt_sides(buckets: DataFrame, members: DataFrame, labels: DataFrame, block
     # a task, as many tasks as their rows need.
     small = divided.where("not alone").withColumn("size", F.expr("size * asking * answering"))
     around = small.groupBy("largest").agg(F.ceil(F.sum("size") / _GROUP_MEMBERS).alias("shares"))
-    groups = max(1, -(-(small.agg(F.sum("size")).first()[0] or 0) // _GROUP_MEMBERS))
+    in_small, large = divided.agg(
+        F.sum(F.when(~F.col("alone"), F.expr("size * asking * answering"))),
+        F.sum(F.when(F.col("alone"), F.expr("asking * answering")))).first()
+    groups = max(1, -(-(in_small or 0) // _GROUP_MEMBERS))
+    tasks = int(min(groups + (large or 0), _MOST_TASKS))
     rows = (
         labelled.join(divided.join(around, "largest", "left"), "bucket")
         .join(members.select("member", "n_shingles", "registers"), "member")
@@ -272,7 +337,7 @@ def dealt_sides(buckets: DataFrame, members: DataFrame, labels: DataFrame, block
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(blocks[other]) - 1)))
             .withColumn("unit", unit)
             .withColumn("dealt", F.when(F.col("alone"), unit).otherwise(F.pmod(share, F.lit(groups))))
-            .select(*_PLACED)
+            .select(*_PLACED).repartition(tasks, "dealt")
         )
 
     return side(rows.where("component != largest"), "i", "j"), side(rows, "j", "i")
@@ -296,13 +361,14 @@ def links_across(buckets: DataFrame, members: DataFrame, texts: DataFrame, label
     # Texts come once per task, on rows of their own.  Their other columns are zero,
     # not null, which would turn whole columns of 64-bit numbers into floats.
     zero = F.lit(0).cast("long")
+    tasks = min(max(1, paired.select("dealt").distinct().count()), _MOST_TASKS)
     with_text = paired.select("dealt", "member").distinct().join(texts, "member").select(
-        F.col("dealt").alias("dealt2"), zero.alias("unit2"), F.col("member").alias("member2"), zero.alias("component2"),
-        zero.alias("n_shingles2"), F.lit(b"").alias("registers2"), F.col("text").alias("text2"))
+        F.col("dealt").alias("dealt2"), zero.alias("unit2"), zero.alias("bucket2"), F.col("member").alias("member2"),
+        zero.alias("component2"), zero.alias("n_shingles2"), F.lit(b"").alias("registers2"), F.col("text").alias("text2"))
     answers = second(paired.where("not asks")).withColumn("text2", F.lit(None).cast("string"))
     return (
-        paired.where("asks").select(*_PLACED).groupBy("dealt")
-        .cogroup(answers.unionByName(with_text).groupBy("dealt2"))
+        paired.where("asks").select(*_PLACED).repartition(tasks, "dealt").groupBy("dealt")
+        .cogroup(answers.unionByName(with_text).repartition(tasks, "dealt2").groupBy("dealt2"))
         .applyInPandas(_cross, "a long, b long").distinct()
     )
 

@@ -23,6 +23,8 @@ ROWS_PER_BAND = 4  # four registers make one 64-bit key
 REGISTERS = BANDS * ROWS_PER_BAND
 SHINGLE_WORDS = 5
 _CHUNK = 512
+# Variates of one chunk of elements, room that is used again by every set.
+_VARIATES = np.empty((_CHUNK, REGISTERS), dtype=np.uint64)
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _RANDOM = np.random.default_rng(20240229)
@@ -55,7 +57,9 @@ def shingles(text: str | None) -> np.ndarray:
     joined = np.full(n, np.uint64(width))
     for k in range(width):
         joined += mixed(hashes[k:k + n] * _PLACES[k])
-    return np.unique(mixed(joined))
+    elements = mixed(joined)
+    elements.sort()
+    return elements[np.diff(elements, prepend=~elements[:1]) != 0]
 
 
 def registers(elements: np.ndarray) -> np.ndarray:
@@ -65,7 +69,9 @@ def registers(elements: np.ndarray) -> np.ndarray:
     # The smallest exponential variate belongs to the largest uniform one.
     highest = np.zeros(REGISTERS, dtype=np.uint64)
     for start in range(0, len(elements), _CHUNK):
-        part = elements[start:start + _CHUNK, None] * _FACTORS + _SHIFTS
+        chunk = elements[start:start + _CHUNK, None]
+        part = np.multiply(chunk, _FACTORS, out=_VARIATES[:len(chunk)])
+        part += _SHIFTS
         np.maximum(highest, part.max(axis=0), out=highest)
     below_one = (np.float64(2.0**64) - highest.astype(np.float64)).clip(min=1) / 2.0**64
     least = -np.log1p(-below_one.clip(max=1 - 2.0**-53)) / RATE
@@ -83,6 +89,16 @@ def unpacked(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), REGISTER).reshape(-1, REGISTERS)
 
 
+def _likelihood(j, larger, smaller, equal, share_a, share_b) -> np.ndarray:
+    """Log likelihood of similarities ``j``, a concave function of them."""
+    def above(x):
+        return -np.log1p(-x * (BASE - 1) / BASE) / np.log(BASE)
+
+    p = above((share_a - share_b * j).clip(1e-12, 1))
+    m = above((share_b - share_a * j).clip(1e-12, 1))
+    return larger * np.log(p) + smaller * np.log(m) + equal * np.log((1 - p - m).clip(1e-12, 1))
+
+
 def estimate_jaccard(larger: np.ndarray, smaller: np.ndarray, equal: np.ndarray,
                      n_first: np.ndarray, n_second: np.ndarray) -> np.ndarray:
     """Maximum likelihood similarity of pairs of sets of known sizes.
@@ -93,13 +109,8 @@ def estimate_jaccard(larger: np.ndarray, smaller: np.ndarray, equal: np.ndarray,
     share_a = n_first / (n_first + n_second)
     share_b = 1 - share_a
 
-    def above(x):
-        return -np.log1p(-x * (BASE - 1) / BASE) / np.log(BASE)
-
     def likelihood(j):
-        p = above((share_a - share_b * j).clip(1e-12, 1))
-        m = above((share_b - share_a * j).clip(1e-12, 1))
-        return larger * np.log(p) + smaller * np.log(m) + equal * np.log((1 - p - m).clip(1e-12, 1))
+        return _likelihood(j, larger, smaller, equal, share_a, share_b)
 
     low, high = np.zeros(len(equal)), np.minimum(share_a / share_b, share_b / share_a)
     golden = (np.sqrt(5) - 1) / 2
@@ -110,6 +121,27 @@ def estimate_jaccard(larger: np.ndarray, smaller: np.ndarray, equal: np.ndarray,
     return (low + high) / 2
 
 
+def reaches(first: np.ndarray, second: np.ndarray, n_first: np.ndarray, n_second: np.ndarray, least: float) -> np.ndarray:
+    """Whether the estimates of pairs given as rows of registers are ``least`` or more, up to 1e-4.
+
+    The likelihood is concave: its maximum is not below a place that it still rises to.
+    """
+    larger, smaller = (first > second).sum(axis=1), (first < second).sum(axis=1)
+    equal = first.shape[1] - larger - smaller
+    share_a = n_first / (n_first + n_second)
+    share_b = 1 - share_a
+    counts = (larger, smaller, equal, share_a, share_b)
+    most = np.minimum(share_a / share_b, share_b / share_a)
+    return (most >= least) & (_likelihood(least, *counts) >= _likelihood(least - 1e-4, *counts))
+
+
+def equal_registers(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """In how many registers each row of ``first`` equals each row of ``second``."""
+    same = (first[:, None, :] == second[None, :, :]).view(np.uint64)
+    # Eight counts a word, none of which passes 255; the product adds them up in the top byte.
+    return ((same.sum(axis=2, dtype=np.uint64) * np.uint64(0x0101010101010101)) >> np.uint64(56)).astype(np.int64)
+
+
 def estimate_rows(first: np.ndarray, second: np.ndarray, n_first: np.ndarray, n_second: np.ndarray) -> np.ndarray:
     """Estimates for pairs given as rows of registers."""
     return estimate_jaccard(

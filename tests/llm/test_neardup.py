@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +163,73 @@ def test_kept_row_does_not_depend_on_the_order(spark):
     one = neardup.keep_one(spark.createDataFrame(rows, schema).repartition(2)).collect()
     other = neardup.keep_one(spark.createDataFrame(rows[::-1], schema).repartition(7)).collect()
     assert sorted(one) == sorted(other) and len({(r["doc_id"], r["text"]) for r in one}) == len(one)
+
+
+def _family(n, seed=8, size=200):
+    """Copies of one text that differ by some words, most of them too far from each other for a link."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(500)}" for _ in range(size)]
+    copies = []
+    for i in range(n):
+        copy = list(base)
+        for _ in range(rng.randrange(0, 14)):
+            copy[rng.randrange(size)] = f"x{rng.randrange(10**6)}"
+        copies.append((i, " ".join(copy)))
+    return copies
+
+
+def _rows(copies):
+    """Members of all buckets that several of them share, each a component of its own."""
+    regs = np.stack([setsketch.registers(setsketch.shingles(t)) for _, t in copies])
+    keys = setsketch.band_keys(regs)
+    rows = [(int(k), i) for i, _ in copies for k in keys[i] if (keys == k).sum() > 1]
+    return regs, pd.DataFrame({
+        "unit": [k for k, _ in rows], "bucket": [k for k, _ in rows], "member": [i for _, i in rows],
+        "component": [i for _, i in rows], "n_shingles": [len(setsketch.shingles(copies[i][1])) for _, i in rows],
+        "registers": [regs[i].tobytes() for _, i in rows]})
+
+
+def test_pairs_come_in_one_bucket():
+    """However many buckets a pair shares, it is compared on its full sets in one."""
+    copies = _family(60)
+    regs, rows = _rows(copies)
+    ids = rows["member"].to_numpy()
+    met = [(int(ids[i]), int(ids[j])) for x, y in neardup._pairs(rows, rows) for i, j in zip(x, y, strict=True)]
+    keys = setsketch.band_keys(regs)
+    sizes = np.array([len(setsketch.shingles(t)) for _, t in copies])
+    expected = {
+        (i, j) for i in range(60) for j in range(60) if i != j and (keys[i] == keys[j]).any()
+        and setsketch.estimate_rows(regs[[i]], regs[[j]], sizes[[i]], sizes[[j]])[0] >= neardup.PLAUSIBLE}
+    assert len(met) == len(set(met)) and set(met) == expected and len(met) > 500
+
+
+@pytest.mark.parametrize("held", [4_000_000, 1500])
+def test_linked_as_whole_sets(monkeypatch, held):
+    """Links of a family, its sets held in one part and in several, are those of plain set arithmetic."""
+    monkeypatch.setattr(neardup, "_HELD_SHINGLES", held)
+    copies = _family(60)
+    _, rows = _rows(copies)
+    texts = pd.DataFrame({"member": [i for i, _ in copies] + [7], "text": [t for _, t in copies] + ["a b c d e f"]})
+    none = texts.assign(unit=0, bucket=0, component=0, n_shingles=0, registers=b"")
+    found = neardup._cross(rows, pd.concat([rows.assign(text=None), none]))
+    root = {i: i for i, _ in copies}
+    for _ in copies:
+        for a, b in found.itertuples(index=False):
+            root[a] = root[b] = min(root[a], root[b])
+    assert [str(root[i]) for i, _ in copies] == [c for _, c in sorted((int(i), c) for i, _, c, _ in brute(copies))]
+    assert 1 < len(set(root.values())) < 60
+    sets = neardup._Sets(texts.groupby("member")["text"].agg(list).to_dict(), np.arange(60))
+    whole = [setsketch.shingles(t) for _, t in copies]
+    for x in range(0, 60, 7):
+        others = np.delete(np.arange(60), x)
+        assert sets.linked(x, others).tolist() == [neardup.linked(whole[x], whole[y]) for y in others]
+
+
+def test_registers_of_sets_one_after_another():
+    """The room that sets share holds nothing of the set before."""
+    rng = np.random.default_rng(6)
+    many, few = (np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (1300, 7))
+    alone = setsketch.registers(few)
+    union = setsketch.registers(many)
+    assert (setsketch.registers(few) == alone).all()
+    assert (np.maximum(setsketch.registers(many[:700]), setsketch.registers(many[700:])) == union).all()
