@@ -21,16 +21,18 @@ from clientele.functions.text import SPACE
 # Largest lexicon that is sent along with the plan; bigger ones are joined.
 MAX_INLINE_WORDS = 20_000
 
-# Any of the fixed hanging marks, longer ones first.
-_HANGING = "(?:" + "|".join(
+# Any of the fixed hanging marks, longer ones first; one look at the next character
+# keeps letters and spaces from trying them all.
+_HANGING = "(?=[" + "".join("\\" + c for c in sorted({m[0] for m in L.HANGING_PUNCTUATION})) + "])(?:" + "|".join(
     "".join("\\" + c for c in mark) for mark in sorted(L.HANGING_PUNCTUATION, key=len, reverse=True)
 ) + ")"
 _END = rf"(?![^{SPACE}])"
 _PLAIN = rf"[^\p{{Punct}}{SPACE}]{{2,}}+"
-# A word of two characters or more; one hanging mark before or after it goes.
+# A word of two characters or more, with the space before it; one hanging mark before
+# or after it goes.
 _WORD = (
-    rf"(?:{_HANGING}(?={_PLAIN}{_END}))?"
-    rf"({_PLAIN}(?={_HANGING}?{_END})|[^{SPACE}]{{2,}}+)"
+    rf" ?+(?:{_HANGING}(?={_PLAIN}{_END}))?"
+    rf"({_PLAIN}(?=(?:{_HANGING})?{_END})|[^{SPACE}]{{2,}}+)"
     rf"(?:{_HANGING}{_END})?"
 )
 
@@ -214,7 +216,7 @@ def compound(text: Column, lexicon: Lexicon) -> Column:
     summed = let(lexicon.data, lambda data: let(
         spoken_words(text), lambda words: total(words, lambda w: lexicon.find(data, w))
     ))
-    return F.coalesce(let(summed, squash), F.lit(0.0))
+    return F.when(text.isNull(), 0.0).otherwise(F.coalesce(let(summed, squash), F.lit(0.0)))
 
 
 def label(score: Column) -> Column:

@@ -29,8 +29,9 @@ FUSED = rf"(?:can(?=not{BREAK})|(?:gim|lem)(?=me{BREAK})|(?:gon|wan)(?=na{BREAK}
 NEGATED = rf"\p{{L}}+(?=n't{BREAK})"
 # Anything else up to the next break: numbers, hyphenated words, addresses.
 OTHER = rf"(?:[^{SPACE}{LONE}.,:'\-]|\.(?!\.|{_AFTER_STOP})|[,:](?=\d)|-(?!-)|'(?!'))++"
-# The text is read left to right; group 1 holds the purely alphabetic words.
-LEXER = rf"({FUSED}|\p{{L}}++(?={BREAK}|{ENDING})|{NEGATED})|\.\.++|--|''|{OTHER}"
+# The text is read left to right; group 1 holds the purely alphabetic words.  A space
+# is taken along with what follows it: alone, it would fail every alternative first.
+LEXER = rf" ?+(?:({FUSED}|\p{{L}}++(?={BREAK}|{ENDING})|{NEGATED})|\.\.++|--|''|{OTHER})"
 
 
 def words(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
@@ -79,4 +80,5 @@ def most_common(items: Column, k: int) -> Column:
 
 def top_words(text: Column, k: int = 10, stop_words: list[str] = STOP_WORDS) -> Column:
     """The ``k`` most frequent words of a text; no words for a missing text."""
-    return let(words(F.coalesce(text, F.lit("")), stop_words), lambda found: most_common(found, k))
+    found = let(words(text, stop_words), lambda found: most_common(found, k))
+    return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(found)

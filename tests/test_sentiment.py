@@ -177,3 +177,17 @@ def test_lexicon_words_are_taken_as_written(spark):
     df = spark.createDataFrame([("so :D",), ("Good",)], "text string")
     got = [r.c for r in df.select(S.compound(F.col("text"), valence).alias("c")).collect()]
     assert got == [pytest.approx(plain_compound("so :D", {":d": 1.2}), abs=1e-4), 0.0]
+
+
+def test_missing_text_is_not_looked_up(spark):
+    """A review without a text costs no words and no lexicon."""
+    refuse = S.Lexicon(F.raise_error(F.lit("looked up")).cast("string"), lambda data, word: data.cast("double"))
+    rows = spark.createDataFrame([(None,), (None,)], "text string")
+    assert [r[0] for r in rows.select(S.compound(F.col("text"), refuse)).collect()] == [0.0, 0.0]
+
+
+def test_hanging_marks_before_and_after_spaces(spark):
+    said = " 'well'  (no) !!great!!  ok, x 'y' \"fine\" ---a- a--bb  "
+    rows = spark.createDataFrame([(said,), ("",), ("  ",), ("ab",)], "text string")
+    got = [r[0] for r in rows.select(S.spoken_words(F.col("text"))).collect()]
+    assert got == [split_words(said), [], [], ["ab"]]

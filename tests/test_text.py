@@ -87,3 +87,10 @@ def test_any_text(sessions, texts):
         # marks pile up without a word between them.
         if not re.search(r"[.,:'-]{2,}|'[.,:!?\"-]|[.,:]'|n'|^'|\s'", row.text):
             assert row.w == counted, row.text
+
+
+def test_missing_text_has_no_words(spark):
+    rows = spark.createDataFrame([(None,), ("",), ("  good  good, \n day ",)], "text string")
+    frame = rows.select(top_words(F.col("text")).alias("w"))
+    assert [r["w"] for r in frame.collect()] == [[], [], ["good", "day"]]
+    assert "isnull(text" in frame._jdf.queryExecution().optimizedPlan().toString().lower()
