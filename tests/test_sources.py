@@ -170,3 +170,24 @@ def test_json_is_written_compressed_and_read_back(spark, tmp_path):
     parts = list((tmp_path / "m").glob("part-*"))
     assert len(parts) == 2 and sum(p.stat().st_size for p in parts) < 40_000
     assert spark.read.schema(schemas.CHECKIN).json(str(tmp_path / "m")).count() == 3000
+
+
+def test_sent_messages_are_compressed(spark, tmp_path):
+    from clientele.plans import queries
+
+    rows = spark.range(50).select(F.col("id").cast("string").alias("review_id"), F.lit("x" * 200).alias("text"))
+    queries._send(rows.coalesce(2), str(tmp_path / "m"))
+    queries._send(rows.coalesce(1), str(tmp_path / "m"))
+    assert len(list((tmp_path / "m").glob("*.txt.gz"))) == 3
+    read = spark.read.text(str(tmp_path / "m"))
+    assert topics.decode(read, schemas.REVIEW).count() == 100
+    assert files.folder_bytes(spark, str(tmp_path / "m")) < 100 * 200
+
+
+def test_micro_batches_follow_the_messages():
+    """Half of the files at most, and no more bytes however many files there are."""
+    from clientele.plans import queries
+
+    assert queries._pace(4, 1000) == 2 and queries._pace(5, 0) == 3
+    files_each = queries._pace(1000, 20 * queries.BATCH_BYTES)
+    assert files_each == 50 and queries._pace(1, 9 * queries.BATCH_BYTES) == 1
